@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -148,8 +149,6 @@ def _styles_xml() -> str:
 
 
 def _prefixed(xml: str, prefix: str) -> str:
-    import re
-
     xml = re.sub(r"(</?)(?=[A-Za-z])", rf"\1{prefix}:", xml)
     return xml.replace(f'xmlns="{MAIN}"', f'xmlns:{prefix}="{MAIN}"')
 

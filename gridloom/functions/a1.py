@@ -1,18 +1,11 @@
-"""A1-style addresses, as column expressions and for the one address given as an option."""
+"""A1-style addresses, as expressions and for the one address given as an option."""
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from gridloom.errors import WorkbookOptionError
 
-# The largest grid a workbook format allows.
-MAX_ROWS = 1_048_576
-MAX_COLS = 16_384
-
 _ADDRESS = re.compile(r"\$?([A-Za-z]{1,3})\$?([0-9]+)")
 
 
@@ -27,45 +20,31 @@ def parse_a1(address: str) -> tuple[int, int]:
     return int(m[2]) - 1, col - 1
 
 
-def _letters_to_col(letters: Column) -> Column:
-    """Zero-based column of one to three letters, straight-line so that it stays in codegen."""
-    up = F.upper(letters)
-    n = F.length(up)
-    base = F.lit(ord("A") - 1)
-    value = F.lit(0)
-    for i in (1, 2, 3):
-        digit = F.ascii(F.substring(up, i, 1)) - base
-        value = F.when(n >= i, value * 26 + digit).otherwise(value)
-    return (value - 1).cast("int")
-
-
-def a1_to_rc(address: Column) -> Column:
-    """``struct<row:int,col:int>``, zero-based, or null fields where the text is no address."""
-    letters = F.regexp_extract(address, r"^\$?([A-Za-z]{1,3})\$?[0-9]+$", 1)
-    digits = F.regexp_extract(address, r"^\$?[A-Za-z]{1,3}\$?([0-9]+)$", 1)
-    ok = letters != ""
-    return F.struct(
-        F.when(ok, F.expr("int(0)") + digits.try_cast("int") - 1).alias("row"),
-        F.when(ok, _letters_to_col(letters)).alias("col"),
+def a1_to_rc(address: str) -> str:
+    """``struct<row:int,col:int>``, zero-based; null fields where the text is no address."""
+    letters = f"upper(regexp_extract({address}, '^[$]?([A-Za-z]{{1,3}})[$]?[0-9]+$', 1))"
+    digits = f"regexp_extract({address}, '^[$]?[A-Za-z]{{1,3}}[$]?([0-9]+)$', 1)"
+    col = f"aggregate(split({letters}, ''), 0, (n, x) -> CASE WHEN x = '' THEN n ELSE n * 26 + ascii(x) - 64 END) - 1"
+    return (
+        f"named_struct('row', try_cast({digits} AS int) - 1, "
+        f"'col', CASE WHEN {letters} <> '' THEN {col} END)"
     )
 
 
-def column_letters(col: Column) -> Column:
+def column_letters(col: str) -> str:
     """Zero-based column number → letters (0 → A, 26 → AA), up to three letters."""
-    n = col.cast("int")
 
-    def letter(x: Column) -> Column:
-        return F.char((F.lit(65) + F.pmod(x, F.lit(26))).cast("bigint"))
+    def letter(n: str) -> str:
+        return f"char(65 + pmod({n}, 26))"
 
-    one = letter(n)
-    two = F.concat(letter(F.floor((n - 26) / 26).cast("int")), letter(n - 26))
-    rest = n - 26 - 676
-    three = F.concat(
-        letter(F.floor(rest / 676).cast("int")), letter(F.floor(rest / 26).cast("int")), letter(rest)
+    two, three = f"({col} - 26)", f"({col} - 702)"
+    return (
+        f"CASE WHEN {col} < 26 THEN {letter(col)} "
+        f"WHEN {col} < 702 THEN concat({letter(f'{two} div 26')}, {letter(two)}) "
+        f"ELSE concat({letter(f'{three} div 676')}, {letter(f'{three} div 26')}, {letter(three)}) END"
     )
-    return F.when(n < 26, one).when(n < 26 + 676, two).otherwise(three)
 
 
-def a1_column(row: Column, col: Column) -> Column:
-    """Zero-based row and column → address text, the inverse of :func:`a1_to_rc`."""
-    return F.concat(column_letters(col), (row + 1).cast("string"))
+def a1_column(row: str, col: str) -> str:
+    """Zero-based row and column → address, the inverse of :func:`a1_to_rc`."""
+    return f"concat({column_letters(col)}, cast({row} + 1 AS string))"

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from gridloom.functions.dates import serial_to_timestamp
+from gridloom.functions.text import text
 
 CELL_FIELDS = (
     ("col", "int"),
@@ -19,58 +17,62 @@ CELL_FIELDS = (
 CELL_TYPE = "struct<" + ",".join(f"{n}:{t}" for n, t in CELL_FIELDS) + ">"
 # A fill says: on this row, columns c0..c1 show the content of another cell.
 FILL_TYPE = f"struct<c0:int,c1:int,cell:{CELL_TYPE}>"
+# How a cell without date or boolean nature is filled in.
+_DEFAULTS = {"is_date": "false"}
+
+
+def cell(col: int | str, kind: str, **values: str) -> str:
+    """A cell struct of ``kind``; ``values`` are expressions for its other fields."""
+    values = {**_DEFAULTS, **values, "col": str(col), "kind": text(kind)}
+    parts = ", ".join(f"'{n}', cast({values.get(n, 'NULL')} AS {t})" for n, t in CELL_FIELDS)
+    return f"named_struct({parts})"
 
 
-def cell(col, **values) -> Column:
-    """A cell struct; fields not given are null."""
-    values = {"col": F.lit(col) if isinstance(col, int) else col, **values}
-    parts = []
-    for name, dtype in CELL_FIELDS:
-        value = values.get(name)
-        if not isinstance(value, Column):
-            value = F.lit(value)
-        parts.append(value.cast(dtype).alias(name))
-    return F.struct(*parts)
+def moved_cell(c: str, col: str) -> str:
+    """Cell ``c`` in another column."""
+    rest = ", ".join(f"'{n}', {c}.{n}" for n, _ in CELL_FIELDS[1:])
+    return f"named_struct('col', cast({col} AS int), {rest})"
 
 
-def cell_at(cells: Column, col: int) -> Column:
+def cell_at(cells: str, col: int | str) -> str:
     """The cell in grid column ``col`` of a row, or null.
 
     Rows are nearly always without holes, so the distance from the first cell is the index to try; a
     row with holes is searched.
     """
-    guess = F.get(cells, F.lit(col) - F.get(cells, F.lit(0))["col"])
-    return F.when(guess["col"] == col, guess).otherwise(
-        F.get(F.filter(cells, lambda c: c["col"] == col), F.lit(0))
-    )
+    guess = f"get({cells}, {col} - get({cells}, 0).col)"
+    search = f"get(filter({cells}, c -> c.col = {col}), 0)"
+    return f"CASE WHEN {guess}.col = {col} THEN {guess} ELSE {search} END"
 
 
-def apply_fills(cells: Column, fills: Column) -> Column:
+def apply_fills(cells: str, fills: str) -> str:
     """Cells of a row after its merged regions are filled; untouched where there are none."""
-    kept = F.filter(
-        cells, lambda c: ~F.exists(fills, lambda f: c["col"].between(f["c0"], f["c1"]))
+    kept = f"filter({cells}, c -> NOT exists({fills}, f -> c.col BETWEEN f.c0 AND f.c1))"
+    spread = f"transform({fills}, f -> transform(sequence(f.c0, f.c1), k -> {moved_cell('f.cell', 'k')}))"
+    return (
+        f"CASE WHEN coalesce(size({fills}), 0) <= 0 THEN {cells} "
+        f"ELSE array_sort(concat({kept}, flatten({spread}))) END"
     )
 
-    def spread(f: Column) -> Column:
-        return F.transform(
-            F.sequence(f["c0"], f["c1"]),
-            lambda k: F.struct(
-                k.cast("int").alias("col"), *[f["cell"][n].alias(n) for n, _ in CELL_FIELDS[1:]]
-            ),
-        )
 
-    filled = F.array_sort(F.concat(kept, F.flatten(F.transform(fills, spread))))
-    return F.when(F.coalesce(F.size(fills), F.lit(0)) <= 0, cells).otherwise(filled)
+def cell_text(c: str, date1904: str = "false") -> str:
+    """How a cell reads as header text; null for a blank or missing cell."""
+    day = f"date_format({serial_to_timestamp(f'{c}.num', date1904)}, 'dd-MMM-yyyy')"
+    return (
+        f"CASE {c}.kind WHEN 'str' THEN {c}.str WHEN 'error' THEN {c}.str WHEN 'formula' THEN {c}.formula "
+        f"WHEN 'bool' THEN upper(cast({c}.bool AS string)) "
+        f"WHEN 'num' THEN CASE WHEN {c}.is_date THEN {day} ELSE cast({c}.num AS string) END END"
+    )
 
 
-def cell_text(c: Column, date1904: Column | None = None) -> Column:
-    """How a cell reads as header text; null for a blank or missing cell."""
-    kind = c["kind"]
-    day = F.date_format(serial_to_timestamp(c["num"], date1904), "dd-MMM-yyyy")
+def cell_type(c: str) -> str:
+    """What a cell says about its column's type; null where it says nothing."""
     return (
-        F.when(kind.isin("str", "error"), c["str"])
-        .when((kind == "num") & c["is_date"], day)
-        .when(kind == "num", c["num"].cast("string"))
-        .when(kind == "bool", F.upper(c["bool"].cast("string")))
-        .when(kind == "formula", c["formula"])
+        f"CASE WHEN {c}.kind IS NULL OR {c}.kind IN ('blank', 'error') THEN NULL WHEN {c}.kind = 'bool' THEN 'boolean' "
+        f"WHEN {c}.kind = 'num' THEN CASE WHEN {c}.is_date THEN 'timestamp' ELSE 'double' END ELSE 'string' END"
     )
+
+
+def resolved_type(types: str) -> str:
+    """One distinct type → that type; none or several → string."""
+    return f"CASE WHEN size({types}) = 1 THEN get({types}, 0) ELSE 'string' END"

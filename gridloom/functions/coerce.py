@@ -2,70 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.functions.dates import serial_to_date, serial_to_iso, serial_to_timestamp
+from gridloom.functions.text import text
 
-_INT_MAX, _INT_MIN = 2_147_483_647, -2_147_483_648
-_LONG_MAX, _LONG_MIN = 9_223_372_036_854_775_807, -9_223_372_036_854_775_808
+# Ranges of the whole number types; a number beyond becomes the end it passed.
+INT_RANGE = ("int", -2_147_483_648, 2_147_483_647)
+LONG_RANGE = ("bigint", -9_223_372_036_854_775_808, 9_223_372_036_854_775_807)
 
 
-def _narrow(num: Column, dtype: str, low: int, high: int) -> Column:
+def _narrow(num: str, dtype: str, low: int, high: int) -> str:
     """Cut the fraction and stay within the type's range."""
     return (
-        F.when(num >= float(high), F.lit(high).cast(dtype))
-        .when(num <= float(low), F.lit(low).cast(dtype))
-        .otherwise(num.cast(dtype))
+        f"CASE WHEN {num} >= {high}D THEN cast('{high}' AS {dtype}) "
+        f"WHEN {num} <= {low}D THEN cast('{low}' AS {dtype}) ELSE cast({num} AS {dtype}) END"
     )
 
 
-def coerce(c: Column, dtype: T.DataType, null_value: str | None = None, date1904: Column | None = None) -> Column:
+def coerce(c: str, dtype: T.DataType, null_value: str | None = None, date1904: str = "false") -> str:
     """Value of cell struct ``c`` as ``dtype``; null where the cell does not fit."""
-    kind, num = c["kind"], c["num"]
-    is_num = kind == "num"
-    is_day = is_num & c["is_date"]
+    num, is_num = f"{c}.num", f"{c}.kind = 'num'"
+    is_day = f"{is_num} AND {c}.is_date"
     if isinstance(dtype, T.StringType):
-        text = c["str"]
+        shown = f"{c}.str"
         if null_value is not None:
-            text = F.when(F.lower(text) != null_value.lower(), text)
+            shown = f"CASE WHEN lower({c}.str) <> lower({text(null_value)}) THEN {c}.str END"
         return (
-            F.when(kind == "str", text)
-            .when(is_day, serial_to_iso(num, date1904))
-            .when(is_num, num.cast("string"))
-            .when(kind == "bool", c["bool"].cast("string"))
-            .when(kind == "formula", c["formula"])
+            f"CASE WHEN {c}.kind = 'str' THEN {shown} "
+            f"WHEN {is_num} THEN CASE WHEN {c}.is_date THEN {serial_to_iso(num, date1904)} ELSE cast({num} AS string) END "
+            f"WHEN {c}.kind = 'bool' THEN cast({c}.bool AS string) WHEN {c}.kind = 'formula' THEN {c}.formula END"
         )
     if isinstance(dtype, T.BooleanType):
-        return F.when(kind == "bool", c["bool"])
-    if isinstance(dtype, T.DoubleType):
-        return F.when(is_num, num)
-    if isinstance(dtype, T.FloatType):
-        return F.when(is_num, num.cast("float"))
-    if isinstance(dtype, T.IntegerType):
-        return F.when(is_num, _narrow(num, "int", _INT_MIN, _INT_MAX))
-    if isinstance(dtype, T.LongType):
-        return F.when(is_num, _narrow(num, "bigint", _LONG_MIN, _LONG_MAX))
+        return f"CASE WHEN {c}.kind = 'bool' THEN {c}.bool END"
     if isinstance(dtype, T.TimestampType):
-        return F.when(is_day, serial_to_timestamp(num, date1904))
+        return f"CASE WHEN {is_day} THEN {serial_to_timestamp(num, date1904)} END"
     if isinstance(dtype, T.DateType):
-        return F.when(is_day, serial_to_date(num, date1904))
-    return F.lit(None).cast(dtype)
+        return f"CASE WHEN {is_day} THEN {serial_to_date(num, date1904)} END"
+    value = {
+        T.DoubleType: num,
+        T.FloatType: f"cast({num} AS float)",
+        T.IntegerType: _narrow(num, *INT_RANGE),
+        T.LongType: _narrow(num, *LONG_RANGE),
+    }.get(type(dtype))
+    if value is None:
+        return f"cast(NULL AS {dtype.simpleString()})"
+    return f"CASE WHEN {is_num} THEN {value} END"
 
 
-def coerce_match(c: Column, dtype: T.DataType, nullable: bool = True) -> Column:
+def coerce_match(c: str, dtype: T.DataType, nullable: bool = True) -> str:
     """Whether cell ``c`` fits a field of this type; never null."""
-    kind = c["kind"]
     if isinstance(dtype, T.StringType):
-        fits = F.lit(True)
+        fits = "true"
     elif isinstance(dtype, T.BooleanType):
-        fits = kind == "bool"
+        fits = f"{c}.kind = 'bool'"
     elif isinstance(dtype, (T.IntegerType, T.LongType, T.FloatType, T.DoubleType)):
-        fits = kind == "num"
+        fits = f"{c}.kind = 'num'"
     elif isinstance(dtype, (T.TimestampType, T.DateType)):
-        fits = (kind == "num") & F.coalesce(c["is_date"], F.lit(False))
+        fits = f"{c}.kind = 'num' AND coalesce({c}.is_date, false)"
     else:
-        fits = F.lit(False)
-    nothing = kind.isNull() | kind.isin("blank", "error")
-    return F.when(nothing, F.lit(nullable)).otherwise(fits)
+        fits = "false"
+    return (
+        f"CASE WHEN {c}.kind IS NULL OR {c}.kind IN ('blank', 'error') THEN {str(nullable).lower()} "
+        f"ELSE {fits} END"
+    )

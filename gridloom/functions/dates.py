@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from gridloom.functions.text import text
 
 MS_PER_DAY = 86_400_000
 
@@ -24,45 +23,41 @@ _DATE_CHARS = r"(?i)^[ymdhsaptT/年月日時分秒\-,. :'0]*$"
 _DATE_LETTERS = r"(?i)[ymdhs]"
 
 
-def is_date_format(format_id: Column, code: Column) -> Column:
+def is_date_format(format_id: str, code: str) -> str:
     """Whether a number format (built-in id, or id with custom code) shows a date or time."""
-    elapsed = code.rlike(_ELAPSED)
-    bare = F.regexp_replace(F.regexp_replace(code, _LITERALS, ""), _BRACKETS, "")
-    first = F.element_at(F.split(bare, ";"), 1)
-    custom = elapsed | (first.rlike(_DATE_LETTERS) & first.rlike(_DATE_CHARS))
-    return F.coalesce(format_id.isin(*BUILTIN_DATE_FORMATS), F.lit(False)) | F.coalesce(custom, F.lit(False))
+    bare = f"regexp_replace(regexp_replace({code}, {text(_LITERALS)}, ''), {text(_BRACKETS)}, '')"
+    first = f"get(split({bare}, ';'), 0)"
+    ids = ", ".join(map(str, BUILTIN_DATE_FORMATS))
+    return (
+        f"(coalesce({format_id} IN ({ids}), false) OR coalesce(rlike({code}, {text(_ELAPSED)}), false) "
+        f"OR coalesce(rlike({first}, {text(_DATE_LETTERS)}) AND rlike({first}, {text(_DATE_CHARS)}), false))"
+    )
 
 
-def serial_to_millis(serial: Column, date1904: Column | None = None) -> Column:
+def serial_to_millis(serial: str, date1904: str | None = None) -> str:
     """Milliseconds from 1970-01-01 of the wall clock the serial number stands for; null if negative."""
-    days = F.floor(serial)
-    early = F.when(days < FIRST_SERIAL_AFTER_PHANTOM_DAY, F.lit(EPOCH_1900_EARLY)).otherwise(F.lit(EPOCH_1900))
-    epoch = early if date1904 is None else F.when(date1904, F.lit(EPOCH_1904)).otherwise(early)
-    in_day = F.floor((serial - days) * MS_PER_DAY + F.lit(0.5))
-    return F.when(serial >= 0, (days + epoch) * F.lit(MS_PER_DAY) + in_day)
+    days = f"floor({serial})"
+    early = f"CASE WHEN {days} < {FIRST_SERIAL_AFTER_PHANTOM_DAY} THEN {EPOCH_1900_EARLY} ELSE {EPOCH_1900} END"
+    epoch = early if date1904 is None else f"CASE WHEN {date1904} THEN {EPOCH_1904} ELSE {early} END"
+    in_day = f"floor(({serial} - {days}) * {MS_PER_DAY}D + 0.5D)"
+    return f"CASE WHEN {serial} >= 0 THEN ({days} + {epoch}) * {MS_PER_DAY}L + {in_day} END"
 
 
-def _wall_clock(millis: Column) -> Column:
-    """The instant at which clocks in the session time zone show the given wall clock."""
-    return F.to_utc_timestamp(F.timestamp_millis(millis), F.current_timezone())
+def serial_to_timestamp(serial: str, date1904: str | None = None) -> str:
+    """The instant at which clocks in the session time zone show the serial's date and time."""
+    return f"to_utc_timestamp(timestamp_millis({serial_to_millis(serial, date1904)}), current_timezone())"
 
 
-def serial_to_timestamp(serial: Column, date1904: Column | None = None) -> Column:
-    return _wall_clock(serial_to_millis(serial, date1904))
+def serial_to_date(serial: str, date1904: str | None = None) -> str:
+    return f"date_from_unix_date(cast(floor(({serial_to_millis(serial, date1904)}) / {MS_PER_DAY}D) AS int))"
 
 
-def serial_to_date(serial: Column, date1904: Column | None = None) -> Column:
-    millis = serial_to_millis(serial, date1904)
-    return F.date_from_unix_date(F.floor(millis / MS_PER_DAY).cast("int"))
-
-
-def serial_to_iso(serial: Column, date1904: Column | None = None) -> Column:
+def serial_to_iso(serial: str, date1904: str | None = None) -> str:
     """ISO local date-time; fractional seconds only where there are any."""
-    text = F.date_format(serial_to_timestamp(serial, date1904), "yyyy-MM-dd'T'HH:mm:ss.SSS")
-    return F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
+    stamp = f"date_format({serial_to_timestamp(serial, date1904)}, \"yyyy-MM-dd'T'HH:mm:ss.SSS\")"
+    return f"rtrim('.', rtrim('0', {stamp}))"
 
 
-def timestamp_to_serial(ts: Column) -> Column:
-    """Inverse of :func:`serial_to_timestamp` in the 1900 system for dates from 1 March 1900."""
-    millis = F.unix_millis(F.from_utc_timestamp(ts.cast("timestamp"), F.current_timezone()))
-    return millis / F.lit(float(MS_PER_DAY)) - F.lit(float(EPOCH_1900))
+def timestamp_to_serial(ts: str) -> str:
+    """Inverse of :func:`serial_to_timestamp` in the 1900 system, for dates from 1 March 1900, to the millisecond."""
+    return f"(unix_millis(from_utc_timestamp(cast({ts} AS timestamp), current_timezone())) / {MS_PER_DAY}D - {EPOCH_1900}D)"

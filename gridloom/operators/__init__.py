@@ -1,6 +1,6 @@
 """Operators on the grid and cell relations; each takes and returns DataFrames."""
 
-from gridloom.operators.cells import cell_type, cells_to_grid, grid_cells, infer_column_type
+from gridloom.operators.cells import cells_to_grid, grid_cells
 from gridloom.operators.formulas import expand_shared_formulas, formula_view
 from gridloom.operators.headers import build_headers, column_profile, table_columns, table_width
 from gridloom.operators.infer import check_flag, infer_schema, infer_types
@@ -12,8 +12,8 @@ from gridloom.operators.strings import resolve_strings
 from gridloom.operators.styles import classify_dates
 
 __all__ = [
-    "add_gaps", "anchor", "assemble_rows", "build_headers", "cell_type", "cells_to_grid", "check_flag",
-    "classify_dates", "close_sheets", "column_profile", "expand_shared_formulas", "fill_merged",
-    "first_sheet", "formula_view", "grid_cells", "infer_column_type", "infer_schema", "infer_types",
-    "resolve_strings", "row_spine", "schema_match", "select_sheets", "table_columns", "table_width",
+    "add_gaps", "anchor", "assemble_rows", "build_headers", "cells_to_grid", "check_flag", "classify_dates",
+    "close_sheets", "column_profile", "expand_shared_formulas", "fill_merged", "first_sheet", "formula_view",
+    "grid_cells", "infer_schema", "infer_types", "resolve_strings", "row_spine", "schema_match",
+    "select_sheets", "table_columns", "table_width",
 ]

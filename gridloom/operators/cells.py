@@ -2,24 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.cells import CELL_FIELDS, FILL_TYPE, apply_fills
-from gridloom.operators.spine import add_gaps, close_sheets
-
-SHEET_KEYS = ("file", "sheet_idx")
-ROW_KEYS = SHEET_KEYS + ("row",)
+from gridloom.operators.spine import close_sheets
 
 
 def grid_cells(grid: DataFrame, fill: bool = False) -> DataFrame:
     """``cells(file, sheet_idx, sheet_name, row, col, kind, num, bool, str, is_date, formula)`` of a grid."""
-    cells = apply_fills(F.col("cells"), F.col("fills")) if fill else F.col("cells")
-    exploded = grid.filter(F.col("cells").isNotNull()).select(
-        "file", "sheet_idx", "sheet_name", "row", F.explode(cells).alias("_c")
+    cells = apply_fills("cells", "fills") if fill else "cells"
+    exploded = grid.filter("cells IS NOT NULL").selectExpr(
+        "file", "sheet_idx", "sheet_name", "row", f"explode({cells}) AS _c"
     )
-    return exploded.select(
-        "file", "sheet_idx", "sheet_name", "row", *[F.col("_c")[n].alias(n) for n, _ in CELL_FIELDS]
+    return exploded.selectExpr(
+        "file", "sheet_idx", "sheet_name", "row", *[f"_c.{n} AS {n}" for n, _ in CELL_FIELDS]
     )
 
 
@@ -28,31 +25,14 @@ def cells_to_grid(cells: DataFrame, rows: DataFrame | None = None) -> DataFrame:
 
     One shuffle by row. A group is one row, so no key grows beyond the width of a sheet.
     """
-    one = F.struct(*[F.col(n).cast(t).alias(n) for n, t in CELL_FIELDS])
-    keyed = cells.select("file", "sheet_idx", "sheet_name", "row", one.alias("_c"))
+    fields = ", ".join(f"'{n}', cast({n} AS {t})" for n, t in CELL_FIELDS)
+    keyed = cells.selectExpr("file", "sheet_idx", "sheet_name", "row", f"named_struct({fields}) AS _c")
     if rows is not None:
-        keyed = keyed.unionByName(
-            rows.select("file", "sheet_idx", "sheet_name", "row", F.lit(None).cast(keyed.schema["_c"].dataType).alias("_c"))
-        )
-    grouped = keyed.groupBy("file", "sheet_idx", "sheet_name", "row").agg(
-        F.array_sort(F.collect_list("_c")).alias("cells")
-    )
-    physical = grouped.withColumn("date1904", F.lit(False)).withColumn("fills", F.lit(None).cast(f"array<{FILL_TYPE}>"))
-    return close_sheets(add_gaps(physical))
-
-
-def cell_type(cell: Column | None = None) -> Column:
-    """What a cell says about its column's type; null where it says nothing. Default: a long-form row."""
-    kind, is_date = (F.col("kind"), F.col("is_date")) if cell is None else (cell["kind"], cell["is_date"])
-    return (
-        F.when(kind.isNull() | kind.isin("blank", "error"), F.lit(None).cast("string"))
-        .when(kind == "bool", "boolean")
-        .when((kind == "num") & is_date, "timestamp")
-        .when(kind == "num", "double")
-        .otherwise("string")
+        bare = rows.select("file", "sheet_idx", "sheet_name", "row", F.lit(None).cast(keyed.schema["_c"].dataType).alias("_c"))
+        keyed = keyed.unionByName(bare)
+    physical = (
+        keyed.groupBy("file", "sheet_idx", "sheet_name", "row")
+        .agg(F.expr("array_sort(collect_list(_c)) AS cells"))
+        .selectExpr("*", "false AS date1904", f"cast(NULL AS array<{FILL_TYPE}>) AS fills")
     )
-
-
-def infer_column_type(types: Column) -> Column:
-    """One distinct type → that type; none or several → string."""
-    return F.when(F.size(types) == 1, F.element_at(types, 1)).otherwise("string")
+    return close_sheets(physical)

@@ -6,27 +6,21 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.cells import CELL_FIELDS
+from gridloom.functions.cells import cell
 from gridloom.functions.references import shift_formula
 
+# Copies of a formula's first cell / shares of the cells that repeat it.
 SALT = 16
+SPREAD = 1 << 20
 
 
 def formula_view(grid: DataFrame, evaluate: bool) -> DataFrame:
     """``evaluate``: formula cells show the result stored with them; otherwise they show their text."""
     if evaluate:
         return grid
-    as_text = F.transform(
-        "cells",
-        lambda c: F.when(
-            c["formula"].isNotNull(),
-            F.struct(*[
-                (F.lit("formula") if n == "kind" else c[n] if n in ("col", "formula") else F.lit(None)).cast(t).alias(n)
-                for n, t in CELL_FIELDS
-            ]),
-        ).otherwise(c),
-    )
-    return grid.withColumn("cells", as_text)
+    shown = cell("c.col", "formula", formula="c.formula")
+    as_text = f"transform(cells, c -> CASE WHEN c.formula IS NOT NULL THEN {shown} ELSE c END)"
+    return grid.withColumn("cells", F.expr(as_text))
 
 
 def shift_references(text: Column, rows: Column, cols: Column) -> Column:
@@ -49,18 +43,18 @@ def expand_shared_formulas(cells: DataFrame, group: str = "shared_id") -> DataFr
     between them. Members are salted, as one formula may cover a whole column.
     """
     keys = ["file", "sheet_idx", group]
-    member = F.col(group).isNotNull() & F.col("formula").isNull()
-    salted = cells.withColumn(
-        "_salt", F.pmod(F.xxhash64("row", "col"), F.when(F.col(group).isNotNull(), F.lit(SALT)).otherwise(1 << 20))
+    salted = cells.selectExpr(
+        "*", f"cast(pmod(xxhash64(row, col), CASE WHEN {group} IS NOT NULL THEN {SALT} ELSE {SPREAD} END) AS int) AS _salt"
     )
     masters = (
-        cells.filter(F.col(group).isNotNull() & F.col("formula").isNotNull())
+        cells.filter(f"{group} IS NOT NULL AND formula IS NOT NULL")
         .groupBy(*keys)
-        .agg(F.min(F.struct("row", "col", "formula")).alias("_m"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)).cast("array<bigint>")))
+        .agg(F.expr("min(named_struct('row', row, 'col', col, 'formula', formula)) AS _m"))
+        .selectExpr(*keys, "_m", f"explode(sequence(0, {SALT - 1})) AS _salt")
+    )
+    joined = salted.join(masters, [*keys, "_salt"], "left").withColumn(
+        "_moved",
+        shift_references(F.expr("CASE WHEN formula IS NULL THEN _m.formula END"),
+                         F.expr("coalesce(row - _m.row, 0)"), F.expr("coalesce(col - _m.col, 0)")),
     )
-    joined = salted.join(masters, [*keys, "_salt"], "left")
-    moved = shift_references(F.col("_m.formula"), F.coalesce(F.col("row") - F.col("_m.row"), F.lit(0)),
-                     F.coalesce(F.col("col") - F.col("_m.col"), F.lit(0)))
-    text = F.when(member, moved).otherwise(F.col("formula"))
-    return joined.select(*[(text if c == "formula" else F.col(c)).alias(c) for c in cells.columns])
+    return joined.selectExpr(*["coalesce(formula, _moved) AS formula" if c == "formula" else c for c in cells.columns])

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.cells import apply_fills, cell_text
+from gridloom.functions.cells import apply_fills, cell_text, cell_type, resolved_type
 from gridloom.functions.names import clean_name
-from gridloom.operators.cells import cell_type, infer_column_type
 from gridloom.options import WorkbookOptions
 
 
@@ -18,28 +17,30 @@ def column_profile(grid: DataFrame, options: WorkbookOptions) -> DataFrame:
     ``maxRowCount`` rows below the header. One small group per column, combined before the shuffle.
     """
     heads, sample = options.header_row_count, options.max_row_count
-    top = grid.filter(F.col("cells").isNotNull())
+    top = grid.filter("cells IS NOT NULL")
     if sample:
-        top = top.filter(F.col("row") < heads + sample)
+        top = top.filter(f"row < {heads + sample}")
     # The first row counts for the width even where there is no header.
-    in_head = F.col("row") < max(heads, 1)
-    cells = F.when(in_head, apply_fills(F.col("cells"), F.col("fills"))).otherwise(F.col("cells"))
-    exploded = top.select("row", "date1904", F.explode(cells).alias("c"))
-    text = F.when(F.col("row") < heads, cell_text(F.col("c"), F.col("date1904")))
-    evidence = F.when(F.col("row") >= heads, cell_type(F.col("c")))
-    part = F.when(F.coalesce(text, F.lit("")) != "", F.struct("row", text.alias("text")))
-    profile = exploded.groupBy(F.col("c.col").alias("col")).agg(
-        F.max(F.col("row") == 0).alias("in_first_row"),
-        F.array_sort(F.collect_list(part)).alias("_parts"),
-        F.collect_set(evidence).alias("types"),
+    cells = f"CASE WHEN row < {max(heads, 1)} THEN {apply_fills('cells', 'fills')} ELSE cells END"
+    exploded = top.selectExpr("row", "date1904", f"explode({cells}) AS c")
+    said = exploded.selectExpr(
+        "c.col AS col", "row",
+        f"CASE WHEN row < {heads} THEN {cell_text('c', 'date1904')} END AS text",
+        f"CASE WHEN row >= {heads} THEN {cell_type('c')} END AS type",
+    )
+    profile = said.groupBy("col").agg(
+        F.expr("max(row = 0) AS in_first_row"),
+        F.expr("array_sort(collect_list(CASE WHEN text <> '' THEN named_struct('row', row, 'text', text) END)) AS parts"),
+        F.expr("collect_set(type) AS types"),
+    )
+    return profile.selectExpr(
+        "col", "in_first_row", "array_join(array_distinct(transform(parts, p -> p.text)), ' ') AS header", "types"
     )
-    texts = F.array_distinct(F.transform("_parts", lambda p: p["text"]))
-    return profile.select("col", "in_first_row", F.array_join(texts, " ").alias("header"), "types")
 
 
 def table_width(profile: DataFrame) -> DataFrame:
     """``width``: columns up to the last cell of the first row; null if that row has none."""
-    return profile.agg(F.max(F.when(F.col("in_first_row"), F.col("col") + 1)).alias("width"))
+    return profile.agg(F.expr("max(CASE WHEN in_first_row THEN col + 1 END) AS width"))
 
 
 def table_columns(profile: DataFrame, options: WorkbookOptions) -> DataFrame:
@@ -48,14 +49,16 @@ def table_columns(profile: DataFrame, options: WorkbookOptions) -> DataFrame:
     A sheet has at most 16,384 columns, so the profile fits one row.
     """
     packed = profile.agg(
-        F.max(F.when(F.col("in_first_row"), F.col("col") + 1)).alias("width"),
-        F.map_from_entries(F.collect_list(F.struct("col", F.struct("header", "types")))).alias("known"),
-    ).filter(F.col("width") > 0)
-    each = packed.select(F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("position"), "known")
-    found = F.try_element_at(F.col("known"), F.col("position"))
-    header = found["header"] if options.header_row_count else F.lit("")
-    kind = F.coalesce(infer_column_type(found["types"]), F.lit("string"))
-    return each.select("position", clean_name(header, F.col("position")).alias("name"), kind.alias("type"))
+        F.expr("max(CASE WHEN in_first_row THEN col + 1 END) AS width"),
+        F.expr("map_from_entries(collect_list(struct(col, named_struct('header', header, 'types', types)))) AS known"),
+    ).filter("width > 0")
+    each = packed.selectExpr("explode(sequence(0, width - 1)) AS position", "known").selectExpr(
+        "position", "try_element_at(known, position) AS found"
+    )
+    header = "found.header" if options.header_row_count else "''"
+    return each.selectExpr(
+        "position", f"{clean_name(header, 'position')} AS name", f"coalesce({resolved_type('found.types')}, 'string') AS type"
+    )
 
 
 def build_headers(grid: DataFrame, options: WorkbookOptions) -> DataFrame:

@@ -5,42 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.cells import CELL_TYPE
-from gridloom.operators.spine import BAND_ROWS, add_gaps, close_sheets
+from gridloom.functions.cells import CELL_TYPE, FILL_TYPE, cell_at
+from gridloom.operators.spine import spread_rows
+from gridloom.relations import GRID_COLUMNS
 
 
 def fill_merged(grid: DataFrame, merges: DataFrame) -> DataFrame:
     """Gives each row the regions of ``merges(file, sheet_idx, r0, c0, r1, c1)`` that cover it.
 
     A region is spread over its rows and joined on the row itself, an even key, instead of comparing
-    every row of a sheet with every region. Rows that only a region covers are added.
+    every row of a sheet with every region. Absent rows a region covers become rows of the sheet.
     """
     keys = ["file", "sheet_idx"]
-    rows = grid.filter(F.col("cells").isNotNull())
-    sheets = grid.filter(F.col("cells").isNull()).select(*keys, "sheet_name", "date1904")
-
-    first = rows.select(*keys, F.col("row").alias("r0"), F.col("cells").alias("_cells"))
-    content = F.get(F.filter("_cells", lambda c: c["col"] == F.col("c0")), F.lit(0))
-    anchored = merges.join(first, [*keys, "r0"], "left").select(
-        *keys, "r0", "r1",
-        F.struct(F.col("c0").cast("int").alias("c0"), F.col("c1").cast("int").alias("c1"),
-                 content.cast(CELL_TYPE).alias("cell")).alias("fill"),
+    first = grid.filter("cells IS NOT NULL AND gap >= 0").selectExpr(*keys, "row AS r0", "cells")
+    fill = (
+        "named_struct('c0', cast(c0 AS int), 'c1', cast(c1 AS int), "
+        f"'cell', cast({cell_at('cells', 'c0')} AS {CELL_TYPE})) AS fill"
     )
-    # First into bands, then into rows, so that no array is longer than a band.
-    band = anchored.withColumn(
-        "_band", F.explode(F.sequence(F.floor(F.col("r0") / BAND_ROWS), F.floor(F.col("r1") / BAND_ROWS)))
-    )
-    low = F.greatest(F.col("r0").cast("bigint"), F.col("_band") * BAND_ROWS)
-    high = F.least(F.col("r1").cast("bigint"), F.col("_band") * BAND_ROWS + BAND_ROWS - 1)
-    lines = band.select(*keys, F.explode(F.sequence(low, high)).cast("int").alias("row"), "fill")
+    anchored = merges.join(first, [*keys, "r0"], "left").selectExpr(*keys, "r0", "r1", fill)
+    lines = spread_rows(anchored, "r0", "r1", "row").select(*keys, "row", "fill")
     # A row is crossed by at most one region per column.
     fills = lines.groupBy(*keys, "row").agg(F.collect_list("fill").alias("_fills"))
 
-    joined = rows.join(fills, [*keys, "row"], "full")
-    known = joined.drop("sheet_name", "date1904").join(sheets, keys)
-    filled = known.select(
-        *keys, "sheet_name", "row", "date1904",
-        F.coalesce("cells", F.array().cast(f"array<{CELL_TYPE}>")).alias("cells"),
-        F.coalesce("_fills", "fills").alias("fills"),
+    bottom = merges.groupBy(*keys).agg(F.max("r1").alias("_bottom"))
+    joined = _explicit_rows(grid, bottom).join(fills, [*keys, "row"], "left")
+    return joined.selectExpr(
+        *_replaced(gap="CASE WHEN _fills IS NOT NULL THEN 0L ELSE gap END",
+                   fills="CASE WHEN cells IS NOT NULL THEN coalesce(_fills, fills) END")
+    )
+
+
+def _explicit_rows(grid: DataFrame, bottom: DataFrame) -> DataFrame:
+    """The grid with each absent row as a row of its own, down to the last row any region reaches."""
+    is_end, here = "cells IS NULL", "_at = row"
+    empty, unfilled = f"cast(array() AS array<{CELL_TYPE}>)", f"cast(NULL AS array<{FILL_TYPE}>)"
+    ends = grid.filter(is_end).join(bottom, ["file", "sheet_idx"], "left").selectExpr(
+        *GRID_COLUMNS, "greatest(row, coalesce(_bottom, row)) AS _last"
     )
-    return close_sheets(add_gaps(filled))
+    below = spread_rows(ends, "row + 1", "_last").selectExpr(*_replaced(row="_at", gap="-1L", cells=empty))
+    rows = spread_rows(grid.filter(f"NOT ({is_end})"), "row - greatest(gap, 0L)", "row").selectExpr(
+        *_replaced(row="_at", gap=f"CASE WHEN {here} AND gap >= 0 THEN 0L ELSE -1L END",
+                   cells=f"CASE WHEN {here} THEN cells ELSE {empty} END",
+                   fills=f"CASE WHEN {here} THEN fills ELSE {unfilled} END")
+    )
+    return rows.unionByName(below).unionByName(ends.selectExpr(*_replaced(row="_last")))
+
+
+def _replaced(**changed: str) -> list[str]:
+    return [f"{changed[c]} AS {c}" if c in changed else c for c in GRID_COLUMNS]

@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from gridloom.functions.cells import apply_fills, cell_at
 from gridloom.functions.coerce import coerce, coerce_match
+from gridloom.functions.text import name
 from gridloom.operators.infer import SHEET_NAME_COLUMN
 from gridloom.operators.spine import row_spine
 from gridloom.options import WorkbookOptions
 
 
-def schema_match(pairs: list[tuple[Column, T.StructField]], physical: Column) -> Column:
-    """Whether a row is present and every one of its data cells fits its field."""
-    fits = [coerce_match(c, f.dataType, f.nullable) for c, f in pairs]
-    return reduce(lambda a, b: a & b, fits, physical)
+def schema_match(fields: list[tuple[str, T.StructField]], physical: str = "physical") -> str:
+    """Whether a row is present and every one of its data cells (cell, field) fits its field."""
+    return " AND ".join([physical, *[f"({coerce_match(c, f.dataType, f.nullable)})" for c, f in fields]])
 
 
 def assemble_rows(grid: DataFrame, schema: T.StructType, options: WorkbookOptions, keep: list[str] = ()) -> DataFrame:
@@ -28,8 +25,6 @@ def assemble_rows(grid: DataFrame, schema: T.StructType, options: WorkbookOption
     nobody asks for are pruned. ``keep`` names further grid columns to append.
     """
     flag = (options.schema_match_column_name or "").lower()
-    spine = row_spine(grid, options.header_row_count)
-    filled = spine.withColumn("cells", apply_fills(F.col("cells"), F.col("fills")))
 
     def is_sheet_name(f):
         return f.name == SHEET_NAME_COLUMN and options.include_sheet_name
@@ -37,18 +32,22 @@ def assemble_rows(grid: DataFrame, schema: T.StructType, options: WorkbookOption
     def is_flag(f):
         return flag != "" and f.name.lower() == flag
 
-    data = [(i, f) for i, f in enumerate(schema) if not (is_sheet_name(f) or is_flag(f))]
-    picked = filled.select(
-        "sheet_name", "physical", "date1904", *[c for c in keep],
-        *[cell_at(F.col("cells"), i).alias(f"_c{i}") for i, _ in data],
+    data = [(f"_c{i}", f) for i, f in enumerate(schema) if not (is_sheet_name(f) or is_flag(f))]
+    kept = [name(c) for c in keep]
+    filled = row_spine(grid, options.header_row_count).selectExpr(
+        "sheet_name", "physical", "date1904", *kept, f"{apply_fills('cells', 'fills')} AS cells"
+    )
+    picked = filled.selectExpr(
+        "sheet_name", "physical", "date1904", *kept,
+        *[f"{cell_at('cells', int(c[2:]))} AS {c}" for c, _ in data],
     )
     out = []
     for i, f in enumerate(schema):
         if is_sheet_name(f):
-            value = F.col("sheet_name")
+            value = "sheet_name"
         elif is_flag(f):
-            value = schema_match([(F.col(f"_c{j}"), g) for j, g in data], F.col("physical"))
+            value = schema_match(data)
         else:
-            value = coerce(F.col(f"_c{i}"), f.dataType, options.null_value, F.col("date1904"))
-        out.append(value.alias(f.name))
-    return picked.select(*out, *[F.col(c) for c in keep])
+            value = coerce(f"_c{i}", f.dataType, options.null_value, "date1904")
+        out.append(f"{value} AS {name(f.name)}")
+    return picked.selectExpr(*out, *kept)

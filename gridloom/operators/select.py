@@ -5,42 +5,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.errors import WorkbookError
+from gridloom.errors import NO_SHEET, WorkbookError
 from gridloom.functions.a1 import parse_a1
-from gridloom.functions.cells import CELL_FIELDS
-from gridloom.sources.package import NO_SHEET, sheet_wanted
+from gridloom.functions.cells import moved_cell
+from gridloom.functions.text import text
+
+
+def sheet_wanted(name: str, idx: str, pattern: str) -> str:
+    """Whether a sheet is asked for: the first one, or every one whose whole name matches."""
+    if not pattern.strip():
+        return f"{idx} = 0"
+    return rf"rlike({name}, {text(rf'\A(?:{pattern})\z')})"
 
 
 def select_sheets(grid: DataFrame, pattern: str = "") -> DataFrame:
     """The first sheet of each workbook, or all whose whole name matches ``pattern``."""
-    return grid.filter(sheet_wanted(F.col("sheet_name"), F.col("sheet_idx"), pattern))
+    return grid.filter(sheet_wanted("sheet_name", "sheet_idx", pattern))
 
 
 def first_sheet(grid: DataFrame) -> DataFrame:
     """Rows of the first sheet of the first file. Runs a small job to find out which that is."""
-    first = grid.agg(F.min(F.struct("file", "sheet_idx")).alias("s")).first()["s"]
+    first = grid.agg(F.expr("min(named_struct('file', file, 'sheet_idx', sheet_idx)) AS s")).first()["s"]
     if first is None:
         raise WorkbookError(NO_SHEET)
-    return grid.filter((F.col("file") == first["file"]) & (F.col("sheet_idx") == first["sheet_idx"]))
+    return grid.filter(f"file = {text(first['file'])} AND sheet_idx = {first['sheet_idx']}")
 
 
 def anchor(grid: DataFrame, address: str = "A1") -> DataFrame:
     """The grid seen from ``address``: that cell becomes row 0, column 0; all above and left of it goes."""
     top, left = parse_a1(address)
+    if (top, left) == (0, 0):
+        return grid
+    changed = {}
     if top:
-        is_end = F.col("cells").isNull()
-        grid = grid.filter(is_end | (F.col("row") >= top)).withColumn("row", F.col("row") - top)
-        grid = grid.withColumn("gap", F.when(is_end, F.lit(0)).otherwise(F.least("gap", "row")))
+        grid = grid.filter(f"cells IS NULL OR row >= {top}")
+        changed["row"] = f"row - {top}"
+        changed["gap"] = f"CASE WHEN cells IS NULL THEN 0 ELSE least(gap, row - {top}) END"
     if left:
-        cells = F.transform(
-            F.filter("cells", lambda c: c["col"] >= left),
-            lambda c: F.struct((c["col"] - left).alias("col"), *[c[n].alias(n) for n, _ in CELL_FIELDS[1:]]),
+        changed["cells"] = (
+            f"transform(filter(cells, c -> c.col >= {left}), c -> {moved_cell('c', f'c.col - {left}')})"
         )
-        fills = F.transform(
-            F.filter("fills", lambda f: f["c1"] >= left),
-            lambda f: F.struct(
-                F.greatest(f["c0"] - left, F.lit(0)).alias("c0"), (f["c1"] - left).alias("c1"), f["cell"].alias("cell")
-            ),
+        changed["fills"] = (
+            f"transform(filter(fills, f -> f.c1 >= {left}), "
+            f"f -> named_struct('c0', greatest(f.c0 - {left}, 0), 'c1', f.c1 - {left}, 'cell', f.cell))"
         )
-        grid = grid.withColumn("cells", cells).withColumn("fills", fills)
-    return grid
+    return grid.selectExpr(*[f"{changed[c]} AS {c}" if c in changed else f"`{c}`" for c in grid.columns])

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # Copies of a string table row / shares of the cells that refer to it.
 SALT = 16
+# Cells without a text to look up are spread this wide.
+SPREAD = 1 << 20
 
 
 def resolve_strings(cells: DataFrame, strings: DataFrame, index: str = "sid") -> DataFrame:
@@ -15,22 +16,17 @@ def resolve_strings(cells: DataFrame, strings: DataFrame, index: str = "sid") ->
     Cells are salted by position, so a text used by very many cells is met in several tasks. Where the
     table is small at run time the join becomes a broadcast and moves no cells.
     """
-    salted = cells.withColumn(
-        "_salt",
-        F.when(F.col(index).isNotNull(), F.pmod(F.xxhash64("row", "col"), F.lit(SALT)).cast("int"))
-        .otherwise(F.pmod(F.xxhash64("sheet_idx", "row", "col"), F.lit(1 << 20)).cast("int") + SALT),
+    salted = cells.selectExpr(
+        "*",
+        f"cast(pmod(xxhash64(sheet_idx, row, col), CASE WHEN {index} IS NOT NULL THEN {SALT} ELSE {SPREAD} END) AS int) AS _salt",
     )
-    table = strings.select(
-        F.col("file"), F.col("idx").alias(index), F.col("text").alias("_text"),
-        F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("_salt"),
+    table = strings.selectExpr(
+        "file", f"idx AS {index}", "text AS _text", f"explode(sequence(0, {SALT - 1})) AS _salt"
     )
-    joined = salted.join(table, ["file", index, "_salt"], "left")
-    has = F.col(index).isNotNull()
-    return joined.select(
-        *[
-            (F.when(has, F.col("_text")).otherwise(F.col("str")) if c == "str"
-             else F.when(has, F.lit("str")).otherwise(F.col("kind")) if c == "kind"
-             else F.col(c)).alias(c)
-            for c in cells.columns if c != index
-        ]
+    changed = {
+        "str": f"CASE WHEN {index} IS NOT NULL THEN _text ELSE str END",
+        "kind": f"CASE WHEN {index} IS NOT NULL THEN 'str' ELSE kind END",
+    }
+    return salted.join(table, ["file", index, "_salt"], "left").selectExpr(
+        *[f"{changed.get(c, c)} AS {c}" for c in cells.columns if c != index]
     )

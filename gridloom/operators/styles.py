@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from gridloom.functions.dates import is_date_format
 
@@ -11,14 +10,15 @@ from gridloom.functions.dates import is_date_format
 def classify_dates(cells: DataFrame, styles: DataFrame, formats: DataFrame, style: str = "style") -> DataFrame:
     """Sets ``is_date`` from ``styles(file, style, format_id)`` and ``formats(file, format_id, code)``.
 
-    The two tables are settled first, on their own; a number below zero is never a date.
+    The two tables are settled first, on their own, and only the styles that are dates are joined. A number
+    below zero is never a date.
     """
-    settled = styles.join(formats, ["file", "format_id"], "left").select(
-        "file", F.col("style").alias(style),
-        is_date_format(F.col("format_id"), F.col("code")).alias("_date"),
+    dates = (
+        styles.join(formats, ["file", "format_id"], "left")
+        .filter(is_date_format("format_id", "code"))
+        .selectExpr("file", f"style AS {style}", "true AS _date")
     )
-    joined = cells.join(settled, ["file", style], "left")
-    is_date = (F.col("kind") == "num") & F.coalesce("_date", F.lit(False)) & (F.col("num") >= 0)
-    return joined.select(
-        *[(F.coalesce(is_date, F.lit(False)) if c == "is_date" else F.col(c)).alias(c) for c in cells.columns if c != style]
+    is_date = "coalesce(kind = 'num' AND _date AND num >= 0, false)"
+    return cells.join(dates, ["file", style], "left").selectExpr(
+        *[f"{is_date} AS is_date" if c == "is_date" else c for c in cells.columns if c != style]
     )

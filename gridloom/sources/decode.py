@@ -7,30 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from gridloom.functions.cells import CELL_TYPE, FILL_TYPE
 from gridloom.options import WorkbookOptions
+from gridloom.relations import grid_schema
 from gridloom.sources.files import partition_columns
 from gridloom.sources.inflate import inflate_stage
 from gridloom.sources.package import open_workbooks, select_workbook_sheets
 
-# The grid: one row per physical sheet row, and one more (cells null) where a sheet ends.
-GRID_FIELDS = (
-    ("file", "string"),
-    ("sheet_idx", "int"),
-    ("sheet_name", "string"),
-    ("row", "int"),             # zero-based; on the end row, the last physical row or -1
-    ("gap", "int"),             # absent rows right above this one
-    ("date1904", "boolean"),
-    ("cells", f"array<{CELL_TYPE}>"),
-    ("fills", f"array<{FILL_TYPE}>"),
-)
-GRID_COLUMNS = tuple(n for n, _ in GRID_FIELDS)
-
-
-def grid_schema() -> StructType:
-    return StructType.fromDDL(", ".join(f"{n} {t}" for n, t in GRID_FIELDS))
-
-
 def decode_workbooks(
     files: DataFrame, options: WorkbookOptions, row_limit: int | None = None, first_sheet: bool = False
 ) -> DataFrame:
@@ -42,7 +24,7 @@ def decode_workbooks(
     carry = partition_columns(files)
     chosen = select_workbook_sheets(open_workbooks(files.select("path", "content", *carry)), options)
     if first_sheet:
-        chosen = chosen.withColumn("sheets", F.slice("sheets", 1, 1))
+        chosen = chosen.withColumn("sheets", F.expr("slice(sheets, 1, 1)"))
     schema = StructType(grid_schema().fields + [files.schema[c] for c in carry])
     stage = inflate_stage(
         carry,
@@ -52,7 +34,7 @@ def decode_workbooks(
         string_limit=options.threshold_bytes,
         ignore_corrupt=bool(options.ignore_corrupt_files),
     )
-    staged = chosen.select(
-        F.col("path").alias("file"), "content", "sheets", "strings_part", "date_styles", "date1904", *carry
+    staged = chosen.selectExpr(
+        "path AS file", "content", "sheets", "strings_part", "date_styles", "date1904", *[f"`{c}`" for c in carry]
     )
     return staged.mapInArrow(stage, schema)

@@ -2,28 +2,25 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gridloom.options import WorkbookOptions
+from gridloom.relations import FILE_COLUMNS
 from gridloom.sources.package import open_workbooks
 
-FILE_COLUMNS = ("path", "modificationTime", "length", "content")
-
 
 def resolve_ignore(spark: SparkSession, options: WorkbookOptions) -> WorkbookOptions:
     """Options with ``ignoreCorruptFiles`` and ``ignoreMissingFiles`` taken from the session where unset."""
-    from dataclasses import replace
 
-    def session(name):
-        return spark.conf.get(f"spark.sql.files.{name}", "false").lower() == "true"
+    def session(name, given):
+        return spark.conf.get(f"spark.sql.files.{name}", "false").lower() == "true" if given is None else given
 
     return replace(
         options,
-        ignore_corrupt_files=session("ignoreCorruptFiles")
-        if options.ignore_corrupt_files is None else options.ignore_corrupt_files,
-        ignore_missing_files=session("ignoreMissingFiles")
-        if options.ignore_missing_files is None else options.ignore_missing_files,
+        ignore_corrupt_files=session("ignoreCorruptFiles", options.ignore_corrupt_files),
+        ignore_missing_files=session("ignoreMissingFiles", options.ignore_missing_files),
     )
 
 
@@ -44,13 +41,8 @@ def workbook_report(files: DataFrame) -> DataFrame:
 
     ``status`` is one of ok, corrupt, encrypted, unsupported_format, too_large.
     """
-    opened = open_workbooks(files)
-    return opened.select(
-        F.col("path").alias("file"),
-        F.col("length").alias("size"),
-        F.col("modificationTime").alias("mtime"),
-        "status",
-        "error",
-        F.size("sheets").alias("n_sheets"),
-        *partition_columns(files),
+    times = "modificationTime" if "modificationTime" in files.columns else "cast(NULL AS timestamp)"
+    return open_workbooks(files).selectExpr(
+        "path AS file", "length(content) AS size", f"{times} AS mtime", "status", "error", "size(sheets) AS n_sheets",
+        *[f"`{c}`" for c in partition_columns(files)],
     )

@@ -533,8 +533,8 @@ def inflate_stage(carry: list[str], arrow_schema: pa.Schema, formulas: bool, row
                     "file": pa.repeat(row["file"], n),
                     "sheet_idx": pa.repeat(pa.scalar(sheet["idx"], pa.int32()), n),
                     "sheet_name": pa.repeat(sheet["name"], n),
-                    "row": pa.array(numbers, pa.int32()),
-                    "gap": pa.array(gaps, pa.int32()),
+                    "row": pa.array(numbers, pa.int64()),
+                    "gap": pa.array(gaps, pa.int64()),
                     "date1904": pa.repeat(bool(row["date1904"]), n),
                     "cells": cells,
                     "fills": fills,

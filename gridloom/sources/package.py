@@ -10,18 +10,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.errors import NO_SHEET
 from gridloom.functions.dates import is_date_format
+from gridloom.operators.select import sheet_wanted
 from gridloom.options import WorkbookOptions
 from gridloom.sources.container import STATUS_FIELDS, directory
 
-_XML = {"ignoreNamespace": "true", "mode": "PERMISSIVE"}
+SHEETS_TYPE = "array<struct<idx:int,name:string,part:string>>"
 _WORKBOOK = "workbookPr struct<_date1904:string>, sheets struct<sheet:array<struct<_name:string,_id:string>>>"
 _RELS = "Relationship array<struct<_Id:string,_Target:string>>"
 _STYLES = (
     "numFmts struct<numFmt:array<struct<_numFmtId:int,_formatCode:string>>>,"
     " cellXfs struct<xf:array<struct<_numFmtId:int>>>"
 )
-NO_SHEET = "No worksheets found matching user defined pattern"
 
 
 def zip_directory(content: Column, path: Column) -> Column:
@@ -35,21 +36,19 @@ def zip_directory(content: Column, path: Column) -> Column:
     return read(content, path)
 
 
-def date_styles(styles: Column) -> Column:
-    """Indexes of the cell styles whose number format shows a date; ``styles`` is the parsed part."""
-    formats = F.coalesce(styles["numFmts"]["numFmt"], F.array())
+def _xml(part: str, ddl: str, root: str) -> str:
+    options = f"map('ignoreNamespace', 'true', 'mode', 'PERMISSIVE', 'rowTag', '{root}')"
+    return f"from_xml({part}, '{ddl}', {options})"
 
-    def code(format_id: Column) -> Column:
-        return F.get(F.filter(formats, lambda f: f["_numFmtId"] == format_id), F.lit(0))["_formatCode"]
 
-    xfs = F.coalesce(styles["cellXfs"]["xf"], F.array())
-    flagged = F.transform(
-        xfs,
-        lambda x, i: F.when(
-            is_date_format(x["_numFmtId"], code(x["_numFmtId"])), i.cast("int")
-        ),
+def date_styles(styles: str) -> str:
+    """Indexes of the cell styles whose number format shows a date; ``styles`` is the parsed part."""
+    code = f"get(filter({styles}.numFmts.numFmt, f -> f._numFmtId = x._numFmtId), 0)._formatCode"
+    flagged = (
+        f"transform(coalesce({styles}.cellXfs.xf, array()), "
+        f"(x, i) -> CASE WHEN {is_date_format('x._numFmtId', code)} THEN i END)"
     )
-    return F.array_compact(flagged)
+    return f"array_compact({flagged})"
 
 
 def open_workbooks(files: DataFrame) -> DataFrame:
@@ -57,86 +56,52 @@ def open_workbooks(files: DataFrame) -> DataFrame:
 
     ``sheets`` is an array of idx, name and part in workbook order.
     """
-    opened = files.withColumn("_dir", zip_directory(F.col("content"), F.col("path")))
-    d = F.col("_dir")
-    parsed = opened.select(
-        *files.columns,
-        d["status"].alias("status"),
-        d["error"].alias("error"),
-        d["strings_part"].alias("strings_part"),
-        d["base"].alias("_base"),
-        F.from_xml(d["workbook"], _WORKBOOK, {**_XML, "rowTag": "workbook"}).alias("_workbook"),
-        F.from_xml(d["rels"], _RELS, {**_XML, "rowTag": "Relationships"}).alias("_rels"),
-        F.from_xml(d["styles"], _STYLES, {**_XML, "rowTag": "styleSheet"}).alias("_styles"),
+    own = [f"`{c}`" for c in files.columns]
+    parsed = files.withColumn("_dir", zip_directory(F.col("content"), F.col("path"))).selectExpr(
+        *own, "_dir.status AS status", "_dir.error AS error", "_dir.strings_part AS strings_part", "_dir.base AS _base",
+        f"{_xml('_dir.workbook', _WORKBOOK, 'workbook')} AS _workbook",
+        f"{_xml('_dir.rels', _RELS, 'Relationships')} AS _rels",
+        f"{_xml('_dir.styles', _STYLES, 'styleSheet')} AS _styles",
+    )
+    target = "get(filter(_rels.Relationship, r -> r._Id = s._id), 0)._Target"
+    absolute = (
+        f"CASE WHEN startswith({target}, '/') THEN substring({target}, 2) ELSE concat(coalesce(_base, ''), {target}) END"
     )
-    links = F.coalesce(F.col("_rels")["Relationship"], F.array())
-
-    def target(rel_id: Column) -> Column:
-        return F.get(F.filter(links, lambda r: r["_Id"] == rel_id), F.lit(0))["_Target"]
-
-    def part(target: Column) -> Column:
-        absolute = F.when(target.startswith("/"), F.substring(target, F.lit(2), F.length(target))).otherwise(
-            F.concat(F.coalesce(F.col("_base"), F.lit("")), target)
-        )
-        return F.regexp_replace(absolute, r"[^/]+/\.\./|(?<=/)\./", "")
-
-    sheets = F.transform(
-        F.coalesce(F.col("_workbook")["sheets"]["sheet"], F.array()),
-        lambda s, i: F.struct(
-            i.cast("int").alias("idx"),
-            s["_name"].alias("name"),
-            part(target(s["_id"])).alias("part"),
-        ),
+    # A target may step out of its folder: a/b/../c is a/c.
+    part = f"regexp_replace({absolute}, '[^/]+/[.][.]/', '')"
+    sheets = (
+        f"transform(coalesce(_workbook.sheets.sheet, array()), "
+        f"(s, i) -> named_struct('idx', i, 'name', s._name, 'part', {part}))"
     )
-    return parsed.select(
-        *files.columns,
-        "status",
-        "error",
-        "strings_part",
-        sheets.alias("sheets"),
-        date_styles(F.col("_styles")).alias("date_styles"),
-        F.coalesce(F.col("_workbook")["workbookPr"]["_date1904"].isin("1", "true"), F.lit(False)).alias("date1904"),
+    return parsed.selectExpr(
+        *own, "status", "error", "strings_part", f"{sheets} AS sheets", f"{date_styles('_styles')} AS date_styles",
+        "coalesce(_workbook.workbookPr._date1904 IN ('1', 'true'), false) AS date1904",
     )
 
 
 def sheet_catalog(workbooks: DataFrame) -> DataFrame:
     """One row per sheet: file, sheet_idx, sheet_name, part (and the columns the files came with)."""
     own = {"content", "status", "error", "strings_part", "sheets", "date_styles", "date1904", "path"}
-    extra = [c for c in workbooks.columns if c not in own]
-    return workbooks.select(
-        F.col("path").alias("file"), *extra, F.explode("sheets").alias("_s")
-    ).select(
-        "file", F.col("_s.idx").alias("sheet_idx"), F.col("_s.name").alias("sheet_name"),
-        F.col("_s.part").alias("part"), *extra,
+    extra = [f"`{c}`" for c in workbooks.columns if c not in own]
+    return workbooks.selectExpr("path AS file", *extra, "explode(sheets) AS _s").selectExpr(
+        "file", "_s.idx AS sheet_idx", "_s.name AS sheet_name", "_s.part AS part", *extra
     )
 
 
-def sheet_wanted(name: Column, idx: Column, pattern: str) -> Column:
-    """Whether a sheet is asked for: the first one, or every one whose whole name matches."""
-    if not pattern.strip():
-        return idx == 0
-    return name.rlike(rf"\A(?:{pattern})\z")
-
-
 def select_workbook_sheets(workbooks: DataFrame, options: WorkbookOptions) -> DataFrame:
     """Keeps readable workbooks and, in each, the sheets asked for.
 
     A workbook that can't be opened, or has no such sheet, ends the query when it is reached, unless
     corrupt files are to be skipped.
     """
-    wanted = F.filter("sheets", lambda s: sheet_wanted(s["name"], s["idx"], options.sheet_name_pattern))
-    failed = F.raise_error(
-        F.concat(F.lit("can't read workbook "), F.col("path"), F.lit(": "), F.col("status"), F.lit(", "),
-                 F.coalesce(F.col("error"), F.lit("")))
-    )
+    failed = "raise_error(concat(\"can't read workbook \", path, ': ', status, ', ', coalesce(error, '')))"
+    missing = f"raise_error(concat('{NO_SHEET}: ', path))"
+    wanted = f"filter(sheets, s -> {sheet_wanted('s.name', 's.idx', options.sheet_name_pattern)})"
     if options.ignore_corrupt_files:
-        workbooks = workbooks.filter(F.col("status") == "ok")
-    else:
-        workbooks = workbooks.withColumn(
-            "sheets", F.when(F.col("status") == "ok", F.col("sheets")).otherwise(failed.cast(workbooks.schema["sheets"].dataType))
-        )
-    missing = F.raise_error(F.concat(F.lit(NO_SHEET + ": "), F.col("path")))
-    return workbooks.withColumn("sheets", wanted).withColumn(
-        "sheets",
-        F.when(F.size("sheets") > 0, F.col("sheets")).otherwise(missing.cast(workbooks.schema["sheets"].dataType)),
+        workbooks = workbooks.filter("status = 'ok'")
+    chosen = workbooks.withColumn("sheets", F.expr(wanted))
+    checked = (
+        f"CASE WHEN status <> 'ok' THEN cast({failed} AS {SHEETS_TYPE}) "
+        f"WHEN size(sheets) = 0 THEN cast({missing} AS {SHEETS_TYPE}) ELSE sheets END"
     )
+    return chosen.withColumn("sheets", F.expr(checked))

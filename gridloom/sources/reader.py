@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.errors import WorkbookError, WorkbookOptionError
+from gridloom.errors import NO_SHEET, WorkbookError, WorkbookOptionError
 from gridloom.functions.a1 import parse_a1
 from gridloom.operators.formulas import formula_view
 from gridloom.operators.infer import SHEET_NAME_COLUMN, check_flag, infer_schema
@@ -20,7 +20,7 @@ from gridloom.operators.select import anchor
 from gridloom.options import WorkbookOptions
 from gridloom.sources.decode import decode_workbooks
 from gridloom.sources.files import partition_columns, resolve_ignore, workbook_files
-from gridloom.sources.package import NO_SHEET, open_workbooks
+from gridloom.sources.package import open_workbooks
 
 log = logging.getLogger(__name__)
 

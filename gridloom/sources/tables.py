@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,31 +10,32 @@ from gridloom.errors import WorkbookError
 from gridloom.functions.a1 import parse_a1
 from gridloom.functions.cells import CELL_TYPE, FILL_TYPE, cell
 from gridloom.functions.dates import timestamp_to_serial
-from gridloom.operators.spine import add_gaps, end_rows
-from gridloom.sources.decode import GRID_COLUMNS
+from gridloom.functions.text import name, text
+from gridloom.operators.spine import close_sheets, end_rows
+from gridloom.relations import GRID_COLUMNS
 
 # Rows numbered in one window without further ado; above it, ranges of the key are numbered apart.
-PLAIN_WINDOW_ROWS = 1_000_000
+PLAIN_WINDOW_ROWS = 250_000
 MAX_RANGES = 4096
 SAMPLES_PER_RANGE = 30
 # Sheets of one workbook that may be found out on the driver.
 MAX_SHEETS = 4096
 
 
-def to_cell(value: Column, dtype: T.DataType, col: int) -> Column:
+def to_cell(value: str, dtype: T.DataType, col: int) -> str:
     """A table value as a cell: numbers → num, text → str, times → num that is a date; null → blank."""
     if isinstance(dtype, T.BooleanType):
-        made = cell(col, kind="bool", bool=value, is_date=False)
+        made = cell(col, "bool", bool=value)
     elif isinstance(dtype, T.NumericType):
-        made = cell(col, kind="num", num=value.cast("double"), is_date=False)
+        made = cell(col, "num", num=value)
     elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        made = cell(col, kind="num", num=timestamp_to_serial(value), is_date=True)
+        made = cell(col, "num", num=timestamp_to_serial(value), is_date="true")
     else:
-        made = cell(col, kind="str", str=value.cast("string"), is_date=False)
-    return F.when(value.isNotNull(), made).otherwise(cell(col, kind="blank", is_date=False))
+        made = cell(col, "str", str=value)
+    return f"CASE WHEN {value} IS NOT NULL THEN {made} ELSE {cell(col, 'blank')} END"
 
 
-def _ranges(keyed: DataFrame, n: int, plain_rows: int) -> list[Column]:
+def _ranges(keyed: DataFrame, n: int, plain_rows: int) -> list:
     """Ordered bounds that cut the key struct ``_k`` into ranges of about ``plain_rows`` rows.
 
     The sample they come from decides only where rows are numbered, never which number a row gets.
@@ -44,57 +44,55 @@ def _ranges(keyed: DataFrame, n: int, plain_rows: int) -> list[Column]:
     fraction = min(1.0, count * SAMPLES_PER_RANGE / n)
     sample = keyed.select("_k").sample(fraction, seed=17).orderBy("_k").limit(4 * count * SAMPLES_PER_RANGE).collect()
     step = max(1, len(sample) // count)
-    dtype = keyed.schema["_k"].dataType
-    bounds = []
-    for r in sample[step::step]:
-        values = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r["_k"], dtype)]
-        bounds.append(F.struct(*values))
-    return bounds
+    fields = keyed.schema["_k"].dataType
+    return [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r["_k"], fields)])
+        for r in sample[step::step] or sample[:1]
+    ]
 
 
-def number_rows(df: DataFrame, sheet: Column, order_by: list[Column], plain_rows: int = PLAIN_WINDOW_ROWS) -> DataFrame:
-    """Adds ``_n``: 0, 1, 2 … in key order within each ``sheet``.
+def number_rows(df: DataFrame, sheet: str, order_by: list[str], unique: bool = False,
+                plain_rows: int = PLAIN_WINDOW_ROWS) -> DataFrame:
+    """Adds ``_n``: 0, 1, 2 … in key order within each ``sheet``; ``unique`` says no two rows share a key.
 
     A table too large for one window per sheet is cut into ranges of (sheet, key). Each range is numbered on
     its own and moved by the rows before it, so a sheet with a third of all rows spreads like any other.
     """
-    n = df.count()
     # The hash of the whole row keeps the order of rows with equal keys fixed.
-    tie = F.xxhash64(*[F.col(c) for c in df.columns])
+    keys = order_by if unique else [*order_by, f"xxhash64({', '.join(name(c) for c in df.columns)})"]
+    n = df.count()
     if n <= plain_rows:
-        w = W.partitionBy(sheet).orderBy(*order_by, tie)
-        return df.withColumn("_n", F.row_number().over(w) - 1)
-    fields = [sheet.alias("s"), *[c.alias(f"k{i}") for i, c in enumerate(order_by)], tie.alias("t")]
-    keyed = df.withColumn("_k", F.struct(*fields))
+        return df.selectExpr("*", f"row_number() OVER (PARTITION BY {sheet} ORDER BY {', '.join(keys)}) - 1 AS _n")
+    fields = [f"'s', {sheet}", *[f"'k{i}', {k}" for i, k in enumerate(keys)]]
+    keyed = df.selectExpr("*", f"named_struct({', '.join(fields)}) AS _k")
     bounds = _ranges(keyed, n, plain_rows)
-    if not bounds:
-        bounds = [F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in keyed.schema["_k"].dataType])]
-    listed = F.array(*bounds)
-    steps = max(1, len(bounds).bit_length())
-
-    def halve(span: Column, _: Column) -> Column:
-        middle = F.floor((span["lo"] + span["hi"]) / 2).cast("int")
-        after = F.get(listed, middle) <= F.col("_k")
-        open_ = span["lo"] < span["hi"]
-        return F.struct(
-            F.when(open_ & after, middle + 1).otherwise(span["lo"]).alias("lo"),
-            F.when(open_ & ~after, middle).otherwise(span["hi"]).alias("hi"),
-        )
-
-    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
-    ranged = keyed.withColumn("_r", F.aggregate(F.array(*[F.lit(i) for i in range(steps + 1)]), start, halve)["lo"])
-    ranged = ranged.withColumn("_s", F.col("_k.s"))
+    ranged = keyed.withColumn("_bounds", F.array(*bounds)).selectExpr(
+        *[name(c) for c in keyed.columns], "_k.s AS _s", f"{_range_of('_k', '_bounds', len(bounds))} AS _r"
+    )
     # One count per range and sheet that meet: at most MAX_RANGES + sheets rows.
-    counts = ranged.groupBy("_s", "_r").count()
-    before = F.sum("count").over(W.partitionBy("_s").orderBy("_r").rowsBetween(W.unboundedPreceding, -1))
-    offsets = counts.select("_s", "_r", F.coalesce(before, F.lit(0)).alias("_before"))
-    local = F.row_number().over(W.partitionBy("_s", "_r").orderBy("_k")) - 1
-    numbered = ranged.withColumn("_i", local).join(F.broadcast(offsets), ["_s", "_r"])
-    return numbered.withColumn("_n", (F.col("_i") + F.col("_before")).cast("int")).select(*df.columns, "_n")
+    offsets = ranged.groupBy("_s", "_r").count().selectExpr(
+        "_s", "_r",
+        "coalesce(sum(count) OVER (PARTITION BY _s ORDER BY _r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before",
+    )
+    local = ranged.selectExpr("*", "row_number() OVER (PARTITION BY _s, _r ORDER BY _k) - 1 AS _i")
+    return local.join(F.broadcast(offsets), ["_s", "_r"]).selectExpr(
+        *[name(c) for c in df.columns], "_i + _before AS _n"
+    )
 
 
-def _sheet_names(df: DataFrame, sheet: Column) -> list[str]:
-    found = [r[0] for r in df.select(sheet.alias("s")).distinct().orderBy("s").limit(MAX_SHEETS + 1).collect()]
+def _range_of(key: str, bounds: str, count: int) -> str:
+    """How many of the ordered ``bounds`` are at or below ``key``: a binary search."""
+    middle = "cast((a.lo + a.hi) div 2 AS int)"
+    passed = f"get({bounds}, {middle}) <= {key}"
+    step = (
+        f"named_struct('lo', CASE WHEN a.lo < a.hi AND {passed} THEN {middle} + 1 ELSE a.lo END, "
+        f"'hi', CASE WHEN a.lo < a.hi AND NOT ({passed}) THEN {middle} ELSE a.hi END)"
+    )
+    return f"aggregate(sequence(0, {count.bit_length()}), named_struct('lo', 0, 'hi', {count}), (a, i) -> {step}).lo"
+
+
+def _sheet_names(df: DataFrame, sheet: str) -> list[str]:
+    found = [r[0] for r in df.selectExpr(f"{sheet} AS s").distinct().orderBy("s").limit(MAX_SHEETS + 1).collect()]
     if len(found) > MAX_SHEETS:
         raise WorkbookError(f"More than {MAX_SHEETS} sheets; give their names in order")
     return found
@@ -103,77 +101,70 @@ def _sheet_names(df: DataFrame, sheet: Column) -> list[str]:
 def table_to_grid(
     df: DataFrame,
     *,
-    sheet: Column | None = None,
+    sheet: str = "'Sheet1'",
     sheets: list[str] | None = None,
-    order_by: list[Column] | None = None,
-    row: Column | None = None,
-    cells: list[Column] | None = None,
+    order_by: list[str] | None = None,
+    unique: bool = False,
+    row: str | None = None,
+    dense: bool = False,
+    cells: list[str] | None = None,
     header: bool | list[list[str | None]] = True,
     at: str = "A1",
     file: str = "table",
     plain_rows: int = PLAIN_WINDOW_ROWS,
 ) -> DataFrame:
-    """The rows of ``df`` as a grid.
+    """The rows of ``df`` as a grid. ``sheet``, ``order_by``, ``row`` and ``cells`` are SQL expressions over ``df``.
 
     ``sheet`` names the sheet of each row (``sheets``: all names in workbook order; empty sheets may be
     among them). Rows are placed in order of ``order_by`` from the row below the header, or at the
-    zero-based position ``row`` gives, gaps and all. ``cells`` replaces the default of one cell per column;
-    ``header`` may give several rows of texts. ``at`` shifts the whole table.
+    zero-based position ``row`` gives, gaps and all (``dense`` promises there are none). With neither, rows keep the order they are read in and
+    nothing is shuffled; their positions then rise but are not consecutive, so that a schema has to be given
+    or inferred from all rows. ``cells`` replaces the default of one cell per column; ``header`` may give
+    several rows of texts. ``at`` shifts the whole table.
     """
     top, left = parse_a1(at)
-    sheet = F.lit("Sheet1") if sheet is None else sheet
     if sheets is None:
-        sheets = _sheet_names(df, sheet)
+        sheets = [sheet.strip("'")] if sheet.startswith("'") else _sheet_names(df, sheet)
     if cells is None:
-        cells = [to_cell(F.col(f"`{f.name}`"), f.dataType, left + i) for i, f in enumerate(df.schema)]
+        cells = [to_cell(name(f.name), f.dataType, left + i) for i, f in enumerate(df.schema)]
     titles = ([list(df.columns)] if header else []) if isinstance(header, bool) else header
     first = top + len(titles)
-
-    spark = df.sparkSession
-    # A literal list looked up by position; the names of one workbook's sheets.
-    known = F.array(*[F.lit(s) for s in sheets]) if sheets else F.array().cast("array<string>")
-
-    def placed(frame: DataFrame, position: Column, made: Column) -> DataFrame:
-        return frame.select(
-            F.lit(file).alias("file"),
-            (F.array_position(known, F.col("_sheet")) - 1).cast("int").alias("sheet_idx"),
-            F.col("_sheet").alias("sheet_name"),
-            position.cast("int").alias("row"),
-            F.lit(False).alias("date1904"),
-            made.alias("cells"),
-            F.lit(None).cast(f"array<{FILL_TYPE}>").alias("fills"),
+    known = f"array({', '.join(text(s) for s in sheets)})"
+    index = f"cast(array_position({known}, _sheet) - 1 AS int)"
+
+    def placed(frame: DataFrame, position: str, made: str, gap: str | None) -> DataFrame:
+        return frame.selectExpr(
+            f"{text(file)} AS file", f"{index} AS sheet_idx", "_sheet AS sheet_name", f"cast({position} AS bigint) AS row",
+            *([] if gap is None else [f"cast({gap} AS bigint) AS gap"]),
+            "false AS date1904", f"{made} AS cells", f"cast(NULL AS array<{FILL_TYPE}>) AS fills",
         )
 
-    named = df.withColumn("_sheet", sheet)
-    made = F.array(*cells)
+    named = df.selectExpr("*", f"{sheet} AS _sheet")
+    made = f"array({', '.join(cells)})"
+    known_gaps = row is None or dense
+    first_gap = "0" if titles else f"CASE WHEN _n = 0 THEN {top} ELSE 0 END"
     if row is not None:
-        body = placed(named.withColumn("_n", row), F.col("_n"), made)
+        body = placed(named, f"({row})", made, "0" if dense else None)
         last = body.groupBy("sheet_name").agg(F.max("row").alias("_last"))
     else:
-        numbered = number_rows(named, F.col("_sheet"), order_by or [F.lit(1)], plain_rows)
-        body = placed(numbered, F.col("_n") + first, made)
-        last = named.groupBy(F.col("_sheet").alias("sheet_name")).agg((F.count("*") + first - 1).alias("_last"))
-
-    names = spark.createDataFrame([(s,) for s in sheets], "_sheet string")
-    head = None
+        if order_by:
+            numbered = number_rows(named, "_sheet", order_by, unique, plain_rows)
+        else:
+            numbered = named.selectExpr("*", "monotonically_increasing_id() AS _n")
+        body = placed(numbered, f"_n + {first}", made, first_gap)
+        last = named.groupBy(F.col("_sheet").alias("sheet_name")).agg(F.expr(f"count(*) + {first - 1} AS _last"))
+
+    names = df.sparkSession.range(1).selectExpr(f"explode({known}) AS _sheet")
+    rows = body
     for i, texts in enumerate(titles):
-        line = F.array(*[
-            cell(left + j, kind="str" if t is not None else "blank", str=t, is_date=False) for j, t in enumerate(texts)
-        ])
-        one = placed(names, F.lit(top + i), line.cast(f"array<{CELL_TYPE}>"))
-        head = one if head is None else head.unionByName(one)
-    if row is not None:
-        rows = add_gaps(body if head is None else body.unionByName(head))
-    else:
-        rows = body.withColumn("gap", F.when(F.col("row") == first, F.lit(0 if titles else top)).otherwise(0))
-        if head is not None:
-            rows = rows.unionByName(head.withColumn("gap", F.when(F.col("row") == top, F.lit(top)).otherwise(0)))
-    all_sheets = names.select(
-        F.lit(file).alias("file"),
-        (F.array_position(known, F.col("_sheet")) - 1).cast("int").alias("sheet_idx"),
-        F.col("_sheet").alias("sheet_name"), F.lit(False).alias("date1904"),
-    )
-    ends = all_sheets.join(last, "sheet_name", "left").withColumn(
-        "last_row", F.coalesce(F.col("_last"), F.lit(first - 1))
-    )
+        line = ", ".join(
+            cell(left + j, "blank") if t is None else cell(left + j, "str", str=text(t)) for j, t in enumerate(texts)
+        )
+        gap = (str(top) if i == 0 else "0") if known_gaps else None
+        rows = rows.unionByName(placed(names, str(top + i), f"cast(array({line}) AS array<{CELL_TYPE}>)", gap))
+    if not known_gaps:
+        return close_sheets(rows)
+    ends = names.selectExpr(
+        f"{text(file)} AS file", f"{index} AS sheet_idx", "_sheet AS sheet_name", "false AS date1904"
+    ).join(last, "sheet_name", "left").selectExpr("*", f"coalesce(_last, {first - 1}) AS last_row")
     return rows.select(*GRID_COLUMNS).unionByName(end_rows(ends))
