@@ -70,9 +70,9 @@ def merged_fill(spark, sf):
     marked = numbered.join(blocks.select(F.col("r0").alias("_n"), F.lit(True).alias("first")), "_n", "left")
     shown = marked.selectExpr("CASE WHEN first THEN l_orderkey END AS l_orderkey", *lines.columns[1:], "_n")
     cells = [to_cell(c, shown.schema[c].dataType, i) for i, c in enumerate(lines.columns)]
-    grid = table_to_grid(shown, row="_n + 1", dense=True, cells=cells, header=[lines.columns])
+    grid = table_to_grid(shown, row="_n", dense=True, cells=cells, header=[lines.columns])
     merges = blocks.filter("r1 > r0").selectExpr(
-        "'table' AS file", "0 AS sheet_idx", "r0 + 1 AS r0", "0 AS c0", "r1 + 1 AS r1", "0 AS c1"
+        "'table' AS file", "0 AS sheet_idx", "r0", "0 AS c0", "r1", "0 AS c1"
     )
     return read_grid(fill_merged(grid, merges), "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double")
 
@@ -85,10 +85,10 @@ def merged_fill_2d(spark, sf):
     index = f"cast(array_position(array({', '.join(repr(s) for s in segments)}), c_mktsegment) - 1 AS int) AS sheet_idx"
     cells = [to_cell(c, customers.schema[c].dataType, i) for i, c in enumerate(customers.columns[:4])]
     head = [["Key", None, "Money", None], ["id", "name", "nation", "balance"]]
-    grid = table_to_grid(named, sheet="c_mktsegment", sheets=segments, row="_n + 2", dense=True, cells=cells, header=head)
+    grid = table_to_grid(named, sheet="c_mktsegment", sheets=segments, row="_n + 1", dense=True, cells=cells, header=head)
     sizes = customers.groupBy("c_mktsegment").agg((F.count("*") + 1).alias("last"))
-    blocks = named.filter("_n % 3 = 0").join(sizes, "c_mktsegment").selectExpr(
-        "'table' AS file", index, "_n + 2 AS r0", "2 AS c0", "least(_n + 4, last) AS r1", "3 AS c1"
+    blocks = named.filter("_n % 3 = 1").join(sizes, "c_mktsegment").selectExpr(
+        "'table' AS file", index, "_n + 1 AS r0", "2 AS c0", "least(_n + 3, last) AS r1", "3 AS c1"
     )
     tops = sizes.selectExpr("'table' AS file", index, "inline(array(named_struct('r0', 0L, 'c0', 0, 'r1', 0L, 'c1', 1), "
                             "named_struct('r0', 0L, 'c0', 2, 'r1', 0L, 'c1', 3)))")
@@ -356,7 +356,7 @@ def _customer_books(spark, sf, **more):
 
 def roundtrip_xlsx(spark, sf):
     """Customers as workbooks of a thousand rows, read back with an inferred schema."""
-    return read_workbook_files(_customer_books(spark, sf))
+    return read_workbook_files(written(_customer_books(spark, sf), "books"))
 
 
 def roundtrip_dates(spark, sf):

@@ -1,4 +1,8 @@
-"""The cell value: one struct, the same in every relation of the package."""
+"""The cell value: one struct, the same in every relation of the package.
+
+Of ``num``, ``bool`` and ``str`` only the one that belongs to the kind is set: ``str`` for texts, errors and
+shown formulas, none for a blank. ``is_date`` is never null, and true only for numbers from zero up.
+"""
 
 from __future__ import annotations
 
@@ -59,7 +63,7 @@ def cell_text(c: str, date1904: str = "false") -> str:
     """How a cell reads as header text; null for a blank or missing cell."""
     day = f"date_format({serial_to_timestamp(f'{c}.num', date1904)}, 'dd-MMM-yyyy')"
     return (
-        f"CASE {c}.kind WHEN 'str' THEN {c}.str WHEN 'error' THEN {c}.str WHEN 'formula' THEN {c}.formula "
+        f"CASE {c}.kind WHEN 'str' THEN {c}.str WHEN 'error' THEN {c}.str WHEN 'formula' THEN {c}.str "
         f"WHEN 'bool' THEN upper(cast({c}.bool AS string)) "
         f"WHEN 'num' THEN CASE WHEN {c}.is_date THEN {day} ELSE cast({c}.num AS string) END END"
     )

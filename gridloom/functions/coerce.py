@@ -21,48 +21,45 @@ def _narrow(num: str, dtype: str, low: int, high: int) -> str:
 
 
 def coerce(c: str, dtype: T.DataType, null_value: str | None = None, date1904: str = "false") -> str:
-    """Value of cell struct ``c`` as ``dtype``; null where the cell does not fit."""
-    num, is_num = f"{c}.num", f"{c}.kind = 'num'"
-    is_day = f"{is_num} AND {c}.is_date"
+    """Value of cell struct ``c`` as ``dtype``; null where the cell does not fit.
+
+    Leans on a cell having only the field of its kind set, to keep the generated code small: past 8 KB a
+    method is no longer compiled, and a table of many text columns gets there soon.
+    """
+    num = f"{c}.num"
     if isinstance(dtype, T.StringType):
         shown = f"{c}.str"
         if null_value is not None:
-            shown = f"CASE WHEN lower({c}.str) <> lower({text(null_value)}) THEN {c}.str END"
-        return (
-            f"CASE WHEN {c}.kind = 'str' THEN {shown} "
-            f"WHEN {is_num} THEN CASE WHEN {c}.is_date THEN {serial_to_iso(num, date1904)} ELSE cast({num} AS string) END "
-            f"WHEN {c}.kind = 'bool' THEN cast({c}.bool AS string) WHEN {c}.kind = 'formula' THEN {c}.formula END"
-        )
+            shown = f"CASE WHEN {c}.kind <> 'str' OR lower({c}.str) <> lower({text(null_value)}) THEN {c}.str END"
+        number = f"CASE WHEN {c}.is_date THEN {serial_to_iso(num, date1904)} ELSE cast({num} AS string) END"
+        return f"CASE WHEN {c}.kind <> 'error' THEN coalesce({shown}, {number}, cast({c}.bool AS string)) END"
     if isinstance(dtype, T.BooleanType):
-        return f"CASE WHEN {c}.kind = 'bool' THEN {c}.bool END"
+        return f"{c}.bool"
     if isinstance(dtype, T.TimestampType):
-        return f"CASE WHEN {is_day} THEN {serial_to_timestamp(num, date1904)} END"
+        return f"CASE WHEN {c}.is_date THEN {serial_to_timestamp(num, date1904)} END"
     if isinstance(dtype, T.DateType):
-        return f"CASE WHEN {is_day} THEN {serial_to_date(num, date1904)} END"
+        return f"CASE WHEN {c}.is_date THEN {serial_to_date(num, date1904)} END"
     value = {
         T.DoubleType: num,
         T.FloatType: f"cast({num} AS float)",
         T.IntegerType: _narrow(num, *INT_RANGE),
         T.LongType: _narrow(num, *LONG_RANGE),
     }.get(type(dtype))
-    if value is None:
-        return f"cast(NULL AS {dtype.simpleString()})"
-    return f"CASE WHEN {is_num} THEN {value} END"
+    return value or f"cast(NULL AS {dtype.simpleString()})"
 
 
 def coerce_match(c: str, dtype: T.DataType, nullable: bool = True) -> str:
     """Whether cell ``c`` fits a field of this type; never null."""
     if isinstance(dtype, T.StringType):
-        fits = "true"
-    elif isinstance(dtype, T.BooleanType):
+        return "true" if nullable else f"coalesce({c}.kind NOT IN ('blank', 'error'), false)"
+    if isinstance(dtype, T.BooleanType):
         fits = f"{c}.kind = 'bool'"
     elif isinstance(dtype, (T.IntegerType, T.LongType, T.FloatType, T.DoubleType)):
         fits = f"{c}.kind = 'num'"
     elif isinstance(dtype, (T.TimestampType, T.DateType)):
-        fits = f"{c}.kind = 'num' AND coalesce({c}.is_date, false)"
+        fits = f"{c}.is_date"
     else:
         fits = "false"
-    return (
-        f"CASE WHEN {c}.kind IS NULL OR {c}.kind IN ('blank', 'error') THEN {str(nullable).lower()} "
-        f"ELSE {fits} END"
-    )
+    if nullable:
+        return f"coalesce({fits} OR {c}.kind IN ('blank', 'error'), true)"
+    return f"coalesce({fits}, false)"

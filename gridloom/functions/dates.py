@@ -36,11 +36,12 @@ def is_date_format(format_id: str, code: str) -> str:
 
 def serial_to_millis(serial: str, date1904: str | None = None) -> str:
     """Milliseconds from 1970-01-01 of the wall clock the serial number stands for; null if negative."""
-    days = f"floor({serial})"
-    early = f"CASE WHEN {days} < {FIRST_SERIAL_AFTER_PHANTOM_DAY} THEN {EPOCH_1900_EARLY} ELSE {EPOCH_1900} END"
-    epoch = early if date1904 is None else f"CASE WHEN {date1904} THEN {EPOCH_1904} ELSE {early} END"
-    in_day = f"floor(({serial} - {days}) * {MS_PER_DAY}D + 0.5D)"
-    return f"CASE WHEN {serial} >= 0 THEN ({days} + {epoch}) * {MS_PER_DAY}L + {in_day} END"
+    shift = (
+        f"CASE {f'WHEN {date1904} THEN {EPOCH_1904 * MS_PER_DAY}L ' if date1904 else ''}"
+        f"WHEN {serial} < {FIRST_SERIAL_AFTER_PHANTOM_DAY} THEN {EPOCH_1900_EARLY * MS_PER_DAY}L "
+        f"ELSE {EPOCH_1900 * MS_PER_DAY}L END"
+    )
+    return f"CASE WHEN {serial} >= 0 THEN floor({serial} * {MS_PER_DAY}D + 0.5D) + {shift} END"
 
 
 def serial_to_timestamp(serial: str, date1904: str | None = None) -> str:
@@ -54,8 +55,7 @@ def serial_to_date(serial: str, date1904: str | None = None) -> str:
 
 def serial_to_iso(serial: str, date1904: str | None = None) -> str:
     """ISO local date-time; fractional seconds only where there are any."""
-    stamp = f"date_format({serial_to_timestamp(serial, date1904)}, \"yyyy-MM-dd'T'HH:mm:ss.SSS\")"
-    return f"rtrim('.', rtrim('0', {stamp}))"
+    return f"replace(cast({serial_to_timestamp(serial, date1904)} AS string), ' ', 'T')"
 
 
 def timestamp_to_serial(ts: str) -> str:

@@ -18,7 +18,7 @@ def formula_view(grid: DataFrame, evaluate: bool) -> DataFrame:
     """``evaluate``: formula cells show the result stored with them; otherwise they show their text."""
     if evaluate:
         return grid
-    shown = cell("c.col", "formula", formula="c.formula")
+    shown = cell("c.col", "formula", str="c.formula", formula="c.formula")
     as_text = f"transform(cells, c -> CASE WHEN c.formula IS NOT NULL THEN {shown} ELSE c END)"
     return grid.withColumn("cells", F.expr(as_text))
 

@@ -24,8 +24,8 @@ def select_sheets(grid: DataFrame, pattern: str = "") -> DataFrame:
 
 
 def first_sheet(grid: DataFrame) -> DataFrame:
-    """Rows of the first sheet of the first file. Runs a small job to find out which that is."""
-    first = grid.agg(F.expr("min(named_struct('file', file, 'sheet_idx', sheet_idx)) AS s")).first()["s"]
+    """Rows of the first sheet of the first file. A small job over the end rows finds out which that is."""
+    first = grid.filter("cells IS NULL").agg(F.expr("min(named_struct('file', file, 'sheet_idx', sheet_idx)) AS s")).first()["s"]
     if first is None:
         raise WorkbookError(NO_SHEET)
     return grid.filter(f"file = {text(first['file'])} AND sheet_idx = {first['sheet_idx']}")

@@ -14,8 +14,8 @@ from gridloom.functions.text import name, text
 from gridloom.operators.spine import close_sheets, end_rows
 from gridloom.relations import GRID_COLUMNS
 
-# Rows numbered in one window without further ado; above it, ranges of the key are numbered apart.
-PLAIN_WINDOW_ROWS = 250_000
+# Rows numbered in one window without further ado, as many as a real sheet can have; above it, ranges of the key are numbered apart.
+PLAIN_WINDOW_ROWS = 1_048_576
 MAX_RANGES = 4096
 SAMPLES_PER_RANGE = 30
 # Sheets of one workbook that may be found out on the driver.
@@ -29,7 +29,8 @@ def to_cell(value: str, dtype: T.DataType, col: int) -> str:
     elif isinstance(dtype, T.NumericType):
         made = cell(col, "num", num=value)
     elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        made = cell(col, "num", num=timestamp_to_serial(value), is_date="true")
+        serial = timestamp_to_serial(value)
+        made = cell(col, "num", num=serial, is_date=f"{serial} >= 0")
     else:
         made = cell(col, "str", str=value)
     return f"CASE WHEN {value} IS NOT NULL THEN {made} ELSE {cell(col, 'blank')} END"
@@ -52,17 +53,18 @@ def _ranges(keyed: DataFrame, n: int, plain_rows: int) -> list:
 
 
 def number_rows(df: DataFrame, sheet: str, order_by: list[str], unique: bool = False,
-                plain_rows: int = PLAIN_WINDOW_ROWS) -> DataFrame:
-    """Adds ``_n``: 0, 1, 2 … in key order within each ``sheet``; ``unique`` says no two rows share a key.
+                plain_rows: int = PLAIN_WINDOW_ROWS, count: int | None = None) -> DataFrame:
+    """Adds ``_n``: 1, 2, 3 … in key order within each ``sheet``; ``unique`` says no two rows share a key.
 
     A table too large for one window per sheet is cut into ranges of (sheet, key). Each range is numbered on
     its own and moved by the rows before it, so a sheet with a third of all rows spreads like any other.
+    ``count`` saves counting the rows where it is known.
     """
     # The hash of the whole row keeps the order of rows with equal keys fixed.
     keys = order_by if unique else [*order_by, f"xxhash64({', '.join(name(c) for c in df.columns)})"]
-    n = df.count()
+    n = df.count() if count is None else count
     if n <= plain_rows:
-        return df.selectExpr("*", f"row_number() OVER (PARTITION BY {sheet} ORDER BY {', '.join(keys)}) - 1 AS _n")
+        return df.selectExpr("*", f"row_number() OVER (PARTITION BY {sheet} ORDER BY {', '.join(keys)}) AS _n")
     fields = [f"'s', {sheet}", *[f"'k{i}', {k}" for i, k in enumerate(keys)]]
     keyed = df.selectExpr("*", f"named_struct({', '.join(fields)}) AS _k")
     bounds = _ranges(keyed, n, plain_rows)
@@ -72,30 +74,32 @@ def number_rows(df: DataFrame, sheet: str, order_by: list[str], unique: bool = F
     # One count per range and sheet that meet: at most MAX_RANGES + sheets rows.
     offsets = ranged.groupBy("_s", "_r").count().selectExpr(
         "_s", "_r",
-        "coalesce(sum(count) OVER (PARTITION BY _s ORDER BY _r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before",
+        "coalesce(sum(count) OVER (PARTITION BY _s ORDER BY _r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS _before",
     )
-    local = ranged.selectExpr("*", "row_number() OVER (PARTITION BY _s, _r ORDER BY _k) - 1 AS _i")
+    local = ranged.selectExpr("*", "row_number() OVER (PARTITION BY _s, _r ORDER BY _k) AS _i")
     return local.join(F.broadcast(offsets), ["_s", "_r"]).selectExpr(
         *[name(c) for c in df.columns], "_i + _before AS _n"
     )
 
 
 def _range_of(key: str, bounds: str, count: int) -> str:
-    """How many of the ordered ``bounds`` are at or below ``key``: a binary search."""
-    middle = "cast((a.lo + a.hi) div 2 AS int)"
-    passed = f"get({bounds}, {middle}) <= {key}"
-    step = (
-        f"named_struct('lo', CASE WHEN a.lo < a.hi AND {passed} THEN {middle} + 1 ELSE a.lo END, "
-        f"'hi', CASE WHEN a.lo < a.hi AND NOT ({passed}) THEN {middle} ELSE a.hi END)"
-    )
-    return f"aggregate(sequence(0, {count.bit_length()}), named_struct('lo', 0, 'hi', {count}), (a, i) -> {step}).lo"
-
-
-def _sheet_names(df: DataFrame, sheet: str) -> list[str]:
-    found = [r[0] for r in df.selectExpr(f"{sheet} AS s").distinct().orderBy("s").limit(MAX_SHEETS + 1).collect()]
+    """How many of the ordered ``bounds`` are at or below ``key``: a binary search by halving steps."""
+    steps = ", ".join(str(1 << i) for i in reversed(range(count.bit_length())))
+    passed = f"p + s <= {count} AND get({bounds}, p + s - 1) <= {key}"
+    return f"aggregate(array({steps}), 0, (p, s) -> CASE WHEN {passed} THEN p + s ELSE p END)"
+
+
+def _sheet_sizes(df: DataFrame, sheet: str, sheets: list[str] | None) -> dict[str, int]:
+    """Rows per sheet, in workbook order: one aggregate, one record per sheet on the driver."""
+    if sheets is None and sheet.startswith("'"):
+        sheets = [sheet.strip("'")]
+    if sheets is not None and len(sheets) == 1:
+        return {sheets[0]: df.count()}
+    found = df.groupBy(F.expr(sheet).alias("s")).count().orderBy("s").limit(MAX_SHEETS + 1).collect()
     if len(found) > MAX_SHEETS:
-        raise WorkbookError(f"More than {MAX_SHEETS} sheets; give their names in order")
-    return found
+        raise WorkbookError(f"A workbook of more than {MAX_SHEETS} sheets is not supported")
+    sizes = {r["s"]: r["count"] for r in found}
+    return sizes if sheets is None else {s: sizes.get(s, 0) for s in sheets}
 
 
 def table_to_grid(
@@ -123,12 +127,12 @@ def table_to_grid(
     several rows of texts. ``at`` shifts the whole table.
     """
     top, left = parse_a1(at)
-    if sheets is None:
-        sheets = [sheet.strip("'")] if sheet.startswith("'") else _sheet_names(df, sheet)
     if cells is None:
         cells = [to_cell(name(f.name), f.dataType, left + i) for i, f in enumerate(df.schema)]
     titles = ([list(df.columns)] if header else []) if isinstance(header, bool) else header
     first = top + len(titles)
+    sizes = None if row is not None and sheets else _sheet_sizes(df, sheet, sheets)
+    sheets = list(sizes) if sizes is not None else sheets
     known = f"array({', '.join(text(s) for s in sheets)})"
     index = f"cast(array_position({known}, _sheet) - 1 AS int)"
 
@@ -142,17 +146,17 @@ def table_to_grid(
     named = df.selectExpr("*", f"{sheet} AS _sheet")
     made = f"array({', '.join(cells)})"
     known_gaps = row is None or dense
-    first_gap = "0" if titles else f"CASE WHEN _n = 0 THEN {top} ELSE 0 END"
     if row is not None:
         body = placed(named, f"({row})", made, "0" if dense else None)
-        last = body.groupBy("sheet_name").agg(F.max("row").alias("_last"))
     else:
+        # Numbers start at 1, the first row below the header at ``first``.
+        shift = f" + {first - 1}" if first != 1 else ""
+        gap = "0" if titles else f"CASE WHEN _n = 1 THEN {top} ELSE 0 END"
         if order_by:
-            numbered = number_rows(named, "_sheet", order_by, unique, plain_rows)
+            numbered = number_rows(named, "_sheet", order_by, unique, plain_rows, sum(sizes.values()))
         else:
-            numbered = named.selectExpr("*", "monotonically_increasing_id() AS _n")
-        body = placed(numbered, f"_n + {first}", made, first_gap)
-        last = named.groupBy(F.col("_sheet").alias("sheet_name")).agg(F.expr(f"count(*) + {first - 1} AS _last"))
+            numbered = named.selectExpr("*", "monotonically_increasing_id() + 1 AS _n")
+        body = placed(numbered, f"_n{shift}", made, gap)
 
     names = df.sparkSession.range(1).selectExpr(f"explode({known}) AS _sheet")
     rows = body
@@ -166,5 +170,11 @@ def table_to_grid(
         return close_sheets(rows)
     ends = names.selectExpr(
         f"{text(file)} AS file", f"{index} AS sheet_idx", "_sheet AS sheet_name", "false AS date1904"
-    ).join(last, "sheet_name", "left").selectExpr("*", f"coalesce(_last, {first - 1}) AS last_row")
+    )
+    if row is None:
+        last = ", ".join(f"{n}L" for n in sizes.values())
+        ends = ends.selectExpr("*", f"get(array({last}), sheet_idx) + {first - 1} AS last_row")
+    else:
+        deepest = body.groupBy("sheet_name").agg(F.max("row").alias("_last"))
+        ends = ends.join(deepest, "sheet_name", "left").selectExpr("*", f"coalesce(_last, {first - 1}) AS last_row")
     return rows.select(*GRID_COLUMNS).unionByName(end_rows(ends))
