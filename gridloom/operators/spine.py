@@ -58,9 +58,9 @@ def spread_rows(frame: DataFrame, low: str, high: str, at: str = "_at") -> DataF
     Goes by way of bands, so that no array is longer than a band however far apart the two are.
     """
     kept = [f"`{c}`" for c in frame.columns]
-    bands = frame.filter(f"{low} <= {high}").selectExpr(
-        *kept, f"explode(sequence(({low}) div {BAND_ROWS}, ({high}) div {BAND_ROWS})) AS _band"
-    )
+    # Rounded down, not to zero: the end row of a sheet may lie above the table, at a negative row.
+    first, last = f"floor(({low}) / {BAND_ROWS}D)", f"floor(({high}) / {BAND_ROWS}D)"
+    bands = frame.filter(f"{low} <= {high}").selectExpr(*kept, f"explode(sequence({first}, {last})) AS _band")
     inside = f"sequence(greatest({low}, _band * {BAND_ROWS}), least({high}, _band * {BAND_ROWS} + {BAND_ROWS - 1}))"
     return bands.selectExpr(*kept, f"explode({inside}) AS {at}")
 

@@ -13,6 +13,12 @@ from gridloom.sources.files import partition_columns
 from gridloom.sources.inflate import inflate_stage
 from gridloom.sources.package import open_workbooks, select_workbook_sheets
 
+# Files above this size are decoded by several tasks, each taking a share of this many bytes of every sheet.
+SPREAD_BYTES = 64 * 1024**2
+SHARE_BYTES = 16 * 1024**2
+MAX_SHARES = 16
+
+
 def decode_workbooks(
     files: DataFrame, options: WorkbookOptions, row_limit: int | None = None, first_sheet: bool = False
 ) -> DataFrame:
@@ -22,9 +28,7 @@ def decode_workbooks(
     asked for, as schema inference needs no more.
     """
     carry = partition_columns(files)
-    chosen = select_workbook_sheets(open_workbooks(files.select("path", "content", *carry)), options)
-    if first_sheet:
-        chosen = chosen.withColumn("sheets", F.expr("slice(sheets, 1, 1)"))
+    sized = "length" in files.columns and not files.isStreaming and row_limit is None
     schema = StructType(grid_schema().fields + [files.schema[c] for c in carry])
     stage = inflate_stage(
         carry,
@@ -34,7 +38,23 @@ def decode_workbooks(
         string_limit=options.threshold_bytes,
         ignore_corrupt=bool(options.ignore_corrupt_files),
     )
-    staged = chosen.selectExpr(
-        "path AS file", "content", "sheets", "strings_part", "date_styles", "date1904", *[f"`{c}`" for c in carry]
-    )
-    return staged.mapInArrow(stage, schema)
+    columns = ["path AS file", "content", "sheets", "strings_part", "date_styles", "date1904", *[f"`{c}`" for c in carry]]
+
+    def opened(some: DataFrame, *more: str) -> DataFrame:
+        chosen = select_workbook_sheets(open_workbooks(some.select("path", "content", *more, *carry)), options)
+        return chosen.withColumn("sheets", F.expr("slice(sheets, 1, 1)")) if first_sheet else chosen
+
+    if not sized:
+        return opened(files).selectExpr(*columns, "0 AS share", "1 AS shares").mapInArrow(stage, schema)
+    # The filter on length reaches the file scan, so each file's content is read for one branch only.
+    whole = opened(files.filter(f"length <= {SPREAD_BYTES}")).selectExpr(*columns, "0 AS share", "1 AS shares")
+    large = _spread(opened(files.filter(f"length > {SPREAD_BYTES}"), "length"), columns)
+    return whole.mapInArrow(stage, schema).unionByName(large.mapInArrow(stage, schema))
+
+
+def _spread(large: DataFrame, columns: list[str]) -> DataFrame:
+    """One record per sheet and share of a large workbook, over as many tasks."""
+    split = large.withColumn("shares", F.expr(f"cast(least({MAX_SHARES}, ceil(length / {SHARE_BYTES})) AS int)"))
+    sheets = split.withColumn("_sheet", F.explode_outer("sheets")).withColumn("sheets", F.expr("array(_sheet)"))
+    shared = sheets.selectExpr(*columns, "shares", "explode(sequence(0, shares - 1)) AS share")
+    return shared.repartition("file", "sheets", "share")

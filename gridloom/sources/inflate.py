@@ -277,14 +277,25 @@ class SheetDecoder:
         self.last_row = -1
         self.masters: dict[str, tuple[str, int, int]] = {}
 
-    def piece(self, xml: bytes):
+    def _rows(self, xml: bytes) -> pa.ListArray:
+        """One list per row: the row's tag, then what follows each cell's opening."""
         xml = re.sub(rb"<row((?:\s[^<>]*)?)/>", rb"<row\1></row>", xml)
         xml = xml.replace(b"<c>", b"<c >").replace(b"<c/>", b"<c />")
         rows = pc.split_pattern(pa.array([xml.decode("utf-8")]), "</row>").values
-        rows = rows.filter(pc.match_substring(rows, "<row"))
-        if not len(rows):
+        return pc.split_pattern(rows.filter(pc.match_substring(rows, "<row")), "<c ")
+
+    def numbers(self, xml: bytes) -> np.ndarray:
+        """Row numbers of a piece whose cells are not wanted."""
+        parts = self._rows(xml)
+        if not len(parts):
+            return np.empty(0, np.int64)
+        starts = np.asarray(parts.offsets, dtype=np.int64)
+        return self._row_numbers(parts.flatten().take(pa.array(starts[:-1] - starts[0])))
+
+    def piece(self, xml: bytes):
+        parts = self._rows(xml)
+        if not len(parts):
             return np.empty(0, np.int64), np.zeros(1, np.int64), pa.array([], CELL_ARROW)
-        parts = pc.split_pattern(rows, "<c ")
         starts = np.asarray(parts.offsets, dtype=np.int64)
         starts = starts - starts[0]
         values = parts.flatten()
@@ -427,6 +438,14 @@ class MergeFiller:
         self.next, self.done_row = 0, -1
         self.open = np.empty(0, np.int64)
 
+    def passes(self, xml_rows: np.ndarray) -> bool:
+        """Moves past rows no region touches; false, and not moved, if one does."""
+        high = int(xml_rows[-1])
+        if len(self.open) or (self.next < len(self.regions) and self.regions[self.next, 0] <= high):
+            return False
+        self.done_row = max(high, self.done_row)
+        return True
+
     def rows(self, numbers, offsets, cells, last: bool):
         """Rows, offsets, cells and fills of a piece; rows only a region covers are added."""
         high = int(numbers[-1]) if len(numbers) else self.done_row
@@ -481,8 +500,14 @@ class MergeFiller:
         )
 
 
-def sheet_batches(z, part, strings, date_styles, formulas, row_limit):
-    """(row numbers, gaps, cells, fills) batches of one sheet; the last stands for the sheet's end."""
+def sheet_batches(z, part, strings, date_styles, formulas, row_limit, share=(0, 1)):
+    """(row numbers, gaps, cells, fills) batches of one sheet; the last stands for the sheet's end.
+
+    ``share`` (k, n) gives every n-th piece from the k-th on, so that n tasks can share a sheet: splitting it
+    into cells costs many times more than inflating it. The end belongs to share 0. Where a region is merged
+    over a piece, or formula texts are wanted, the piece is worked through by every share.
+    """
+    mine, of = share
     sheet = SheetXml(z, part)
     decoder, filler = SheetDecoder(strings, date_styles, formulas), MergeFiller(sheet.merges())
     previous = -1
@@ -497,11 +522,23 @@ def sheet_batches(z, part, strings, date_styles, formulas, row_limit):
         return numbers, gaps, listed, fills
 
     full = True
-    for xml in sheet.pieces():
+    for k, xml in enumerate(sheet.pieces()):
+        wanted = k % of == mine
+        if not wanted and not formulas:
+            before = decoder.last_row
+            numbers = decoder.numbers(xml)
+            if not len(numbers):
+                continue
+            if filler.passes(numbers):
+                previous = int(numbers[-1])
+                continue
+            decoder.last_row = before
         numbers, offsets, cells = decoder.piece(xml)
         if not len(numbers):
             continue
-        yield batch(*filler.rows(numbers, offsets, cells, last=False))
+        made = batch(*filler.rows(numbers, offsets, cells, last=False))
+        if wanted:
+            yield made
         if row_limit is not None and previous >= row_limit:
             full = False
             break
@@ -509,7 +546,11 @@ def sheet_batches(z, part, strings, date_styles, formulas, row_limit):
         nothing = np.empty(0, np.int64), np.zeros(1, np.int64), pa.array([], CELL_ARROW)
         rest = filler.rows(*nothing, last=True)
         if len(rest[0]):
-            yield batch(*rest)
+            made = batch(*rest)
+            if mine == 0:
+                yield made
+    if mine != 0:
+        return
     end = np.array([previous])
     yield end, np.zeros(1, np.int64), pa.nulls(1, pa.list_(CELL_ARROW)), pa.nulls(1, pa.list_(FILL_ARROW))
 
@@ -520,13 +561,15 @@ def inflate_stage(carry: list[str], arrow_schema: pa.Schema, formulas: bool, row
 
     def workbook(source: pa.RecordBatch, i: int):
         row = {name: source.column(name)[i].as_py() for name in ("file", "content", "sheets", "strings_part",
-                                                                "date_styles", "date1904")}
+                                                                "date_styles", "date1904", "share", "shares")}
+        if not row["sheets"]:
+            return
         z = open_zip(row["content"], row["file"])
         strings = read_strings(z, row["strings_part"], string_limit)
         styles = set(row["date_styles"] or ())
-        for sheet in row["sheets"] or ():
+        for sheet in row["sheets"]:
             for numbers, gaps, cells, fills in sheet_batches(
-                z, sheet["part"], strings, styles, formulas, row_limit
+                z, sheet["part"], strings, styles, formulas, row_limit, (row["share"], row["shares"])
             ):
                 n = len(numbers)
                 columns = {

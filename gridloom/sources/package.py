@@ -89,19 +89,18 @@ def sheet_catalog(workbooks: DataFrame) -> DataFrame:
 
 
 def select_workbook_sheets(workbooks: DataFrame, options: WorkbookOptions) -> DataFrame:
-    """Keeps readable workbooks and, in each, the sheets asked for.
+    """Leaves in ``sheets`` of each workbook the sheets asked for.
 
-    A workbook that can't be opened, or has no such sheet, ends the query when it is reached, unless
-    corrupt files are to be skipped.
+    A workbook that can't be opened, or has no such sheet, ends the query when it is reached; where corrupt
+    files are to be skipped, one that can't be opened is left without sheets. Rows are not filtered, as Spark
+    would move such a filter below the opening and open each file once more for it.
     """
     failed = "raise_error(concat(\"can't read workbook \", path, ': ', status, ', ', coalesce(error, '')))"
+    unreadable = "array()" if options.ignore_corrupt_files else failed
     missing = f"raise_error(concat('{NO_SHEET}: ', path))"
     wanted = f"filter(sheets, s -> {sheet_wanted('s.name', 's.idx', options.sheet_name_pattern)})"
-    if options.ignore_corrupt_files:
-        workbooks = workbooks.filter("status = 'ok'")
-    chosen = workbooks.withColumn("sheets", F.expr(wanted))
     checked = (
-        f"CASE WHEN status <> 'ok' THEN cast({failed} AS {SHEETS_TYPE}) "
+        f"CASE WHEN status <> 'ok' THEN cast({unreadable} AS {SHEETS_TYPE}) "
         f"WHEN size(sheets) = 0 THEN cast({missing} AS {SHEETS_TYPE}) ELSE sheets END"
     )
-    return chosen.withColumn("sheets", F.expr(checked))
+    return workbooks.withColumn("sheets", F.expr(wanted)).withColumn("sheets", F.expr(checked))

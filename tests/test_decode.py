@@ -83,11 +83,11 @@ def test_merged_regions_across_pieces(monkeypatch):
 
     content = build_workbook([Sheet("S", grid, merges)])
 
-    def decoded():
+    def decoded(share=(0, 1)):
         z = zipfile.ZipFile(io.BytesIO(content))
         strings = inflate.read_strings(z, "xl/sharedStrings.xml", 10**6)
         out = []
-        for numbers, gaps, cells, fills in inflate.sheet_batches(z, "xl/worksheets/sheet1.xml", strings, set(), False, None):
+        for numbers, gaps, cells, fills in inflate.sheet_batches(z, "xl/worksheets/sheet1.xml", strings, set(), False, None, share):
             out += zip(numbers.tolist(), gaps.tolist(), cells.to_pylist(), [f or None for f in fills.to_pylist()])
         return out
 
@@ -95,6 +95,10 @@ def test_merged_regions_across_pieces(monkeypatch):
     monkeypatch.setattr(inflate, "CHUNK_BYTES", 300)
     monkeypatch.setattr(inflate, "KEEP_BYTES", 10)
     assert decoded() == whole
+    # Several tasks sharing the sheet give each row once.
+    shares = [decoded((k, 3)) for k in range(3)]
+    assert all(len(s) > 30 for s in shares)
+    assert sorted(sum(shares, []), key=lambda r: (r[0], r[2] is None)) == sorted(whole, key=lambda r: (r[0], r[2] is None))
     # All rows down to the last region, and the end of the sheet.
     assert len(whole) == max(200, *[int(m.split(":")[1][1:]) for m in merges]) + 1
 
@@ -190,3 +194,17 @@ def test_damaged_sheet_is_an_error_not_missing_rows(spark, save):
 ])
 def test_shift_formula(text, moved):
     assert shift_formula(text, 3, 2) == moved
+
+
+def test_large_files_are_shared(spark, save, monkeypatch):
+    from gridloom.sources import decode
+
+    monkeypatch.setattr(decode, "SPREAD_BYTES", 20_000)
+    monkeypatch.setattr(decode, "SHARE_BYTES", 10_000)
+    lines = [[f"text {i}", i, i * 0.5] for i in range(3000)]
+    book = build_workbook([Sheet("A", [["t", "i", "x"], *lines]), Sheet("B", [["t", "i", "x"], *lines[:10]])])
+    assert len(book) > 20_000
+    paths = [save("big.xlsx", book), save("small.xlsx", build_workbook([Sheet("A", [["t", "i", "x"], ["s", 1, 2]])]))]
+    df = read_workbooks(spark, paths, "t string, i int, x double, _SheetName string", sheetNamePattern="[AB]", includeSheetName=True)
+    expected = [(*r, "A") for r in lines] + [(*r, "B") for r in lines[:10]] + [("s", 1, 2.0, "A")]
+    assert sorted(rows(df)) == sorted((t, i, float(x), s) for t, i, x, s in expected)

@@ -190,3 +190,11 @@ def test_session_time_zone(spark):
         assert tuple(got) == ("2021-08-13 06:00:00", "2021-08-13T06:00:00")
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("at", ["A1", "B3", "A70000"])
+def test_sheets_that_end_above_the_table(spark, at):
+    """One record of nulls per sheet, however far above the table it ends."""
+    grid = table_to_grid(spark.createDataFrame([("x", 1), ("y", 2)], "s string, v int"), sheet="s", order_by=["v"])
+    got = rows(read_grid(grid, "v int, _SheetName string", cellAddress=at, headerRowCount=2, sheetNamePattern=".", includeSheetName=True))
+    assert sorted(got) == [(None, "x"), (None, "y")]
