@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 # Copies of a string table row / shares of the cells that refer to it.
-SALT = 16
+SALT = 8
 # Cells without a text to look up are spread this wide.
 SPREAD = 1 << 20
 

@@ -31,8 +31,9 @@ CHUNK_BYTES = 4 * 1024**2
 MAX_ROW_BYTES = 1024**3
 # Sheets up to this size are inflated once and kept; larger ones twice, as their merged regions come last.
 KEEP_BYTES = 32 * 1024**2
-# Rows gathered before a batch is handed to Spark.
+# Rows, or bytes, gathered before a batch is handed to Spark.
 BATCH_ROWS = 8192
+BATCH_BYTES = 32 * 1024**2
 
 _COLS = 16384  # fixed value: columns of a sheet
 _KINDS = pa.array(["blank", "num", "str", "bool", "error"])
@@ -588,16 +589,16 @@ def inflate_stage(carry: list[str], arrow_schema: pa.Schema, formulas: bool, row
                 yield pa.record_batch([columns[f.name].cast(f.type) for f in arrow_schema], schema=arrow_schema)
 
     def stage(batches):
-        held, rows = [], 0
+        held, rows, size = [], 0, 0
         for source in batches:
             for i in range(source.num_rows):
                 try:
                     for out in workbook(source, i):
                         held.append(out)
-                        rows += out.num_rows
-                        if rows >= BATCH_ROWS:
+                        rows, size = rows + out.num_rows, size + out.nbytes
+                        if rows >= BATCH_ROWS or size >= BATCH_BYTES:
                             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                            held, rows = [], 0
+                            held, rows, size = [], 0, 0
                 except (ContainerError, zipfile.BadZipFile, zlib.error, UnicodeDecodeError, EOFError, OSError) as e:
                     if not ignore_corrupt:
                         raise RuntimeError(f"can't read workbook {source.column('file')[i].as_py()}: {e}") from e

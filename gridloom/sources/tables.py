@@ -36,20 +36,27 @@ def to_cell(value: str, dtype: T.DataType, col: int) -> str:
     return f"CASE WHEN {value} IS NOT NULL THEN {made} ELSE {cell(col, 'blank')} END"
 
 
-def _ranges(keyed: DataFrame, n: int, plain_rows: int) -> list:
-    """Ordered bounds that cut the key struct ``_k`` into ranges of about ``plain_rows`` rows.
+def _ranges(keyed: DataFrame, n: int, plain_rows: int) -> tuple[str, int]:
+    """Ordered bounds that cut the key struct ``_k`` into ranges of about ``plain_rows`` rows, and their number.
 
-    The sample they come from decides only where rows are numbered, never which number a row gets.
+    The sample they come from decides only where rows are numbered, never which number a row gets. Bounds
+    travel as text and are sorted once more as values, so it does not matter if one comes back rounded.
     """
     count = min(MAX_RANGES, -(-n // plain_rows))
     fraction = min(1.0, count * SAMPLES_PER_RANGE / n)
-    sample = keyed.select("_k").sample(fraction, seed=17).orderBy("_k").limit(4 * count * SAMPLES_PER_RANGE).collect()
-    step = max(1, len(sample) // count)
     fields = keyed.schema["_k"].dataType
-    return [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r["_k"], fields)])
+    sample = (
+        keyed.select("_k").sample(fraction, seed=17).orderBy("_k").limit(4 * count * SAMPLES_PER_RANGE)
+        .selectExpr(*[f"cast(_k.{f.name} AS string) AS {f.name}" for f in fields]).collect()
+    )
+    step = max(1, len(sample) // count)
+    bounds = [
+        "named_struct(" + ", ".join(f"'{f.name}', cast({text(v)} AS {f.dataType.simpleString()})" for f, v in zip(fields, r)) + ")"
         for r in sample[step::step] or sample[:1]
     ]
+    if not bounds:
+        return f"cast(array() AS array<{fields.simpleString()}>)", 0
+    return f"sort_array(array({', '.join(bounds)}))", len(bounds)
 
 
 def number_rows(df: DataFrame, sheet: str, order_by: list[str], unique: bool = False,
@@ -67,9 +74,9 @@ def number_rows(df: DataFrame, sheet: str, order_by: list[str], unique: bool = F
         return df.selectExpr("*", f"row_number() OVER (PARTITION BY {sheet} ORDER BY {', '.join(keys)}) AS _n")
     fields = [f"'s', {sheet}", *[f"'k{i}', {k}" for i, k in enumerate(keys)]]
     keyed = df.selectExpr("*", f"named_struct({', '.join(fields)}) AS _k")
-    bounds = _ranges(keyed, n, plain_rows)
-    ranged = keyed.withColumn("_bounds", F.array(*bounds)).selectExpr(
-        *[name(c) for c in keyed.columns], "_k.s AS _s", f"{_range_of('_k', '_bounds', len(bounds))} AS _r"
+    bounds, many = _ranges(keyed, n, plain_rows)
+    ranged = keyed.selectExpr("*", f"{bounds} AS _bounds").selectExpr(
+        *[name(c) for c in keyed.columns], "_k.s AS _s", f"{_range_of('_k', '_bounds', many)} AS _r"
     )
     # One count per range and sheet that meet: at most MAX_RANGES + sheets rows.
     offsets = ranged.groupBy("_s", "_r").count().selectExpr(
@@ -84,6 +91,8 @@ def number_rows(df: DataFrame, sheet: str, order_by: list[str], unique: bool = F
 
 def _range_of(key: str, bounds: str, count: int) -> str:
     """How many of the ordered ``bounds`` are at or below ``key``: a binary search by halving steps."""
+    if not count:
+        return "0"
     steps = ", ".join(str(1 << i) for i in reversed(range(count.bit_length())))
     passed = f"p + s <= {count} AND get({bounds}, p + s - 1) <= {key}"
     return f"aggregate(array({steps}), 0, (p, s) -> CASE WHEN {passed} THEN p + s ELSE p END)"
