@@ -49,6 +49,21 @@ def cell_at(cells: str, col: int | str) -> str:
     return f"CASE WHEN {guess}.col = {col} THEN {guess} ELSE {search} END"
 
 
+def dense_cells(cells: str, width: int) -> str:
+    """Cells of a row so that grid column *i* is element *i*, for *i* below ``width``.
+
+    Cells come in column order, one per column; if the last one's column is its own index there are no holes
+    and the row is taken as it is. Otherwise cells without a kind are put into the holes.
+    """
+    size = f"size({cells})"
+    hole = ", ".join(f"'{n}', cast({'k' if n == 'col' else 'NULL'} AS {t})" for n, t in CELL_FIELDS)
+    missing = f"array_except(sequence(0, {max(width, 1) - 1}), transform({cells}, c -> c.col))"
+    return (
+        f"CASE WHEN get({cells}, {size} - 1).col = {size} - 1 THEN {cells} "
+        f"ELSE sort_array(concat({cells}, transform({missing}, k -> named_struct({hole})))) END"
+    )
+
+
 def apply_fills(cells: str, fills: str) -> str:
     """Cells of a row after its merged regions are filled; untouched where there are none."""
     kept = f"filter({cells}, c -> NOT exists({fills}, f -> c.col BETWEEN f.c0 AND f.c1))"

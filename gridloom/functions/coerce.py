@@ -31,7 +31,10 @@ def coerce(c: str, dtype: T.DataType, null_value: str | None = None, date1904: s
         shown = f"{c}.str"
         if null_value is not None:
             shown = f"CASE WHEN {c}.kind <> 'str' OR lower({c}.str) <> lower({text(null_value)}) THEN {c}.str END"
-        number = f"CASE WHEN {c}.is_date THEN {serial_to_iso(num, date1904)} ELSE cast({num} AS string) END"
+        # As a lambda the rare and long date branch stays out of the generated code, and the projection is
+        # generated as many small methods instead of being fused into one.
+        day = f"get(transform(array({num}), n -> {serial_to_iso('n', date1904)}), 0)"
+        number = f"CASE WHEN {c}.is_date THEN {day} ELSE cast({num} AS string) END"
         return f"CASE WHEN {c}.kind <> 'error' THEN coalesce({shown}, {number}, cast({c}.bool AS string)) END"
     if isinstance(dtype, T.BooleanType):
         return f"{c}.bool"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from gridloom.functions.cells import apply_fills, cell_at
+from gridloom.functions.cells import apply_fills, dense_cells
 from gridloom.functions.coerce import coerce, coerce_match
 from gridloom.functions.text import name
 from gridloom.operators.infer import SHEET_NAME_COLUMN
@@ -36,10 +36,9 @@ def assemble_rows(grid: DataFrame, schema: T.StructType, options: WorkbookOption
     kept = [name(c) for c in keep]
     filled = row_spine(grid, options.header_row_count).selectExpr(
         "sheet_name", "physical", "date1904", *kept, f"{apply_fills('cells', 'fills')} AS cells"
-    )
+    ).selectExpr("sheet_name", "physical", "date1904", *kept, f"{dense_cells('cells', len(schema))} AS cells")
     picked = filled.selectExpr(
-        "sheet_name", "physical", "date1904", *kept,
-        *[f"{cell_at('cells', int(c[2:]))} AS {c}" for c, _ in data],
+        "sheet_name", "physical", "date1904", *kept, *[f"get(cells, {c[2:]}) AS {c}" for c, _ in data]
     )
     out = []
     for i, f in enumerate(schema):

@@ -270,6 +270,19 @@ class SheetXml:
                     return
 
 
+def _in_column_order(offsets: np.ndarray, cells: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Cells of each row by column; of several in one column the last counts. Sheets are nearly always so already."""
+    line = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    key = line * _COLS + np.asarray(cells.field("col"), dtype=np.int64)
+    if (np.diff(key) > 0).all():
+        return offsets, cells
+    order = np.argsort(key, kind="stable")
+    last = np.append(np.diff(key[order]) > 0, True)
+    kept = order[last]
+    counts = np.bincount(line[kept], minlength=len(offsets) - 1)
+    return np.concatenate([[0], np.cumsum(counts)]), cells.take(pa.array(kept))
+
+
 class SheetDecoder:
     """Turns the XML pieces of one sheet into row numbers, cell offsets and a cell array."""
 
@@ -305,7 +318,8 @@ class SheetDecoder:
         is_cell = np.ones(len(values), bool)
         is_cell[starts[:-1]] = False
         row_of = np.repeat(numbers, np.diff(offsets))
-        return numbers, offsets, self._cells(values.filter(pa.array(is_cell)), row_of, offsets)
+        cells = self._cells(values.filter(pa.array(is_cell)), row_of, offsets)
+        return numbers, *_in_column_order(offsets, cells)
 
     def _row_numbers(self, heads: pa.Array) -> np.ndarray:
         text = _extract(heads, _ROW_R)

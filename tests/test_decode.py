@@ -208,3 +208,11 @@ def test_large_files_are_shared(spark, save, monkeypatch):
     df = read_workbooks(spark, paths, "t string, i int, x double, _SheetName string", sheetNamePattern="[AB]", includeSheetName=True)
     expected = [(*r, "A") for r in lines] + [(*r, "B") for r in lines[:10]] + [("s", 1, 2.0, "A")]
     assert sorted(rows(df)) == sorted((t, i, float(x), s) for t, i, x, s in expected)
+
+
+def test_cells_out_of_order(spark, save):
+    odd = [Raw('<c r="C2"><v>3</v></c>'), Raw('<c r="A2"><v>0</v></c>'), Raw('<c r="E2"><v>5</v></c>'), Raw('<c r="A2"><v>1</v></c>')]
+    book = build_workbook([Sheet("S", [["a", "b", "c", "d", "e"], odd, [1, 2, 3, 4, 5]])])
+    assert rows(read_workbooks(spark, save("o.xlsx", book))) == [
+        (1.0, None, 3.0, None, 5.0), (1.0, 2.0, 3.0, 4.0, 5.0),
+    ]
