@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridloom.options import WorkbookOptions
 from gridloom.relations import FILE_COLUMNS
@@ -36,13 +37,25 @@ def partition_columns(files: DataFrame) -> list[str]:
     return [c for c in files.columns if c not in FILE_COLUMNS]
 
 
-def workbook_report(files: DataFrame) -> DataFrame:
+def workbook_report(files: DataFrame, formulas: bool = False) -> DataFrame:
     """``workbooks(file, size, mtime, status, error, n_sheets, <partition columns>)``: what can be read and what not.
 
-    ``status`` is one of ok, corrupt, encrypted, unsupported_format, too_large.
+    ``status`` is one of ok, corrupt, encrypted, unsupported_format, too_large. ``formulas`` decodes the files
+    too and adds ``uncalculated``: formula cells without a stored result, which read as null.
     """
     times = "modificationTime" if "modificationTime" in files.columns else "cast(NULL AS timestamp)"
-    return open_workbooks(files).selectExpr(
+    report = open_workbooks(files).selectExpr(
         "path AS file", "length(content) AS size", f"{times} AS mtime", "status", "error", "size(sheets) AS n_sheets",
         *[f"`{c}`" for c in partition_columns(files)],
     )
+    if not formulas:
+        return report
+    from gridloom.sources.decode import decode_workbooks
+
+    everything = WorkbookOptions(sheet_name_pattern="(?s).*", evaluate_formulae=False, ignore_corrupt_files=True)
+    bare = "size(filter(cells, c -> c.formula IS NOT NULL AND c.kind = 'blank'))"
+    counts = (
+        decode_workbooks(files, everything).filter("cells IS NOT NULL").groupBy("file")
+        .agg(F.sum(F.expr(bare)).alias("uncalculated"))
+    )
+    return report.join(counts, "file", "left").withColumn("uncalculated", F.coalesce("uncalculated", F.lit(0)))

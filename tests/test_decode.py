@@ -152,8 +152,11 @@ def test_repeated_header(spark, save):
 
 
 def test_uncalculated_formula(spark, save):
-    book = build_workbook([Sheet("S", [["a", "b"], [1, Formula("A2*2")]])])
-    assert rows(read_workbooks(spark, save("u.xlsx", book), "a int, b int")) == [(1, None)]
+    book = build_workbook([Sheet("S", [["a", "b"], [1, Formula("A2*2")], [1, Formula("A3*2", 2)]])])
+    path = save("u.xlsx", book)
+    assert rows(read_workbooks(spark, path, "a int, b int")) == [(1, None), (1, 2)]
+    found = workbook_report(workbook_files(spark, path), formulas=True).first()
+    assert (found["status"], found["uncalculated"]) == ("ok", 1)
 
 
 def test_schema_of_text_in_the_last_row(spark, save):

@@ -1,7 +1,6 @@
 """Operators on small grids."""
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom import WorkbookError, WorkbookOptions, read_grid, table_to_grid
