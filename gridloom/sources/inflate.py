@@ -50,6 +50,7 @@ _CELL_V = r"<v(?:\s[^>]*)?>(?P<x>[^<]*)</v>"
 _CELL_IS = r"(?s)<is(?:\s[^>]*)?>(?P<x>.*)</is>"
 _CELL_F = r"<f(?P<a>(?:\s[^>]*?)?)(?:/>|>(?P<x>[^<]*)</f>)"
 _ROW_R = r"""<row(?:[^>]*?\s)r=["'](?P<x>[0-9]+)"""
+_ROW_TAG = re.compile(rb"""<row\s(?:[^>]*?\s)?r=["']([0-9]+)["']""")
 _SI_FAST = r"^\s*<si>\s*<t[^>/]*>(?P<x>[^<]*)</t>\s*$"
 _MERGE = re.compile(rb"""<mergeCell\s[^>]*?ref=["']\$?([A-Z]+)\$?([0-9]+):\$?([A-Z]+)\$?([0-9]+)["']""")
 _RUN_TEXT = re.compile(r"<t(?:\s[^>]*?)?(?:/>|>([^<]*)</t>)")
@@ -298,8 +299,12 @@ class SheetDecoder:
         rows = pc.split_pattern(pa.array([xml.decode("utf-8")]), "</row>").values
         return pc.split_pattern(rows.filter(pc.match_substring(rows, "<row")), "<c ")
 
-    def numbers(self, xml: bytes) -> np.ndarray:
-        """Row numbers of a piece whose cells are not wanted."""
+    def skip(self, xml: bytes) -> np.ndarray:
+        """Moves past a piece whose cells are not wanted; the last of its row numbers is right in any case."""
+        last = _ROW_TAG.match(xml, max(xml.rfind(b"<row"), 0))
+        if last:
+            self.last_row = int(last[1]) - 1
+            return np.array([self.last_row])
         parts = self._rows(xml)
         if not len(parts):
             return np.empty(0, np.int64)
@@ -541,7 +546,7 @@ def sheet_batches(z, part, strings, date_styles, formulas, row_limit, share=(0,
         wanted = k % of == mine
         if not wanted and not formulas:
             before = decoder.last_row
-            numbers = decoder.numbers(xml)
+            numbers = decoder.skip(xml)
             if not len(numbers):
                 continue
             if filler.passes(numbers):
