@@ -2,18 +2,28 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The folder every executor sees: ``spark.checkpoint.dir``, else the context's, else the session's warehouse."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    found = found or spark.conf.get("spark.sql.warehouse.dir", None)
+    if not found:
+        raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
+    return found.rstrip("/")
+
+
 def scratch_folder(spark: SparkSession, what: str) -> str:
-    """A new folder under the one the cluster names for checkpoints; a temporary one only where it names none."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/gridloom-{what}-{uuid.uuid4()}"
-    return tempfile.mkdtemp(prefix=f"gridloom-{what}-")
+    """A new folder for intermediate rows, removed when the session's JVM ends."""
+    folder = f"{scratch_root(spark)}/gridloom-{what}-{uuid.uuid4()}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
 
 
 def written(df: DataFrame, what: str) -> DataFrame:
