@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.decontaminate import decontaminate
+from gridloom.llm.packing import pack
+from gridloom.llm.tokens import count_tokens
 from gridloom.llm.urls import judge_urls
 
 
@@ -35,4 +38,18 @@ def op2_decontamination(spark, sf):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_decontamination)}
+def tokenizer_path() -> str:
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op8_packing(spark, sf):
+    pieces = pack(table(spark, sf, "documents"), tokenizer_path(), end_id=2)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op10_token_counts(spark, sf):
+    counts = count_tokens(table(spark, sf, "documents"), tokenizer_path())
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"), "n_chunks", "n_widened")
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_decontamination, op8_packing, op10_token_counts)}
