@@ -23,10 +23,10 @@ from gridloom.llm.tokens import open_tokenizer
 WINDOW = 4096
 
 #: What a cut costs, in tokens of padding: at the end of a sentence, and within one.
-SENTENCE_CUT, INNER_CUT = 8, 48
+SENTENCE_CUT, INNER_CUT = 4, 24
 
 #: Within longer sentences a cut is possible every so many tokens.
-INNER_STEP = 128
+INNER_STEP = 64
 
 #: Windows that are worked out together; all but the last are then final.
 HORIZON = 64
