@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.chat import digest_conversations, format_conversations
 from gridloom.llm.decontaminate import decontaminate
+from gridloom.llm.language import identify_languages, learn_profiles
 from gridloom.llm.packing import pack
 from gridloom.llm.tokens import count_tokens
 from gridloom.llm.urls import judge_urls
@@ -39,6 +40,18 @@ def op2_decontamination(spark, sf):
     )
 
 
+def remainder(n: int):
+    """Of the id's checksum; by it the contract sets documents aside."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op3_language_id(spark, sf):
+    docs = table(spark, sf, "documents")
+    profiles = learn_profiles(docs.where(remainder(3) != 1))
+    found = identify_languages(docs.select("doc_id", "text"), profiles)
+    return found.select("doc_id", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
@@ -63,4 +76,4 @@ def op10_token_counts(spark, sf):
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"), "n_chunks", "n_widened")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_decontamination, op7_chat_format, op8_packing, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_decontamination, op3_language_id, op7_chat_format, op8_packing, op10_token_counts)}
