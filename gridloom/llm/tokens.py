@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,51 +18,40 @@ from gridloom.llm.words import LOWER, NOT_SPACE, find_words, row_slices, text_by
 CHUNK, OVERLAP = 1 << 16, 256
 
 #: Distinct words whose ids a task remembers; beyond, it starts afresh.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 300_000
 
 WHITE = " \t\n\r\x0b\x0c"
 _WORD = re.compile(rf"[^{WHITE}]+")
 
-#: Bytes of texts whose words are looked up together.
-BYTES = 4 << 20
+#: Bytes of texts whose words are looked up together; new words encoded together; words in a line of these.
+BYTES, LEARN, LINE = 4 << 20, 1 << 14, 64
 
 
 def shared_forms(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Texts in forms that more words share, which have the same ids where white space only separates.
 
-    A full stop or comma between a letter or digit and white space is a piece by itself, so white space goes before it.
-    A-Z are lowered in texts that are all ASCII (letters beyond it may compose with what follows before they are
-    lowered) and have no ``<`` (special strings are found before).
+    Where punctuation follows a letter or digit a piece ends, so white space can go between. A-Z are lowered in texts
+    that are all ASCII (letters beyond it may compose with what follows before they are lowered). Texts with ``<`` stay
+    as they are, as special strings are found before all else.
     """
-    if len(data) < 3:
+    if len(data) < 2:
         return data, bounds
-    marks = np.flatnonzero(STOP[data[1:-1]] & WHITE_BYTE[data[2:]]) + 1
+    tags = np.concatenate([[0], np.cumsum(data == 60)])
+    tagged = np.repeat(tags[bounds[1:]] > tags[bounds[:-1]], np.diff(bounds))
+    marks = np.flatnonzero(PUNCTUATION[data[1:]] & ~tagged[1:]) + 1
     before = data[marks - 1]
     latin = (before >= 0x80) & (data[np.maximum(marks - 2, 0)] == 0xC3) & (before != 0x97) & (before != 0xB7)
     marks = marks[PLAIN[before] | latin]
-    odd = np.concatenate([[0], np.cumsum((data >= 128) | (data == 60))])
-    lowered = np.repeat(odd[bounds[1:]] == odd[bounds[:-1]], np.diff(bounds))
+    wide = np.concatenate([[0], np.cumsum(data >= 128)])
+    lowered = np.repeat(wide[bounds[1:]] == wide[bounds[:-1]], np.diff(bounds)) & ~tagged
     return np.insert(np.where(lowered, LOWER[data], data), marks, 32), bounds + np.searchsorted(marks, bounds)
 
 
-STOP = np.zeros(256, bool)
-STOP[[44, 46]] = True
-WHITE_BYTE = ~NOT_SPACE
 PLAIN = np.zeros(256, bool)
 PLAIN[48:58] = PLAIN[65:91] = PLAIN[97:123] = True
-
-
-class Numbers(dict):
-    """Numbers new words as they are met."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        self.new.append(word)
-        return number
+PUNCTUATION = np.zeros(256, bool)
+PUNCTUATION[0x21:0x7F] = True
+PUNCTUATION &= ~PLAIN
 
 
 class WordTokenizer:
@@ -76,30 +64,52 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.closes = np.zeros(self.library.get_vocab_size(), bool)  # ids that end a piece
+        self.closes[[n for token, n in self.library.get_vocab().items() if token.endswith("</w>")]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.number = Numbers()
+        self.number: dict[bytes, int] = {}
         self.ids = np.zeros(0, np.uint32)
         self.starts = np.zeros(0, np.int64)
         self.sizes = np.zeros(0, np.int64)
 
+    def encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after the other, and how many each has.
+
+        Words of letters are one piece each, so many can be encoded at once and told apart by the ids that end a piece;
+        if there are more of these than words (where a letter is made of several), each is encoded by itself.
+        """
+        lines = [" ".join(words[k:k + LINE]) for k in range(0, len(words), LINE)]
+        ids = np.array([i for x in self.library.encode_batch_fast(lines, add_special_tokens=False) for i in x.ids], np.uint32)
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) == len(words) and (not len(ids) or ends[-1] == len(ids)) and all(map(str.isalpha, words)):
+            return ids, np.diff(ends, prepend=0)
+        found = [x.ids for x in self.library.encode_batch_fast(words, add_special_tokens=False)]
+        return np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64)
+
     def learn(self, words: list[bytes]) -> None:
-        found = self.library.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        ids = [x.ids for x in found]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        """Numbers and remembers new words, some at a time."""
+        texts = [w.decode() for w in words]
+        plain = np.fromiter(map(str.isalpha, texts), bool, len(texts))
+        order = np.argsort(~plain, kind="stable")
+        found = [self.encoded([texts[k] for k in order[a:b].tolist()])
+                 for low, high in ((0, int(plain.sum())), (int(plain.sum()), len(texts)))
+                 for a, b in zip(range(low, high, LEARN), [*range(low + LEARN, high, LEARN), high])]
+        sizes = np.concatenate([x[1] for x in found])
+        self.number.update(zip([words[k] for k in order.tolist()], range(len(self.sizes), len(self.sizes) + len(words))))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))])
+        self.ids = np.concatenate([self.ids, *(x[0] for x in found)])
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
+        """Numbers of different words."""
         if len(self.number) > MEMO_WORDS:
             self.forget()
-        found = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        if self.number.new:
-            self.learn(self.number.new)
-            self.number.new = []
-        return found
+        new = [w for w in words if w not in self.number]
+        if new:
+            self.learn(new)
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
 
     def batches(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For some texts at a time: numbers of their words, and where each text's words start among them."""
@@ -134,8 +144,9 @@ class WordTokenizer:
         """Where words start, in characters, and how many ids each has."""
         found = list(_WORD.finditer(text))
         starts = np.fromiter((m.start() for m in found), np.int64, len(found))
-        numbers = self.numbers([m.group().encode() for m in found])
-        return starts, self.sizes[numbers]
+        words = [m.group().encode() for m in found]
+        number = dict(zip(distinct := list(dict.fromkeys(words)), self.numbers(distinct).tolist()))
+        return starts, self.sizes[[number[w] for w in words]] if words else np.zeros(0, np.int64)
 
 
 class LibraryTokenizer:
