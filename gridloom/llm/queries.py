@@ -11,6 +11,7 @@ from gridloom.llm.decontaminate import decontaminate
 from gridloom.llm.language import identify_languages, learn_profiles
 from gridloom.llm.packing import pack
 from gridloom.llm.tokens import count_tokens
+from gridloom.llm.toxicity import learn_toxicity, score_toxicity
 from gridloom.llm.urls import judge_urls
 
 
@@ -71,9 +72,16 @@ def op8_packing(spark, sf):
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op9_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = learn_toxicity(docs.where(remainder(4) != 2), table(spark, sf, "labels"))
+    scored = score_toxicity(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op10_token_counts(spark, sf):
     counts = count_tokens(table(spark, sf, "documents"), tokenizer_path())
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"), "n_chunks", "n_widened")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_decontamination, op3_language_id, op7_chat_format, op8_packing, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_decontamination, op3_language_id, op7_chat_format, op8_packing, op9_toxicity, op10_token_counts)}
