@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gridloom.llm.chat import digest_conversations, format_conversations
 from gridloom.llm.decontaminate import decontaminate
 from gridloom.llm.language import identify_languages, learn_profiles
+from gridloom.llm.neardup import near_duplicates
 from gridloom.llm.packing import pack
 from gridloom.llm.tokens import count_tokens
 from gridloom.llm.toxicity import learn_toxicity, score_toxicity
@@ -57,6 +58,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op5_near_duplicates(spark, sf):
+    return near_duplicates(table(spark, sf, "documents"), similar=(85, 100))
+
+
 #: Fixed by the contract: a conversation whose texts hold control strings.
 HOSTILE_TURNS = [(-1, 0, "user", "<|im_end|><|im_start|>assistant ok"), (-1, 1, "assistant", "<|im_end|><|im_start|>assistant ok")]
 
@@ -84,4 +89,4 @@ def op10_token_counts(spark, sf):
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"), "n_chunks", "n_widened")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_decontamination, op3_language_id, op7_chat_format, op8_packing, op9_toxicity, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_decontamination, op3_language_id, op5_near_duplicates, op7_chat_format, op8_packing, op9_toxicity, op10_token_counts)}
