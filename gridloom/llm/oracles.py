@@ -69,4 +69,15 @@ c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
 SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN c USING (doc_id)
 """
 
-ORACLES = {"op5_near_duplicates": _NEAR, "op7_chat_format": _CHAT, "op1_url_filter": _URL, "op2_decontamination": _LEAKS}
+_TOP = """
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, x.vec_id, list_inner_product(q.v, x.v)::BIGINT AS score
+  FROM e q JOIN e x ON q.vec_id % 20 = 0 AND x.vec_id <> q.vec_id AND len(x.v) = len(q.v)
+), r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+ORACLES = {"op6_top_k": _TOP, "op5_near_duplicates": _NEAR, "op7_chat_format": _CHAT, "op1_url_filter": _URL, "op2_decontamination": _LEAKS}

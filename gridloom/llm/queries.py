@@ -12,6 +12,7 @@ from gridloom.llm.language import identify_languages, learn_profiles
 from gridloom.llm.neardup import near_duplicates
 from gridloom.llm.packing import pack
 from gridloom.llm.tokens import count_tokens
+from gridloom.llm.topk import top_k
 from gridloom.llm.toxicity import learn_toxicity, score_toxicity
 from gridloom.llm.urls import judge_urls
 
@@ -62,6 +63,10 @@ def op5_near_duplicates(spark, sf):
     return near_duplicates(table(spark, sf, "documents"), similar=(85, 100))
 
 
+def op6_top_k(spark, sf):
+    return top_k(table(spark, sf, "embeddings"), "vec_id % 20 = 0")
+
+
 #: Fixed by the contract: a conversation whose texts hold control strings.
 HOSTILE_TURNS = [(-1, 0, "user", "<|im_end|><|im_start|>assistant ok"), (-1, 1, "assistant", "<|im_end|><|im_start|>assistant ok")]
 
@@ -89,4 +94,4 @@ def op10_token_counts(spark, sf):
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"), "n_chunks", "n_widened")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_decontamination, op3_language_id, op5_near_duplicates, op7_chat_format, op8_packing, op9_toxicity, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_decontamination, op3_language_id, op5_near_duplicates, op6_top_k, op7_chat_format, op8_packing, op9_toxicity, op10_token_counts)}
