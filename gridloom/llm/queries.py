@@ -12,6 +12,7 @@ from gridloom.llm.language import identify_languages, learn_profiles
 from gridloom.llm.neardup import near_duplicates
 from gridloom.llm.packing import pack
 from gridloom.llm.tokens import count_tokens
+from gridloom.llm.repeats import repeated_passages
 from gridloom.llm.topk import top_k
 from gridloom.llm.toxicity import learn_toxicity, score_toxicity
 from gridloom.llm.urls import judge_urls
@@ -59,6 +60,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op4_repeated_passages(spark, sf):
+    """A row per range of words that stands elsewhere too."""
+    found = repeated_passages(table(spark, sf, "documents"))
+    n_cut = F.aggregate("cuts", F.lit(0).cast("long"), lambda n, x: n + x["length"]).alias("n_cut")
+    return found.select("doc_id", n_cut, F.inline("repeats")).withColumnsRenamed({"start": "start_word", "length": "n_words"})
+
+
 def op5_near_duplicates(spark, sf):
     return near_duplicates(table(spark, sf, "documents"), similar=(85, 100))
 
@@ -94,4 +102,4 @@ def op10_token_counts(spark, sf):
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"), "n_chunks", "n_widened")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_decontamination, op3_language_id, op5_near_duplicates, op6_top_k, op7_chat_format, op8_packing, op9_toxicity, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_decontamination, op3_language_id, op4_repeated_passages, op5_near_duplicates, op6_top_k, op7_chat_format, op8_packing, op9_toxicity, op10_token_counts)}
