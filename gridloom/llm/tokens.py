@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +26,7 @@ WHITE = " \t\n\r\x0b\x0c"
 _WORD = re.compile(rf"[^{WHITE}]+")
 
 #: Bytes of texts whose words are looked up together; new words encoded together; words in a line of these.
-BYTES, LEARN, LINE = 4 << 20, 1 << 14, 64
+BYTES, LEARN, LINE = 2 << 20, 1 << 14, 64
 
 
 def shared_forms(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -36,13 +38,13 @@ def shared_forms(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
     """
     if len(data) < 2:
         return data, bounds
-    tags = np.concatenate([[0], np.cumsum(data == 60)])
+    tags = np.concatenate([[0], np.cumsum(data == 60, dtype=np.int32)])
     tagged = np.repeat(tags[bounds[1:]] > tags[bounds[:-1]], np.diff(bounds))
     marks = np.flatnonzero(PUNCTUATION[data[1:]] & ~tagged[1:]) + 1
     before = data[marks - 1]
     latin = (before >= 0x80) & (data[np.maximum(marks - 2, 0)] == 0xC3) & (before != 0x97) & (before != 0xB7)
     marks = marks[PLAIN[before] | latin]
-    wide = np.concatenate([[0], np.cumsum(data >= 128)])
+    wide = np.concatenate([[0], np.cumsum(data >= 128, dtype=np.int32)])
     lowered = np.repeat(wide[bounds[1:]] == wide[bounds[:-1]], np.diff(bounds)) & ~tagged
     return np.insert(np.where(lowered, LOWER[data], data), marks, 32), bounds + np.searchsorted(marks, bounds)
 
@@ -206,7 +208,17 @@ def splits_at_white_space(path: str) -> bool:
 
 
 def open_tokenizer(path: str):
-    return (WordTokenizer if splits_at_white_space(path) else LibraryTokenizer)(path)
+    """The tokenizer of a file, opened once in a worker process, which runs many tasks.
+
+    It is kept among the process's modules, as this module itself may travel with each task and go with it.
+    """
+    kept = sys.modules.setdefault(KEPT, ModuleType(KEPT))
+    if path not in vars(kept):
+        setattr(kept, path, (WordTokenizer if splits_at_white_space(path) else LibraryTokenizer)(path))
+    return getattr(kept, path)
+
+
+KEPT = "gridloom_open_tokenizers"
 
 
 def spliced_count(tokenizer, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> tuple[int, int, int]:
