@@ -10,6 +10,7 @@ from contract.workbook_frames import FILES, ROWS_PER_WORKBOOK, workbook_frame
 from fixtures.make_workbooks import Sheet, build_workbook
 from gridloom import WorkbookOptions, read_grid, read_workbook_files, table_to_grid
 from gridloom.functions import a1_column, a1_to_rc, cell, clean_name
+from gridloom.functions.text import text
 from gridloom.operators import (
     build_headers, cells_to_grid, classify_dates, expand_shared_formulas, fill_merged, infer_types, resolve_strings,
 )
@@ -82,7 +83,7 @@ def merged_fill_2d(spark, sf):
     customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     named = written(number_rows(customers, "c_mktsegment", ["c_custkey"], unique=True), "customers")
     segments = [r[0] for r in customers.select("c_mktsegment").distinct().orderBy("c_mktsegment").collect()]
-    index = f"cast(array_position(array({', '.join(repr(s) for s in segments)}), c_mktsegment) - 1 AS int) AS sheet_idx"
+    index = f"cast(array_position(array({', '.join(text(s) for s in segments)}), c_mktsegment) - 1 AS int) AS sheet_idx"
     cells = [to_cell(c, customers.schema[c].dataType, i) for i, c in enumerate(customers.columns[:4])]
     head = [["Key", None, "Money", None], ["id", "name", "nation", "balance"]]
     grid = table_to_grid(named, sheet="c_mktsegment", sheets=segments, row="_n + 1", dense=True, cells=cells, header=head)

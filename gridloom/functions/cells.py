@@ -65,9 +65,11 @@ def dense_cells(cells: str, width: int) -> str:
 
 
 def apply_fills(cells: str, fills: str) -> str:
-    """Cells of a row after its merged regions are filled; untouched where there are none."""
+    """Cells of a row after its merged regions are filled; untouched where there are none. Where regions overlap, the
+    first in the list counts."""
     kept = f"filter({cells}, c -> NOT exists({fills}, f -> c.col BETWEEN f.c0 AND f.c1))"
-    spread = f"transform({fills}, f -> transform(sequence(f.c0, f.c1), k -> {moved_cell('f.cell', 'k')}))"
+    free = f"filter(sequence(f.c0, f.c1), k -> NOT exists(slice({fills}, 1, i), g -> k BETWEEN g.c0 AND g.c1))"
+    spread = f"transform({fills}, (f, i) -> transform({free}, k -> {moved_cell('f.cell', 'k')}))"
     return (
         f"CASE WHEN coalesce(size({fills}), 0) <= 0 THEN {cells} "
         f"ELSE array_sort(concat({kept}, flatten({spread}))) END"

@@ -33,6 +33,8 @@ def cells_to_grid(cells: DataFrame, rows: DataFrame | None = None) -> DataFrame:
     physical = (
         keyed.groupBy("file", "sheet_idx", "sheet_name", "row")
         .agg(F.expr("array_sort(collect_list(_c)) AS cells"))
+        # Of several cells in one column the last in order counts.
+        .withColumn("cells", F.expr("filter(cells, (c, i) -> coalesce(get(cells, i + 1).col <> c.col, true))"))
         .selectExpr("*", "false AS date1904", f"cast(NULL AS array<{FILL_TYPE}>) AS fills")
     )
     return close_sheets(physical)

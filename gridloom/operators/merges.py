@@ -14,41 +14,37 @@ def fill_merged(grid: DataFrame, merges: DataFrame) -> DataFrame:
     """Gives each row the regions of ``merges(file, sheet_idx, r0, c0, r1, c1)`` that cover it.
 
     A region is spread over its rows and joined on the row itself, an even key, instead of comparing
-    every row of a sheet with every region. Absent rows a region covers become rows of the sheet.
+    every row of a sheet with every region. Absent rows between a sheet's rows become rows of it where a region
+    covers them; below the last row there is nothing to fill. Of overlapping regions the first by (r0, c0) counts.
     """
     keys = ["file", "sheet_idx"]
     first = grid.filter("cells IS NOT NULL AND gap >= 0").selectExpr(*keys, "row AS r0", "cells")
+    last = grid.filter("cells IS NULL").selectExpr(*keys, "row AS _last")
     fill = (
         "named_struct('c0', cast(c0 AS int), 'c1', cast(c1 AS int), "
         f"'cell', cast({cell_at('cells', 'c0')} AS {CELL_TYPE})) AS fill"
     )
-    anchored = merges.join(first, [*keys, "r0"], "left").selectExpr(*keys, "r0", "r1", fill)
-    lines = spread_rows(anchored, "r0", "r1", "row").select(*keys, "row", "fill")
-    # A row is crossed by at most one region per column.
-    fills = lines.groupBy(*keys, "row").agg(F.collect_list("fill").alias("_fills"))
-
-    bottom = merges.groupBy(*keys).agg(F.max("r1").alias("_bottom"))
-    joined = _explicit_rows(grid, bottom).join(fills, [*keys, "row"], "left")
+    within = merges.join(last, keys).withColumn("r1", F.expr("least(r1, _last)"))
+    anchored = within.join(first, [*keys, "r0"], "left").selectExpr(*keys, "r0", "r1", fill)
+    lines = spread_rows(anchored, "r0", "r1", "row").selectExpr(*keys, "row", "named_struct('r0', r0, 'fill', fill) AS f")
+    fills = lines.groupBy(*keys, "row").agg(F.expr("transform(array_sort(collect_list(f)), x -> x.fill) AS _fills"))
+    joined = _explicit_rows(grid).join(fills, [*keys, "row"], "left")
     return joined.selectExpr(
         *_replaced(gap="CASE WHEN _fills IS NOT NULL THEN 0L ELSE gap END",
                    fills="CASE WHEN cells IS NOT NULL THEN coalesce(_fills, fills) END")
     )
 
 
-def _explicit_rows(grid: DataFrame, bottom: DataFrame) -> DataFrame:
-    """The grid with each absent row as a row of its own, down to the last row any region reaches."""
-    is_end, here = "cells IS NULL", "_at = row"
+def _explicit_rows(grid: DataFrame) -> DataFrame:
+    """The grid with each absent row above another as a row of its own."""
+    here = "_at = row"
     empty, unfilled = f"cast(array() AS array<{CELL_TYPE}>)", f"cast(NULL AS array<{FILL_TYPE}>)"
-    ends = grid.filter(is_end).join(bottom, ["file", "sheet_idx"], "left").selectExpr(
-        *GRID_COLUMNS, "greatest(row, coalesce(_bottom, row)) AS _last"
-    )
-    below = spread_rows(ends, "row + 1", "_last").selectExpr(*_replaced(row="_at", gap="-1L", cells=empty))
-    rows = spread_rows(grid.filter(f"NOT ({is_end})"), "row - greatest(gap, 0L)", "row").selectExpr(
-        *_replaced(row="_at", gap=f"CASE WHEN {here} AND gap >= 0 THEN 0L ELSE -1L END",
+    top = "CASE WHEN cells IS NULL THEN row ELSE row - greatest(gap, 0L) END"
+    return spread_rows(grid, top, "row").selectExpr(
+        *_replaced(row="_at", gap=f"CASE WHEN cells IS NULL THEN gap WHEN {here} AND gap >= 0 THEN 0L ELSE -1L END",
                    cells=f"CASE WHEN {here} THEN cells ELSE {empty} END",
                    fills=f"CASE WHEN {here} THEN fills ELSE {unfilled} END")
     )
-    return rows.unionByName(below).unionByName(ends.selectExpr(*_replaced(row="_last")))
 
 
 def _replaced(**changed: str) -> list[str]:

@@ -23,6 +23,19 @@ def select_sheets(grid: DataFrame, pattern: str = "") -> DataFrame:
     return grid.filter(sheet_wanted("sheet_name", "sheet_idx", pattern))
 
 
+def require_sheets(rows: DataFrame, grid: DataFrame, pattern: str) -> DataFrame:
+    """``rows``, or the error that a workbook of the grid has no sheet asked for, raised when the rows are read.
+
+    Looks at the end rows only, one per sheet, and adds no row.
+    """
+    missing = f"raise_error(concat('{NO_SHEET}: ', coalesce(file, '')))"
+    checked = grid.filter("cells IS NULL").groupBy("file").agg(
+        F.expr(f"max({sheet_wanted('sheet_name', 'sheet_idx', pattern)}) AS found")
+    ).filter(f"CASE WHEN coalesce(found, false) THEN false ELSE cast({missing} AS boolean) END")
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema]
+    return rows.union(checked.select(*nothing))
+
+
 def first_sheet(grid: DataFrame) -> DataFrame:
     """Rows of the first sheet of the first file. A small job over the end rows finds out which that is."""
     first = grid.filter("cells IS NULL").agg(F.expr("min(named_struct('file', file, 'sheet_idx', sheet_idx)) AS s")).first()["s"]

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from gridloom.operators.formulas import formula_view
 from gridloom.operators.infer import check_flag, infer_schema
 from gridloom.operators.rows import assemble_rows
-from gridloom.operators.select import anchor, first_sheet, select_sheets
+from gridloom.operators.select import anchor, first_sheet, require_sheets, select_sheets
 from gridloom.options import WorkbookOptions
 
 
@@ -21,7 +21,8 @@ def table_view(grid: DataFrame, options: WorkbookOptions) -> DataFrame:
 def read_grid(grid: DataFrame, schema: T.StructType | str | None = None, keep: list[str] = (), **options) -> DataFrame:
     """Typed table of any grid; same options as :func:`gridloom.read_workbooks`.
 
-    Without a schema, one job over the top of the first sheet finds it.
+    Without a schema, one job over the top of the first sheet finds it. A pattern that no sheet of a workbook
+    matches is an error.
     """
     parsed = WorkbookOptions.parse(options)
     view = table_view(grid, parsed)
@@ -30,4 +31,6 @@ def read_grid(grid: DataFrame, schema: T.StructType | str | None = None, keep: l
         schema = infer_schema(first_sheet(view), parsed)
     else:
         check_flag(schema, parsed)
+        if parsed.sheet_name_pattern.strip():
+            return require_sheets(assemble_rows(view, schema, parsed, keep), grid, parsed.sheet_name_pattern)
     return assemble_rows(view, schema, parsed, keep)

@@ -20,15 +20,17 @@ MAX_SHARES = 16
 
 
 def decode_workbooks(
-    files: DataFrame, options: WorkbookOptions, row_limit: int | None = None, first_sheet: bool = False
+    files: DataFrame, options: WorkbookOptions, row_limit: int | None = None, first_sheet: bool = False, scanned: bool = False
 ) -> DataFrame:
     """Grid rows of the sheets asked for in ``files(path, content, <partition columns>)``.
 
     ``row_limit`` stops each sheet after that row, and ``first_sheet`` leaves out all but the first sheet
-    asked for, as schema inference needs no more.
+    asked for, as schema inference needs no more. ``scanned`` says that ``files`` is Spark's scan of files, which
+    gives every file a length and reads contents only below its filter on it: then large files are shared between
+    tasks. Any other frame is worked out once, in one branch, whatever its columns hold.
     """
     carry = partition_columns(files)
-    sized = "length" in files.columns and not files.isStreaming and row_limit is None
+    sized = scanned and not files.isStreaming and row_limit is None
     schema = StructType(grid_schema().fields + [files.schema[c] for c in carry])
     stage = inflate_stage(
         carry,
@@ -55,6 +57,6 @@ def decode_workbooks(
 def _spread(large: DataFrame, columns: list[str]) -> DataFrame:
     """One record per sheet and share of a large workbook, over as many tasks."""
     split = large.withColumn("shares", F.expr(f"cast(least({MAX_SHARES}, ceil(length / {SHARE_BYTES})) AS int)"))
-    sheets = split.withColumn("_sheet", F.explode_outer("sheets")).withColumn("sheets", F.expr("array(_sheet)"))
+    sheets = split.withColumn("_sheet", F.explode("sheets")).withColumn("sheets", F.expr("array(_sheet)"))
     shared = sheets.selectExpr(*columns, "shares", "explode(sequence(0, shares - 1)) AS share")
     return shared.repartition("file", "sheets", "share")

@@ -40,7 +40,7 @@ def partition_columns(files: DataFrame) -> list[str]:
 def workbook_report(files: DataFrame, formulas: bool = False) -> DataFrame:
     """``workbooks(file, size, mtime, status, error, n_sheets, <partition columns>)``: what can be read and what not.
 
-    ``status`` is one of ok, corrupt, encrypted, unsupported_format, too_large. ``formulas`` decodes the files
+    ``status`` is one of ok, corrupt, encrypted, unsupported_format. ``formulas`` decodes the files
     too and adds ``uncalculated``: formula cells without a stored result, which read as null.
     """
     times = "modificationTime" if "modificationTime" in files.columns else "cast(NULL AS timestamp)"

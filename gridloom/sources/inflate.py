@@ -26,9 +26,8 @@ CELL_ARROW = pa.struct([
 ])
 FILL_ARROW = pa.struct([("c0", pa.int32()), ("c1", pa.int32()), ("cell", CELL_ARROW)])
 
-# Bytes of sheet XML split at a time, and the most one row may take.
+# Bytes of sheet XML split at a time; a longer row is taken as a whole.
 CHUNK_BYTES = 4 * 1024**2
-MAX_ROW_BYTES = 1024**3
 # Sheets up to this size are inflated once and kept; larger ones twice, as their merged regions come last.
 KEEP_BYTES = 32 * 1024**2
 # Rows, or bytes, gathered before a batch is handed to Spark.
@@ -36,6 +35,9 @@ BATCH_ROWS = 8192
 BATCH_BYTES = 32 * 1024**2
 
 _COLS = 16384  # fixed value: columns of a sheet
+# What a damaged part of a file may raise while it is read.
+DAMAGE = (ContainerError, zipfile.BadZipFile, zlib.error, ValueError, KeyError, IndexError, EOFError, OSError, RuntimeError,
+          OverflowError, pa.ArrowException)
 _KINDS = pa.array(["blank", "num", "str", "bool", "error"])
 
 # How the XML of one cell, row, text item and merged region is written.
@@ -64,13 +66,16 @@ def _entity(m):
     name = m[1]
     if name[0] != "#":
         return _ENTITIES[name]
-    return chr(int(name[2:], 16) if name[1] in "xX" else int(name[1:]))
+    code = int(name[2:], 16) if name[1] in "xX" else int(name[1:])
+    return chr(code) if code < 0x110000 else "\ufffd"
 
 
 def plain_text(xml_text: str) -> str:
     """XML character data → the text it stands for, with the format's ``_xHHHH_`` escapes undone."""
     text = _ENTITY.sub(_entity, xml_text) if "&" in xml_text else xml_text
-    return _ESCAPE.sub(lambda m: chr(int(m[1], 16)), text) if "_x" in text else text
+    text = _ESCAPE.sub(lambda m: chr(int(m[1], 16)), text) if "_x" in text else text
+    # A character may be written as two halves; a half by itself is none.
+    return text.encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace")
 
 
 def run_text(fragment: str) -> str:
@@ -108,11 +113,11 @@ def _cut(blocks, end_tag: bytes):
     for block in blocks:
         rest += block
         at = rest.rfind(end_tag)
+        while at >= 0 and rest.rfind(b"<![CDATA[", 0, at) > rest.rfind(b"]]>", 0, at):
+            at = rest.rfind(end_tag, 0, at)
         if at >= 0:
             yield rest[: at + len(end_tag)]
             rest = rest[at + len(end_tag):]
-        elif len(rest) > MAX_ROW_BYTES:
-            raise ContainerError("corrupt", "one row or text takes more than 1 GiB of XML")
     if rest:
         yield rest
 
@@ -206,17 +211,24 @@ def _prefixed(stream, root: bytes):
     return m[1] or b"", blocks()
 
 
+def _as_characters(m) -> bytes:
+    return m[1].replace(b"&", b"&amp;").replace(b"<", b"&lt;").replace(b">", b"&gt;")
+
+
 def _bare(xml: bytes, prefix: bytes) -> bytes:
+    """XML without its prefix, and with CDATA as plain characters."""
+    if b"<![CDATA[" in xml:
+        xml = re.sub(rb"(?s)<!\[CDATA\[(.*?)\]\]>", _as_characters, xml)
     return re.sub(rb"(</?)" + re.escape(prefix), rb"\1", xml) if prefix else xml
 
 
 def _merge_regions(tail: bytes) -> np.ndarray:
-    """Merged regions as rows of r0, c0, r1, c1, in order of their first row."""
+    """Merged regions as rows of r0, c0, r1, c1 and place in the file, in order of their first row."""
     regions = [
-        (int(r0) - 1, letters_to_number(c0.decode()) - 1, int(r1) - 1, letters_to_number(c1.decode()) - 1)
-        for c0, r0, c1, r1 in _MERGE.findall(tail)
+        (int(r0) - 1, letters_to_number(c0.decode()) - 1, int(r1) - 1, letters_to_number(c1.decode()) - 1, k)
+        for k, (c0, r0, c1, r1) in enumerate(_MERGE.findall(tail))
     ]
-    return np.array(sorted(regions), dtype=np.int64).reshape(-1, 4)
+    return np.array(sorted(regions), dtype=np.int64).reshape(-1, 5)
 
 
 class SheetXml:
@@ -284,6 +296,21 @@ def _in_column_order(offsets: np.ndarray, cells: pa.Array) -> tuple[np.ndarray,
     return np.concatenate([[0], np.cumsum(counts)]), cells.take(pa.array(kept))
 
 
+def _number(text: str | None) -> float | None:
+    try:
+        return float(text) if text is not None else None
+    except ValueError:
+        return None
+
+
+def _whole_numbers(texts: pa.Array) -> np.ndarray:
+    """Indexes; -1 for what is none."""
+    try:
+        return np.asarray(texts.cast(pa.int64()))
+    except pa.ArrowInvalid:
+        return np.array([int(t) if t.strip().isdecimal() and len(t) < 18 else -1 for t in texts.to_pylist()], np.int64)
+
+
 class SheetDecoder:
     """Turns the XML pieces of one sheet into row numbers, cell offsets and a cell array."""
 
@@ -380,7 +407,7 @@ class SheetDecoder:
         def coded(*wanted):
             return np.isin(code_of, [i for i, x in enumerate(names) if x in wanted])
 
-        has_v = np.asarray(pc.not_equal(v, ""))
+        has_v = np.array(pc.not_equal(v, ""))
         shared, error = coded("s"), coded("e")
         text = coded("s", "str", "inlineStr", "d")
         boolean = coded("b") & has_v
@@ -390,15 +417,22 @@ class SheetDecoder:
             kind[where] = k
 
         num = self._numbers(v, number)
+        # What should be a number or an index and is none reads as an error cell, which fits no column.
+        bad = number & np.asarray(pc.is_null(num))
+        indexes = _whole_numbers(v.filter(pa.array(shared & has_v)))
+        if (indexes < 0).any():
+            bad[np.flatnonzero(shared & has_v)[indexes < 0]] = True
+        if bad.any():
+            kind[bad] = 4
+            error, number, text, shared = error | bad, number & ~bad, text & ~bad, shared & ~bad
+            indexes = indexes[indexes >= 0]
         words = pc.if_else(pa.array(text | error), v, pa.nulls(n, pa.string()))
         if (text & ~shared).any():
             words = _unescaped(words)
         if inline is not None:
             words = pc.coalesce(inline, words)
         if shared.any():
-            indexed = shared & has_v
-            ids = np.asarray(v.filter(pa.array(indexed)).cast(pa.int64()))
-            words = _spread(indexed, self.strings.take(ids), words)
+            words = _spread(shared & has_v, self.strings.take(indexes), words)
         if text.any():
             words = pc.if_else(pa.array(text), pc.fill_null(words, ""), words)
         truth = pc.if_else(pa.array(boolean), pc.is_in(v, pa.array(["1", "true"])), pa.nulls(n, pa.bool_()))
@@ -418,7 +452,7 @@ class SheetDecoder:
         try:
             return texts.cast(pa.float64())
         except pa.ArrowInvalid:
-            return pa.array([float(t) if t is not None else None for t in texts.to_pylist()], pa.float64())
+            return pa.array([_number(t) for t in texts.to_pylist()], pa.float64())
 
     def _dates(self, style: pa.Array) -> np.ndarray:
         codes = pc.dictionary_encode(style)
@@ -466,11 +500,9 @@ class MergeFiller:
         self.done_row = max(high, self.done_row)
         return True
 
-    def rows(self, numbers, offsets, cells, last: bool):
-        """Rows, offsets, cells and fills of a piece; rows only a region covers are added."""
-        high = int(numbers[-1]) if len(numbers) else self.done_row
-        if last and len(self.regions):
-            high = max(high, int(self.regions[:, 2].max()))
+    def rows(self, numbers, offsets, cells):
+        """Rows, offsets, cells and fills of a piece; absent rows that a region covers are added, none below the last."""
+        high = int(numbers[-1])
         low, self.done_row = self.done_row + 1, max(high, self.done_row)
         upto = int(np.searchsorted(self.regions[:, 0], high, "right"))
         active = np.concatenate([self.open, np.arange(self.next, max(upto, self.next))])
@@ -500,7 +532,7 @@ class MergeFiller:
         which = np.repeat(np.arange(len(active)), height)
         step = np.arange(len(which)) - np.repeat(np.cumsum(height) - height, height)
         fill_row = top[which] + step
-        by_row = np.argsort(fill_row, kind="stable")
+        by_row = np.lexsort((self.regions[active, 4][which], fill_row))  # of several regions the file's first counts
         which, fill_row = which[by_row], fill_row[by_row]
         fill = pa.StructArray.from_arrays(
             [pa.array(c0[which], pa.int32()), pa.array(c1[which], pa.int32()), content.take(pa.array(which))],
@@ -541,7 +573,6 @@ def sheet_batches(z, part, strings, date_styles, formulas, row_limit, share=(0,
             fills = pa.nulls(len(numbers), pa.list_(FILL_ARROW))
         return numbers, gaps, listed, fills
 
-    full = True
     for k, xml in enumerate(sheet.pieces()):
         wanted = k % of == mine
         if not wanted and not formulas:
@@ -556,19 +587,11 @@ def sheet_batches(z, part, strings, date_styles, formulas, row_limit, share=(0,
         numbers, offsets, cells = decoder.piece(xml)
         if not len(numbers):
             continue
-        made = batch(*filler.rows(numbers, offsets, cells, last=False))
+        made = batch(*filler.rows(numbers, offsets, cells))
         if wanted:
             yield made
         if row_limit is not None and previous >= row_limit:
-            full = False
             break
-    if full:
-        nothing = np.empty(0, np.int64), np.zeros(1, np.int64), pa.array([], CELL_ARROW)
-        rest = filler.rows(*nothing, last=True)
-        if len(rest[0]):
-            made = batch(*rest)
-            if mine == 0:
-                yield made
     if mine != 0:
         return
     end = np.array([previous])
@@ -618,7 +641,7 @@ def inflate_stage(carry: list[str], arrow_schema: pa.Schema, formulas: bool, row
                         if rows >= BATCH_ROWS or size >= BATCH_BYTES:
                             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
                             held, rows, size = [], 0, 0
-                except (ContainerError, zipfile.BadZipFile, zlib.error, UnicodeDecodeError, EOFError, OSError) as e:
+                except DAMAGE as e:
                     if not ignore_corrupt:
                         raise RuntimeError(f"can't read workbook {source.column('file')[i].as_py()}: {e}") from e
         if held:

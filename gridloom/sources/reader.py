@@ -34,8 +34,8 @@ def parse_options(spark: SparkSession, options: dict) -> WorkbookOptions:
     return parsed
 
 
-def _table_grid(files: DataFrame, options: WorkbookOptions, row_limit: int | None = None, first_sheet: bool = False):
-    grid = decode_workbooks(files, options, row_limit, first_sheet)
+def _table_grid(files: DataFrame, options: WorkbookOptions, row_limit: int | None = None, first_sheet: bool = False, scanned: bool = False):
+    grid = decode_workbooks(files, options, row_limit, first_sheet, scanned)
     return formula_view(anchor(grid, options.cell_address), options.evaluate_formulae)
 
 
@@ -60,23 +60,40 @@ def _first_path(files: DataFrame, options: WorkbookOptions) -> str | None:
     return files.agg(F.min("path")).first()[0]
 
 
-def _first_readable(files: DataFrame) -> str | None:
-    return open_workbooks(files.select("path", "content")).filter(F.col("status") == "ok").agg(F.min("path")).first()[0]
+def _first_readable(files: DataFrame, only, after: str) -> str | None:
+    """The first path behind ``after`` whose workbook opens. Walks the sorted listing in slices, each four times the one
+    before, and opens no file behind the slice with the first good one."""
+    size = 1
+    while True:
+        rows = files.select("path").filter(F.col("path") > after).orderBy("path").limit(size).collect()
+        if not rows:
+            return None
+        paths = [r["path"] for r in rows]
+        opened = open_workbooks(only(paths).select("path", "content")).filter(F.col("status") == "ok")
+        found = opened.agg(F.min("path")).first()[0]
+        if found is not None:
+            return found
+        after, size = paths[-1], min(size * 4, 4096)
 
 
 def infer_files_schema(files: DataFrame, options: WorkbookOptions, only=None) -> T.StructType:
-    """Schema of the first file by path. ``only(path)`` gives a DataFrame of one file, so that no other is read."""
-    only = only or (lambda path: files.filter(F.col("path") == path))
+    """Schema of the first file by path. ``only(paths)`` gives a DataFrame of these files, so that no other is read."""
+    only = only or (lambda paths: files.filter(F.col("path").isin(paths)))
     path = _first_path(files, options)
     if path is None:
         raise WorkbookError("No workbook files found")
     if options.ignore_corrupt_files:
-        status = open_workbooks(only(path).select("path", "content")).first()
-        if status is None or status["status"] != "ok":
-            path = _first_readable(files)
-            if path is None:
-                raise WorkbookError("No readable workbook files found")
-    return _infer(only(path).select("path", "content"), options)
+        path = _first_readable(files, only, "")
+        while path is not None:
+            try:  # a file that opens may still hold a damaged sheet
+                return _infer(only([path]).select("path", "content"), replace(options, ignore_corrupt_files=False))
+            except WorkbookError as e:
+                if "can't read workbook" not in str(e):
+                    raise
+                log.warning("%s", e)
+            path = _first_readable(files, only, path)
+        raise WorkbookError("No readable workbook files found")
+    return _infer(only([path]).select("path", "content"), options)
 
 
 def _read(files: DataFrame, schema, options: WorkbookOptions, only=None) -> DataFrame:
@@ -91,7 +108,7 @@ def _read(files: DataFrame, schema, options: WorkbookOptions, only=None) -> Data
         schema = T.StructType([f for f in schema if f.name.lower() not in partitions])
         if options.include_sheet_name and SHEET_NAME_COLUMN not in schema.names:
             log.warning("includeSheetName is set, but the given schema has no column %s", SHEET_NAME_COLUMN)
-    return assemble_rows(_table_grid(files, options), schema, options, carry)
+    return assemble_rows(_table_grid(files, options, scanned=only is not None), schema, options, carry)
 
 
 def read_workbook_files(files: DataFrame, schema: T.StructType | str | None = None, **options) -> DataFrame:
@@ -110,9 +127,9 @@ def read_workbooks(
     parsed = parse_options(spark, options)
     files = workbook_files(spark, paths, parsed)
 
-    def only(path: str) -> DataFrame:
+    def only(paths: list[str]) -> DataFrame:
         single = replace(parsed, file_options={})
-        return workbook_files(spark, _GLOB_CHARS.sub(r"\\\1", path), single)
+        return workbook_files(spark, [_GLOB_CHARS.sub(r"\\\1", p) for p in paths], single)
 
     return _read(files, schema, parsed, only)
 

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 from __spark_entry__ import SMALLEST, entry, oracle_sql, queries
+from contract.queries import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
@@ -34,10 +35,10 @@ def shape(pdf: pd.DataFrame) -> list:
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) <= set(queries()) and set(QUERIES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
     got = queries()[name](spark, SMALLEST).toPandas()
     expected = duck.execute(oracle_sql()[name]).df()

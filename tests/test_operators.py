@@ -125,17 +125,43 @@ def test_gaps_wider_than_a_band(spark, monkeypatch):
     assert len(got) == 27
 
 
-def test_fill_merged_adds_rows(spark):
+def test_fill_merged_ends_at_the_last_row(spark):
     df = spark.createDataFrame([(1, "a", 1), (4, "b", 2)], "p int, s string, v int")
     grid = table_to_grid(df, row="p", cells=[cell(0, "str", str="s"), cell(1, "num", num="v")], header=[["s", "v"]])
     merges = spark.createDataFrame([("table", 0, 1, 0, 2, 0), ("table", 0, 4, 0, 6, 1)],
                                    "file string, sheet_idx int, r0 long, c0 int, r1 long, c1 int")
     out = read_grid(fill_merged(grid, merges), "s string, v string, ok boolean", schemaMatchColumnName="ok")
     assert sorted(rows(out), key=repr) == sorted([
-        ("a", "1.0", True), ("a", None, True), (None, None, False), ("b", "b", True), ("b", "b", True), ("b", "b", True),
+        ("a", "1.0", True), ("a", None, True), (None, None, False), ("b", "b", True),
     ], key=repr)
 
 
+def test_overlapping_regions(spark):
+    """Of regions over one cell the first counts, and what stands right of them stays in its column."""
+    df = spark.createDataFrame([(1, 1, 2, 100), (2, 3, 4, 200)], "p int, a int, b int, c int")
+    grid = table_to_grid(df, row="p", cells=[cell(i, "num", num=n) for i, n in enumerate("abc")], header=[["a", "b", "c"]])
+    merges = spark.createDataFrame([("table", 0, 1, 0, 2, 1), ("table", 0, 1, 1, 1, 1)],
+                                   "file string, sheet_idx int, r0 long, c0 int, r1 long, c1 int")
+    out = read_grid(fill_merged(grid, merges), "a int, b int, c int")
+    assert sorted(rows(out)) == [(1, 1, 100), (1, 1, 200)]
+
+
+def test_two_cells_in_a_column(spark):
+    cells = spark.createDataFrame(
+        [("f", 0, "S", 0, k, "num", float(k)) for k in range(3)] + [("f", 0, "S", 0, 1, "num", 9.0)],
+        "file string, sheet_idx int, sheet_name string, row long, col int, kind string, num double")
+    cells = cells.selectExpr("*", "cast(NULL AS boolean) AS bool", "cast(NULL AS string) AS str", "false AS is_date",
+                             "cast(NULL AS string) AS formula")
+    assert rows(read_grid(cells_to_grid(cells), "a int, b int, c int", headerRowCount=0)) == [(0, 9, 2)]
+
+
+def test_unmatched_pattern_with_a_schema(spark):
+    grid = table_to_grid(spark.createDataFrame([(1,)], "a int"))
+    with pytest.raises(Exception, match="No worksheets found"):
+        read_grid(grid, "a int", sheetNamePattern="none.*").collect()
+    assert read_grid(grid, "a int", sheetNamePattern="Sheet.*").count() == 1
+
+
 def test_width_and_empty_first_row(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     profile = column_profile(table_to_grid(df, header=[["only"]]), WorkbookOptions())
