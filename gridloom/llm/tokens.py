@@ -179,7 +179,9 @@ class LibraryTokenizer:
     def units(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         if self.library is None:
             made = self.pieces.encode(text, return_type="proto")
-            starts = [p.begin for p in made.pieces]
+            data = np.frombuffer(text.encode(), np.uint8)  # the library counts bytes
+            place = np.append(np.cumsum((data & 0xC0) != 0x80) - 1, len(text))
+            starts = place[[p.begin for p in made.pieces]] if made.pieces else []
         else:
             starts = [a for a, _ in self.library.encode(text, add_special_tokens=False).offsets]
         return np.array(starts, np.int64), np.ones(len(starts), np.int64)
