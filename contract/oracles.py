@@ -160,5 +160,23 @@ ORACLES = {
         SELECT CASE k % 3 WHEN 0 THEN 'ok' WHEN 1 THEN 'corrupt' ELSE 'encrypted' END AS status, count(*) AS files
         FROM (SELECT DISTINCT c_custkey // 1000 AS k FROM customer) GROUP BY 1""",
     "skip_corrupt": "SELECT c_custkey, c_name FROM customer WHERE (c_custkey // 1000) % 10 = 0",
+    "files_glob": """
+        SELECT CAST(c_custkey AS DOUBLE) AS c_custkey, c_name, CAST(c_nationkey AS DOUBLE) AS c_nationkey, c_acctbal,
+               c_mktsegment FROM customer""",
+    "files_partitioned": """
+        SELECT c_custkey, c_name, r_name AS region FROM customer JOIN nation ON c_nationkey = n_nationkey
+        JOIN region ON n_regionkey = r_regionkey""",
+    "files_view": """
+        SELECT c_mktsegment, count(*) AS customers, round(sum(c_acctbal), 2) AS balance FROM customer GROUP BY 1""",
+    "files_stream": "SELECT c_custkey, c_name, c_nationkey FROM customer",
+    "merged_overlap": """
+        SELECT coalesce(t.o_orderkey, o.o_orderkey) AS a, coalesce(t.o_orderkey, o.o_custkey) AS b, o.o_orderkey AS c
+        FROM orders o LEFT JOIN orders t ON t.o_orderkey % 4 = 0 AND o.o_orderkey IN (t.o_orderkey, t.o_orderkey + 1)""",
+    "header_typed": """
+        SELECT CAST(p_partkey AS DOUBLE) AS "2021_5", p_size > 25 AS "TRUE", CAST(p_size AS DOUBLE) AS "01-Jan-2021" FROM part""",
+    "header_only_inferred": """
+        SELECT CAST(NULL AS VARCHAR) AS r_regionkey, CAST(NULL AS VARCHAR) AS r_name, 'string' AS r_regionkey_type, 'string' AS r_name_type""",
+    "flag_inferred": "SELECT CAST(s_suppkey AS DOUBLE) AS s_suppkey, s_name, true AS ok, 2 AS flag_at FROM supplier",
+    "flag_not_null": "SELECT event_id, event_id % 3 > 0 AS ok FROM events",
     "stream_ingest": "SELECT event_id, user_id, event_type, value FROM events",
 }

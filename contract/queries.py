@@ -6,9 +6,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contract.workbook_frames import FILES, ROWS_PER_WORKBOOK, workbook_frame
+from contract.workbook_frames import FILES, ROWS_PER_WORKBOOK, save_books, workbook_frame
 from fixtures.make_workbooks import Sheet, build_workbook
-from gridloom import WorkbookOptions, read_grid, read_workbook_files, table_to_grid
+from gridloom import (
+    WorkbookOptions, create_workbook_view, read_grid, read_workbook_files, read_workbooks, stream_workbooks, table_to_grid,
+)
 from gridloom.functions import a1_column, a1_to_rc, cell, clean_name
 from gridloom.functions.text import text
 from gridloom.operators import (
@@ -450,7 +452,94 @@ def stream_ingest(spark, sf):
     return spark.read.schema(rows.schema).parquet(f"{folder}/rows")
 
 
+def files_glob(spark, sf):
+    """Workbooks found by a glob, with an inferred schema."""
+    folder = save_books(_customer_books(spark, sf), scratch_folder(spark, "books"))
+    return read_workbooks(spark, f"{folder}/book-*.xlsx")
+
+
+def files_partitioned(spark, sf):
+    """Workbooks in folders named by region; the folders become a column."""
+    nations = table(spark, sf, "nation").join(table(spark, sf, "region"), F.expr("n_regionkey = r_regionkey"))
+    customers = table(spark, sf, "customer").join(nations, F.expr("c_nationkey = n_nationkey"))
+    books = workbook_frame(customers, f"c_custkey div {ROWS_PER_WORKBOOK}", ["c_custkey", "c_name"], carry="r_name")
+    folder = save_books(books, scratch_folder(spark, "books"), under="concat('region=', r_name)")
+    return read_workbooks(spark, folder, "c_custkey long, c_name string")
+
+
+def files_view(spark, sf):
+    """A view over workbook files, queried in SQL."""
+    folder = save_books(_customer_books(spark, sf), scratch_folder(spark, "books"))
+    create_workbook_view(spark, "customer_files", folder, schemaMatchColumnName="ok")
+    return spark.sql("SELECT c_mktsegment, count(*) AS customers, round(sum(c_acctbal), 2) AS balance "
+                     "FROM customer_files WHERE ok GROUP BY c_mktsegment")
+
+
+def files_stream(spark, sf):
+    """Workbook files read as a stream."""
+    folder = save_books(_customer_books(spark, sf), scratch_folder(spark, "books"))
+    rows = stream_workbooks(spark, folder, "c_custkey long, c_name string, c_nationkey int")
+    out = scratch_folder(spark, "stream")
+    query = (
+        rows.writeStream.format("parquet").option("checkpointLocation", f"{out}/state").option("path", f"{out}/rows")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{out}/rows")
+
+
+def merged_overlap(spark, sf):
+    """Regions that overlap, and reach below the last row: the first one counts, and no row is made."""
+    orders = table(spark, sf, "orders").selectExpr("o_orderkey + 1 AS p", "o_orderkey", "o_custkey", "o_orderkey AS last")
+    cells = [cell(i, "num", num=n) for i, n in enumerate(["o_orderkey", "o_custkey", "last"])]
+    grid = table_to_grid(orders, row="p", cells=cells, header=[["a", "b", "c"]])
+    merges = orders.filter("o_orderkey % 4 = 0").selectExpr(
+        "'table' AS file", "0 AS sheet_idx", "inline(array(named_struct('r0', p, 'c0', 0, 'r1', p + 1, 'c1', 1), "
+        "named_struct('r0', p, 'c0', 1, 'r1', p, 'c1', 1)))")
+    return read_grid(fill_merged(grid, merges), "a long, b long, c long").filter("c IS NOT NULL")
+
+
+def header_typed(spark, sf):
+    """Header cells that are numbers, dates and booleans."""
+    parts = table(spark, sf, "part").selectExpr("p_partkey + 1 AS p", "p_partkey", "p_size")
+    head = parts.filter("p_partkey = (SELECT 0)").selectExpr("0L AS p", "0L AS p_partkey", "0 AS p_size").limit(1)
+    day = cell(2, "num", num="CASE WHEN p = 0 THEN 44197D ELSE p_size END", is_date="p = 0")
+    cells = [cell(0, "num", num="CASE WHEN p = 0 THEN 2021.5D ELSE p_partkey END"), cell(1, "bool", bool="p = 0 OR p_size > 25"), day]
+    grid = table_to_grid(parts.unionByName(head), row="p", cells=cells, header=False)
+    return read_grid(grid, maxRowCount=0)
+
+
+def header_only_inferred(spark, sf):
+    """A header without rows: one row of nulls, every column a string."""
+    grid = table_to_grid(table(spark, sf, "region").filter("r_regionkey < 0").select("r_regionkey", "r_name"))
+    rows = read_grid(grid)
+    return rows.selectExpr(*rows.columns, *[f"typeof({c}) AS {c}_type" for c in rows.columns])
+
+
+def flag_inferred(spark, sf):
+    """Without a schema the flag comes last."""
+    grid = table_to_grid(table(spark, sf, "supplier").select("s_suppkey", "s_name"), order_by=["s_suppkey"], unique=True)
+    rows = read_grid(grid, schemaMatchColumnName="ok")
+    return rows.selectExpr("*", f"{rows.columns.index('ok')} AS flag_at")
+
+
+def flag_not_null(spark, sf):
+    """A null where the schema allows none is no match."""
+    events = table(spark, sf, "events").selectExpr("event_id", "CASE WHEN event_id % 3 > 0 THEN value END AS value")
+    grid = table_to_grid(events, order_by=["event_id"], unique=True, cells=[to_cell(c, events.schema[c].dataType, i) for i, c in enumerate(events.columns)])
+    return read_grid(grid, "event_id long, value double NOT NULL, ok boolean", schemaMatchColumnName="ok").select("event_id", "ok")
+
+
 QUERIES = {
+    "files_glob": files_glob,
+    "files_partitioned": files_partitioned,
+    "files_view": files_view,
+    "files_stream": files_stream,
+    "merged_overlap": merged_overlap,
+    "header_typed": header_typed,
+    "header_only_inferred": header_only_inferred,
+    "flag_inferred": flag_inferred,
+    "flag_not_null": flag_not_null,
     "flagship": flagship,
     "sheet_default": sheet_default,
     "sheet_pattern": sheet_pattern,

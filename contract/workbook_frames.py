@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -60,3 +62,22 @@ def workbook_frame(df: DataFrame, number: str, columns: list[str], *, sheet: str
     schema = FILES + (f", {carry} {df.schema[carry].dataType.simpleString()}" if carry else "")
     keys = ["_no"] + ([carry] if carry else [])
     return keyed.groupBy(*keys).applyInPandas(build, schema)
+
+
+def save_books(books: DataFrame, folder: str, under: str = "''") -> str:
+    """Writes the workbooks of a frame as files, by the tasks that make them; ``under`` (SQL) names a sub-folder of each.
+
+    Needs a folder that tasks can write to as a path. Gives the folder back.
+    """
+    root = folder.removeprefix("file://").removeprefix("file:")
+
+    def save(batches):
+        for pdf in batches:
+            for path, content, sub in zip(pdf["path"], pdf["content"], pdf["sub"]):
+                place = Path(root, sub)
+                place.mkdir(parents=True, exist_ok=True)
+                (place / path).write_bytes(content)
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    books.selectExpr("path", "content", f"{under} AS sub").mapInPandas(save, "n long").agg({"n": "sum"}).collect()
+    return folder
