@@ -1,8 +1,8 @@
 """Near-duplicates by SetSketch: banded registers find candidates, a joint likelihood weighs them, full sets decide.
 
 All documents of one bucket are first compared with one of them, the pivot. Where that leaves a bucket's documents
-unconnected, the rest are joined exactly by the shingles in which they differ from the pivot: neither step pairs a
-bucket's documents with each other.
+unconnected, the rest are joined exactly on the shingles that fewest documents have: neither step pairs a bucket's
+documents with each other.
 """
 
 from __future__ import annotations
@@ -29,6 +29,9 @@ REGISTERS, BAND = 128, 4
 #: Registers count in steps of this factor; it and the rate decide the range that 16 bits can hold.
 BASE, RATE = 1.001, 20.0
 
+#: Counters by which frequent shingles are told from rare ones; any counts give right results.
+SLOTS = 1 << 16
+
 #: A candidate is dropped unseen only if its sketches are less likely, by this many nats, than at their best similarity.
 NATS = 18.0
 
@@ -137,7 +140,7 @@ def near_duplicates(docs: DataFrame, similar: tuple[int, int] = (80, 100), id_co
     links = checked.where("linked AND rep <> pivot").selectExpr("rep AS a", "pivot AS b")
     found = written(components(links), "found")
 
-    rest = rest_pairs(checked, found, num, den)
+    rest = rest_pairs(checked, found, sets, num, den)
     more = with_sets(rest, "rep", "pivot", sets).mapInArrow(check_pairs(num, den), CHECKED).where("linked").selectExpr("rep AS a", "pivot AS b")
     more = written(more, "more-links")
     if not more.isEmpty():
@@ -185,49 +188,82 @@ def with_sets(pairs: DataFrame, one: str, other: str, sets: DataFrame) -> DataFr
     return pairs.join(left, one).join(right, other).select(one, other, "s1", "r1", "s2", "r2")
 
 
-CHECKED = "rep long, pivot long, n long, linked boolean, prefix array<long>"
+CHECKED = "rep long, pivot long, linked boolean"
 
 
 def check_pairs(num: int, den: int):
-    """Decides pairs, and lists of each first document the shingles that any document linked to it has one of.
-
-    A set shares at least num/den of its size with any set linked to it, so among its first n - that + 1 shingles, in
-    any order that all sets of a pivot share, is one of the other's first. Here those the pivot lacks come first.
-    """
+    """Decides pairs: by the likelihood of their sketches whether they may be linked, then on full sets."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for rep, pivot, s1, r1, s2, r2 in zip(*(c.to_pylist() for c in batch.columns)):
+            linked = []
+            for s1, r1, s2, r2 in zip(*(c.to_pylist() for c in batch.columns[2:])):
                 own, theirs = np.frombuffer(s1, np.uint64), np.frombuffer(s2, np.uint64)
-                inner = np.isin(own, theirs, assume_unique=True)
-                shared = int(inner.sum())
                 may = similarity(np.frombuffer(r1, np.uint16), np.frombuffer(r2, np.uint16), len(own), len(theirs), num / den)[1]
-                linked = may and den * shared >= num * (len(own) + len(theirs) - shared)
-                first = np.concatenate([own[~inner], own[inner]])[:len(own) - -(-num * len(own) // den) + 1]
-                rows.append({"rep": rep, "pivot": pivot, "n": len(own), "linked": linked, "prefix": first.view(np.int64).tolist()})
-            yield pa.RecordBatch.from_pylist(rows, pa.schema([
-                ("rep", pa.int64()), ("pivot", pa.int64()), ("n", pa.int64()), ("linked", pa.bool_()), ("prefix", pa.list_(pa.int64()))]))
+                shared = common(own, theirs) if may else 0
+                linked.append(may and den * shared >= num * (len(own) + len(theirs) - shared))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["rep", "pivot", "linked"])
 
     return run
 
 
-def rest_pairs(checked: DataFrame, found: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of documents in different components that may yet be linked: an exact join on the prefixes of ``check_pairs``.
+def slot_counts(sets: DataFrame) -> np.ndarray:
+    """How many shingles of the sets fall into each of ``SLOTS`` slots, by the top bits of their fingerprints."""
+
+    def count(batches) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                total += np.bincount((np.frombuffer(x, np.uint64) >> np.uint64(48)).astype(np.int64), minlength=SLOTS)
+        full = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(total[full])], ["slot", "n"])
+
+    rows = sets.select("shingles").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(SLOTS, np.int64)
+    counts[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
+    return counts
+
+
+def prefixes(sets: DataFrame, counts: np.ndarray, num: int, den: int) -> DataFrame:
+    """(rep, n, prefix): each set's size, and those of its shingles that any set linked to it has one of.
+
+    A set shares at least num/den of its size with any set linked to it. So, of all sets' shingles in one order, one of
+    its first n - that + 1 is among the other's first. In the order used, shingles of emptier slots come first: what
+    only a few sets have stands before what a large group has in common.
+    """
+
+    def first(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, made = [], []
+            for x in batch.column(1).to_pylist():
+                own = np.frombuffer(x, np.uint64)
+                order = np.lexsort((own, counts[(own >> np.uint64(48)).astype(np.int64)]))
+                sizes.append(len(own))
+                made.append(own[order[:len(own) - -(-num * len(own) // den) + 1]].view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(made, pa.list_(pa.int64()))], ["rep", "n", "prefix"])
+
+    return sets.select("rep", "shingles").mapInArrow(first, "rep long, n long, prefix array<long>")
+
+
+def rest_pairs(checked: DataFrame, found: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of documents in different components that may yet be linked: an exact join on the sets' prefixes.
 
-    Only pivots whose documents are in several components matter, and of these only shingles met in several. The most
-    frequent component of a shingle is never paired with itself. Sizes and places in the prefix rule out most of the rest.
+    Only documents of pivots whose documents are in several components matter, and of their shingles only those met in
+    several. The most frequent component of a shingle is never paired with itself. Sizes, and places in the prefixes,
+    rule out most of the rest: the first shingle two sets share leaves only so many to share after it.
     """
-    placed = checked.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "rep", "pivot", "n", "prefix", F.coalesce("component", "rep").alias("c"))
+    placed = checked.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "pivot", F.coalesce("component", "rep").alias("c"))
     torn = placed.groupBy("pivot").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("pivot")
-    entries = written(placed.join(torn, "pivot").select("pivot", "rep", "n", "c", F.posexplode("prefix").alias("i", "s")), "prefixes")
-    held = entries.groupBy("pivot", "s", "c").agg(F.count("*").alias("k"))
-    major = held.groupBy("pivot", "s").agg(F.max(F.struct("k", "c")).alias("m"), F.count("*").alias("kinds")).where("kinds > 1").selectExpr("pivot", "s", "m.c AS mc")
-    kept = written(entries.join(major, ["pivot", "s"]), "prefixes")
-    few = kept.where("c <> mc").selectExpr("pivot", "s", "rep AS a", "n AS na", "c AS ca", "i AS ia")
-    all_ = kept.selectExpr("pivot", "s", "rep AS b", "n AS nb", "c AS cb", "i AS ib", "c = mc AS major")
-    near = few.join(all_, ["pivot", "s"]).where(
+    wanted = written(placed.join(torn, "pivot").select("rep", "c").distinct(), "torn")
+    if wanted.isEmpty():
+        return checked.where("false").select("rep", "pivot")
+    entries = written(prefixes(sets, slot_counts(sets), num, den).join(wanted, "rep").select("rep", "n", "c", F.posexplode("prefix").alias("i", "s")), "prefixes")
+    held = entries.groupBy("s", "c").agg(F.count("*").alias("k"))
+    major = held.groupBy("s").agg(F.max(F.struct("k", "c")).alias("m"), F.count("*").alias("kinds")).where("kinds > 1").selectExpr("s", "m.c AS mc")
+    kept = written(entries.join(major, "s"), "prefixes")
+    few = kept.where("c <> mc").selectExpr("s", "rep AS a", "n AS na", "c AS ca", "i AS ia")
+    all_ = kept.selectExpr("s", "rep AS b", "n AS nb", "c AS cb", "i AS ib", "c = mc AS major")
+    near = few.join(all_, "s").where(
         f"ca <> cb AND (major OR a < b) AND na * {den} >= nb * {num} AND nb * {den} >= na * {num} "
         f"AND least(na - ia, nb - ib) * {num + den} >= (na + nb) * {num}")
     return near.selectExpr("least(a, b) AS rep", "greatest(a, b) AS pivot").distinct()
