@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.cells import cell
 from gridloom.functions.references import shift_formula
 
-# Copies of a formula's first cell / shares of the cells that repeat it.
-SALT = 16
+# Cells without a shared formula are spread this wide.
 SPREAD = 1 << 20
 
 
@@ -40,17 +39,18 @@ def expand_shared_formulas(cells: DataFrame, group: str = "shared_id") -> DataFr
     """Gives every member of a shared formula its own text.
 
     The one cell of a group that has the text is joined to the others, and the text moved by the distance
-    between them. Members are salted, as one formula may cover a whole column.
+    between them. One formula may cover a whole column: the members are the join's large side, whose skewed
+    partitions Spark splits at run time, however large they are.
     """
     keys = ["file", "sheet_idx", group]
     salted = cells.selectExpr(
-        "*", f"cast(pmod(xxhash64(row, col), CASE WHEN {group} IS NOT NULL THEN {SALT} ELSE {SPREAD} END) AS int) AS _salt"
+        "*", f"cast(pmod(xxhash64(row, col), CASE WHEN {group} IS NOT NULL THEN 1 ELSE {SPREAD} END) AS int) AS _salt"
     )
     masters = (
         cells.filter(f"{group} IS NOT NULL AND formula IS NOT NULL")
         .groupBy(*keys)
         .agg(F.expr("min(named_struct('row', row, 'col', col, 'formula', formula)) AS _m"))
-        .selectExpr(*keys, "_m", f"explode(sequence(0, {SALT - 1})) AS _salt")
+        .selectExpr(*keys, "_m", "0 AS _salt")
     )
     joined = salted.join(masters, [*keys, "_salt"], "left").withColumn(
         "_moved",

@@ -46,7 +46,7 @@ def _ranges(keyed: DataFrame, n: int, plain_rows: int) -> tuple[str, int]:
     fraction = min(1.0, count * SAMPLES_PER_RANGE / n)
     fields = keyed.schema["_k"].dataType
     sample = (
-        keyed.select("_k").sample(fraction, seed=17).orderBy("_k").limit(4 * count * SAMPLES_PER_RANGE)
+        keyed.select("_k").sample(fraction, seed=17).orderBy("_k")
         .selectExpr(*[f"cast(_k.{f.name} AS string) AS {f.name}" for f in fields]).collect()
     )
     step = max(1, len(sample) // count)
@@ -71,20 +71,20 @@ def number_rows(df: DataFrame, sheet: str, order_by: list[str], unique: bool = F
     keys = order_by if unique else [*order_by, f"xxhash64({', '.join(name(c) for c in df.columns)})"]
     n = df.count() if count is None else count
     if n <= plain_rows:
-        return df.selectExpr("*", f"row_number() OVER (PARTITION BY {sheet} ORDER BY {', '.join(keys)}) AS _n")
+        return df.selectExpr("*", f"cast(row_number() OVER (PARTITION BY {sheet} ORDER BY {', '.join(keys)}) AS bigint) AS _n")
     fields = [f"'s', {sheet}", *[f"'k{i}', {k}" for i, k in enumerate(keys)]]
     keyed = df.selectExpr("*", f"named_struct({', '.join(fields)}) AS _k")
     bounds, many = _ranges(keyed, n, plain_rows)
     ranged = keyed.selectExpr("*", f"{bounds} AS _bounds").selectExpr(
         *[name(c) for c in keyed.columns], "_k.s AS _s", f"{_range_of('_k', '_bounds', many)} AS _r"
     )
-    # One count per range and sheet that meet: at most MAX_RANGES + sheets rows.
+    # One count per range and sheet that meet. Spark sees how small it is, and decides how to join it.
     offsets = ranged.groupBy("_s", "_r").count().selectExpr(
         "_s", "_r",
         "coalesce(sum(count) OVER (PARTITION BY _s ORDER BY _r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS _before",
     )
     local = ranged.selectExpr("*", "row_number() OVER (PARTITION BY _s, _r ORDER BY _k) AS _i")
-    return local.join(F.broadcast(offsets), ["_s", "_r"]).selectExpr(
+    return local.join(offsets, ["_s", "_r"]).selectExpr(
         *[name(c) for c in df.columns], "_i + _before AS _n"
     )
 
