@@ -95,108 +95,105 @@ def shared_heads(batches) -> Iterator[pa.RecordBatch]:
 
 
 def extended(texts: DataFrame, bits: np.ndarray, power: int) -> DataFrame:
-    """(doc_id, at, hashes): runs of neighbouring stretches around suffixes whose head is shared, as their fingerprints."""
+    """(g, doc_id, at, hashes): around each suffix whose head g is shared, the fingerprints of all stretches that keep it."""
 
     def make(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for a, words, first in batch_words(batch.column(1)):
                 row, start, kept = stretches(words, first)
-                shared = probe(bits, power, rolling_hashes(words, HEAD)[kept]) if len(kept) else np.zeros(0, bool)
-                row, start = row[shared], start[shared]
-                hashes = rolling_hashes(words, LEAST)[start]
-                new = np.flatnonzero(np.concatenate([[True], (start[1:] != start[:-1] + 1) | (row[1:] != row[:-1])])) if len(row) else np.zeros(0, np.int64)
+                heads = rolling_hashes(words, HEAD)[kept] if len(kept) else np.zeros(0, np.uint64)
+                shared = probe(bits, power, heads)
+                row, start, kept, heads = row[shared], start[shared], kept[shared], heads[shared]
+                hashes = rolling_hashes(words, LEAST)[start] if len(start) else heads
+                new = np.flatnonzero(np.concatenate([[True], kept[1:] != kept[:-1]])) if len(kept) else np.zeros(0, np.int64)
                 made = [hashes[x:y].tobytes() for x, y in zip(new, np.append(new[1:], len(row)))]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(ids[a + row[new]]), pa.array((start[new] - first[row[new]]).astype(np.int32)), pa.array(made, pa.binary())], ["doc_id", "at", "hashes"])
+                    pa.array(heads[new].view(np.int64)), pa.array(ids[a + row[new]]), pa.array((start[new] - first[row[new]]).astype(np.int32)),
+                    pa.array(made, pa.binary())], ["g", "doc_id", "at", "hashes"])
 
-    return texts.mapInArrow(make, "doc_id long, at int, hashes binary")
+    return texts.mapInArrow(make, "g long, doc_id long, at int, hashes binary")
 
 
 def one_by_one(batches) -> Iterator[pa.RecordBatch]:
-    """(h, doc_id, at) of each stretch of the runs."""
+    """(g, h, doc_id, at) of each stretch of the runs."""
     for batch in batches:
-        ids, at = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        runs = [np.frombuffer(x, np.int64) for x in batch.column(2).to_pylist()]
+        heads, ids, at = (batch.column(k).to_numpy() for k in range(3))
+        runs = [np.frombuffer(x, np.int64) for x in batch.column(3).to_pylist()]
         for k in range(0, len(runs), 512):
             part = runs[k:k + 512]
             size = np.array([len(x) for x in part])
             place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate(part)), pa.array(np.repeat(ids[k:k + 512], size)),
-                pa.array((np.repeat(at[k:k + 512], size) + place).astype(np.int32))], ["h", "doc_id", "at"])
+                pa.array(np.repeat(heads[k:k + 512], size)), pa.array(np.concatenate(part)), pa.array(np.repeat(ids[k:k + 512], size)),
+                pa.array((np.repeat(at[k:k + 512], size) + place).astype(np.int32))], ["g", "h", "doc_id", "at"])
 
 
-FOUND = pa.schema([("doc_id", pa.int64()), ("places", pa.binary()), ("h", pa.int64()), ("at", pa.int32())])
+FOUND = pa.schema([("doc_id", pa.int64()), ("places", pa.binary()), ("h", pa.int64()), ("at", pa.int32()), ("many", pa.bool_())])
+FOUND_DDL = "doc_id long, places binary, h long, at int, many boolean"
 
 
-def packed(doc: np.ndarray, at: np.ndarray, first: np.ndarray, origin: np.ndarray) -> list[dict]:
-    """A row per document with its repeated stretches: place, whether it is the passage's first, whose document is that."""
+def packed(doc: np.ndarray, at: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
+    """A row per document with its repeated stretches: their places, and whether each is the passage's first."""
     order = np.lexsort((at, doc))
-    doc, at, first, origin = doc[order], at[order], first[order], origin[order]
-    heads = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else []
-    rows = []
-    for a, b in zip(heads, np.append(heads[1:], len(doc))):
-        body = np.concatenate([np.diff(at[a:b], prepend=0).astype(np.int64) * 2 + first[a:b], np.diff(origin[a:b], prepend=0)])
-        rows.append({"doc_id": int(doc[a]), "places": zlib.compress(body.tobytes(), 1)})
-    return rows
+    doc, at, first = doc[order], at[order], first[order]
+    heads = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
+    rows = [{"doc_id": int(doc[a]), "places": zlib.compress((np.diff(at[a:b], prepend=0) * 2 + first[a:b]).astype(np.int32).tobytes(), 1)}
+            for a, b in zip(heads, np.append(heads[1:], len(doc)))]
+    return pa.RecordBatch.from_pylist(rows, FOUND)
 
 
-def unpacked(places: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    body = np.frombuffer(zlib.decompress(places), np.int64)
-    gaps, origin = body[:len(body) // 2], body[len(body) // 2:]
-    return np.cumsum(gaps // 2), (gaps % 2).astype(bool), np.cumsum(origin)
+def unpacked(places: bytes) -> tuple[np.ndarray, np.ndarray]:
+    steps = np.frombuffer(zlib.decompress(places), np.int32)
+    return np.cumsum(steps >> 1), (steps & 1).astype(bool)
 
 
 def repeated(batches) -> Iterator[pa.RecordBatch]:
-    """Of sorted stretches: those that a neighbour equals, by document. A task's first and last runs may go on in other
-    tasks; their stretches are given out singly, with their fingerprint."""
-    pending: list[tuple] = []  # (h, doc, at) of the last, unfinished run
-    ready: list[tuple] = []  # settled stretches
-    size, opening = 0, True
+    """Of sorted stretches: those that a neighbour equals, by document.
 
-    def settle() -> pa.RecordBatch:
-        rows = packed(*(np.concatenate(x) for x in zip(*ready)))
-        ready.clear()
-        return pa.RecordBatch.from_pylist(rows, FOUND)
+    A run is known by its first stretch; all others in it are repeats. The task's first and last runs may go on in other
+    tasks, so their first stretch is given out singly, with its fingerprint, and whether the run has more here.
+    """
+    ready: list[tuple] = []
+    size, opening = 0, True
+    run: tuple | None = None  # (h, doc, at) of the present run's first stretch
+    count = 0
 
     def singly(h, doc, at) -> pa.RecordBatch:
-        n = len(h)
-        return pa.RecordBatch.from_arrays([pa.array(doc), pa.nulls(n, pa.binary()), pa.array(h), pa.array(at)], FOUND.names)
+        return pa.RecordBatch.from_pylist([{"doc_id": int(doc), "h": int(h), "at": int(at), "many": count > 1}], FOUND)
 
     for batch in batches:
         if not len(batch):
             continue
-        h, doc, at = (np.concatenate([*(p[k] for p in pending), batch.column(k).to_numpy()]) for k in range(3))
-        tail = int(np.searchsorted(h, h[-1]))
-        if opening:
-            head = int(np.searchsorted(h, h[0], "right"))
-            if head == len(h):  # the first run goes on
-                yield singly(h, doc, at)
-                pending = []
-                opening_key = h[0]
-                opening = True
-                first_key = opening_key
-                continue
-            yield singly(h[:head], doc[:head], at[:head])
-            opening = False
-            h, doc, at, tail = h[head:], doc[head:], at[head:], tail - head
-        pending = [(h[tail:], doc[tail:], at[tail:])]
-        h, doc, at = h[:tail], doc[:tail], at[:tail]
-        if len(h):
-            heads = np.concatenate([[True], h[1:] != h[:-1]])
-            where = np.flatnonzero(heads)
-            count = np.diff(np.append(where, len(h)))
-            many = np.repeat(count > 1, count)
-            ready.append((doc[many], at[many], heads[many].astype(np.int64), np.repeat(doc[where], count)[many]))
-            size += int(many.sum())
-            if size > 1 << 19:
-                yield settle()
-                size = 0
+        h, doc, at = (batch.column(k).to_numpy() for k in (1, 2, 3))
+        new = np.concatenate([[run is None or h[0] != run[0]], h[1:] != h[:-1]])
+        ready.append((doc[~new], at[~new], np.zeros((~new).sum(), np.int64)))
+        heads = np.flatnonzero(new)
+        count += int(heads[0]) if len(heads) else len(h)
+        if len(heads):
+            if run is not None:
+                if opening:
+                    yield singly(*run)
+                    opening = False
+                elif count > 1:
+                    ready.append((np.array([run[1]]), np.array([run[2]]), np.ones(1, np.int64)))
+            sizes = np.diff(np.append(heads, len(h)))
+            done, full = heads[:-1], sizes[:-1] > 1
+            if opening and len(done):
+                run, count = (h[done[0]], doc[done[0]], at[done[0]]), int(sizes[0])
+                yield singly(*run)
+                opening, done, full = False, done[1:], full[1:]
+            ready.append((doc[done[full]], at[done[full]], np.ones(full.sum(), np.int64)))
+            last = heads[-1]
+            run, count = (h[last], doc[last], at[last]), int(sizes[-1])
+        size += len(h)
+        if size > 1 << 19:
+            yield packed(*(np.concatenate(x) for x in zip(*ready)))
+            ready, size = [], 0
     if ready:
-        yield settle()
-    for p in pending:
-        yield singly(*p)
+        yield packed(*(np.concatenate(x) for x in zip(*ready)))
+    if run is not None:
+        yield singly(*run)
 
 
 def cover(starts: np.ndarray, size: int) -> np.ndarray:
@@ -211,8 +208,7 @@ def ranges(under: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.flatnonzero(edges == -1) - starts
 
 
-SPAN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("first_doc_id", pa.int64())])
-CUT = pa.struct([("start", pa.int64()), ("length", pa.int64())])
+SPAN = pa.struct([("start", pa.int64()), ("length", pa.int64())])
 
 
 def spans_of(batches) -> Iterator[pa.RecordBatch]:
@@ -220,23 +216,17 @@ def spans_of(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         repeats, cuts = [], []
         for parts in batch.column(1).to_pylist():
-            at, first, origin = (np.concatenate(x) for x in zip(*map(unpacked, parts)))
-            order = np.argsort(at, kind="stable")
-            at, first, origin = at[order], first[order], origin[order]
-            size = int(at[-1]) + LEAST
-            starts, length = ranges(cover(at, size))
-            whose = origin[np.searchsorted(at, starts)]
-            repeats.append([{"start": s, "length": n, "first_doc_id": o} for s, n, o in zip(starts.tolist(), length.tolist(), whose.tolist())])
-            starts, length = ranges(cover(at[~first], size) & ~cover(at[first], size))
-            cuts.append([{"start": s, "length": n} for s, n in zip(starts.tolist(), length.tolist())])
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(repeats, pa.list_(SPAN)), pa.array(cuts, pa.list_(CUT))], ["doc_id", "repeats", "cuts"])
+            at, first = (np.concatenate(x) for x in zip(*map(unpacked, parts)))
+            size = int(at.max()) + LEAST
+            for out, under in ((repeats, cover(at, size)), (cuts, cover(at[~first], size) & ~cover(at[first], size))):
+                out.append([{"start": s, "length": n} for s, n in zip(*(x.tolist() for x in ranges(under)))])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(repeats, pa.list_(SPAN)), pa.array(cuts, pa.list_(SPAN))], ["doc_id", "repeats", "cuts"])
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document that has passages of at least ``LEAST`` words which stand elsewhere too, in it or in others.
 
-    repeats: maximal ranges of words, each word of which is in such a passage, with the document that has the range's
-    first stretch first. cuts: what can go so that the first occurrence (smallest id, then place) of every such passage
+    repeats: maximal ranges of words, each word of which is in such a passage. cuts: what can go so that the first occurrence (smallest id, then place) of every such passage
     stays whole. Words are runs of anything but ASCII white space, A-Z in lower case.
 
     Null, empty and shorter texts have none; rows with a null id are left out; repeated rows are documents that share
@@ -248,21 +238,21 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     heads = written(sparse.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(shared_heads, "h long"), "heads")
     power = log_blocks(heads.count())
     runs = written(extended(texts, build_bits(heads, power), power), "runs")
-    long_ = runs.mapInArrow(one_by_one, "h long, doc_id long, at int")
-    found = written(long_.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-        repeated, "doc_id long, places binary, h long, at int"), "repeats")
-    edges = found.where("places IS NULL").select("h", "doc_id", "at")
-    firsts = edges.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "at")).alias("first")).where("n > 1")
-    settled = edges.join(firsts, "h").selectExpr("doc_id", "at", "cast(first.doc_id = doc_id AND first.at = at AS long) AS is_first", "first.doc_id AS origin")
+    # Equal stretches keep the same suffix, so its head may come first; then a run's stretches meet in one task.
+    order = ("g", *order)
+    stretch = runs.mapInArrow(one_by_one, "g long, h long, doc_id long, at int")
+    found = written(stretch.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(repeated, FOUND_DDL), "repeats")
+    edges = found.where("places IS NULL").select("h", "doc_id", "at", "many")  # two of each task
+    firsts = edges.groupBy("h").agg(F.min(F.struct("doc_id", "at")).alias("first"), (F.max("many") | (F.count("*") > 1)).alias("twice"))
+    settled = edges.join(firsts.where("twice"), "h").selectExpr("doc_id", "at", "cast(first.doc_id = doc_id AND first.at = at AS long) AS is_first")
 
     def pack_rows(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [c.to_numpy() for c in batch.columns]
-            yield pa.RecordBatch.from_pylist(packed(*columns), FOUND)
+            yield packed(*(c.to_numpy() for c in batch.columns))
 
-    more = settled.mapInArrow(pack_rows, "doc_id long, places binary, h long, at int")
+    more = settled.mapInArrow(pack_rows, FOUND_DDL)
     by_doc = found.where("places IS NOT NULL").unionByName(more).groupBy("doc_id").agg(F.collect_list("places").alias("places"))
-    return by_doc.mapInArrow(spans_of, "doc_id long, repeats array<struct<start: long, length: long, first_doc_id: long>>, cuts array<struct<start: long, length: long>>")
+    return by_doc.mapInArrow(spans_of, "doc_id long, repeats array<struct<start: long, length: long>>, cuts array<struct<start: long, length: long>>")
 
 
 def cut_repeats(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
