@@ -207,14 +207,12 @@ def top_k(vectors: DataFrame, is_query: str, k: int = 20, scale: float = 64, id_
     index, spaces = build_index(whole)
     asked = whole.where(is_query)
     blocks = max(1, -(-asked.count() // QUERIES))
-    parts = []
+    folder = f"{scratch_folder(spark, 'found')}/rows" if blocks > 1 else None
     for b in range(blocks):
-        chosen = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b)
-        parts.append((index, spaces, chosen.toArrow(), k))
-        if blocks > 1:
-            if b == 0:
-                folder = f"{scratch_folder(spark, 'found')}/rows"
-            search(*parts.pop()).write.mode("append").parquet(folder)
-    found = search(*parts[0]) if blocks == 1 else spark.read.schema("query_id long, vec_id long, score long").parquet(folder)
+        found = search(index, spaces, asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).toArrow(), k)
+        if folder:
+            found.write.mode("append").parquet(folder)
+    if folder:
+        found = spark.read.schema("query_id long, vec_id long, score long").parquet(folder)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

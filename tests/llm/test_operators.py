@@ -61,19 +61,21 @@ def test_bloom(spark):
     assert probe(bits, power, keys[4000:].view(np.uint64)).mean() < 0.01
 
 
-def found_by_hand(docs, items, n=10, reach=None):
+def found_by_hand(docs, items, n=10):
     words = lambda t: re.findall(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (t or "").translate(LOWERED))
+    windows = {}
+    for item, text in items:
+        b = words(text)
+        for k in range(max(1, len(b) - n + 1) if b else 0):
+            windows.setdefault(tuple(b[k:k + n]), set()).add(item)
     out = []
     for i, t in docs:
         w, hit, names = words(t), set(), set()
-        for item, text in items:
-            b = words(text)
-            for k in range(max(1, len(b) - n + 1) if b else 0):
-                window = b[k:k + n]
-                for s in range(len(w) - len(window) + 1):
-                    if w[s:s + len(window)] == window:
-                        hit.update(range(s, s + len(window)))
-                        names.add(item)
+        for size in {len(x) for x in windows}:
+            for s in range(len(w) - size + 1):
+                if found := windows.get(tuple(w[s:s + size])):
+                    hit.update(range(s, s + size))
+                    names |= found
         out.append((i, len(w), len(hit), sorted(names)))
     return sorted(out, key=repr)
 
