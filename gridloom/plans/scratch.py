@@ -16,18 +16,30 @@ def scratch_root(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def _files(spark: SparkSession, folder: str):
+    """Hadoop's path and file system of a folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def scratch_folder(spark: SparkSession, what: str) -> str:
     """A new folder for intermediate rows, removed when the session's JVM ends."""
     folder = f"{scratch_root(spark)}/gridloom-{what}-{uuid.uuid4()}"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    path, files = _files(spark, folder)
     files.mkdirs(path)
     files.deleteOnExit(path)
     return folder
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """The same rows, read back from a table written once."""
-    folder = f"{scratch_folder(df.sparkSession, what)}/rows"
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Removes a scratch folder ahead of time, when no frame reads from it any more."""
+    path, files = _files(spark, folder)
+    files.delete(path, True)
+
+
+def written(df: DataFrame, what: str, under: str | None = None) -> DataFrame:
+    """The same rows, read back from a table written once, in a scratch folder of its own or ``under`` another."""
+    spark = df.sparkSession
+    folder = f"{under}/{what}-{uuid.uuid4()}" if under else f"{scratch_folder(spark, what)}/rows"
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
