@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from gridloom.llm.bloom import build_bits, log_blocks, probe
 from gridloom.llm.components import components
 from gridloom.llm.words import LOWER, NOT_SPACE, find_words, mixed, multipliers, row_slices, sequence_hashes, text_bytes, word_hashes
-from gridloom.plans.scratch import written
+from gridloom.plans.scratch import drop_folder, scratch_folder, written
 
 #: Words in a shingle.
 SHINGLE = 5
@@ -127,25 +127,27 @@ def near_duplicates(docs: DataFrame, similar: tuple[int, int] = (80, 100), id_co
     classes = written(digests.where("n_shingles > 0").groupBy("fp1", "fp2").agg(
         F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
 
+    work = scratch_folder(spark, "near-duplicates")
     # Buckets that more than one class is in, and the pivot of each: the class that meets most others in its buckets.
     in_bands = classes.select("rep", F.explode("bands").alias("key"))
     full = in_bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    members = written(in_bands.join(full, "key"), "buckets")
+    members = written(in_bands.join(full, "key"), "buckets", work)
     met = members.groupBy("rep").agg(F.sum("size").alias("met"))
     pivots = members.join(met, "rep").groupBy("key").agg(F.max(F.struct("met", "rep")).alias("p")).selectExpr("key", "p.rep AS pivot")
-    pairs = written(members.join(pivots, "key").select("rep", "pivot").distinct(), "pairs")
+    pairs = written(members.join(pivots, "key").select("rep", "pivot").distinct(), "pairs", work)
 
-    sets = written(full_sets(texts, pairs.select("rep").distinct()), "sets")
-    checked = written(with_sets(pairs, "rep", "pivot", sets).mapInArrow(check_pairs(num, den), CHECKED), "checked")
+    sets = written(full_sets(texts, pairs.select("rep").distinct()), "sets", work)
+    checked = written(with_sets(pairs, "rep", "pivot", sets).mapInArrow(check_pairs(num, den), CHECKED), "checked", work)
     links = checked.where("linked AND rep <> pivot").selectExpr("rep AS a", "pivot AS b")
-    found = written(components(links), "found")
+    found = written(components(links, work), "found", work)
 
-    rest = rest_pairs(checked, found, sets, num, den)
+    rest = rest_pairs(checked, found, sets, num, den, work)
     more = with_sets(rest, "rep", "pivot", sets).mapInArrow(check_pairs(num, den), CHECKED).where("linked").selectExpr("rep AS a", "pivot AS b")
-    more = written(more, "more-links")
+    more = written(more, "more-links", work)
     if not more.isEmpty():
-        grown = components(links.unionByName(more))
-        found = written(grown, "found")
+        found = components(links.unionByName(more), work)
+    found = written(found, "found")
+    drop_folder(spark, work)  # what follows reads digests, classes and components only
 
     reached = digests.where("n_shingles > 0").select("doc_id", "n_shingles", "fp1", "fp2").join(
         classes.select("fp1", "fp2", "rep"), ["fp1", "fp2"]
@@ -245,7 +247,7 @@ def prefixes(sets: DataFrame, counts: np.ndarray, num: int, den: int) -> DataFra
     return sets.select("rep", "shingles").mapInArrow(first, "rep long, n long, prefix array<long>")
 
 
-def rest_pairs(checked: DataFrame, found: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def rest_pairs(checked: DataFrame, found: DataFrame, sets: DataFrame, num: int, den: int, under: str) -> DataFrame:
     """Pairs of documents in different components that may yet be linked: an exact join on the sets' prefixes.
 
     Only documents of pivots whose documents are in several components matter, and of their shingles only those met in
@@ -254,13 +256,13 @@ def rest_pairs(checked: DataFrame, found: DataFrame, sets: DataFrame, num: int,
     """
     placed = checked.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "pivot", F.coalesce("component", "rep").alias("c"))
     torn = placed.groupBy("pivot").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("pivot")
-    wanted = written(placed.join(torn, "pivot").select("rep", "c").distinct(), "torn")
+    wanted = written(placed.join(torn, "pivot").select("rep", "c").distinct(), "torn", under)
     if wanted.isEmpty():
         return checked.where("false").select("rep", "pivot")
-    entries = written(prefixes(sets, slot_counts(sets), num, den).join(wanted, "rep").select("rep", "n", "c", F.posexplode("prefix").alias("i", "s")), "prefixes")
+    entries = written(prefixes(sets, slot_counts(sets), num, den).join(wanted, "rep").select("rep", "n", "c", F.posexplode("prefix").alias("i", "s")), "prefixes", under)
     held = entries.groupBy("s", "c").agg(F.count("*").alias("k"))
     major = held.groupBy("s").agg(F.max(F.struct("k", "c")).alias("m"), F.count("*").alias("kinds")).where("kinds > 1").selectExpr("s", "m.c AS mc")
-    kept = written(entries.join(major, "s"), "prefixes")
+    kept = written(entries.join(major, "s"), "prefixes", under)
     few = kept.where("c <> mc").selectExpr("s", "rep AS a", "n AS na", "c AS ca", "i AS ia")
     all_ = kept.selectExpr("s", "rep AS b", "n AS nb", "c AS cb", "i AS ib", "c = mc AS major")
     near = few.join(all_, "s").where(

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.bloom import build_bits, log_blocks, probe
 from gridloom.llm.words import LOWER, NOT_SPACE, find_words, rolling_hashes, row_slices, sequence_hashes, text_bytes, word_hashes
-from gridloom.plans.scratch import written
+from gridloom.plans.scratch import drop_folder, scratch_folder, written
 
 #: Words of the shortest passage that counts, and by how much the kept suffix may lie behind its start.
 LEAST, SPREAD = 50, 32
@@ -233,15 +233,17 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     all, whose findings are given together under their id; other columns are ignored; an empty table gives no rows.
     """
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    order = ("h", "doc_id", "at")
-    sparse = written(suffixes(texts), "suffixes")
-    heads = written(sparse.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(shared_heads, "h long"), "heads")
+    spark, order = docs.sparkSession, ("h", "doc_id", "at")
+    work = scratch_folder(spark, "repeats")
+    sparse = written(suffixes(texts), "suffixes", work)
+    heads = written(sparse.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(shared_heads, "h long"), "heads", work)
     power = log_blocks(heads.count())
-    runs = written(extended(texts, build_bits(heads, power), power), "runs")
+    runs = written(extended(texts, build_bits(heads, power), power), "runs", work)
     # Equal stretches keep the same suffix, so its head may come first; then a run's stretches meet in one task.
     order = ("g", *order)
     stretch = runs.mapInArrow(one_by_one, "g long, h long, doc_id long, at int")
     found = written(stretch.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(repeated, FOUND_DDL), "repeats")
+    drop_folder(spark, work)
     edges = found.where("places IS NULL").select("h", "doc_id", "at", "many")  # two of each task
     firsts = edges.groupBy("h").agg(F.min(F.struct("doc_id", "at")).alias("first"), (F.max("many") | (F.count("*") > 1)).alias("twice"))
     settled = edges.join(firsts.where("twice"), "h").selectExpr("doc_id", "at", "cast(first.doc_id = doc_id AND first.at = at AS long) AS is_first")
