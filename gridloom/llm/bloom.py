@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from gridloom.llm.words import mixed
+from gridloom.llm.workers import tidied
 
 #: 64-bit words in a block, and bits a key sets (two in each word).
 WORDS, BITS = 4, 8
@@ -46,7 +47,7 @@ def build_bits(frame: DataFrame, power: int) -> np.ndarray:
         slots = np.flatnonzero(bits)
         yield pa.record_batch([pa.array(slots, pa.int64()), pa.array(bits[slots].view(np.int64))], ["slot", "bits"])
 
-    merged = frame.select("h").mapInArrow(parts, "slot long, bits long").groupBy("slot").agg({"bits": "bit_or"})
+    merged = frame.select("h").mapInArrow(tidied(parts), "slot long, bits long").groupBy("slot").agg({"bits": "bit_or"})
     table = merged.toArrow()
     bits = np.zeros(WORDS << power, np.uint64)
     bits[table.column(0).to_numpy()] = table.column(1).to_numpy().view(np.uint64)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.templates import compile_template, unescape
+from gridloom.llm.workers import tidied
 
 START, END = "<|im_start|>", "<|im_end|>"
 
@@ -69,7 +70,7 @@ def format_conversations(conversations: DataFrame, template: str = TEMPLATE) ->
 
     turns = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return ordered.mapInArrow(segments, "conv_id long, part long, text string, learn boolean")
+    return ordered.mapInArrow(tidied(segments), "conv_id long, part long, text string, learn boolean")
 
 
 def read_turns(segments: Iterator[dict]) -> Iterator[tuple[str, str, list[str]]]:
@@ -117,6 +118,5 @@ def digest_conversations(segments: DataFrame) -> DataFrame:
 
         return in_batches(made(), DIGESTS, lambda r: 200)
 
-    return segments.mapInArrow(
-        digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    return segments.mapInArrow(tidied(digests), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     )

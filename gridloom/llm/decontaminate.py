@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.words import ALNUM, LOWER, find_words, row_slices, text_bytes, word_hashes
+from gridloom.llm.workers import tidied
 from gridloom.plans.scratch import written
 
 #: Words in a phrase window.
@@ -73,7 +74,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 block += 1
 
     known = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long"), F.col(text_col))
-    return written(known.mapInArrow(blocks, INDEX_SCHEMA), "positional-index")
+    return written(known.mapInArrow(tidied(blocks), INDEX_SCHEMA), "positional-index")
 
 
 class Block:
@@ -219,7 +220,7 @@ def search(index: DataFrame, items: pa.Table, window: int, reach: int | None) ->
                     pa.array([sorted(x) for x in found_items], pa.list_(pa.int64())),
                 ], ["block", "place", "doc_id", "n_words", "hits", "items"])
 
-    return index.mapInArrow(found, FOUND_SCHEMA)
+    return index.mapInArrow(tidied(found), FOUND_SCHEMA)
 
 
 def united(spans: list[dict]) -> list[dict]:
@@ -245,7 +246,7 @@ def merge_passes(found: DataFrame) -> DataFrame:
             hits = pa.array([united(x) for x in batch.column("hits").to_pylist()], SPANS)
             yield batch.set_column(batch.schema.get_field_index("hits"), "hits", hits)
 
-    return hit.mapInArrow(unite, FOUND_SCHEMA)
+    return hit.mapInArrow(tidied(unite), FOUND_SCHEMA)
 
 
 FOUND_SCHEMA = ("block long, place long, doc_id long, n_words long, hits array<struct<start: long, length: long>>, "

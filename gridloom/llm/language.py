@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.words import mixed
+from gridloom.llm.workers import tidied
 
 #: Most frequent n-grams (of one to three letters) that make a profile.
 PROFILE = 300
@@ -136,7 +137,7 @@ def learn_profiles(labelled: DataFrame, text_col: str = "text", lang_col: str =
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), pa.array(gram), pa.array(n)],
                                                      ["lang", "gram", "n"])
 
-    counted = taken.select(F.col(lang_col).cast("string"), text_col).mapInArrow(count, "lang string, gram long, n long")
+    counted = taken.select(F.col(lang_col).cast("string"), text_col).mapInArrow(tidied(count), "lang string, gram long, n long")
     totals = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     ranks = totals.selectExpr("lang", "gram", "cast(row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) - 1 AS int) AS rank")
     return Profiles([tuple(r) for r in ranks.where(F.col("rank") < most).collect()], most)
@@ -160,4 +161,4 @@ def identify_languages(docs: DataFrame, profiles: Profiles, id_col: str = "doc_i
     columns = [text_col, id_col, *(c for c in keep if c != id_col)]
     rows = docs.select(F.col(text_col).alias("_text"), *(F.col(c) for c in columns[1:]))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
-    return rows.mapInArrow(predict, f"{schema}, lang_pred string, score double")
+    return rows.mapInArrow(tidied(predict), f"{schema}, lang_pred string, score double")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from gridloom.llm.bloom import build_bits, log_blocks, probe
 from gridloom.llm.components import components
 from gridloom.llm.words import LOWER, NOT_SPACE, find_words, mixed, multipliers, row_slices, sequence_hashes, text_bytes, word_hashes
+from gridloom.llm.workers import tidied
 from gridloom.plans.scratch import drop_folder, scratch_folder, written
 
 #: Words in a shingle.
@@ -123,7 +124,7 @@ def near_duplicates(docs: DataFrame, similar: tuple[int, int] = (80, 100), id_co
                 ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("bands", pa.list_(pa.int64()))]))
 
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    digests = written(texts.mapInArrow(digest, "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>"), "sketches")
+    digests = written(texts.mapInArrow(tidied(digest), "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>"), "sketches")
     classes = written(digests.where("n_shingles > 0").groupBy("fp1", "fp2").agg(
         F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
 
@@ -137,12 +138,12 @@ def near_duplicates(docs: DataFrame, similar: tuple[int, int] = (80, 100), id_co
     pairs = written(members.join(pivots, "key").select("rep", "pivot").distinct(), "pairs", work)
 
     sets = written(full_sets(texts, pairs.select("rep").distinct()), "sets", work)
-    checked = written(with_sets(pairs, "rep", "pivot", sets).mapInArrow(check_pairs(num, den), CHECKED), "checked", work)
+    checked = written(with_sets(pairs, "rep", "pivot", sets).mapInArrow(tidied(check_pairs(num, den)), CHECKED), "checked", work)
     links = checked.where("linked AND rep <> pivot").selectExpr("rep AS a", "pivot AS b")
     found = written(components(links, work), "found", work)
 
     rest = rest_pairs(checked, found, sets, num, den, work)
-    more = with_sets(rest, "rep", "pivot", sets).mapInArrow(check_pairs(num, den), CHECKED).where("linked").selectExpr("rep AS a", "pivot AS b")
+    more = with_sets(rest, "rep", "pivot", sets).mapInArrow(tidied(check_pairs(num, den)), CHECKED).where("linked").selectExpr("rep AS a", "pivot AS b")
     more = written(more, "more-links", work)
     if not more.isEmpty():
         found = components(links.unionByName(more), work)
@@ -177,7 +178,7 @@ def full_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pylist(ready, SETS)
 
     hashed = texts.select("doc_id", "text", F.xxhash64("doc_id").alias("h"))
-    return hashed.mapInArrow(chosen, "rep long, shingles binary, registers binary")
+    return hashed.mapInArrow(tidied(chosen), "rep long, shingles binary, registers binary")
 
 
 SETS = pa.schema([("rep", pa.int64()), ("shingles", pa.binary()), ("registers", pa.binary())])
@@ -220,7 +221,7 @@ def slot_counts(sets: DataFrame) -> np.ndarray:
         full = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(total[full])], ["slot", "n"])
 
-    rows = sets.select("shingles").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    rows = sets.select("shingles").mapInArrow(tidied(count), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(SLOTS, np.int64)
     counts[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
     return counts
@@ -244,7 +245,7 @@ def prefixes(sets: DataFrame, counts: np.ndarray, num: int, den: int) -> DataFra
                 made.append(own[order[:len(own) - -(-num * len(own) // den) + 1]].view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(made, pa.list_(pa.int64()))], ["rep", "n", "prefix"])
 
-    return sets.select("rep", "shingles").mapInArrow(first, "rep long, n long, prefix array<long>")
+    return sets.select("rep", "shingles").mapInArrow(tidied(first), "rep long, n long, prefix array<long>")
 
 
 def rest_pairs(checked: DataFrame, found: DataFrame, sets: DataFrame, num: int, den: int, under: str) -> DataFrame:

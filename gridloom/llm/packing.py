@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.tokens import open_tokenizer
+from gridloom.llm.workers import tidied
 
 #: Tokens in a sequence.
 WINDOW = 4096
@@ -165,4 +166,4 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW
         yield pa.RecordBatch.from_pylist(ready, PIECES)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col))
-    return rows.mapInArrow(pieces, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    return rows.mapInArrow(tidied(pieces), "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.bloom import build_bits, log_blocks, probe
 from gridloom.llm.words import LOWER, NOT_SPACE, find_words, rolling_hashes, row_slices, sequence_hashes, text_bytes, word_hashes
+from gridloom.llm.workers import tidied
 from gridloom.plans.scratch import drop_folder, scratch_folder, written
 
 #: Words of the shortest passage that counts, and by how much the kept suffix may lie behind its start.
@@ -70,7 +71,7 @@ def suffixes(texts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(heads.view(np.int64)), pa.array(ids[a + row]), pa.array((kept - first[row]).astype(np.int32))],
                                                  ["h", "doc_id", "at"])
 
-    return texts.mapInArrow(make, "h long, doc_id long, at int")
+    return texts.mapInArrow(tidied(make), "h long, doc_id long, at int")
 
 
 def shared_heads(batches) -> Iterator[pa.RecordBatch]:
@@ -112,7 +113,7 @@ def extended(texts: DataFrame, bits: np.ndarray, power: int) -> DataFrame:
                     pa.array(heads[new].view(np.int64)), pa.array(ids[a + row[new]]), pa.array((start[new] - first[row[new]]).astype(np.int32)),
                     pa.array(made, pa.binary())], ["g", "doc_id", "at", "hashes"])
 
-    return texts.mapInArrow(make, "g long, doc_id long, at int, hashes binary")
+    return texts.mapInArrow(tidied(make), "g long, doc_id long, at int, hashes binary")
 
 
 def one_by_one(batches) -> Iterator[pa.RecordBatch]:
@@ -236,13 +237,13 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     spark, order = docs.sparkSession, ("h", "doc_id", "at")
     work = scratch_folder(spark, "repeats")
     sparse = written(suffixes(texts), "suffixes", work)
-    heads = written(sparse.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(shared_heads, "h long"), "heads", work)
+    heads = written(sparse.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(tidied(shared_heads), "h long"), "heads", work)
     power = log_blocks(heads.count())
     runs = written(extended(texts, build_bits(heads, power), power), "runs", work)
     # Equal stretches keep the same suffix, so its head may come first; then a run's stretches meet in one task.
     order = ("g", *order)
-    stretch = runs.mapInArrow(one_by_one, "g long, h long, doc_id long, at int")
-    found = written(stretch.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(repeated, FOUND_DDL), "repeats")
+    stretch = runs.mapInArrow(tidied(one_by_one), "g long, h long, doc_id long, at int")
+    found = written(stretch.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(tidied(repeated), FOUND_DDL), "repeats")
     drop_folder(spark, work)
     edges = found.where("places IS NULL").select("h", "doc_id", "at", "many")  # two of each task
     firsts = edges.groupBy("h").agg(F.min(F.struct("doc_id", "at")).alias("first"), (F.max("many") | (F.count("*") > 1)).alias("twice"))
@@ -252,9 +253,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         for batch in batches:
             yield packed(*(c.to_numpy() for c in batch.columns))
 
-    more = settled.mapInArrow(pack_rows, FOUND_DDL)
+    more = settled.mapInArrow(tidied(pack_rows), FOUND_DDL)
     by_doc = found.where("places IS NOT NULL").unionByName(more).groupBy("doc_id").agg(F.collect_list("places").alias("places"))
-    return by_doc.mapInArrow(spans_of, "doc_id long, repeats array<struct<start: long, length: long>>, cuts array<struct<start: long, length: long>>")
+    return by_doc.mapInArrow(tidied(spans_of), "doc_id long, repeats array<struct<start: long, length: long>>, cuts array<struct<start: long, length: long>>")
 
 
 def cut_repeats(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -270,7 +271,7 @@ def cut_repeats(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_
             made = pa.array([without(x, c) if c else x for x, c in zip(texts, cuts)], pa.string())
             yield pa.RecordBatch.from_arrays([made if k == place else batch.column(k) for k in range(len(names))], names)
 
-    return joined.select(*(docs[f"`{c}`"] for c in names), "cuts").mapInArrow(cut, docs.schema)
+    return joined.select(*(docs[f"`{c}`"] for c in names), "cuts").mapInArrow(tidied(cut), docs.schema)
 
 
 def without(text: str, cuts: list[dict]) -> str:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.words import LOWER, NOT_SPACE, find_words, row_slices, text_bytes
+from gridloom.llm.workers import tidied
 
 #: Characters of a chunk, and by which neighbouring chunks overlap at first.
 CHUNK, OVERLAP = 1 << 16, 256
@@ -290,4 +291,4 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, chunk: int = CHUNK, overl
 
     size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col), size)
-    return rows.mapInArrow(counts, "doc_id long, n_bytes long, n_tokens long, n_chunks long, n_widened long")
+    return rows.mapInArrow(tidied(counts), "doc_id long, n_bytes long, n_tokens long, n_chunks long, n_widened long")

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.llm.workers import tidied
 from gridloom.plans.scratch import scratch_folder, written
 
 #: Vectors looked at to choose pivots and first thresholds, about; pivots of vectors of one length.
@@ -111,9 +112,9 @@ def build_index(whole: DataFrame) -> tuple[DataFrame, dict]:
             if ready:
                 yield annulus(dim, pivot, ready)
 
-    rows = written(whole.mapInArrow(keyed, "vec_id long, dim int, pivot int, away double, v binary"), "keyed-vectors")
+    rows = written(whole.mapInArrow(tidied(keyed), "vec_id long, dim int, pivot int, away double, v binary"), "keyed-vectors")
     ordered = rows.repartitionByRange("dim", "pivot", "away", "vec_id").sortWithinPartitions("dim", "pivot", "away", "vec_id")
-    return written(ordered.mapInArrow(annuli, "dim int, pivot int, low double, high double, ids binary, vectors binary"), "annuli"), spaces
+    return written(ordered.mapInArrow(tidied(annuli), "dim int, pivot int, low double, high double, ids binary, vectors binary"), "annuli"), spaces
 
 
 def annulus(dim: int, pivot: int, rows: list[dict]) -> pa.RecordBatch:
@@ -189,7 +190,7 @@ def search(index: DataFrame, spaces: dict, queries: pa.Table, k: int) -> DataFra
             rows = block.found[0]
             yield pa.RecordBatch.from_arrays([pa.array(block.ids[rows[:, 0]]), pa.array(rows[:, 1]), pa.array(rows[:, 2])], ["query_id", "vec_id", "score"])
 
-    return index.mapInArrow(visit, "query_id long, vec_id long, score long")
+    return index.mapInArrow(tidied(visit), "query_id long, vec_id long, score long")
 
 
 def top_k(vectors: DataFrame, is_query: str, k: int = 20, scale: float = 64, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.bloom import build_bits, log_blocks, probe
 from gridloom.llm.words import text_bytes, word_hashes
+from gridloom.llm.workers import tidied
 
 
 def split_url(url: str = "url") -> tuple:
@@ -62,7 +63,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
         for batch in batches:
             yield pa.record_batch([pa.array(hashed(batch.column(0).to_pylist()).view(np.int64))], ["h"])
 
-    bits = build_bits(listed.select("rule").mapInArrow(hash_rules, "h long"), power)
+    bits = build_bits(listed.select("rule").mapInArrow(tidied(hash_rules), "h long"), power)
 
     def possible(batches):
         for batch in batches:
@@ -82,7 +83,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     if url in ("host", "path"):
         named = named.drop(url)
     keys = named.select("_h", "_p").where("_h <> ''").distinct()
-    hits = keys.mapInArrow(possible, "host string, path string, rule string").join(listed.select("rule", "verdict"), "rule")
+    hits = keys.mapInArrow(tidied(possible), "host string, path string, rule string").join(listed.select("rule", "verdict"), "rule")
     best = hits.groupBy("host", "path").agg(
         F.min(F.struct((-F.length("rule")).alias("n"), "rule", "verdict")).alias("best")
     ).selectExpr("host AS _h", "path AS _p", "best.rule AS rule", "best.verdict AS verdict")
