@@ -33,6 +33,9 @@ BASE, RATE = 1.001, 20.0
 #: Counters by which frequent shingles are told from rare ones; any counts give right results.
 SLOTS = 1 << 16
 
+#: Parts of the way back from the largest possible similarity to the least one asked for.
+FINE = np.concatenate([np.linspace(1, 0, 33), 2.0 ** -np.arange(6, 40)])
+
 #: A candidate is dropped unseen only if its sketches are less likely, by this many nats, than at their best similarity.
 NATS = 18.0
 
@@ -77,10 +80,15 @@ def similarity(one: np.ndarray, other: np.ndarray, n_one: int, n_other: int, at_
     """(most likely similarity, may it be ``at_least``) of two sets of known sizes.
 
     Jointly by how often one register is larger, smaller or equal: each has a known probability at each similarity.
+    Weighed at even steps up to the most that the sizes allow and, from ``at_least`` to there, at ever finer ones: near
+    that end the probability of 'the smaller set's register is larger' goes to 0, and one such register decides.
     """
     u = n_one / (n_one + n_other)
     v = 1 - u
-    grid = np.linspace(0, min(u / v, v / u), 201)
+    most = min(u / v, v / u)
+    room = max(0.0, most - at_least)
+    fine = most - room * FINE if at_least <= most + 1e-9 else np.zeros(0)
+    grid = np.concatenate([np.linspace(0, most, 201), fine])
     above, below = (one > other).sum(), (one < other).sum()
 
     def part(x):

@@ -13,7 +13,7 @@ from gridloom.llm.chat import TEMPLATE, digest_conversations, format_conversatio
 from gridloom.llm.components import components
 from gridloom.llm.decontaminate import decontaminate
 from gridloom.llm.language import identify_languages, learn_profiles
-from gridloom.llm.neardup import REGISTERS, merged, near_duplicates, similarity, sketch
+from gridloom.llm.neardup import REGISTERS, check_pairs, merged, near_duplicates, similarity, sketch
 from gridloom.llm.packing import best_cuts, pack
 from gridloom.llm.templates import TemplateError, compile_template, escape, escape_line, parse, unescape
 from gridloom.llm.tokens import LibraryTokenizer, WordTokenizer, count_tokens, spliced_count, splits_at_white_space
@@ -301,3 +301,17 @@ def test_toxicity_of_odd_texts(spark):
     assert all(r["predicted"] == (r["doc_id"] % 2) for r in rows if r["doc_id"] and r["doc_id"] >= 100)
     untaught = score_toxicity(docs, learn_toxicity(docs, labels.where("toxic = 0"))).collect()
     assert {(r["score"], r["predicted"]) for r in untaught} == {(0.0, 0)}
+
+
+@pytest.mark.parametrize("n, other, both, similar", [(1000, 1171, 998, (85, 100)), (1000, 1245, 998, (80, 100))])
+def test_links_at_the_largest_similarity_their_sizes_allow(n, other, both, similar):
+    """Sizes whose ratio is just above the threshold: full sets decide, whatever single registers say."""
+    rows = []
+    for seed in range(150):
+        shingles = np.random.default_rng(seed).integers(0, 2**64, n + other - both, dtype=np.uint64)
+        a, b = np.sort(shingles[:n]), np.sort(shingles[n - both:])
+        rows += [(seed, seed, a.tobytes(), sketch(a).tobytes(), b.tobytes(), sketch(b).tobytes()),
+                 (seed, seed, b.tobytes(), sketch(b).tobytes(), a.tobytes(), sketch(a).tobytes())]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["rep", "pivot", "s1", "r1", "s2", "r2"])
+    (got,) = check_pairs(*similar)([batch])
+    assert similar[1] * both >= similar[0] * (n + other - both) and all(got.column("linked").to_pylist())
