@@ -315,3 +315,12 @@ def test_links_at_the_largest_similarity_their_sizes_allow(n, other, both, simil
     batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["rep", "pivot", "s1", "r1", "s2", "r2"])
     (got,) = check_pairs(*similar)([batch])
     assert similar[1] * both >= similar[0] * (n + other - both) and all(got.column("linked").to_pylist())
+
+
+def test_toxicity_counts_labels_of_given_documents_only(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr("gridloom.llm.toxicity.ToxicityModel", lambda sample, shares: taken.append((len(sample), shares)))
+    docs = documents(spark, [(k, "plain words" + " vile" * (k % 2), "en") for k in range(100)] + [(k, None, "en") for k in range(100, 200)])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(400)], "doc_id long, toxic int")
+    learn_toxicity(docs, labels, {1: 50, 0: 50})
+    assert taken == [(100, {0: 1.0, 1: 1.0})]
