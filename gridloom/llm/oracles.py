@@ -80,4 +80,34 @@ WITH e AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
-ORACLES = {"op6_top_k": _TOP, "op5_near_duplicates": _NEAR, "op7_chat_format": _CHAT, "op1_url_filter": _URL, "op2_decontamination": _LEAKS}
+_DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+k AS (SELECT lang, term, count(*) AS total FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+v AS (SELECT lang, count(*) AS v, sum(total) AS nl FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+ng AS (SELECT lang, source, sum(n) AS n_own FROM c JOIN k USING (lang, term) GROUP BY ALL),
+x AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)) // (coalesce(n_own, 0) + 5 * v) AS p,
+         1 + (1000000000::HUGEINT * (total + 5)) // (nl + 5 * v) AS q
+  FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN ng USING (lang, source) LEFT JOIN c USING (lang, source, term)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+), far AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM x a JOIN x b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), parts AS (
+  SELECT lang, source, 'pair' AS part, item, coalesce(value, 0)::BIGINT AS value FROM pairs LEFT JOIN far USING (lang, source, item)
+  UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM x WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM parts
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+ORACLES = {"op11_divergence": _DIVERGENCE, "op6_top_k": _TOP, "op5_near_duplicates": _NEAR, "op7_chat_format": _CHAT, "op1_url_filter": _URL, "op2_decontamination": _LEAKS}

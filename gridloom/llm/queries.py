@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.chat import digest_conversations, format_conversations
 from gridloom.llm.decontaminate import decontaminate
+from gridloom.llm.divergence import source_divergence
 from gridloom.llm.language import identify_languages, learn_profiles
 from gridloom.llm.neardup import near_duplicates
 from gridloom.llm.packing import pack
@@ -102,4 +103,8 @@ def op10_token_counts(spark, sf):
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"), "n_chunks", "n_widened")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_decontamination, op3_language_id, op4_repeated_passages, op5_near_duplicates, op6_top_k, op7_chat_format, op8_packing, op9_toxicity, op10_token_counts)}
+def op11_divergence(spark, sf):
+    return source_divergence(table(spark, sf, "documents"), min_docs=30, top=50)
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_decontamination, op3_language_id, op4_repeated_passages, op5_near_duplicates, op6_top_k, op7_chat_format, op8_packing, op9_toxicity, op10_token_counts, op11_divergence)}
