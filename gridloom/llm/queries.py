@@ -17,6 +17,7 @@ from gridloom.llm.repeats import repeated_passages
 from gridloom.llm.topk import top_k
 from gridloom.llm.toxicity import learn_toxicity, score_toxicity
 from gridloom.llm.urls import judge_urls
+from gridloom.llm.whitening import whitened_vectors
 
 
 def table(spark, sf: str, name: str) -> DataFrame:
@@ -107,4 +108,8 @@ def op11_divergence(spark, sf):
     return source_divergence(table(spark, sf, "documents"), min_docs=30, top=50)
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_decontamination, op3_language_id, op4_repeated_passages, op5_near_duplicates, op6_top_k, op7_chat_format, op8_packing, op9_toxicity, op10_token_counts, op11_divergence)}
+def op12_whitening(spark, sf):
+    return whitened_vectors(table(spark, sf, "embeddings"), components=16, scale=64, shift=1_000_000)
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_decontamination, op3_language_id, op4_repeated_passages, op5_near_duplicates, op6_top_k, op7_chat_format, op8_packing, op9_toxicity, op10_token_counts, op11_divergence, op12_whitening)}
