@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gridloom.llm.chat import digest_conversations, format_conversations
 from gridloom.llm.decontaminate import decontaminate
 from gridloom.llm.divergence import source_divergence
+from gridloom.llm.interpolation import interpolated_scores
 from gridloom.llm.language import identify_languages, learn_profiles
 from gridloom.llm.neardup import near_duplicates
 from gridloom.llm.packing import pack
@@ -112,4 +113,10 @@ def op12_whitening(spark, sf):
     return whitened_vectors(table(spark, sf, "embeddings"), components=16, scale=64, shift=1_000_000)
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_decontamination, op3_language_id, op4_repeated_passages, op5_near_duplicates, op6_top_k, op7_chat_format, op8_packing, op9_toxicity, op10_token_counts, op11_divergence, op12_whitening)}
+def op13_lm_scores(spark, sf):
+    scored = interpolated_scores(table(spark, sf, "documents"), remainder(10) != 0)
+    held_out = F.coalesce(remainder(10) == 0, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_decontamination, op3_language_id, op4_repeated_passages, op5_near_duplicates, op6_top_k, op7_chat_format, op8_packing, op9_toxicity, op10_token_counts, op11_divergence, op12_whitening, op13_lm_scores)}
