@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +38,22 @@ def drop_folder(spark: SparkSession, folder: str) -> None:
     files.delete(path, True)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Within, Spark removes a query's shuffle files as soon as it ends: for results that are written, hence never worked
+    out again. The session's own setting comes back afterwards."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def written(df: DataFrame, what: str, under: str | None = None) -> DataFrame:
     """The same rows, read back from a table written once, in a scratch folder of its own or ``under`` another."""
     spark = df.sparkSession
