@@ -1,7 +1,8 @@
 """Language-model scores by deleted interpolation: n-gram shares of three orders, mixed by how often their contexts stand.
 
-Texts are cut into chunks that a task can hold. A chunk asks for the counts of its n-grams, all chunks' own counts are
-summed, and only what a chunk does not know by itself goes back to it; so no table of counts is ever in one place.
+Texts are cut into chunks that a task can hold. A chunk sends its distinct n-grams and their counts, by ranges of their
+fingerprints, to tasks that sum them over all chunks, and gets back the counts of the others in the order it sent them.
+So no table of counts is ever in one place, and an n-gram travels as a few bytes: sorted, as distance from the one before.
 """
 
 from __future__ import annotations
@@ -10,18 +11,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from gridloom.llm.words import LOWER, NOT_SPACE, find_words, mixed, row_slices, sequence_hashes, text_bytes, word_hashes
-from gridloom.llm.workers import tidied
-from gridloom.plans.scratch import drop_folder, scratch_folder, written
+from gridloom.llm.workers import tidied, tidied_group
+from gridloom.plans.scratch import drop_folder, scratch_folder, shuffles_dropped, written
 
-#: Bytes of text in a chunk, and in the pieces that longer texts are cut into.
-CHUNK_BYTES, PIECE_BYTES = 8_000_000, 2_000_000
+#: Bytes of text in a chunk, and in the pieces that longer texts are cut into; bytes of text whose n-grams fall into one
+#: range of fingerprints.
+CHUNK_BYTES, PIECE_BYTES, RANGE_BYTES = 12_000_000, 2_000_000, 16_000_000
 
 #: Of the training texts, one in this many is held out for the weights; its n-grams count in the end all the same.
 HELD = 10
@@ -38,50 +39,45 @@ BEGIN, END = np.uint64(1), np.uint64(2)
 #: N-grams are fingerprints with their order in the last two bits; two contexts at a text's begin have 0 there.
 BEGIN_WORD, BEGIN_PAIR = 4, 8
 
-PIECES = "chunk long, row long, doc_id {id}, part int, lead int, last boolean, text binary"
+CHUNKS = "chunk long, size long, pieces binary"
 
 
 def cut_texts(id_type: pa.DataType):
-    """The ``mapInArrow`` function: (doc_id, text, part) → pieces of texts, dealt into chunks of the task.
+    """The ``mapInArrow`` function: (doc_id, text, part) → chunks, each a compressed table of pieces of texts.
 
     A piece that does not begin its text has the two words before it in front (``lead``). Texts held out for weights
     are in chunks of their own, which odd numbers tell."""
+    schema = pa.schema([("row", pa.int64()), ("doc_id", id_type), ("part", pa.int32()), ("lead", pa.int32()), ("last", pa.bool_()), ("text", pa.binary())])
+
+    def closed(chunk: int, rows: list[tuple]) -> pa.RecordBatch:
+        table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            writer.write_table(table)
+        size = sum(len(r[-1]) for r in rows)
+        return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([size], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["chunk", "size", "pieces"])
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         task, row = TaskContext.get().partitionId(), 0
-        filled, number = [0, 0], [0, 0]
-        schema = pa.schema([("chunk", pa.int64()), ("row", pa.int64()), ("doc_id", id_type), ("part", pa.int32()), ("lead", pa.int32()),
-                            ("last", pa.bool_()), ("text", pa.binary())])
+        open_, filled, number = [[], []], [0, 0], [0, 0]
         for batch in batches:
             data, bounds = text_bytes(batch.column(1))
-            parts = batch.column(2).to_pylist()
-            made, of, size = [], [], 0
-            for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+            for doc_id, part, a, b in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist()):
+                held = int(part == 2)
                 for lead, last, text in text_pieces(data[a:b]):
-                    held = int(parts[i] == 2)
-                    if filled[held] > CHUNK_BYTES:
-                        filled[held], number[held] = 0, number[held] + 1
+                    open_[held].append(((task << 33) + row, doc_id, part, lead, last, text))
                     filled[held] += len(text) + 64
-                    made.append({"chunk": ((task << 31 | number[held]) << 1) + held, "row": (task << 33) + row, "part": parts[i],
-                                 "lead": lead, "last": last, "text": text})
-                    of.append(i)
-                    size += len(text)
-                    if size > CHUNK_BYTES:
-                        yield _pieces(batch, made, of, schema)
-                        made, of, size = [], [], 0
+                    if filled[held] >= CHUNK_BYTES:
+                        yield closed(((task << 31 | number[held]) << 1) + held, open_[held])
+                        open_[held], filled[held], number[held] = [], 0, number[held] + 1
                 row += 1
-            if made:
-                yield _pieces(batch, made, of, schema)
+        for held in (0, 1):
+            if open_[held]:
+                yield closed(((task << 31 | number[held]) << 1) + held, open_[held])
 
     return run
 
 
-def _pieces(batch: pa.RecordBatch, made: list[dict], of: list[int], schema: pa.Schema) -> pa.RecordBatch:
-    columns = {name: pa.array([m[name] for m in made], schema.field(name).type) for name in schema.names if name != "doc_id"}
-    columns["doc_id"] = batch.column(0).take(pa.array(of))
-    return pa.RecordBatch.from_arrays([columns[n] for n in schema.names], schema=schema)
-
-
 def text_pieces(data: np.ndarray) -> Iterator[tuple[int, bool, bytes]]:
     """(words in front, is it the last, bytes) of a text's pieces."""
     if len(data) <= PIECE_BYTES:
@@ -134,41 +130,106 @@ class Grams:
         ends = at[self.scored]
         self.three = sequence_hashes(sequence, 3, seed=203)[ends - 2] | tag if len(ends) else ends.astype(np.uint64)
 
-    def counted(self, train: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-        """The distinct n-grams, for each of one, two, three (in a row) which it is, and how often pieces to be learned
-        from have it. A text's begin counts as an n-gram, to be the context of its first words."""
-        coded = pa.array(np.concatenate([self.one, self.two, self.three]).view(np.int64)).dictionary_encode()
-        which = coded.indices.to_numpy()
-        known = (self.scored | self.begins) & train[self.piece]
-        weights = np.concatenate([known, known, train[self.piece[self.scored]]])
-        return coded.dictionary, which, np.bincount(which[weights], minlength=len(coded.dictionary))
+    def distinct(self, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The n-grams in order, and how often pieces to be learned from have each. A text's begin counts as an n-gram, to
+        be the context of its first words."""
+        known, known3 = self.known(train)
+        sets = [np.concatenate([self.one[k], self.two[k], self.three[k3]]) for k, k3 in ((known, known3), (~known, ~known3))]
+        counted, times = np.unique(sets[0], return_counts=True)
+        names = np.union1d(counted, sets[1])
+        n = np.zeros(len(names), np.int64)
+        n[np.searchsorted(names, counted)] = times
+        return names, n
+
+    def known(self, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of one and two, and which of three, are learned from."""
+        mine = train[self.piece]
+        return (self.scored | self.begins) & mine, mine[self.scored]
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 up in few bytes: all first bytes, then all second ones and so on, as far as any is not 0."""
+    width = max(1, -(-int(numbers.max()).bit_length() // 8)) if len(numbers) else 1
+    planes = np.ascontiguousarray(numbers.astype(np.uint64).view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return bytes([width]) + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, size: int) -> np.ndarray:
+    width = data[0]
+    planes = np.frombuffer(pa.decompress(data[1:], decompressed_size=size * width, codec="zstd", asbytes=True), np.uint8)
+    out = np.zeros((size, 8), np.uint8)
+    out[:, :width] = planes.reshape(width, size).T
+    return out.view(np.uint64).ravel()
+
+
+def range_starts(ranges: int) -> list[int]:
+    """Where each of so many even ranges of fingerprints starts; the last two bits stay those of the order."""
+    return [(k << 64) // ranges & ~3 for k in range(ranges)]
 
 
-def _grams(pieces: pa.Table) -> tuple[Grams, np.ndarray]:
-    lead, last, part = (pieces[c].to_numpy() for c in ("lead", "last", "part"))
-    return Grams(pieces["text"].combine_chunks(), lead, last.astype(bool)), part > 0
+def range_cuts(names: np.ndarray, ranges: int) -> np.ndarray:
+    return np.append(np.searchsorted(names, np.array(range_starts(ranges), np.uint64)), len(names))
 
 
-def requests(batches) -> Iterator[pa.RecordBatch]:
-    """(chunk, gram, n) of the chunks a task reads, whose pieces follow one another: its n-grams and its own counts."""
-    held, chunks = [], None
+def _grams(pieces: bytes) -> tuple[Grams, np.ndarray, pa.Table]:
+    with pa.ipc.open_stream(pieces) as reader:
+        table = reader.read_all()
+    lead, last, part = (table[c].to_numpy() for c in ("lead", "last", "part"))
+    return Grams(table["text"].combine_chunks(), lead, last.astype(bool)), part > 0, table
+
+
+SENT = "chunk long, at int, size int, names binary, own binary"
+
+
+def sent_counts(ranges: int):
+    """The ``mapInArrow`` function: each chunk's n-grams and own counts, a row per range."""
+    schema = pa.schema([("chunk", pa.int64()), ("at", pa.int32()), ("size", pa.int32()), ("names", pa.binary()), ("own", pa.binary())])
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        starts = range_starts(ranges)
+        for batch in batches:
+            for chunk, pieces in zip(batch.column(0).to_pylist(), batch.column(1)):
+                grams, train, _ = _grams(pieces.as_buffer())
+                names, n = grams.distinct(train)
+                cuts = range_cuts(names, ranges).tolist()
+                rows = []
+                for at, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+                    if b > a:
+                        steps = np.diff(names[a:b], prepend=np.uint64(starts[at]))
+                        rows.append((chunk, at, b - a, packed(steps), packed(n[a:b])))
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    return run
 
-    def asked():
-        table = pa.concat_tables(held)
-        for chunk in pc.unique(table["chunk"]):
-            grams, train = _grams(table.filter(pc.equal(table["chunk"], chunk)))
-            names, _, n = grams.counted(train)
-            yield pa.RecordBatch.from_arrays([pa.repeat(chunk, len(names)), names, pa.array(n, pa.int64())], ["chunk", "gram", "n"])
 
-    size = 0
-    for batch in batches:
-        held.append(pa.Table.from_batches([batch]))
-        size += batch.nbytes
-        if size > 2 * CHUNK_BYTES:  # parts of a chunk may ask by themselves
-            yield from asked()
-            held, size = [], 0
-    if held:
-        yield from asked()
+ANSWERS = "chunk long, at int, others binary, rest binary, sums array<long>"
+
+
+def sum_counts(sent: pa.Table) -> pa.Table:
+    """Of one range, for each chunk's n-grams in the order sent: the counts of other chunks, and for a chunk held out those
+    of all that are not. ``sums``, in the first row: tokens and distinct tokens, tokens held out, distinct ones of the rest."""
+    sizes = sent["size"].to_pylist()
+    names = np.concatenate([np.cumsum(unpacked(x.as_py(), k)) for x, k in zip(sent["names"], sizes)])
+    own = np.concatenate([unpacked(x.as_py(), k) for x, k in zip(sent["own"], sizes)]).view(np.int64)
+    odd = np.repeat(sent["chunk"].to_numpy() % 2 == 1, sizes)
+    order = np.argsort(names)
+    names = names[order]
+    heads = np.flatnonzero(np.diff(names, prepend=names[0] ^ np.uint64(1)))
+    which = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(names))))
+    total, held = np.add.reduceat(own[order], heads), np.add.reduceat(np.where(odd, own, 0)[order], heads)
+    others, rest = np.empty_like(own), np.empty_like(own)
+    others[order], rest[order] = total[which], (total - held)[which]
+    others -= own
+    word = names[heads] & np.uint64(3) == 1
+    sums = [int(x) for x in (total[word].sum(), (total[word] > 0).sum(), held[word].sum(), (total > held)[word].sum())]
+    cuts = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+    chunks = sent["chunk"].to_pylist()
+    spans = list(zip(cuts[:-1], cuts[1:]))
+    return pa.table({
+        "chunk": sent["chunk"], "at": sent["at"], "others": pa.array([packed(others[a:b]) for a, b in spans], pa.binary()),
+        "rest": pa.array([packed(rest[a:b]) if c % 2 else None for c, (a, b) in zip(chunks, spans)], pa.binary()),
+        "sums": pa.array([sums] + [None] * (len(chunks) - 1), pa.list_(pa.int64())),
+    })
 
 
 def bucket(times: np.ndarray) -> np.ndarray:
@@ -179,20 +240,20 @@ def bucket(times: np.ndarray) -> np.ndarray:
 class Shares:
     """Counts and context counts of a chunk's scored positions."""
 
-    def __init__(self, answers: pa.Table, pieces: pa.Table, held: bool):
+    def __init__(self, answers: pa.Table, pieces: bytes, ranges: int, held: bool):
         """With ``held``, the counts are those without the texts held out, which this chunk is of."""
-        self.grams, train = _grams(pieces)
-        names, which, n = self.grams.counted(train)
-        if held:
-            n = np.zeros_like(n)
-        if answers.num_rows:
-            at = pc.index_in(answers["gram"].combine_chunks(), names).to_numpy(zero_copy_only=False).astype(np.int64)
-            total = answers["total"].to_numpy()
-            n[at] = total - answers["held"].to_numpy() if held else total
-        scored = np.flatnonzero(self.grams.scored)
-        size = len(self.grams.one)
+        grams, train, self.pieces = _grams(pieces)
+        names, which = np.unique(np.concatenate([grams.one, grams.two, grams.three]), return_inverse=True)
+        known, known3 = grams.known(train)
+        cuts = range_cuts(names, ranges)
+        n = np.bincount(which[np.concatenate([known, known, known3])], minlength=len(names))
+        for at, x in zip(answers["at"].to_pylist(), answers["rest" if held else "others"]):
+            told = unpacked(x.as_py(), cuts[at + 1] - cuts[at]).view(np.int64)
+            n[cuts[at]:cuts[at + 1]] = told if held else n[cuts[at]:cuts[at + 1]] + told
+        scored = np.flatnonzero(grams.scored)
+        size = len(grams.one)
         one, two, three = which[:size], which[size:2 * size], which[2 * size:]
-        self.piece = self.grams.piece[scored]
+        self.piece = grams.piece[scored]
         self.c1, self.c2, self.c3 = n[one[scored]], n[two[scored]], n[three]
         self.d2, self.d3 = n[one[scored - 1]], n[two[scored - 1]]
 
@@ -205,13 +266,11 @@ class Shares:
 EVIDENCE = "m1 double, m2 double, m3 double, b2 int, b3 int, times long"
 
 
-def evidence(n: int, v: int):
+def evidence(n: int, v: int, ranges: int):
     """The cogroup function on chunks held out: distinct combinations of what mixing needs, and how often each stands."""
 
-    def run(answers: pa.Table, pieces: pa.Table) -> pa.Table:
-        if not pieces.num_rows:
-            return pa.table({c: pa.array([], t) for c, t in zip(("m1", "m2", "m3", "b2", "b3", "times"), [pa.float64()] * 3 + [pa.int32()] * 2 + [pa.int64()])})
-        m1, m2, m3, b2, b3 = Shares(answers, pieces, True).parts(n, v)
+    def run(answers: pa.Table, chunk: pa.Table) -> pa.Table:
+        m1, m2, m3, b2, b3 = Shares(answers, chunk["pieces"][0].as_buffer(), ranges, True).parts(n, v)
         table = pa.table({"m1": m1, "m2": m2, "m3": m3, "b2": b2.astype(np.int32), "b3": b3.astype(np.int32)})
         found = table.group_by(table.column_names).aggregate([([], "count_all")])
         return found.rename_columns([*table.column_names, "times"]).cast(pa.schema([*table.schema, ("times", pa.int64())]))
@@ -261,16 +320,15 @@ def _shares(sums, by: str, part: str, of: str, before: np.ndarray) -> np.ndarray
 SCORES = "row long, doc_id {id}, n_tokens long, n_known long, base_score double, score double"
 
 
-def scores(n: int, v: int, weights: tuple[np.ndarray, np.ndarray, float], id_type: pa.DataType):
+def scores(n: int, v: int, weights: tuple[np.ndarray, np.ndarray, float], ranges: int, id_type: pa.DataType):
     """The cogroup function: sums of each piece."""
     three, two, one = weights
     one = one if n else 0.0
     schema = pa.schema([("row", pa.int64()), ("doc_id", id_type), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
-    def run(answers: pa.Table, pieces: pa.Table) -> pa.Table:
-        if not pieces.num_rows:
-            return schema.empty_table()
-        shares = Shares(answers, pieces, False)
+    def run(answers: pa.Table, chunk: pa.Table) -> pa.Table:
+        shares = Shares(answers, chunk["pieces"][0].as_buffer(), ranges, False)
+        pieces = shares.pieces
         m1, m2, m3, b2, b3 = shares.parts(n, v)
         p = one * m1 + (1 - one) / (v + 1)
         p = two[b2] * m2 + (1 - two[b2]) * p
@@ -308,26 +366,26 @@ def interpolated_scores(docs: DataFrame, train: Column, id_col: str = "doc_id",
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), part.alias("part"))
     id_ddl = texts.schema["doc_id"].dataType.simpleString()
     id_arrow = to_arrow_schema(texts.schema).field("doc_id").type
-    pieces = written(texts.mapInArrow(tidied(cut_texts(id_arrow)), PIECES.format(id=id_ddl)), "pieces", work)
+    chunks = written(texts.mapInArrow(tidied(cut_texts(id_arrow)), CHUNKS), "chunks", work)
 
-    asked = pieces.mapInArrow(tidied(requests), "chunk long, gram long, n long")
-    over = "OVER (PARTITION BY gram)"  # as many rows as chunks have it
-    told = asked.selectExpr("*", "row_number() OVER (PARTITION BY gram ORDER BY chunk) AS nth").selectExpr(
-        "chunk", "gram", "n", f"sum(n) {over} AS total", f"sum(CASE WHEN chunk % 2 = 1 THEN n ELSE 0 END) {over} AS held",
-        "gram & 3 = 1 AND nth = 1 AS lead")
-    answers = written(told.where("lead OR total <> n OR (chunk % 2 = 1 AND total <> held)"), "answers", work)
-    n, v, n_held, v_rest = answers.where("lead").selectExpr(
-        "coalesce(sum(total), 0)", "count_if(total > 0)", "coalesce(sum(held), 0)", "count_if(total > held)").first()
+    ranges = -(-(chunks.agg(F.sum("size")).first()[0] or 1) // RANGE_BYTES)
+    sent = chunks.select("chunk", "pieces").mapInArrow(tidied(sent_counts(ranges)), SENT)
+    with shuffles_dropped(spark):
+        answers = written(sent.groupBy("at").applyInArrow(tidied_group(sum_counts), ANSWERS), "answers", work)
+    n, v, n_held, v_rest = answers.where("sums IS NOT NULL").selectExpr(*[f"coalesce(sum(sums[{i}]), 0)" for i in range(4)]).first()
 
     def both(where: str, function, ddl: str) -> DataFrame:
-        left = answers.where(where).selectExpr("chunk", "gram", "total", "held")
-        return left.groupBy("chunk").cogroup(pieces.where(where).groupBy("chunk")).applyInArrow(function, ddl)
+        """By chunk, its answers and its pieces: each chunk has both."""
+        left, right = answers.where(where).select("chunk", "at", "others", "rest"), chunks.where(where).select("chunk", "pieces")
+        return left.groupBy("chunk").cogroup(right.groupBy("chunk")).applyInArrow(tidied_group(function), ddl)
 
-    found = written(both("chunk % 2 = 1", evidence(n - n_held, v_rest), EVIDENCE).groupBy("m1", "m2", "m3", "b2", "b3").agg(
-        F.sum("times").alias("times")), "evidence", work)
+    with shuffles_dropped(spark):
+        found = written(both("chunk % 2 = 1", evidence(n - n_held, v_rest, ranges), EVIDENCE).groupBy("m1", "m2", "m3", "b2", "b3").agg(
+            F.sum("times").alias("times")), "evidence", work)
     weights = learn_weights(found, v_rest)
-    per_piece = both("true", scores(n, v, weights, id_arrow), SCORES.format(id=id_ddl))
-    per_text = written(per_piece.groupBy("row").agg(
-        F.first("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]), "scores")
+    per_piece = both("true", scores(n, v, weights, ranges, id_arrow), SCORES.format(id=id_ddl))
+    with shuffles_dropped(spark):
+        per_text = written(per_piece.groupBy("row").agg(
+            F.first("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]), "scores")
     drop_folder(spark, work)
     return per_text.select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")

@@ -8,6 +8,29 @@ import gc
 import pyarrow as pa
 
 
+def _give_back():
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, where it has that
+    if trim is not None:
+        trim(0)
+
+
+def tidied_group(function):
+    """The function for ``applyInArrow`` of one or two groups, giving freed memory back after each group."""
+    if function.__code__.co_argcount == 2:
+        def run(left: pa.Table, right: pa.Table) -> pa.Table:
+            found = function(left, right)
+            _give_back()
+            return found
+    else:
+        def run(group: pa.Table) -> pa.Table:
+            found = function(group)
+            _give_back()
+            return found
+    return run
+
+
 def tidied(function):
     """The function for ``mapInArrow``, giving freed memory back to the system when its task ends.
 
@@ -18,10 +41,6 @@ def tidied(function):
         try:
             yield from function(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, where it has that
-            if trim is not None:
-                trim(0)
+            _give_back()
 
     return run

@@ -149,6 +149,7 @@ def test_pieces(spark, monkeypatch, piece):
     """Texts cut into many pieces and chunks score as if they were not."""
     monkeypatch.setattr(interpolation, "PIECE_BYTES", piece)
     monkeypatch.setattr(interpolation, "CHUNK_BYTES", 3 * piece)
+    monkeypatch.setattr(interpolation, "RANGE_BYTES", 1000 * piece)
     texts = ["one two three four five six seven " * (1 + i % 5) + f"w{i % 3}" for i in range(30)] + TEXTS
     run(spark, texts, [i % 7 > 0 for i in range(len(texts))])
 
