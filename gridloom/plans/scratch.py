@@ -54,9 +54,11 @@ def shuffles_dropped(spark: SparkSession):
             spark.conf.set(name, before)
 
 
-def written(df: DataFrame, what: str, under: str | None = None) -> DataFrame:
-    """The same rows, read back from a table written once, in a scratch folder of its own or ``under`` another."""
+def written(df: DataFrame, what: str, under: str | None = None, **options: str) -> DataFrame:
+    """The same rows, read back from a table written once, in a scratch folder of its own or ``under`` another.
+
+    ``options`` are those of Spark's writer."""
     spark = df.sparkSession
     folder = f"{under}/{what}-{uuid.uuid4()}" if under else f"{scratch_folder(spark, what)}/rows"
-    df.write.parquet(folder)
+    df.write.options(**options).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
