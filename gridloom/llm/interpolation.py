@@ -22,7 +22,7 @@ from gridloom.plans.scratch import drop_folder, scratch_folder, shuffles_dropped
 
 #: Bytes of text in a chunk, and in the pieces that longer texts are cut into; bytes of text whose n-grams fall into one
 #: range of fingerprints.
-CHUNK_BYTES, PIECE_BYTES, RANGE_BYTES = 12_000_000, 2_000_000, 16_000_000
+CHUNK_BYTES, PIECE_BYTES, RANGE_BYTES = 6_000_000, 2_000_000, 8_000_000
 
 #: Of the training texts, one in this many is held out for the weights; its n-grams count in the end all the same.
 HELD = 10
@@ -134,9 +134,9 @@ class Grams:
         """The n-grams in order, and how often pieces to be learned from have each. A text's begin counts as an n-gram, to
         be the context of its first words."""
         known, known3 = self.known(train)
-        sets = [np.concatenate([self.one[k], self.two[k], self.three[k3]]) for k, k3 in ((known, known3), (~known, ~known3))]
-        counted, times = np.unique(sets[0], return_counts=True)
-        names = np.union1d(counted, sets[1])
+        sets = [np.sort(np.concatenate([self.one[k], self.two[k], self.three[k3]])) for k, k3 in ((known, known3), (~known, ~known3))]
+        names, _ = distinct(np.sort(np.concatenate(sets)))
+        counted, times = distinct(sets[0])
         n = np.zeros(len(names), np.int64)
         n[np.searchsorted(names, counted)] = times
         return names, n
@@ -162,6 +162,29 @@ def unpacked(data: bytes, size: int) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
+def distinct(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ones of ordered numbers, and how often each stands. (numpy's own hashes them, which is slower.)"""
+    heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
+    return ordered[heads], np.diff(np.append(heads, len(ordered)))
+
+
+def places(names: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where each of ``wanted`` stands among ``names``, which are in order and hold them all.
+
+    Fingerprints are spread evenly, so that their first bits lead to within a few places."""
+    if not len(names):
+        return np.zeros(0, np.int64)
+    drop = np.uint64(max(0, int(names[-1]).bit_length() - len(names).bit_length()))
+    first = np.cumsum(np.bincount((names >> drop).astype(np.int64)))
+    first = np.concatenate([[0], first[:-1]])
+    at = first[(wanted >> drop).astype(np.int64)]
+    wrong = np.flatnonzero(names[at] != wanted)
+    while len(wrong):
+        at[wrong] += 1
+        wrong = wrong[names[at[wrong]] != wanted[wrong]]
+    return at
+
+
 def range_starts(ranges: int) -> list[int]:
     """Where each of so many even ranges of fingerprints starts; the last two bits stay those of the order."""
     return [(k << 64) // ranges & ~3 for k in range(ranges)]
@@ -212,15 +235,12 @@ def sum_counts(sent: pa.Table) -> pa.Table:
     names = np.concatenate([np.cumsum(unpacked(x.as_py(), k)) for x, k in zip(sent["names"], sizes)])
     own = np.concatenate([unpacked(x.as_py(), k) for x, k in zip(sent["own"], sizes)]).view(np.int64)
     odd = np.repeat(sent["chunk"].to_numpy() % 2 == 1, sizes)
-    order = np.argsort(names)
-    names = names[order]
-    heads = np.flatnonzero(np.diff(names, prepend=names[0] ^ np.uint64(1)))
-    which = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(names))))
-    total, held = np.add.reduceat(own[order], heads), np.add.reduceat(np.where(odd, own, 0)[order], heads)
-    others, rest = np.empty_like(own), np.empty_like(own)
-    others[order], rest[order] = total[which], (total - held)[which]
-    others -= own
-    word = names[heads] & np.uint64(3) == 1
+    all_names, _ = distinct(np.sort(names))
+    which = places(all_names, names)
+    total = np.bincount(which, own).astype(np.int64)  # counts are exact in doubles up to 2**53
+    held = np.bincount(which, np.where(odd, own, 0)).astype(np.int64)
+    others, rest = total[which] - own, (total - held)[which]
+    word = all_names & np.uint64(3) == 1
     sums = [int(x) for x in (total[word].sum(), (total[word] > 0).sum(), held[word].sum(), (total > held)[word].sum())]
     cuts = np.concatenate([[0], np.cumsum(sizes)]).tolist()
     chunks = sent["chunk"].to_pylist()
@@ -243,7 +263,9 @@ class Shares:
     def __init__(self, answers: pa.Table, pieces: bytes, ranges: int, held: bool):
         """With ``held``, the counts are those without the texts held out, which this chunk is of."""
         grams, train, self.pieces = _grams(pieces)
-        names, which = np.unique(np.concatenate([grams.one, grams.two, grams.three]), return_inverse=True)
+        said = np.concatenate([grams.one, grams.two, grams.three])
+        names, _ = distinct(np.sort(said))
+        which = places(names, said)
         known, known3 = grams.known(train)
         cuts = range_cuts(names, ranges)
         n = np.bincount(which[np.concatenate([known, known, known3])], minlength=len(names))
@@ -366,7 +388,7 @@ def interpolated_scores(docs: DataFrame, train: Column, id_col: str = "doc_id",
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), part.alias("part"))
     id_ddl = texts.schema["doc_id"].dataType.simpleString()
     id_arrow = to_arrow_schema(texts.schema).field("doc_id").type
-    chunks = written(texts.mapInArrow(tidied(cut_texts(id_arrow)), CHUNKS), "chunks", work)
+    chunks = written(texts.mapInArrow(tidied(cut_texts(id_arrow)), CHUNKS), "chunks", work, **{"parquet.block.size": str(2 * CHUNK_BYTES)})
 
     ranges = -(-(chunks.agg(F.sum("size")).first()[0] or 1) // RANGE_BYTES)
     sent = chunks.select("chunk", "pieces").mapInArrow(tidied(sent_counts(ranges)), SENT)
