@@ -261,20 +261,29 @@ def rest_pairs(checked: DataFrame, found: DataFrame, sets: DataFrame, num: int,
 
     Only documents of pivots whose documents are in several components matter, and of their shingles only those met in
     several. The most frequent component of a shingle is never paired with itself. Sizes, and places in the prefixes,
-    rule out most of the rest: the first shingle two sets share leaves only so many to share after it.
+    rule out most of the rest: the first shingle two sets share leaves only so many to share after it. A pair comes out
+    where it meets at that first one only, not once more for each shingle it shares.
+
+    Sets that share a passage share all its shingles. Of the shingles that the very same sets have, only the first in
+    order is joined on: as the order is one for all sets, the first that two sets share is always among these.
     """
     placed = checked.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "pivot", F.coalesce("component", "rep").alias("c"))
     torn = placed.groupBy("pivot").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("pivot")
     wanted = written(placed.join(torn, "pivot").select("rep", "c").distinct(), "torn", under)
     if wanted.isEmpty():
         return checked.where("false").select("rep", "pivot")
-    entries = written(prefixes(sets, slot_counts(sets), num, den).join(wanted, "rep").select("rep", "n", "c", F.posexplode("prefix").alias("i", "s")), "prefixes", under)
+    firsts = written(prefixes(sets, slot_counts(sets), num, den).join(wanted, "rep"), "firsts", under)
+    entries = firsts.select("rep", "n", "c", F.posexplode("prefix").alias("i", "s"))
     held = entries.groupBy("s", "c").agg(F.count("*").alias("k"))
     major = held.groupBy("s").agg(F.max(F.struct("k", "c")).alias("m"), F.count("*").alias("kinds")).where("kinds > 1").selectExpr("s", "m.c AS mc")
     kept = written(entries.join(major, "s"), "prefixes", under)
-    few = kept.where("c <> mc").selectExpr("s", "rep AS a", "n AS na", "c AS ca", "i AS ia")
-    all_ = kept.selectExpr("s", "rep AS b", "n AS nb", "c AS cb", "i AS ib", "c = mc AS major")
+    lists = kept.groupBy("s").agg(F.expr("bit_xor(xxhash64(rep)) AS f"), F.count("*").alias("k"), F.min(F.struct("rep", "i")).alias("m"))
+    heads = lists.groupBy("f", "k", "m.rep").agg(F.min(F.struct("m.i", "s")).alias("h")).selectExpr("h.s AS s")
+    headed = kept.join(heads, "s").join(firsts.select("rep", "prefix"), "rep")
+    kept = written(headed.withColumn("before", F.expr("slice(prefix, 1, i)")).drop("prefix"), "prefixes", under)
+    few = kept.where("c <> mc").selectExpr("s", "rep AS a", "n AS na", "c AS ca", "i AS ia", "before AS before_a")
+    all_ = kept.selectExpr("s", "rep AS b", "n AS nb", "c AS cb", "i AS ib", "c = mc AS major", "before AS before_b")
     near = few.join(all_, "s").where(
         f"ca <> cb AND (major OR a < b) AND na * {den} >= nb * {num} AND nb * {den} >= na * {num} "
-        f"AND least(na - ia, nb - ib) * {num + den} >= (na + nb) * {num}")
+        f"AND least(na - ia, nb - ib) * {num + den} >= (na + nb) * {num} AND NOT arrays_overlap(before_a, before_b)")
     return near.selectExpr("least(a, b) AS rep", "greatest(a, b) AS pivot").distinct()
