@@ -46,8 +46,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without passages of 50 words or more that stood before; ``n_chars`` follows the text."""
-    found = repeated_passages(docs)
-    cut = cut_repeats(docs, found.where(F.size("cuts") > 0))
+    # Written, so that no task runs the Python of both steps at once.
+    found = written(repeated_passages(docs).where(F.size("cuts") > 0).select("doc_id", "cuts"), "cuts")
+    cut = cut_repeats(docs, found)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import re
 import sys
 from collections.abc import Iterator
@@ -21,7 +22,7 @@ from gridloom.llm.workers import tidied
 CHUNK, OVERLAP = 1 << 16, 256
 
 #: Distinct words whose ids a task remembers; beyond, it starts afresh.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 120_000
 
 WHITE = " \t\n\r\x0b\x0c"
 _WORD = re.compile(rf"[^{WHITE}]+")
@@ -215,6 +216,7 @@ def open_tokenizer(path: str):
 
     It is kept among the process's modules, as this module itself may travel with each task and go with it.
     """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core; threads of the library keep memory each
     kept = sys.modules.setdefault(KEPT, ModuleType(KEPT))
     if path not in vars(kept):
         setattr(kept, path, (WordTokenizer if splits_at_white_space(path) else LibraryTokenizer)(path))
