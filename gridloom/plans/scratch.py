@@ -39,19 +39,19 @@ def drop_folder(spark: SparkSession, folder: str) -> None:
 
 
 @contextmanager
-def shuffles_dropped(spark: SparkSession):
-    """Within, Spark removes a query's shuffle files as soon as it ends: for results that are written, hence never worked
-    out again. The session's own setting comes back afterwards."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
+def settings(spark: SparkSession, changed: dict[str, str]):
+    """Within, these settings of the session hold for what is run; those before come back afterwards."""
+    before = {name: spark.conf.get(name, None) for name in changed}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def written(df: DataFrame, what: str, under: str | None = None, **options: str) -> DataFrame:
