@@ -18,7 +18,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from gridloom.llm.words import LOWER, NOT_SPACE, find_words, mixed, row_slices, sequence_hashes, text_bytes, word_hashes
 from gridloom.llm.workers import tidied, tidied_group
-from gridloom.plans.scratch import drop_folder, scratch_folder, shuffles_dropped, written
+from gridloom.plans.scratch import drop_folder, scratch_folder, settings, written
 
 #: Bytes of text in a chunk, and in the pieces that longer texts are cut into; bytes of text whose n-grams fall into one
 #: range of fingerprints.
@@ -39,6 +39,9 @@ BEGIN, END = np.uint64(1), np.uint64(2)
 #: N-grams are fingerprints with their order in the last two bits; two contexts at a text's begin have 0 there.
 BEGIN_WORD, BEGIN_PAIR = 4, 8
 
+#: Shuffle files go as soon as a step's result is written, and few chunks are sent to a worker at once.
+LEAN = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(CHUNK_BYTES)}
+
 CHUNKS = "chunk long, size long, pieces binary"
 
 
@@ -52,7 +55,7 @@ def cut_texts(id_type: pa.DataType):
     def closed(chunk: int, rows: list[tuple]) -> pa.RecordBatch:
         table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        with pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 9))) as writer:
             writer.write_table(table)
         size = sum(len(r[-1]) for r in rows)
         return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([size], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["chunk", "size", "pieces"])
@@ -392,7 +395,7 @@ def interpolated_scores(docs: DataFrame, train: Column, id_col: str = "doc_id",
 
     ranges = -(-(chunks.agg(F.sum("size")).first()[0] or 1) // RANGE_BYTES)
     sent = chunks.select("chunk", "pieces").mapInArrow(tidied(sent_counts(ranges)), SENT)
-    with shuffles_dropped(spark):
+    with settings(spark, LEAN):
         answers = written(sent.groupBy("at").applyInArrow(tidied_group(sum_counts), ANSWERS), "answers", work)
     n, v, n_held, v_rest = answers.where("sums IS NOT NULL").selectExpr(*[f"coalesce(sum(sums[{i}]), 0)" for i in range(4)]).first()
 
@@ -401,12 +404,12 @@ def interpolated_scores(docs: DataFrame, train: Column, id_col: str = "doc_id",
         left, right = answers.where(where).select("chunk", "at", "others", "rest"), chunks.where(where).select("chunk", "pieces")
         return left.groupBy("chunk").cogroup(right.groupBy("chunk")).applyInArrow(tidied_group(function), ddl)
 
-    with shuffles_dropped(spark):
+    with settings(spark, LEAN):
         found = written(both("chunk % 2 = 1", evidence(n - n_held, v_rest, ranges), EVIDENCE).groupBy("m1", "m2", "m3", "b2", "b3").agg(
             F.sum("times").alias("times")), "evidence", work)
     weights = learn_weights(found, v_rest)
     per_piece = both("true", scores(n, v, weights, ranges, id_arrow), SCORES.format(id=id_ddl))
-    with shuffles_dropped(spark):
+    with settings(spark, LEAN):
         per_text = written(per_piece.groupBy("row").agg(
             F.first("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]), "scores")
     drop_folder(spark, work)
