@@ -150,7 +150,7 @@ def near_duplicates(docs: DataFrame, similar: tuple[int, int] = (80, 100), id_co
     links = checked.where("linked AND rep <> pivot").selectExpr("rep AS a", "pivot AS b")
     found = written(components(links, work), "found", work)
 
-    rest = rest_pairs(checked, found, sets, num, den, work)
+    rest = likely_pairs(rest_pairs(checked, found, sets, num, den, work), sets, num / den)
     more = with_sets(rest, "rep", "pivot", sets).mapInArrow(tidied(check_pairs(num, den)), CHECKED).where("linked").selectExpr("rep AS a", "pivot AS b")
     more = written(more, "more-links", work)
     if not more.isEmpty():
@@ -199,6 +199,21 @@ def with_sets(pairs: DataFrame, one: str, other: str, sets: DataFrame) -> DataFr
     return pairs.join(left, one).join(right, other).select(one, other, "s1", "r1", "s2", "r2")
 
 
+def likely_pairs(pairs: DataFrame, sets: DataFrame, at_least: float) -> DataFrame:
+    """The pairs that the likelihood of their sketches lets pass: most do not, and their full sets need not be moved."""
+    sizes = sets.select("rep", "registers", F.expr("octet_length(shingles) div 8 AS n"))
+    left = sizes.select("rep", F.col("registers").alias("r1"), F.col("n").alias("n1"))
+    right = sizes.select(F.col("rep").alias("pivot"), F.col("registers").alias("r2"), F.col("n").alias("n2"))
+
+    def chosen(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(c.to_pylist() for c in batch.columns[2:]))
+            may = [similarity(np.frombuffer(r1, np.uint16), np.frombuffer(r2, np.uint16), n1, n2, at_least)[1] for r1, n1, r2, n2 in rows]
+            yield batch.select(["rep", "pivot"]).filter(pa.array(may, pa.bool_()))
+
+    return pairs.join(left, "rep").join(right, "pivot").select("rep", "pivot", "r1", "n1", "r2", "n2").mapInArrow(tidied(chosen), "rep long, pivot long")
+
+
 CHECKED = "rep long, pivot long, linked boolean"
 
 
