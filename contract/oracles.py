@@ -158,7 +158,7 @@ ORACLES = {
         SELECT c_mktsegment, count(*) AS customers, round(sum(c_acctbal), 2) AS balance FROM customer GROUP BY 1""",
     "corrupt_files": """
         SELECT CASE k % 3 WHEN 0 THEN 'ok' WHEN 1 THEN 'corrupt' ELSE 'encrypted' END AS status, count(*) AS files
-        FROM (SELECT DISTINCT c_custkey // 1000 AS k FROM customer) GROUP BY 1""",
+        FROM (SELECT DISTINCT c_custkey // 100 AS k FROM customer) GROUP BY 1""",
     "skip_corrupt": "SELECT c_custkey, c_name FROM customer WHERE (c_custkey // 1000) % 10 = 0",
     "files_glob": """
         SELECT CAST(c_custkey AS DOUBLE) AS c_custkey, c_name, CAST(c_nationkey AS DOUBLE) AS c_nationkey, c_acctbal,
@@ -175,7 +175,9 @@ ORACLES = {
     "header_typed": """
         SELECT CAST(p_partkey AS DOUBLE) AS "2021_5", p_size > 25 AS "TRUE", CAST(p_size AS DOUBLE) AS "01-Jan-2021" FROM part""",
     "header_only_inferred": """
-        SELECT CAST(NULL AS VARCHAR) AS r_regionkey, CAST(NULL AS VARCHAR) AS r_name, 'string' AS r_regionkey_type, 'string' AS r_name_type""",
+        SELECT sheet_name, position, CASE WHEN sheet_name = 'P' THEN 'string' ELSE type END AS type
+        FROM (SELECT DISTINCT o_orderstatus AS sheet_name FROM orders), (VALUES (0, 'double'), (1, 'double'), (2, 'string')) AS c(position, type)""",
+    "large_files": "SELECT o_orderpriority, o_orderkey, o_totalprice FROM orders",
     "flag_inferred": "SELECT CAST(s_suppkey AS DOUBLE) AS s_suppkey, s_name, true AS ok, 2 AS flag_at FROM supplier",
     "flag_not_null": "SELECT event_id, event_id % 3 > 0 AS ok FROM events",
     "stream_ingest": "SELECT event_id, user_id, event_type, value FROM events",

@@ -14,10 +14,11 @@ from gridloom import (
 from gridloom.functions import a1_column, a1_to_rc, cell, clean_name
 from gridloom.functions.text import text
 from gridloom.operators import (
-    build_headers, cells_to_grid, classify_dates, expand_shared_formulas, fill_merged, infer_types, resolve_strings,
+    build_headers, cells_to_grid, classify_dates, expand_shared_formulas, fill_merged, infer_types, resolve_strings, select_sheets,
 )
 from gridloom.plans.scratch import scratch_folder, written
-from gridloom.sources.files import workbook_report
+from gridloom.sources.decode import decode_workbooks
+from gridloom.sources.files import workbook_files, workbook_report
 from gridloom.sources.package import open_workbooks, sheet_catalog
 from gridloom.sources.tables import number_rows, to_cell
 
@@ -409,8 +410,9 @@ def sql_view(spark, sf):
 
 
 def corrupt_files(spark, sf):
-    """Good, cut off and encrypted files: what state each is in."""
-    books = _customer_books(spark, sf)
+    """Good, cut off and encrypted files of a hundred customers: what state each is in."""
+    customers = table(spark, sf, "customer")
+    books = workbook_frame(customers, "c_custkey div 100", customers.columns)
     number = "cast(regexp_extract(path, '[0-9]+', 0) AS int) % 3"
     broken = books.withColumn("content", F.expr(
         f"CASE {number} WHEN 1 THEN substring(content, 1, length div 2) WHEN 2 THEN unhex('D0CF11E0A1B11AE1') ELSE content END"
@@ -510,10 +512,25 @@ def header_typed(spark, sf):
 
 
 def header_only_inferred(spark, sf):
-    """A header without rows: one row of nulls, every column a string."""
-    grid = table_to_grid(table(spark, sf, "region").filter("r_regionkey < 0").select("r_regionkey", "r_name"))
-    rows = read_grid(grid)
-    return rows.selectExpr(*rows.columns, *[f"typeof({c}) AS {c}_type" for c in rows.columns])
+    """The types of a sheet per order status; that of pending orders has a header only, so all its columns are text."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
+    names = [r[0] for r in orders.select("o_orderstatus").distinct().orderBy("o_orderstatus").collect()]
+    grid = table_to_grid(orders.filter("o_orderstatus <> 'P'"), sheet="o_orderstatus", sheets=names,
+                         cells=[to_cell(c, orders.schema[c].dataType, i) for i, c in enumerate(orders.columns[:3])], header=[orders.columns[:3]])
+    out = None
+    for sheet in names:
+        types = infer_types(select_sheets(grid, sheet), WorkbookOptions(max_row_count=0)).selectExpr(f"{text(sheet)} AS sheet_name", "position", "type")
+        out = types if out is None else out.unionByName(types)
+    return out
+
+
+def large_files(spark, sf):
+    """Workbooks decoded by pieces, with texts and merged regions that reach over many of them."""
+    columns = ["o_orderpriority", "o_orderkey", "o_totalprice"]
+    books = workbook_frame(table(spark, sf, "orders").select(*columns), "o_orderkey div 20000", columns, merge="o_orderpriority")
+    files = workbook_files(spark, save_books(books, scratch_folder(spark, "books")))
+    grid = decode_workbooks(files, WorkbookOptions(), scanned=True, spread_bytes=0, piece_bytes=100_000)
+    return read_grid(grid, "o_orderpriority string, o_orderkey long, o_totalprice double")
 
 
 def flag_inferred(spark, sf):
@@ -538,6 +555,7 @@ QUERIES = {
     "merged_overlap": merged_overlap,
     "header_typed": header_typed,
     "header_only_inferred": header_only_inferred,
+    "large_files": large_files,
     "flag_inferred": flag_inferred,
     "flag_not_null": flag_not_null,
     "flagship": flagship,

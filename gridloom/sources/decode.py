@@ -1,33 +1,36 @@
-"""Workbook files → grid rows, in one pass over each file and without a shuffle."""
+"""Workbook files → grid rows, in one pass over each file; only pieces of large files are shuffled."""
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 from pyspark.sql.types import StructType
 
 from gridloom.options import WorkbookOptions
 from gridloom.relations import grid_schema
 from gridloom.sources.files import partition_columns
 from gridloom.sources.inflate import inflate_stage
+from gridloom.sources.pieces import PIECE_ARROW, cut_stage, piece_stage
 from gridloom.sources.package import open_workbooks, select_workbook_sheets
 
-# Files above this size are decoded by several tasks, each taking a share of this many bytes of every sheet.
+# Sheets of files above this size are cut by one task into pieces of about so many bytes of XML, which others decode.
 SPREAD_BYTES = 64 * 1024**2
-SHARE_BYTES = 16 * 1024**2
-MAX_SHARES = 16
+PIECE_BYTES = 4 * 1024**2
 
 
 def decode_workbooks(
-    files: DataFrame, options: WorkbookOptions, row_limit: int | None = None, first_sheet: bool = False, scanned: bool = False
+    files: DataFrame, options: WorkbookOptions, row_limit: int | None = None, first_sheet: bool = False, scanned: bool = False,
+    spread_bytes: int | None = None, piece_bytes: int | None = None,
 ) -> DataFrame:
     """Grid rows of the sheets asked for in ``files(path, content, <partition columns>)``.
 
     ``row_limit`` stops each sheet after that row, and ``first_sheet`` leaves out all but the first sheet
     asked for, as schema inference needs no more. ``scanned`` says that ``files`` is Spark's scan of files, which
-    gives every file a length and reads contents only below its filter on it: then large files are shared between
-    tasks. Any other frame is worked out once, in one branch, whatever its columns hold.
+    gives every file a length and reads contents only below its filter on it: then large files are decoded by pieces,
+    of which a shuffle moves each once, and no file's content; ``spread_bytes`` says which are large, ``piece_bytes`` how
+    much XML a piece has. Any other frame is worked out once, in one branch, whatever its columns hold.
     """
     carry = partition_columns(files)
     sized = scanned and not files.isStreaming and row_limit is None
@@ -47,16 +50,21 @@ def decode_workbooks(
         return chosen.withColumn("sheets", F.expr("slice(sheets, 1, 1)")) if first_sheet else chosen
 
     if not sized:
-        return opened(files).selectExpr(*columns, "0 AS share", "1 AS shares").mapInArrow(stage, schema)
+        return opened(files).selectExpr(*columns).mapInArrow(stage, schema)
     # The filter on length reaches the file scan, so each file's content is read for one branch only.
-    whole = opened(files.filter(f"length <= {SPREAD_BYTES}")).selectExpr(*columns, "0 AS share", "1 AS shares")
-    large = _spread(opened(files.filter(f"length > {SPREAD_BYTES}"), "length"), columns)
-    return whole.mapInArrow(stage, schema).unionByName(large.mapInArrow(stage, schema))
+    limit = SPREAD_BYTES if spread_bytes is None else spread_bytes
+    whole = opened(files.filter(f"length <= {limit}")).selectExpr(*columns)
+    large = opened(files.filter(f"length > {limit}"), "length").selectExpr(*columns)
+    return whole.mapInArrow(stage, schema).unionByName(_by_pieces(large, carry, schema, options, piece_bytes or PIECE_BYTES))
 
 
-def _spread(large: DataFrame, columns: list[str]) -> DataFrame:
-    """One record per sheet and share of a large workbook, over as many tasks."""
-    split = large.withColumn("shares", F.expr(f"cast(least({MAX_SHARES}, ceil(length / {SHARE_BYTES})) AS int)"))
-    sheets = split.withColumn("_sheet", F.explode("sheets")).withColumn("sheets", F.expr("array(_sheet)"))
-    shared = sheets.selectExpr(*columns, "shares", "explode(sequence(0, shares - 1)) AS share")
-    return shared.repartition("file", "sheets", "share")
+def _by_pieces(large: DataFrame, carry: list[str], schema: StructType, options: WorkbookOptions, piece_bytes: int) -> DataFrame:
+    """Grid rows of large workbooks: cut in one pass each, dealt out, decoded."""
+    formulas, ignore = not options.evaluate_formulae, bool(options.ignore_corrupt_files)
+    kept = to_arrow_schema(StructType([large.schema[c] for c in carry]))
+    arrow = pa.schema([*PIECE_ARROW, *kept])
+    cut = large.mapInArrow(cut_stage(carry, arrow, formulas, options.threshold_bytes, ignore, piece_bytes), from_arrow_schema(arrow))
+    # A number of partitions of its own keeps Spark from joining pieces again, which are small but take long.
+    n = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = cut.repartition(n, "file", "sheet_idx", "piece")
+    return dealt.mapInArrow(piece_stage(carry, to_arrow_schema(schema), formulas, ignore), schema)

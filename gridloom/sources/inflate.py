@@ -102,8 +102,8 @@ def _spread(mask: np.ndarray, some: pa.Array, into: pa.Array) -> pa.Array:
     return pc.replace_with_mask(into, pa.array(mask), some)
 
 
-def _blocks(stream):
-    while block := stream.read(CHUNK_BYTES):
+def _blocks(stream, size: int = CHUNK_BYTES):
+    while block := stream.read(size):
         yield block
 
 
@@ -195,9 +195,10 @@ def read_strings(z: zipfile.ZipFile, part: str | None, limit: int) -> StringTabl
     return table
 
 
-def _prefixed(stream, root: bytes):
+def _prefixed(stream, root: bytes, size: int | None = None):
     """The namespace prefix of the root element (with its colon) and the stream's blocks as UTF-8."""
-    head = stream.read(CHUNK_BYTES)
+    size = size or CHUNK_BYTES
+    head = stream.read(size)
     if head[:2] in (b"\xff\xfe", b"\xfe\xff"):
         head = as_text(head + stream.read()).encode("utf-8")
     m = re.search(rb"<([A-Za-z_][\w.-]*:)?" + root + rb"[\s>/]", head)
@@ -206,7 +207,7 @@ def _prefixed(stream, root: bytes):
 
     def blocks():
         yield head
-        yield from _blocks(stream)
+        yield from _blocks(stream, size)
 
     return m[1] or b"", blocks()
 
@@ -234,8 +235,8 @@ def _merge_regions(tail: bytes) -> np.ndarray:
 class SheetXml:
     """The rows of one sheet part as pieces of XML, and the regions merged over them."""
 
-    def __init__(self, z: zipfile.ZipFile, part: str):
-        self.z, self.part = z, part
+    def __init__(self, z: zipfile.ZipFile, part: str, piece_bytes: int | None = None):
+        self.z, self.part, self.piece_bytes = z, part, piece_bytes
         self.known = part in z.namelist()
         self.kept = None
         if self.known and z.getinfo(part).file_size <= KEEP_BYTES:
@@ -265,7 +266,7 @@ class SheetXml:
         if not self.known:
             return
         with self._stream() as stream:
-            prefix, blocks = _prefixed(stream, b"(?:worksheet|chartsheet|dialogsheet|macrosheet)")
+            prefix, blocks = _prefixed(stream, b"(?:worksheet|chartsheet|dialogsheet|macrosheet)", self.piece_bytes)
             opening = re.compile(rb"<" + prefix + rb"sheetData(?:\s[^>]*)?(/)?>")
             closing = b"</" + prefix + b"sheetData>"
             started = False
@@ -492,14 +493,6 @@ class MergeFiller:
         self.next, self.done_row = 0, -1
         self.open = np.empty(0, np.int64)
 
-    def passes(self, xml_rows: np.ndarray) -> bool:
-        """Moves past rows no region touches; false, and not moved, if one does."""
-        high = int(xml_rows[-1])
-        if len(self.open) or (self.next < len(self.regions) and self.regions[self.next, 0] <= high):
-            return False
-        self.done_row = max(high, self.done_row)
-        return True
-
     def rows(self, numbers, offsets, cells):
         """Rows, offsets, cells and fills of a piece; absent rows that a region covers are added, none below the last."""
         high = int(numbers[-1])
@@ -552,14 +545,8 @@ class MergeFiller:
         )
 
 
-def sheet_batches(z, part, strings, date_styles, formulas, row_limit, share=(0, 1)):
-    """(row numbers, gaps, cells, fills) batches of one sheet; the last stands for the sheet's end.
-
-    ``share`` (k, n) gives every n-th piece from the k-th on, so that n tasks can share a sheet: splitting it
-    into cells costs many times more than inflating it. The end belongs to share 0. Where a region is merged
-    over a piece, or formula texts are wanted, the piece is worked through by every share.
-    """
-    mine, of = share
+def sheet_batches(z, part, strings, date_styles, formulas, row_limit):
+    """(row numbers, gaps, cells, fills) batches of one sheet; the last stands for the sheet's end."""
     sheet = SheetXml(z, part)
     decoder, filler = SheetDecoder(strings, date_styles, formulas), MergeFiller(sheet.merges())
     previous = -1
@@ -573,27 +560,13 @@ def sheet_batches(z, part, strings, date_styles, formulas, row_limit, share=(0,
             fills = pa.nulls(len(numbers), pa.list_(FILL_ARROW))
         return numbers, gaps, listed, fills
 
-    for k, xml in enumerate(sheet.pieces()):
-        wanted = k % of == mine
-        if not wanted and not formulas:
-            before = decoder.last_row
-            numbers = decoder.skip(xml)
-            if not len(numbers):
-                continue
-            if filler.passes(numbers):
-                previous = int(numbers[-1])
-                continue
-            decoder.last_row = before
+    for xml in sheet.pieces():
         numbers, offsets, cells = decoder.piece(xml)
         if not len(numbers):
             continue
-        made = batch(*filler.rows(numbers, offsets, cells))
-        if wanted:
-            yield made
+        yield batch(*filler.rows(numbers, offsets, cells))
         if row_limit is not None and previous >= row_limit:
             break
-    if mine != 0:
-        return
     end = np.array([previous])
     yield end, np.zeros(1, np.int64), pa.nulls(1, pa.list_(CELL_ARROW)), pa.nulls(1, pa.list_(FILL_ARROW))
 
@@ -604,7 +577,7 @@ def inflate_stage(carry: list[str], arrow_schema: pa.Schema, formulas: bool, row
 
     def workbook(source: pa.RecordBatch, i: int):
         row = {name: source.column(name)[i].as_py() for name in ("file", "content", "sheets", "strings_part",
-                                                                "date_styles", "date1904", "share", "shares")}
+                                                                "date_styles", "date1904")}
         if not row["sheets"]:
             return
         z = open_zip(row["content"], row["file"])
@@ -612,7 +585,7 @@ def inflate_stage(carry: list[str], arrow_schema: pa.Schema, formulas: bool, row
         styles = set(row["date_styles"] or ())
         for sheet in row["sheets"]:
             for numbers, gaps, cells, fills in sheet_batches(
-                z, sheet["part"], strings, styles, formulas, row_limit, (row["share"], row["shares"])
+                z, sheet["part"], strings, styles, formulas, row_limit
             ):
                 n = len(numbers)
                 columns = {

@@ -10,7 +10,7 @@ import pytest
 from fixtures.make_workbooks import BLANK, Date, Error, Formula, Inline, Raw, Sheet, build_workbook
 from gridloom import WorkbookError, read_workbook_files, read_workbooks, workbook_files, workbook_report
 from gridloom.functions.references import shift_formula
-from gridloom.sources import decode, inflate
+from gridloom.sources import decode, inflate, pieces
 
 
 def rows(df):
@@ -82,11 +82,11 @@ def test_merged_regions_across_pieces(monkeypatch):
 
     content = build_workbook([Sheet("S", grid, merges)])
 
-    def decoded(share=(0, 1)):
+    def decoded():
         z = zipfile.ZipFile(io.BytesIO(content))
         strings = inflate.read_strings(z, "xl/sharedStrings.xml", 10**6)
         out = []
-        for numbers, gaps, cells, fills in inflate.sheet_batches(z, "xl/worksheets/sheet1.xml", strings, set(), False, None, share):
+        for numbers, gaps, cells, fills in inflate.sheet_batches(z, "xl/worksheets/sheet1.xml", strings, set(), False, None):
             out += zip(numbers.tolist(), gaps.tolist(), cells.to_pylist(), [f or None for f in fills.to_pylist()])
         return out
 
@@ -94,10 +94,15 @@ def test_merged_regions_across_pieces(monkeypatch):
     monkeypatch.setattr(inflate, "CHUNK_BYTES", 300)
     monkeypatch.setattr(inflate, "KEEP_BYTES", 10)
     assert decoded() == whole
-    # Several tasks sharing the sheet give each row once.
-    shares = [decoded((k, 3)) for k in range(3)]
-    assert all(len(s) > 30 for s in shares)
-    assert sorted(sum(shares, []), key=lambda r: (r[0], r[2] is None)) == sorted(whole, key=lambda r: (r[0], r[2] is None))
+    # Pieces decoded each by itself, with what they bring along, give the same rows.
+    z = zipfile.ZipFile(io.BytesIO(content))
+    strings = inflate.read_strings(z, "xl/sharedStrings.xml", 10**6)
+    found = []
+    names = ("piece", "before", "xml", "ids", "texts", "regions", "masters")
+    for piece in pieces.sheet_pieces(z, "xl/worksheets/sheet1.xml", strings, set(), False, 300):
+        numbers, gaps, cells, fills = pieces.piece_rows(dict(zip(names, piece)) | {"date_styles": []}, False)
+        found.append(list(zip(numbers.tolist(), gaps.tolist(), cells.to_pylist(), [f or None for f in fills.to_pylist()])))
+    assert len(found) > 30 and sum(found, []) == whole
     # All rows down to the last one, and the end of the sheet.
     assert len(whole) == 200 + 1
 
@@ -202,7 +207,7 @@ def test_large_files_are_shared(spark, save, monkeypatch):
     from gridloom.sources import decode
 
     monkeypatch.setattr(decode, "SPREAD_BYTES", 20_000)
-    monkeypatch.setattr(decode, "SHARE_BYTES", 10_000)
+    monkeypatch.setattr(decode, "PIECE_BYTES", 10_000)
     lines = [[f"text {i}", i, i * 0.5] for i in range(3000)]
     book = build_workbook([Sheet("A", [["t", "i", "x"], *lines]), Sheet("B", [["t", "i", "x"], *lines[:10]])])
     assert len(book) > 20_000
@@ -245,7 +250,7 @@ def test_damaged_values_and_character_data(spark, save, monkeypatch, spread):
     """CDATA, characters written in halves, and values that are none: read by one task and shared between several."""
     if spread:
         monkeypatch.setattr(decode, "SPREAD_BYTES", 10)
-        monkeypatch.setattr(decode, "SHARE_BYTES", 500)
+        monkeypatch.setattr(decode, "PIECE_BYTES", 100)
     book = build_workbook([Sheet("S", [["n", "s"], [2, "a"], [77, "b"], [5, "_xD83D__xDE00_|_xD83D_|"]])])
     book = _replaced(book, SHEET, ("<v>2</v>", "<v><![CDATA[2]]></v>"), ("<v>77</v>", "<v>two</v>"))
     df = read_workbooks(spark, save("d.xlsx", book), "n long, s string, ok boolean", schemaMatchColumnName="ok")
@@ -288,3 +293,45 @@ def test_region_down_the_whole_column(spark, save):
 def test_overlapping_regions_of_a_file(spark, save):
     book = build_workbook([Sheet("S", [["a", "b", "c"], [1, 2, 100], [3, 4, 200]], merges=["A2:B3", "B2:B2"])])
     assert rows(read_workbooks(spark, save("m.xlsx", book), "a int, b int, c int")) == [(1, 1, 100), (1, 1, 200)]
+
+
+def _spread(monkeypatch, piece_bytes: int = 200):
+    monkeypatch.setattr(decode, "SPREAD_BYTES", 10)
+    monkeypatch.setattr(decode, "PIECE_BYTES", piece_bytes)
+
+
+def test_pieces_bring_regions_and_formulas(spark, save, monkeypatch):
+    """Regions over many pieces, shared formulas written once, cells and rows without addresses, folders as columns."""
+    lines = [[f"t{i % 7}", i, Formula("B2*2", i * 2.0, shared=3) if i == 0 else Formula("", i * 2.0, shared=3)] for i in range(120)]
+    sheet = Sheet("S", [["t", "n", "f"], *lines], merges=["A3:A40", "A50:B121", "B45:B46"])
+    book = build_workbook([sheet, Sheet("T", [["t", "n", "f"], ["x", 1, 2]])])
+    bare = _replaced(build_workbook([Sheet("S", [["t", "n"], *[[f"u{i}", i] for i in range(50)]], merges=["A2:A30"])]), SHEET, (' r="A2"', ""), (' r="B2"', ""))
+    for name, content in (("k=1/a.xlsx", book), ("k=2/b.xlsx", bare)):
+        save(f"in/{name}", content)
+    folder = save("in/k=1/c.xlsx", book).rsplit("/k=1", 1)[0]
+    for options in ({}, {"evaluateFormulae": False}, {"sheetNamePattern": "[ST]", "cellAddress": "A2"}):
+        read = lambda: sorted(rows(read_workbooks(spark, folder, "t string, n int, f string, ok boolean", schemaMatchColumnName="ok", **options)), key=repr)
+        with monkeypatch.context() as m:
+            whole = read()
+            _spread(m)
+            assert read() == whole and len(whole) > 280
+
+
+def test_only_pieces_are_shuffled(spark, save, monkeypatch):
+    """No exchange carries files' contents, and small files pass none."""
+    _spread(monkeypatch)
+    path = save("a.xlsx", build_workbook([Sheet("S", [["n"], *[[i] for i in range(100)]])]))
+    df = read_workbooks(spark, path, "n long")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.split("\n") if "Exchange" in line]
+    assert len(exchanges) == 1 and "piece" in exchanges[0] and "content" not in exchanges[0]
+    assert df.count() == 100
+
+
+def test_a_damaged_piece_ends_the_query(spark, save, monkeypatch):
+    _spread(monkeypatch)
+    book = build_workbook([Sheet("S", [["n"], *[[i] for i in range(100)]])])
+    path = save("a.xlsx", _replaced(book, SHEET, ('r="90"', 'r="x"')))
+    with pytest.raises(Exception, match="can't read workbook"):
+        read_workbooks(spark, save("b.xlsx", book[:-400] + b"x" * 400), "n long").collect()
+    assert read_workbooks(spark, path, "n long").count() >= 99
