@@ -148,3 +148,72 @@ def add_reader_method() -> None:
         return read_workbooks(self._spark, list(paths), schema, **options)
 
     DataFrameReader.excel = excel
+
+
+class WorkbookFormat:
+    """``spark.read.format("excel")``: collects options, schema and paths, then reads as :func:`read_workbooks` does."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._options, self._schema = spark, {}, None
+
+    def option(self, key: str, value) -> WorkbookFormat:
+        self._options[key] = value
+        return self
+
+    def options(self, **options) -> WorkbookFormat:
+        self._options.update(options)
+        return self
+
+    def schema(self, schema: T.StructType | str) -> WorkbookFormat:
+        self._schema = schema
+        return self
+
+    def load(self, path: str | list[str] | None = None, format: str | None = None, schema: T.StructType | str | None = None, **options) -> DataFrame:
+        given = {k.lower(): v for k, v in {**self._options, **options}.items()}
+        paths = path if path is not None else given.pop("path", None)
+        if paths is None:
+            raise WorkbookOptionError("No path to read workbooks from")
+        given.pop("path", None)
+        return read_workbooks(self._spark, paths, schema if schema is not None else self._schema, **given)
+
+
+def add_format() -> None:
+    """Makes ``excel`` a format of Spark's reader: ``spark.read.format("excel").option(…).schema(…).load(…)``.
+
+    Spark can't run a data source written in Python as a DataFrame plan, so the reader hands over where the format is
+    named; options and a schema set before that are kept as well.
+    """
+    if hasattr(DataFrameReader, "_without_workbooks"):
+        return
+    plain = {name: getattr(DataFrameReader, name) for name in ("format", "option", "options", "schema", "load")}
+    DataFrameReader._without_workbooks = plain
+
+    def noted(self: DataFrameReader) -> dict:
+        return self.__dict__.setdefault("_noted", {"options": {}, "schema": None})
+
+    def handed_over(self: DataFrameReader) -> WorkbookFormat:
+        reader = WorkbookFormat(self._spark).options(**noted(self)["options"])
+        return reader.schema(noted(self)["schema"]) if noted(self)["schema"] is not None else reader
+
+    def format(self: DataFrameReader, source: str):
+        return handed_over(self) if source.lower() == "excel" else plain["format"](self, source)
+
+    def option(self: DataFrameReader, key, value):
+        noted(self)["options"][key] = value
+        return plain["option"](self, key, value)
+
+    def options(self: DataFrameReader, **options):
+        noted(self)["options"].update(options)
+        return plain["options"](self, **options)
+
+    def schema(self: DataFrameReader, schema):
+        noted(self)["schema"] = schema
+        return plain["schema"](self, schema)
+
+    def load(self: DataFrameReader, path=None, format=None, schema=None, **options):
+        if format is not None and format.lower() == "excel":
+            return handed_over(self).load(path, None, schema, **options)
+        return plain["load"](self, path, format, schema, **options)
+
+    DataFrameReader.format, DataFrameReader.option, DataFrameReader.options = format, option, options
+    DataFrameReader.schema, DataFrameReader.load = schema, load
