@@ -3,11 +3,19 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Folders made while a ``written_alone`` is at work, innermost last.
+_PASSING: list[list[str]] = []
+
+#: Shuffle files go as soon as the query that made them has ended; a table it wrote does not need them any more.
+LEAN_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor sees: ``spark.checkpoint.dir``, else the context's, else the session's warehouse."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -29,6 +37,8 @@ def scratch_folder(spark: SparkSession, what: str) -> str:
     path, files = _files(spark, folder)
     files.mkdirs(path)
     files.deleteOnExit(path)
+    if _PASSING:
+        _PASSING[-1].append(folder)
     return folder
 
 
@@ -62,3 +72,15 @@ def written(df: DataFrame, what: str, under: str | None = None, **options: str)
     folder = f"{under}/{what}-{uuid.uuid4()}" if under else f"{scratch_folder(spark, what)}/rows"
     df.write.options(**options).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def written_alone(spark: SparkSession, make: Callable[[], DataFrame], what: str) -> DataFrame:
+    """The rows of ``make()``, written; the scratch folders and shuffle files it made on the way go at once."""
+    folder = scratch_folder(spark, what)
+    _PASSING.append([])
+    try:
+        with settings(spark, LEAN_SHUFFLES):
+            return written(make(), what, folder)
+    finally:
+        for passing in _PASSING.pop():
+            drop_folder(spark, passing)
