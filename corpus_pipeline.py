@@ -1,8 +1,11 @@
 """A training corpus from raw documents: language ID, near-duplicates, repeated passages, benchmark leaks, packing.
 
 Each stage takes (session, documents, folder of tables), works on all that its predecessor kept, and returns documents
-with the same columns; the last returns pieces of packed sequences. Rows with a null id pass the stages that compare
-documents unchanged, as nothing can name them.
+with the same columns; the last returns pieces of packed sequences.
+
+For all stages: an empty table gives no rows; extra columns are carried along, whatever their names; null and empty
+texts do not fail. Rows with a null id pass the stages that compare documents unchanged, as nothing can name them. Rows
+that share an id but not their text are documents of their own: each is told apart by id and text.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from gridloom.llm.language import UNKNOWN, identify_languages, learn_profiles
 from gridloom.llm.neardup import near_duplicates
 from gridloom.llm.packing import pack
 from gridloom.llm.repeats import cut_repeats, repeated_passages
-from gridloom.plans.scratch import written
+from gridloom.plans.scratch import written, written_alone
 
 for _module in (gridloom, sys.modules[__name__]):
     cloudpickle.register_pickle_by_value(_module)
@@ -29,33 +32,66 @@ for _module in (gridloom, sys.modules[__name__]):
 LEAST_SCORE = 0.15
 
 
+#: What tells a document from all others within a stage.
+KEY = "_gridloom_row_key"
+
+
+def keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """The documents with a long ``KEY``, and whether ids repeat. Rows of one key have one id and one text, and keys are
+    in the order of ids; a null id has no key.
+
+    Where no id repeats, that is the id itself. Else pairs of id and the text's fingerprint are numbered in order, and
+    the numbers joined to the rows; two texts of one id have one fingerprint with a probability of 2^-64.
+    """
+    mark = "_gridloom_text"
+    marked = docs.withColumn(mark, F.xxhash64("text"))
+    known = marked.where("doc_id IS NOT NULL").select("doc_id", mark)
+    if known.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return docs.withColumn(KEY, F.col("doc_id").cast("long")), False
+    pairs = known.distinct().repartitionByRange("doc_id", mark).sortWithinPartitions("doc_id", mark)
+    numbers = written(pairs.withColumn(KEY, F.monotonically_increasing_id()), "row-keys")
+    return marked.join(numbers, ["doc_id", mark], "left").select(*docs.columns, KEY), True
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that the documents name; ``lang`` is what was found. Null, empty and
-    letterless texts are rejected."""
-    profiles = learn_profiles(docs)
-    found = identify_languages(docs, profiles, keep=tuple(c for c in docs.columns if c not in ("text", "doc_id")) + ("text",))
+    letterless texts are rejected; repeated rows are judged alike."""
+    profiles = learn_profiles(docs.select("doc_id", "text", "lang"))
+    own = {name: f"_c{k}" for k, name in enumerate(docs.columns)}  # names that no result of the operator has
+    found = identify_languages(docs.toDF(*own.values()), profiles, own["doc_id"], own["text"], tuple(own.values()))
     kept = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return kept.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    return kept.select(*(F.col("lang_pred" if name == "lang" else c).alias(name) for name, c in own.items()))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that with the smallest id."""
-    gone = near_duplicates(docs, similar=(80, 100)).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group of near-duplicates: that with the smallest id, and of one id's that with the smallest
+    fingerprint of its text. Of rows that repeat an id and its text one stays, whatever their other columns."""
+    rows, repeated = keyed(docs)
+    gone = written_alone(spark, lambda: near_duplicates(rows, (80, 100), KEY).where("NOT kept").select(F.col("doc_id").alias(KEY)).distinct(), "gone")
+    left = rows.join(gone, KEY, "left_anti")
+    if repeated:
+        whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+        one = left.where(f"{KEY} IS NOT NULL").groupBy(KEY).agg(F.min_by(whole, F.xxhash64(whole)).alias("_row")).select("_row.*")
+        return one.unionByName(left.where(f"{KEY} IS NULL").select(*docs.columns))
+    return left.select(*docs.columns)
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without passages of 50 words or more that stood before; ``n_chars`` follows the text."""
-    # Written, so that no task runs the Python of both steps at once.
-    found = written(repeated_passages(docs).where(F.size("cuts") > 0).select("doc_id", "cuts"), "cuts")
-    cut = cut_repeats(docs, found)
+    """All documents, without passages of 50 words or more that stood before; ``n_chars`` follows the text. Rows that
+    repeat an id and its text are cut alike."""
+    rows, _ = keyed(docs)
+    found = written_alone(spark, lambda: repeated_passages(rows, KEY).where(F.size("cuts") > 0).select("doc_id", "cuts"), "cuts")
+    cut = cut_repeats(rows, found, KEY)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no ten words in a row of a benchmark text stand."""
-    leaks = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where(F.size("items") > 0)
-    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    rows, _ = keyed(docs)
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    leaks = written_alone(spark, lambda: decontaminate(rows, benchmark, id_col=KEY).where(F.size("items") > 0)
+                          .select(F.col("doc_id").alias(KEY)).distinct(), "leaks")
+    return rows.join(leaks, KEY, "left_anti").select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -260,10 +260,15 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 def cut_repeats(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with ``cuts`` taken out of their texts, up to where the next word kept starts; all other rows and
-    columns as they are."""
+    columns as they are, whatever their names.
+
+    Rows that ``found`` (doc_id, cuts) does not name, null ids and null texts among them, stay as they are; repeated
+    rows are cut alike, so rows of one id have to be of one text; an empty table gives no rows.
+    """
     names = docs.columns
-    joined = docs.join(found.select(F.col("doc_id").alias("_id"), "cuts"), F.col(id_col) == F.col("_id"), "left")
     place = names.index(text_col)
+    plain = docs.toDF(*(f"_c{k}" for k in range(len(names))))  # names that no column of found has
+    joined = plain.join(found.select("doc_id", "cuts"), F.col(f"_c{names.index(id_col)}") == F.col("doc_id"), "left")
 
     def cut(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -271,7 +276,7 @@ def cut_repeats(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_
             made = pa.array([without(x, c) if c else x for x, c in zip(texts, cuts)], pa.string())
             yield pa.RecordBatch.from_arrays([made if k == place else batch.column(k) for k in range(len(names))], names)
 
-    return joined.select(*(docs[f"`{c}`"] for c in names), "cuts").mapInArrow(tidied(cut), docs.schema)
+    return joined.select(*plain.columns, "cuts").mapInArrow(tidied(cut), docs.schema)
 
 
 def without(text: str, cuts: list[dict]) -> str:

@@ -80,3 +80,74 @@ def test_whole_run(spark):
         assert zlib.crc32(r["ids"]) == zlib.crc32(b"".join(x.to_bytes(4, "little") for x in own)) and r["doc_tokens"] == len(expected[r["doc_id"]])
         got[r["doc_id"]] = got.get(r["doc_id"], 0) + r["length"]
     assert got == {i: len(x) for i, x in expected.items()}
+
+
+CLASHING = {"score": "1.5D", "lang_pred": "'xx'", "cuts": "array(1)", "_id": "7L", "items": "'i'", "kept": "false", "hits": "0", "h": "1L"}
+
+
+@pytest.fixture(scope="module")
+def odd(spark, docs):
+    """Repeated rows, two texts of one id, null ids, and columns named like those that operators make."""
+    rows = {r["doc_id"]: r for r in docs.collect()}
+    long = [i for i, r in rows.items() if r["text"] and len(r["text"].split()) > 80]
+    a, b = rows[long[0]], rows[long[-1]]
+    more = [a, a, (b["doc_id"], a["text"], "en", "s", 1), (None, a["text"], "en", "s", 2), (None, None, None, None, None), rows[9002]]
+    both = docs.unionByName(spark.createDataFrame(more, docs.schema))
+    return both.selectExpr("*", *(f"{x} AS {c}" for c, x in CLASHING.items())).cache()
+
+
+def numbered_by_hand(odd):
+    """{number: (id, text)} of the rows with an id, in the order of ids, then of the texts' fingerprints."""
+    pairs = odd.where("doc_id IS NOT NULL").selectExpr("doc_id", "text", "xxhash64(text) AS f").distinct().collect()
+    return {k: (r["doc_id"], r["text"]) for k, r in enumerate(sorted(pairs, key=lambda r: (r["doc_id"], r["f"])))}
+
+
+def listed(rows):
+    return sorted(((i, t) for i, t in rows), key=repr)
+
+
+def test_odd_rows_by_language(spark, odd):
+    kept = STAGE["language_id"](spark, odd, SMALLEST)
+    assert kept.columns == odd.columns
+    rows = kept.collect()
+    assert all((r["score"], r["lang_pred"], r["cuts"], r["_id"]) == (1.5, "xx", [1], 7) for r in rows)
+    given = listed((r["doc_id"], r["text"]) for r in odd.collect() if r["text"] and r["doc_id"] not in (9003, 9004))
+    assert listed((r["doc_id"], r["text"]) for r in rows) == given
+
+
+def test_odd_rows_by_near_duplicates(spark, odd):
+    kept = STAGE["minhash_near_dedup"](spark, odd, SMALLEST)
+    assert kept.columns == odd.columns
+    given = numbered_by_hand(odd)
+    groups = linked_by_hand([(k, t) for k, (_, t) in given.items()], 80, 100)
+    nameless = [(None, r["text"]) for r in odd.where("doc_id IS NULL").collect()]
+    assert listed((r["doc_id"], r["text"]) for r in kept.collect()) == listed([x for k, x in given.items() if groups[k][1] == k] + nameless)
+
+
+def test_odd_rows_by_repeats(spark, odd):
+    kept = STAGE["suffix_array_dedup"](spark, odd, SMALLEST)
+    assert kept.columns == odd.columns
+    given = numbered_by_hand(odd)
+    number = {x: k for k, x in given.items()}
+    gone = {k: cut for k, (_, cut) in brute([(k, t) for k, (_, t) in given.items()]).items()}
+    left = [(r["doc_id"], [w for k, w in enumerate((r["text"] or "").split()) if k not in gone.get(number.get((r["doc_id"], r["text"])), ())])
+            for r in odd.collect()]
+    assert listed((r["doc_id"], (r["text"] or "").split()) for r in kept.collect()) == listed(left)
+
+
+def test_odd_rows_by_leaks(spark, odd):
+    kept = STAGE["benchmark_decontamination"](spark, odd, SMALLEST)
+    assert kept.columns == odd.columns
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SMALLEST}/benchmark.parquet").collect()]
+    given = numbered_by_hand(odd)
+    clean = {given[k] for k, _, hit, _ in found_by_hand([(k, t) for k, (_, t) in given.items()], items) if not hit}
+    expected = [(r["doc_id"], r["text"]) for r in odd.collect() if r["doc_id"] is None or (r["doc_id"], r["text"]) in clean]
+    assert listed((r["doc_id"], r["text"]) for r in kept.collect()) == listed(expected)
+
+
+@pytest.mark.parametrize("name", STAGE)
+def test_no_documents(spark, odd, name):
+    nothing = spark.createDataFrame([], odd.schema)
+    left = STAGE[name](spark, nothing, SMALLEST)
+    assert left.count() == 0
+    assert name == "packing" or left.columns == odd.columns
