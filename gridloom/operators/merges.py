@@ -9,30 +9,66 @@ from gridloom.functions.cells import CELL_TYPE, FILL_TYPE, cell_at
 from gridloom.operators.spine import spread_rows
 from gridloom.relations import GRID_COLUMNS
 
+# A band is 2**BAND_BITS rows; a band of the next level is as many bands of the one below.
+BAND_BITS = 6
+
+# Levels of bands: a region lies in at most 65 bands of its level, however tall it is, up to 2**36 rows.
+LEVELS = 5
+
+_KEYS = ["file", "sheet_idx"]
+
 
 def fill_merged(grid: DataFrame, merges: DataFrame) -> DataFrame:
     """Gives each row the regions of ``merges(file, sheet_idx, r0, c0, r1, c1)`` that cover it.
 
-    A region is spread over its rows and joined on the row itself, an even key, instead of comparing
-    every row of a sheet with every region. Absent rows between a sheet's rows become rows of it where a region
-    covers them; below the last row there is nothing to fill. Of overlapping regions the first by (r0, c0) counts.
+    Regions are indexed by bands of rows: a region is listed in the few bands, of a level that suits its height, that it
+    touches, and each band of 64 rows that the sheet has gathers the lists of the bands around it, sorted. A row then
+    picks its regions from its band's list. So a tall region costs a record per band of rows that exists, not per row,
+    and nothing is compared with all regions of a sheet.
+
+    Absent rows between a sheet's rows become rows of it where a region covers them; below the last row there is nothing
+    to fill. Of overlapping regions the first counts: by ``place``, if ``merges`` has that column (any type that can be
+    ordered), else by (r0, c0). A band's list is as long as regions touch its 64 rows: regions that do not overlap are at
+    most 64 times the sheet's columns. An empty ``merges`` leaves the grid's cells as they are.
     """
-    keys = ["file", "sheet_idx"]
-    first = grid.filter("cells IS NOT NULL AND gap >= 0").selectExpr(*keys, "row AS r0", "cells")
-    last = grid.filter("cells IS NULL").selectExpr(*keys, "row AS _last")
+    rows = _explicit_rows(grid).withColumn("_band", F.expr(f"shiftright(row, {BAND_BITS})"))
+    lists = _band_lists(rows, _filled(grid, merges))
+    covering = "transform(filter(_regions, x -> x.r0 <= row AND x.r1 >= row), x -> x.fill)"
+    joined = rows.join(lists, [*_KEYS, "_band"], "left").withColumn("_fills", F.expr(covering))
+    covered = "coalesce(size(_fills), 0) > 0"
+    return joined.selectExpr(
+        *_replaced(gap=f"CASE WHEN {covered} THEN 0L ELSE gap END",
+                   fills=f"CASE WHEN cells IS NOT NULL THEN CASE WHEN {covered} THEN _fills ELSE fills END END")
+    )
+
+
+def _filled(grid: DataFrame, merges: DataFrame) -> DataFrame:
+    """The regions as (file, sheet_idx, r0, r1, place, fill), ``fill`` with the cell at their upper left."""
+    first = grid.filter("cells IS NOT NULL AND gap >= 0").selectExpr(*_KEYS, "row AS _top", "cells")
+    # What a generator gives is no literal: were all keys literals, the equi-join would be planned as a cross join.
+    tops = merges.filter("r0 <= r1").withColumn("_top", F.expr("explode(array(cast(r0 AS bigint)))"))
+    place = "place" if "place" in merges.columns else "0 AS place"
     fill = (
         "named_struct('c0', cast(c0 AS int), 'c1', cast(c1 AS int), "
         f"'cell', cast({cell_at('cells', 'c0')} AS {CELL_TYPE})) AS fill"
     )
-    within = merges.join(last, keys).withColumn("r1", F.expr("least(r1, _last)"))
-    anchored = within.join(first, [*keys, "r0"], "left").selectExpr(*keys, "r0", "r1", fill)
-    lines = spread_rows(anchored, "r0", "r1", "row").selectExpr(*keys, "row", "named_struct('r0', r0, 'fill', fill) AS f")
-    fills = lines.groupBy(*keys, "row").agg(F.expr("transform(array_sort(collect_list(f)), x -> x.fill) AS _fills"))
-    joined = _explicit_rows(grid).join(fills, [*keys, "row"], "left")
-    return joined.selectExpr(
-        *_replaced(gap="CASE WHEN _fills IS NOT NULL THEN 0L ELSE gap END",
-                   fills="CASE WHEN cells IS NOT NULL THEN coalesce(_fills, fills) END")
-    )
+    return tops.join(first, [*_KEYS, "_top"], "left").selectExpr(*_KEYS, "_top AS r0", "cast(r1 AS bigint) AS r1", place, fill)
+
+
+def _band_lists(rows: DataFrame, regions: DataFrame) -> DataFrame:
+    """(file, sheet_idx, _band, _regions): of each band of the rows, the regions that touch it, in order."""
+    # A region is as tall as at most 64 bands of its level.
+    tall = " ".join(f"WHEN r1 - r0 < {1 << BAND_BITS * (k + 2)}L THEN {k}" for k in range(LEVELS - 1))
+    within = f"shiftright({{}}, {BAND_BITS} * (_level + 1))"
+    listed = regions.withColumn("_level", F.expr(f"CASE {tall} ELSE {LEVELS - 1} END")).withColumn(
+        "_at", F.expr(f"explode(sequence({within.format('r0')}, {within.format('r1')}))"))
+    bands = rows.select(*_KEYS, "_band").distinct().withColumn("_level", F.expr(f"explode(sequence(0, {LEVELS - 1}))"))
+    around = bands.withColumn("_at", F.expr(f"shiftright(_band, {BAND_BITS} * _level)"))
+    met = around.join(listed, [*_KEYS, "_level", "_at"]).filter(
+        f"r0 < shiftleft(_band + 1, {BAND_BITS}) AND r1 >= shiftleft(_band, {BAND_BITS})")
+    # Sorted by place, then by where regions start; columns stand first in a fill.
+    return met.groupBy(*_KEYS, "_band").agg(
+        F.expr("array_sort(collect_list(named_struct('place', place, 'r0', r0, 'c0', fill.c0, 'r1', r1, 'fill', fill))) AS _regions"))
 
 
 def _explicit_rows(grid: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 """Operators on small grids."""
 
+import random
+
 import pytest
 from pyspark.sql import types as T
 
@@ -146,6 +148,55 @@ def test_overlapping_regions(spark):
     assert sorted(rows(out)) == [(1, 1, 100), (1, 1, 200)]
 
 
+def test_listed_order_of_regions(spark):
+    """With a place, the region listed first counts, wherever it starts."""
+    df = spark.createDataFrame([(1, 1, 2), (2, 3, 4)], "p int, a int, b int")
+    grid = table_to_grid(df, row="p", cells=[cell(i, "num", num=n) for i, n in enumerate("ab")], header=[["a", "b"]])
+    regions = [("table", 0, 1, 0, 2, 0), ("table", 0, 2, 0, 2, 1)]
+    layout = "file string, sheet_idx int, r0 long, c0 int, r1 long, c1 int, place int"
+    found = [sorted(rows(read_grid(fill_merged(grid, spark.createDataFrame(
+        [(*r, p) for r, p in zip(regions, places)], layout)), "a int, b int"))) for places in ((0, 1), (1, 0))]
+    assert found == [[(1, 2), (1, 3)], [(1, 2), (3, 3)]]
+
+
+def test_regions_of_all_heights(spark):
+    """Regions from one row to many thousands, over rows with gaps, against looking at each region for each row."""
+    made = random.Random(5)
+    places = sorted(made.sample(range(1, 20_000), 700))
+    df = spark.createDataFrame([(p, f"t{p}") for p in places], "p int, s string")
+    grid = table_to_grid(df, row="p", cells=[cell(i, "str", str="s") for i in range(6)], header=[list("abcdef")])
+    regions = []
+    for column in range(6):  # one column each, so that none overlap
+        top = 1
+        while top < 20_000:
+            top += made.choice([0, 1, 63, 64, 65, 700])
+            height = made.choice([1, 2, 64, 65, 129, 4096, 4097, 9000])
+            regions.append(("table", 0, top, column, top + height - 1, column))
+            top += height
+    merges = spark.createDataFrame(regions, "file string, sheet_idx int, r0 long, c0 int, r1 long, c1 int")
+    out = fill_merged(grid, merges).filter("cells IS NOT NULL AND row > 0").selectExpr(
+        "row", "gap", "transform(coalesce(fills, array()), x -> named_struct('c', x.c0, 's', x.cell.str)) AS f").collect()
+    last = max(places)
+    expected = {}
+    for _, _, r0, c, r1, _ in regions:
+        for row in range(r0, min(r1, last) + 1):
+            expected.setdefault(row, {})[c] = f"t{r0}" if r0 in set(places) else None
+    got = {r["row"]: {x["c"]: x["s"] for x in r["f"]} for r in out}
+    assert {k: x for k, x in got.items() if x} == expected
+    assert sorted(got) == list(range(1, last + 1))
+    assert {r["row"] for r in out if r["gap"] == 0} == set(places) | set(expected)
+
+
+def test_filling_needs_no_cross_join_and_no_row_per_covered_row(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "p int, s string")
+    grid = table_to_grid(df, row="p", cells=[cell(0, "str", str="s")], header=[["s"]])
+    merges = spark.range(1).selectExpr("'table' AS file", "0 AS sheet_idx", "1L AS r0", "0 AS c0", "1L << 40 AS r1", "0 AS c1")
+    out = fill_merged(grid, merges)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert sorted(rows(read_grid(out, "s string"))) == [("a",), ("a",)]
+
+
 def test_two_cells_in_a_column(spark):
     cells = spark.createDataFrame(
         [("f", 0, "S", 0, k, "num", float(k)) for k in range(3)] + [("f", 0, "S", 0, 1, "num", 9.0)],
