@@ -31,24 +31,32 @@ _WORD = re.compile(rf"[^{WHITE}]+")
 BYTES, LEARN, LINE = 2 << 20, 1 << 14, 64
 
 
-def shared_forms(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def shared_forms(data: np.ndarray, bounds: np.ndarray, lowers: bool, cuts: bool) -> tuple[np.ndarray, np.ndarray]:
     """Texts in forms that more words share, which have the same ids where white space only separates.
 
-    Where punctuation follows a letter or digit a piece ends, so white space can go between. A-Z are lowered in texts
-    that are all ASCII (letters beyond it may compose with what follows before they are lowered). Texts with ``<`` stay
-    as they are, as special strings are found before all else.
+    If the tokenizer ``cuts`` where punctuation follows a letter or digit, white space can go between. If it ``lowers``,
+    A-Z are lowered in texts that are all ASCII (letters beyond it may compose with what follows before they are
+    lowered). Texts with ``<`` stay as they are, as special strings are found before all else.
     """
     if len(data) < 2:
         return data, bounds
     tags = np.concatenate([[0], np.cumsum(data == 60, dtype=np.int32)])
     tagged = np.repeat(tags[bounds[1:]] > tags[bounds[:-1]], np.diff(bounds))
+    if lowers:
+        wide = np.concatenate([[0], np.cumsum(data >= 128, dtype=np.int32)])
+        lowered = np.repeat(wide[bounds[1:]] == wide[bounds[:-1]], np.diff(bounds)) & ~tagged
+        data = np.where(lowered, LOWER[data], data)
+    if not cuts:
+        return data, bounds
     marks = np.flatnonzero(PUNCTUATION[data[1:]] & ~tagged[1:]) + 1
     before = data[marks - 1]
     latin = (before >= 0x80) & (data[np.maximum(marks - 2, 0)] == 0xC3) & (before != 0x97) & (before != 0xB7)
     marks = marks[PLAIN[before] | latin]
-    wide = np.concatenate([[0], np.cumsum(data >= 128, dtype=np.int32)])
-    lowered = np.repeat(wide[bounds[1:]] == wide[bounds[:-1]], np.diff(bounds)) & ~tagged
-    return np.insert(np.where(lowered, LOWER[data], data), marks, 32), bounds + np.searchsorted(marks, bounds)
+    return np.insert(data, marks, 32), bounds + np.searchsorted(marks, bounds)
+
+
+#: Fixed value: a pattern known to end a piece wherever punctuation follows a letter or digit. Of others nothing is assumed.
+CUTTING = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 PLAIN = np.zeros(256, bool)
@@ -68,7 +76,10 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.closes = np.zeros(self.library.get_vocab_size(), bool)  # ids that end a piece
+        steps, first = steps_of(path)
+        self.lowers = any(x["type"] == "Lowercase" for x in steps)
+        self.cuts = (first.get("pattern") or {}).get("Regex") == CUTTING
+        self.closes =np.zeros(self.library.get_vocab_size(), bool)  # ids that end a piece
         self.closes[[n for token, n in self.library.get_vocab().items() if token.endswith("</w>")]] = True
         self.forget()
 
@@ -119,7 +130,7 @@ class WordTokenizer:
         """For some texts at a time: numbers of their words, and where each text's words start among them."""
         data, bounds = text_bytes(texts)
         for a, b in row_slices(bounds, BYTES):
-            part, edges = shared_forms(data[bounds[a]:bounds[b]], bounds[a:b + 1] - bounds[a])
+            part, edges = shared_forms(data[bounds[a]:bounds[b]], bounds[a:b + 1] - bounds[a], self.lowers, self.cuts)
             starts, ends, first = find_words(part, edges, NOT_SPACE)
             offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
             kept = part[NOT_SPACE[part]].tobytes()
@@ -189,20 +200,30 @@ class LibraryTokenizer:
         return np.array(starts, np.int64), np.ones(len(starts), np.int64)
 
 
+def _spec(path: str) -> dict:
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
+def steps_of(path: str) -> tuple[list[dict], dict]:
+    """The steps of a ``tokenizers`` file's normalizer, and the first of those that split a text."""
+    spec = _spec(path)
+    pre = spec.get("pre_tokenizer") or {}
+    first = pre["pretokenizers"][0] if pre.get("type") == "Sequence" else pre
+    normalizer = spec.get("normalizer") or {"type": "Sequence", "normalizers": []}
+    return normalizer["normalizers"] if normalizer["type"] == "Sequence" else [normalizer], first
+
+
 def splits_at_white_space(path: str) -> bool:
     """Does the tokenizer turn all white space into breaks? Read from its file; when in doubt, no."""
     if not path.endswith(".json"):
         return False
     import regex
 
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
-    pre = spec.get("pre_tokenizer") or {}
-    first = pre["pretokenizers"][0] if pre.get("type") == "Sequence" else pre
+    spec = _spec(path)
+    steps, first = steps_of(path)
     pattern = (first.get("pattern") or {}).get("Regex")
     known = {"NFC", "NFD", "Lowercase", "Replace"}
-    normalizer = spec.get("normalizer") or {"type": "Sequence", "normalizers": []}
-    steps = normalizer["normalizers"] if normalizer["type"] == "Sequence" else [normalizer]
     plain = all(x["type"] in known and (x["type"] != "Replace" or (x["pattern"].get("Regex"), x["content"]) == (r"\s+", " ")) for x in steps)
     added = all(not (x["lstrip"] or x["rstrip"] or x["single_word"] or x["normalized"] or set(x["content"]) & set(WHITE)) for x in spec["added_tokens"])
     return bool(
