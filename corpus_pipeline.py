@@ -11,6 +11,7 @@ that share an id but not their text are documents of their own: each is told apa
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable
 
 import public_tokenizers
 from pyspark import cloudpickle
@@ -23,7 +24,7 @@ from gridloom.llm.language import UNKNOWN, identify_languages, learn_profiles
 from gridloom.llm.neardup import near_duplicates
 from gridloom.llm.packing import pack
 from gridloom.llm.repeats import cut_repeats, repeated_passages
-from gridloom.plans.scratch import written, written_alone
+from gridloom.plans.scratch import settings, written, written_alone
 
 for _module in (gridloom, sys.modules[__name__]):
     cloudpickle.register_pickle_by_value(_module)
@@ -32,6 +33,16 @@ for _module in (gridloom, sys.modules[__name__]):
 LEAST_SCORE = 0.15
 
 
+#: A task hands its Python worker so many bytes of rows at once: a batch counted in rows may hold very long texts.
+BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame], what: str) -> DataFrame:
+    """The rows of ``make()``, worked out now, as the settings of a session hold only for what runs under them."""
+    with settings(spark, BATCHES):
+        return written_alone(spark, make, what)
+
+
 #: What tells a document from all others within a stage.
 KEY = "_gridloom_row_key"
 
@@ -67,7 +78,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group of near-duplicates: that with the smallest id, and of one id's that with the smallest
     fingerprint of its text. Of rows that repeat an id and its text one stays, whatever their other columns."""
     rows, repeated = keyed(docs)
-    gone = written_alone(spark, lambda: near_duplicates(rows, (80, 100), KEY).where("NOT kept").select(F.col("doc_id").alias(KEY)).distinct(), "gone")
+    gone = settled(spark, lambda: near_duplicates(rows, (80, 100), KEY).where("NOT kept").select(F.col("doc_id").alias(KEY)).distinct(), "gone")
     left = rows.join(gone, KEY, "left_anti")
     if repeated:
         whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
@@ -80,7 +91,7 @@ def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """All documents, without passages of 50 words or more that stood before; ``n_chars`` follows the text. Rows that
     repeat an id and its text are cut alike."""
     rows, _ = keyed(docs)
-    found = written_alone(spark, lambda: repeated_passages(rows, KEY).where(F.size("cuts") > 0).select("doc_id", "cuts"), "cuts")
+    found = settled(spark, lambda: repeated_passages(rows, KEY).where(F.size("cuts") > 0).select("doc_id", "cuts"), "cuts")
     cut = cut_repeats(rows, found, KEY)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
@@ -89,14 +100,14 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Documents in which no ten words in a row of a benchmark text stand."""
     rows, _ = keyed(docs)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaks = written_alone(spark, lambda: decontaminate(rows, benchmark, id_col=KEY).where(F.size("items") > 0)
-                          .select(F.col("doc_id").alias(KEY)).distinct(), "leaks")
+    leaks = settled(spark, lambda: decontaminate(rows, benchmark, id_col=KEY).where(F.size("items") > 0)
+                    .select(F.col("doc_id").alias(KEY)).distinct(), "leaks")
     return rows.join(leaks, KEY, "left_anti").select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 4096 tokens, as pieces of documents with their ids."""
-    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return settled(spark, lambda: pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2), "packed")
 
 
 STAGES = [
