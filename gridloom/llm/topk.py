@@ -2,7 +2,8 @@
 
 A vector x becomes a point by one more coordinate, sqrt(M² - |x|²), with M the largest norm; a query gets 0 there. Then
 the larger the inner product, the smaller the distance, and the triangle inequality holds: a point at distance r from a
-pivot is at least |D - r| from a query at distance D. An annulus whose bound exceeds a query's k-th best is skipped.
+pivot is at least |D - r| from a query at distance D. Each query goes over annuli in the order of that bound, outwards
+from its own distances, and stops at the first whose bound exceeds its k-th best.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ SAMPLE, PIVOTS = 4096, 48
 #: Vectors of an annulus, and queries that go over the index together.
 ANNULUS, QUERIES = 1024, 4096
 
+#: Bytes of vectors that a task holds at once to walk over their annuli in order; annuli between looks at the k-th best.
+HELD, STEPS = 32 << 20, 2
+
 
 def augmented(vectors: np.ndarray, largest: float) -> np.ndarray:
     """The points of vectors."""
@@ -139,14 +143,34 @@ class QueryBlock:
                 self.least[a:a + 256] = np.partition(scores, -k, axis=1)[:, -k]
         self.found = [np.zeros((0, 3), np.int64)]
 
-    def visit(self, row: dict) -> None:
-        """Looks at an annulus for the queries that its bound does not rule out."""
-        to_pivot = self.to_pivots[:, row["pivot"]]
-        bound = np.maximum(0, np.maximum(to_pivot - row["high"], row["low"] - to_pivot))
-        farthest = np.sqrt(np.maximum(0, self.reach - 2.0 * self.least))
-        open_ = np.flatnonzero(bound <= farthest * (1 + 1e-9) + 1e-6)
-        if not len(open_):
+    def walk(self, rows: list[dict]) -> None:
+        """Goes over annuli, each query from the one of the least bound on, to the first beyond its k-th best."""
+        if not rows:
             return
+        pivots, low, high = (np.array([r[c] for r in rows]) for c in ("pivot", "low", "high"))
+        to_pivot = self.to_pivots[:, pivots]
+        bounds = np.maximum(0, np.maximum(to_pivot - high, low - to_pivot))
+        order = bounds.argsort(axis=1, kind="stable")
+        going, waiting = np.arange(len(self.ids)), 0
+        for step in range(len(rows)):
+            farthest = np.sqrt(np.maximum(0, self.reach[going] - 2.0 * self.least[going]))
+            going = going[bounds[going, order[going, step]] <= farthest * (1 + 1e-9) + 1e-6]
+            if not len(going):
+                break
+            at = order[going, step]
+            for a in np.unique(at).tolist():
+                self.visit(rows[a], going[at == a])
+                waiting += len(self.found[-1])
+                if waiting > 1 << 18:
+                    self.settle()
+                    waiting = 0
+            if step % STEPS == STEPS - 1:
+                self.settle()
+                waiting = 0
+        self.settle()
+
+    def visit(self, row: dict, open_: np.ndarray) -> None:
+        """Looks at an annulus for some of the queries."""
         ids = np.frombuffer(row["ids"], np.int64)
         scores = products(self.vectors[open_], np.frombuffer(row["vectors"], np.float64).reshape(len(ids), -1))
         q, x = np.nonzero(scores >= self.least[open_][:, None])
@@ -175,18 +199,19 @@ def search(index: DataFrame, spaces: dict, queries: pa.Table, k: int) -> DataFra
         by_dim[dim] = QueryBlock(ids[own], vectors, spaces[dim], k)
 
     def visit(batches) -> Iterator[pa.RecordBatch]:
-        waiting = 0
+        held, size = {dim: [] for dim in by_dim}, 0
         for batch in batches:
-            for row in batch.to_pylist():
+            for k in range(batch.num_rows):
+                (row,) = batch.slice(k, 1).to_pylist()
                 if row["dim"] in by_dim:
-                    block = by_dim[row["dim"]]
-                    block.visit(row)
-                    waiting += len(block.found[-1])
-                    if waiting > 1 << 18:
-                        block.settle()
-                        waiting = 0
-        for block in by_dim.values():
-            block.settle()
+                    held[row["dim"]].append(row)
+                    size += len(row["vectors"])
+                if size > HELD:
+                    for dim, rows in held.items():
+                        by_dim[dim].walk(rows)
+                    held, size = {dim: [] for dim in by_dim}, 0
+        for dim, block in by_dim.items():
+            block.walk(held[dim])
             rows = block.found[0]
             yield pa.RecordBatch.from_arrays([pa.array(block.ids[rows[:, 0]]), pa.array(rows[:, 1]), pa.array(rows[:, 2])], ["query_id", "vec_id", "score"])
 

@@ -17,7 +17,7 @@ from gridloom.llm.neardup import REGISTERS, check_pairs, merged, near_duplicates
 from gridloom.llm.packing import best_cuts, pack
 from gridloom.llm.templates import TemplateError, compile_template, escape, escape_line, parse, unescape
 from gridloom.llm.tokens import LibraryTokenizer, WordTokenizer, count_tokens, spliced_count, splits_at_white_space
-from gridloom.llm.topk import top_k
+from gridloom.llm.topk import QueryBlock, augmented, distances, top_k
 from gridloom.llm.toxicity import learn_toxicity, score_toxicity
 from gridloom.llm.urls import judge_urls
 
@@ -186,9 +186,10 @@ def test_components(spark):
     assert got == {k: 0 for k in range(31)} | {40: 40, 50: 40, 60: 40, 61: 40}
 
 
-@pytest.mark.parametrize("big", [1, 10**7])
-def test_top_k(spark, monkeypatch, big):
+@pytest.mark.parametrize("big, held", [(1, 1 << 20), (10**7, 1 << 20), (1, 2000)])
+def test_top_k(spark, monkeypatch, big, held):
     monkeypatch.setattr("gridloom.llm.topk.QUERIES", 7)
+    monkeypatch.setattr("gridloom.llm.topk.HELD", held)
     monkeypatch.setattr("gridloom.llm.topk.ANNULUS", 16)
     rng = np.random.default_rng(5)
     rows = [(int(k), [float(x) for x in v]) for k, v in zip(range(0, 600, 2), rng.normal(0, 0.3, (300, 6)) * big)]
@@ -207,6 +208,24 @@ def test_top_k(spark, monkeypatch, big):
     assert top_k(frame.limit(0), "vec_id % 20 = 0").count() == 0
 
 
+def test_walk_stops():
+    """A query looks at its nearest annuli first, and at none after the first whose bound is beyond its k-th best."""
+    vectors = np.column_stack([np.arange(400.0), np.zeros(400)])
+    space = {"largest": 399.0**2, "sample": np.zeros((0, 2)), "ids": np.zeros(0, np.int64)}
+    points = augmented(vectors, space["largest"])
+    space["pivots"] = points[399:]
+    away = distances(points, space["pivots"])[:, 0]
+    order = np.argsort(away)
+    rows = [{"pivot": 0, "low": away[own[0]], "high": away[own[-1]], "ids": own.tobytes(), "vectors": vectors[own].tobytes()}
+            for own in np.split(order, 40)]
+    block, seen = QueryBlock(np.array([399]), vectors[399:], space, 5), []
+    look = block.visit
+    block.visit = lambda row, open_: (seen.append(rows.index(row)), look(row, open_))
+    block.walk(rows[::-1])
+    assert block.found[0][:, 1].tolist() == [398, 397, 396, 395, 394]
+    assert seen == list(range(len(seen))) and len(seen) < len(rows) / 2
+
+
 def test_templates():
     say = compile_template("{% for m in messages %}{{ loop.index }}{% if m.role == 'a' and not loop.last %}<{% generation %}{{ m['text'] | upper }}{% endgeneration %}>"
                            "{% elif m.role in 'xy' %}x{% else %}-{% endif %}{%- set k = 'v' ~ 1 -%}{{ k }}\n{% endfor %}")
