@@ -107,3 +107,53 @@ def test_neighbours_change_no_score(spark):
     together = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(known.coalesce(1), model).collect()}
     apart = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(known.orderBy("text", "doc_id").repartition(7), model).collect()}
     assert together == pytest.approx(apart, abs=1e-5)
+
+
+def test_all_labelled_documents_are_learned_from(spark):
+    """Where there are more than the driver takes, tasks learn from every row: words, classes, languages and thresholds
+    are those of all, however the rows are dealt, and what only few documents show is learned too."""
+    rare = [(9000 + k, f"plain text here grim w{k % 11}", "en") for k in range(60)]
+    rows = [(k, f"plain w{k % 7} here" + " vile" * (k % 4 == 0), ("en", "de")[k % 2]) for k in range(3000)] + rare
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(3000)] + [(i, 1) for i, _, _ in rare], "doc_id long, toxic int")
+    found = []
+    for frame in (docs.coalesce(1), docs.repartition(7)):
+        model = toxicity.learn_toxicity(frame, labels, {1: 50, 0: 50})
+        found.append({r["doc_id"]: (r["score"], r["predicted"]) for r in toxicity.score_toxicity(docs, model).collect()})
+    assert all(found[0][i][0] == pytest.approx(found[1][i][0], abs=1e-5) for i in found[0])
+    wrong = [i for i, (_, called) in found[0].items() if called != (i >= 9000 or i % 4 == 0)]
+    assert len(wrong) <= 0.01 * len(rows)
+
+
+def test_counts_of_what_is_learned_are_of_all_rows(spark, monkeypatch):
+    """Counted in units of any size: rows of the table that are known, languages, thresholds."""
+    rows = [(k, f"plain w{k % 400} here" + " vile" * (k % 2), ("en", "de", None)[k % 3]) for k in range(1200)]
+    texts = documents(spark, rows)
+    known = spark.createDataFrame([(k, k % 2) for k in range(1200)], "doc_id long, label int")
+    monkeypatch.setattr(toxicity, "ROUNDS", 1)
+    monkeypatch.setattr(toxicity, "UNIT_ROWS", 100)
+    spread = toxicity.SpreadToxicity(texts, known, {0: 600, 1: 600})
+    units = [u for b in spread.units.toArrow().to_batches() for u in toxicity.units_of(b)]
+    assert len(units) > 3 and sum(len(u["labels"]) for u in units) == 1200
+    seen = np.zeros(PAD + 1, int)
+    for u in units:
+        for d in np.flatnonzero(~u["aside"]):
+            seen[np.unique(u["ids"][u["first"][d]:u["first"][d + 1]])] += 1
+    model = spread.model()
+    assert ((model.network.known == PAD) == (seen < toxicity.SEEN)).all()
+    own = [(word_ids(pa.array([t]))[0], lang) for _, t, lang in rows]
+    assert np.allclose(model.languages.weights, toxicity.Languages(*zip(*own)).weights)
+
+
+def test_thresholds_of_counted_logits():
+    rng = np.random.default_rng(7)
+    labels, counts = rng.integers(0, 2, 200), rng.integers(1, 5, 200)
+    logits = np.round(rng.normal(0, 2, 200) + labels, 1)
+    whole = toxicity.best_threshold(np.repeat(logits, counts), np.repeat(labels, counts).astype(float), np.ones(counts.sum()))
+    called = toxicity.counted_threshold(logits, labels, counts.astype(float))
+
+    def f1(at):
+        hit = counts[(logits > at) & (labels == 1)].sum()
+        return 2 * hit / (counts[logits > at].sum() + counts[labels == 1].sum())
+
+    assert f1(called) == f1(whole) == max(f1(x) for x in [*logits, -100])
