@@ -13,12 +13,15 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 import public_tokenizers
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import gridloom
+from gridloom.llm.bloom import build_bits, log_blocks, probe
 from gridloom.llm.decontaminate import decontaminate
 from gridloom.llm.language import UNKNOWN, identify_languages, learn_profiles
 from gridloom.llm.neardup import near_duplicates
@@ -64,6 +67,23 @@ def keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
     return marked.join(numbers, ["doc_id", mark], "left").select(*docs.columns, KEY), True
 
 
+def parted(rows: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose ``KEY`` may be in ``keys``, all other rows). The first are those of ``keys`` and a few more.
+
+    Only the key is looked at, where the rows are read, by a filter of fixed size; so a join with ``keys`` that follows
+    moves no other row's text, however large both tables are.
+    """
+    power = log_blocks(keys.count())
+    bits = build_bits(keys.select(F.xxhash64(F.col(key).cast("long")).alias("h")), power)
+
+    @F.arrow_udf("boolean")
+    def among(hashes: pa.Array) -> pa.Array:
+        return pa.array(probe(bits, power, hashes.to_numpy().view(np.uint64)))
+
+    found = among(F.xxhash64(KEY))
+    return rows.where(found), rows.where(~found)
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that the documents name; ``lang`` is what was found. Null, empty and
     letterless texts are rejected; repeated rows are judged alike."""
@@ -79,7 +99,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     fingerprint of its text. Of rows that repeat an id and its text one stays, whatever their other columns."""
     rows, repeated = keyed(docs)
     gone = settled(spark, lambda: near_duplicates(rows, (80, 100), KEY).where("NOT kept").select(F.col("doc_id").alias(KEY)).distinct(), "gone")
-    left = rows.join(gone, KEY, "left_anti")
+    some, others = parted(rows, gone, KEY)
+    left = others.unionByName(some.join(gone, KEY, "left_anti"))
     if repeated:
         whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
         one = left.where(f"{KEY} IS NOT NULL").groupBy(KEY).agg(F.min_by(whole, F.xxhash64(whole)).alias("_row")).select("_row.*")
@@ -92,7 +113,9 @@ def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     repeat an id and its text are cut alike."""
     rows, _ = keyed(docs)
     found = settled(spark, lambda: repeated_passages(rows, KEY).where(F.size("cuts") > 0).select("doc_id", "cuts"), "cuts")
-    cut = cut_repeats(rows, found, KEY)
+    some, others = parted(rows, found, "doc_id")
+    named = settled(spark, lambda: some, "named")  # a task that cuts keeps no second Python worker to pick rows
+    cut = cut_repeats(named, found, KEY).unionByName(others)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
@@ -102,7 +125,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     leaks = settled(spark, lambda: decontaminate(rows, benchmark, id_col=KEY).where(F.size("items") > 0)
                     .select(F.col("doc_id").alias(KEY)).distinct(), "leaks")
-    return rows.join(leaks, KEY, "left_anti").select(*docs.columns)
+    some, others = parted(rows, leaks, KEY)
+    return others.unionByName(some.join(leaks, KEY, "left_anti")).select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
