@@ -70,9 +70,10 @@ def merged_fill(spark, sf):
     """The order key stands only in the first row of each block of lines and is merged down over it."""
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
     numbered = written(number_rows(lines, "'Sheet1'", ["l_orderkey", "l_linenumber"]), "lines")
-    blocks = numbered.groupBy("l_orderkey").agg(F.min("_n").alias("r0"), F.max("_n").alias("r1"))
+    blocks = written(numbered.groupBy("l_orderkey").agg(F.min("_n").alias("r0"), F.max("_n").alias("r1")), "blocks")
     marked = numbered.join(blocks.select(F.col("r0").alias("_n"), F.lit(True).alias("first")), "_n", "left")
-    shown = marked.selectExpr("CASE WHEN first THEN l_orderkey END AS l_orderkey", *lines.columns[1:], "_n")
+    # Written once, as filling goes over the grid's rows three times.
+    shown = written(marked.selectExpr("CASE WHEN first THEN l_orderkey END AS l_orderkey", *lines.columns[1:], "_n"), "shown")
     cells = [to_cell(c, shown.schema[c].dataType, i) for i, c in enumerate(lines.columns)]
     grid = table_to_grid(shown, row="_n", dense=True, cells=cells, header=[lines.columns])
     merges = blocks.filter("r1 > r0").selectExpr(

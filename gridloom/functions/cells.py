@@ -72,7 +72,7 @@ def apply_fills(cells: str, fills: str) -> str:
     spread = f"transform({fills}, (f, i) -> transform({free}, k -> {moved_cell('f.cell', 'k')}))"
     return (
         f"CASE WHEN coalesce(size({fills}), 0) <= 0 THEN {cells} "
-        f"ELSE array_sort(concat({kept}, flatten({spread}))) END"
+        f"ELSE sort_array(concat({kept}, flatten({spread}))) END"
     )
 
 

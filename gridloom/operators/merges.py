@@ -17,6 +17,9 @@ LEVELS = 5
 
 _KEYS = ["file", "sheet_idx"]
 
+# The first of the absent rows right above a row, or the row itself.
+_TOP = "CASE WHEN cells IS NULL THEN row ELSE row - greatest(gap, 0L) END"
+
 
 def fill_merged(grid: DataFrame, merges: DataFrame) -> DataFrame:
     """Gives each row the regions of ``merges(file, sheet_idx, r0, c0, r1, c1)`` that cover it.
@@ -32,7 +35,7 @@ def fill_merged(grid: DataFrame, merges: DataFrame) -> DataFrame:
     most 64 times the sheet's columns. An empty ``merges`` leaves the grid's cells as they are.
     """
     rows = _explicit_rows(grid).withColumn("_band", F.expr(f"shiftright(row, {BAND_BITS})"))
-    lists = _band_lists(rows, _filled(grid, merges))
+    lists = _band_lists(_bands(grid), _filled(grid, merges))
     covering = "transform(filter(_regions, x -> x.r0 <= row AND x.r1 >= row), x -> x.fill)"
     joined = rows.join(lists, [*_KEYS, "_band"], "left").withColumn("_fills", F.expr(covering))
     covered = "coalesce(size(_fills), 0) > 0"
@@ -55,16 +58,23 @@ def _filled(grid: DataFrame, merges: DataFrame) -> DataFrame:
     return tops.join(first, [*_KEYS, "_top"], "left").selectExpr(*_KEYS, "_top AS r0", "cast(r1 AS bigint) AS r1", place, fill)
 
 
-def _band_lists(rows: DataFrame, regions: DataFrame) -> DataFrame:
-    """(file, sheet_idx, _band, _regions): of each band of the rows, the regions that touch it, in order."""
+def _bands(grid: DataFrame) -> DataFrame:
+    """(file, sheet_idx, _band): the bands that the grid's rows, absent ones included, lie in. Rows that reach over the same
+    bands are brought together before these are listed."""
+    spans = grid.selectExpr(*_KEYS, f"shiftright({_TOP}, {BAND_BITS}) AS _low", f"shiftright(row, {BAND_BITS}) AS _high").distinct()
+    return spread_rows(spans, "_low", "_high", "_at").selectExpr(*_KEYS, "_at AS _band").distinct()
+
+
+def _band_lists(around: DataFrame, regions: DataFrame) -> DataFrame:
+    """(file, sheet_idx, _band, _regions): of each band, the regions that touch it, in order."""
     # A region is as tall as at most 64 bands of its level.
     tall = " ".join(f"WHEN r1 - r0 < {1 << BAND_BITS * (k + 2)}L THEN {k}" for k in range(LEVELS - 1))
     within = f"shiftright({{}}, {BAND_BITS} * (_level + 1))"
     listed = regions.withColumn("_level", F.expr(f"CASE {tall} ELSE {LEVELS - 1} END")).withColumn(
         "_at", F.expr(f"explode(sequence({within.format('r0')}, {within.format('r1')}))"))
-    bands = rows.select(*_KEYS, "_band").distinct().withColumn("_level", F.expr(f"explode(sequence(0, {LEVELS - 1}))"))
-    around = bands.withColumn("_at", F.expr(f"shiftright(_band, {BAND_BITS} * _level)"))
-    met = around.join(listed, [*_KEYS, "_level", "_at"]).filter(
+    bands = around.withColumn("_level", F.expr(f"explode(sequence(0, {LEVELS - 1}))"))
+    placed = bands.withColumn("_at", F.expr(f"shiftright(_band, {BAND_BITS} * _level)"))
+    met = placed.join(listed, [*_KEYS, "_level", "_at"]).filter(
         f"r0 < shiftleft(_band + 1, {BAND_BITS}) AND r1 >= shiftleft(_band, {BAND_BITS})")
     # Sorted by place, then by where regions start; columns stand first in a fill.
     return met.groupBy(*_KEYS, "_band").agg(
@@ -75,8 +85,7 @@ def _explicit_rows(grid: DataFrame) -> DataFrame:
     """The grid with each absent row above another as a row of its own."""
     here = "_at = row"
     empty, unfilled = f"cast(array() AS array<{CELL_TYPE}>)", f"cast(NULL AS array<{FILL_TYPE}>)"
-    top = "CASE WHEN cells IS NULL THEN row ELSE row - greatest(gap, 0L) END"
-    return spread_rows(grid, top, "row").selectExpr(
+    return spread_rows(grid, _TOP, "row").selectExpr(
         *_replaced(row="_at", gap=f"CASE WHEN cells IS NULL THEN gap WHEN {here} AND gap >= 0 THEN 0L ELSE -1L END",
                    cells=f"CASE WHEN {here} THEN cells ELSE {empty} END",
                    fills=f"CASE WHEN {here} THEN fills ELSE {unfilled} END")

@@ -12,12 +12,13 @@ from gridloom.functions.cells import CELL_TYPE, FILL_TYPE, cell
 from gridloom.functions.dates import timestamp_to_serial
 from gridloom.functions.text import name, text
 from gridloom.operators.spine import close_sheets, end_rows
+from gridloom.plans.scratch import written
 from gridloom.relations import GRID_COLUMNS
 
 # Rows numbered in one window without further ado, as many as a real sheet can have; above it, ranges of the key are numbered apart.
 PLAIN_WINDOW_ROWS = 1_048_576
-MAX_RANGES = 4096
-SAMPLES_PER_RANGE = 30
+# Rows of such a range, about.
+RANGE_ROWS = 131_072
 # Sheets of one workbook that may be found out on the driver.
 MAX_SHEETS = 4096
 
@@ -36,35 +37,12 @@ def to_cell(value: str, dtype: T.DataType, col: int) -> str:
     return f"CASE WHEN {value} IS NOT NULL THEN {made} ELSE {cell(col, 'blank')} END"
 
 
-def _ranges(keyed: DataFrame, n: int, plain_rows: int) -> tuple[str, int]:
-    """Ordered bounds that cut the key struct ``_k`` into ranges of about ``plain_rows`` rows, and their number.
-
-    The sample they come from decides only where rows are numbered, never which number a row gets. Bounds
-    travel as text and are sorted once more as values, so it does not matter if one comes back rounded.
-    """
-    count = min(MAX_RANGES, -(-n // plain_rows))
-    fraction = min(1.0, count * SAMPLES_PER_RANGE / n)
-    fields = keyed.schema["_k"].dataType
-    sample = (
-        keyed.select("_k").sample(fraction, seed=17).orderBy("_k")
-        .selectExpr(*[f"cast(_k.{f.name} AS string) AS {f.name}" for f in fields]).collect()
-    )
-    step = max(1, len(sample) // count)
-    bounds = [
-        "named_struct(" + ", ".join(f"'{f.name}', cast({text(v)} AS {f.dataType.simpleString()})" for f, v in zip(fields, r)) + ")"
-        for r in sample[step::step] or sample[:1]
-    ]
-    if not bounds:
-        return f"cast(array() AS array<{fields.simpleString()}>)", 0
-    return f"sort_array(array({', '.join(bounds)}))", len(bounds)
-
-
 def number_rows(df: DataFrame, sheet: str, order_by: list[str], unique: bool = False,
                 plain_rows: int = PLAIN_WINDOW_ROWS, count: int | None = None) -> DataFrame:
     """Adds ``_n``: 1, 2, 3 … in key order within each ``sheet``; ``unique`` says no two rows share a key.
 
-    A table too large for one window per sheet is cut into ranges of (sheet, key). Each range is numbered on
-    its own and moved by the rows before it, so a sheet with a third of all rows spreads like any other.
+    A table too large for one window per sheet is sorted by ranges of (sheet, key) and written once. Each range is numbered
+    on its own and moved by the rows before it, so a sheet with a third of all rows spreads like any other.
     ``count`` saves counting the rows where it is known.
     """
     # The hash of the whole row keeps the order of rows with equal keys fixed.
@@ -72,30 +50,18 @@ def number_rows(df: DataFrame, sheet: str, order_by: list[str], unique: bool = F
     n = df.count() if count is None else count
     if n <= plain_rows:
         return df.selectExpr("*", f"cast(row_number() OVER (PARTITION BY {sheet} ORDER BY {', '.join(keys)}) AS bigint) AS _n")
-    fields = [f"'s', {sheet}", *[f"'k{i}', {k}" for i, k in enumerate(keys)]]
-    keyed = df.selectExpr("*", f"named_struct({', '.join(fields)}) AS _k")
-    bounds, many = _ranges(keyed, n, plain_rows)
-    ranged = keyed.selectExpr("*", f"{bounds} AS _bounds").selectExpr(
-        *[name(c) for c in keyed.columns], "_k.s AS _s", f"{_range_of('_k', '_bounds', many)} AS _r"
-    )
-    # One count per range and sheet that meet. Spark sees how small it is, and decides how to join it.
-    offsets = ranged.groupBy("_s", "_r").count().selectExpr(
-        "_s", "_r",
-        "coalesce(sum(count) OVER (PARTITION BY _s ORDER BY _r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS _before",
-    )
-    local = ranged.selectExpr("*", "row_number() OVER (PARTITION BY _s, _r ORDER BY _k) AS _i")
-    return local.join(offsets, ["_s", "_r"]).selectExpr(
-        *[name(c) for c in df.columns], "_i + _before AS _n"
-    )
-
-
-def _range_of(key: str, bounds: str, count: int) -> str:
-    """How many of the ordered ``bounds`` are at or below ``key``: a binary search by halving steps."""
-    if not count:
-        return "0"
-    steps = ", ".join(str(1 << i) for i in reversed(range(count.bit_length())))
-    passed = f"p + s <= {count} AND get({bounds}, p + s - 1) <= {key}"
-    return f"aggregate(array({steps}), 0, (p, s) -> CASE WHEN {passed} THEN p + s ELSE p END)"
+    sheeted = df.selectExpr("*", f"{sheet} AS _s", *[f"{k} AS _k{i}" for i, k in enumerate(keys)])
+    order = ["_s", *[f"_k{i}" for i in range(len(keys))]]
+    ranges = -(-n // min(plain_rows, RANGE_ROWS))
+    # Written, as ranges are cut anew, and maybe elsewhere, each time a frame is worked out.
+    ranged = sheeted.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    placed = written(ranged.selectExpr(*[name(c) for c in df.columns], "_s", "monotonically_increasing_id() AS _id"), "numbered")
+    # A task numbers its rows one by one, from a multiple of 2**33 on. One record per task and sheet that meet.
+    starts = placed.groupBy("_s", F.expr("shiftright(_id, 33) AS _r")).agg(F.min("_id").alias("_first"), F.count("*").alias("_many"))
+    before = "sum(_many) OVER (PARTITION BY _s ORDER BY _r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    offsets = starts.selectExpr("_s", "_r", f"coalesce({before}, 0L) - _first + 1 AS _move")
+    moved = placed.withColumn("_r", F.expr("shiftright(_id, 33)")).alias("p").join(offsets.alias("o"), F.expr("p._r = o._r AND p._s <=> o._s"))
+    return moved.selectExpr(*[f"p.{name(c)}" for c in df.columns], "p._id + o._move AS _n")
 
 
 def _sheet_sizes(df: DataFrame, sheet: str, sheets: list[str] | None) -> dict[str, int]:

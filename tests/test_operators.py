@@ -107,6 +107,17 @@ def test_numbering(spark, plain_rows):
         assert [k for _, k in found] == sorted(k for _, k in found)
 
 
+def test_numbering_goes_over_ranges(spark, monkeypatch):
+    """A sheet is numbered by ranges of its key, with nulls in it; rows without a sheet's name are kept."""
+    monkeypatch.setattr("gridloom.sources.tables.RANGE_ROWS", 50)
+    df = spark.range(1000).selectExpr("CASE WHEN id % 10 > 0 THEN 'hot' END AS s", "CASE WHEN id % 7 > 0 THEN 1000 - id END AS k")
+    out = number_rows(df, "s", ["k"], plain_rows=100)
+    found = sorted((str(r["s"]), r["_n"], -1 if r["k"] is None else r["k"]) for r in out.collect())
+    for s, n in (("hot", 900), ("None", 100)):
+        own = [(i, k) for x, i, k in found if x == s]
+        assert [i for i, _ in own] == list(range(1, n + 1)) and [k for _, k in own] == sorted(k for _, k in own)
+
+
 def test_grid_and_cells(spark):
     df = spark.createDataFrame([(1, "a", None), (2, None, 2.5), (4, "c", 1.0)], "k int, s string, v double")
     grid = table_to_grid(df, row="k")
