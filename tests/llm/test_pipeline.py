@@ -158,14 +158,14 @@ def test_rows_that_stay_are_not_moved(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        rows = [(k, f"text {k} " * 20, "en", "s", 0) for k in range(3000)] + [(None, "x", "en", "s", 1)]
+        rows = [(k, f"text {k} of {k + 1} in {k + 2} " * 3, "en", "s", 0) for k in range(3000)] + [(None, "x", "en", "s", 1)]
         frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
         keyed, _ = corpus_pipeline.keyed(frame)
         wanted = spark.range(0, 3000, 100).withColumnRenamed("id", "doc_id")
         some, others = corpus_pipeline.parted(keyed, wanted, "doc_id")
         assert {r["doc_id"] for r in some.collect()} >= set(range(0, 3000, 100)) and some.count() < 100
         assert some.count() + others.count() == 3001
-        whole = STAGE["benchmark_decontamination"](spark, frame, SMALLEST)
+        whole = STAGE["minhash_near_dedup"](spark, frame, SMALLEST)
         joined = whole._jdf.queryExecution().optimizedPlan().toString().split("Join LeftAnti")
         assert len(joined) == 2 and "Union" in joined[0] and whole.count() == 3001
     finally:
