@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from gridloom.llm.words import LOWER, NOT_SPACE, find_words, mixed, row_slices, sequence_hashes, text_bytes, word_hashes
-from gridloom.llm.workers import tidied, tidied_group
+from gridloom.llm.workers import tidied, tidied_group, trim
 from gridloom.plans.scratch import drop_folder, scratch_folder, settings, written
 
 #: Bytes of text in a chunk, and in the pieces that longer texts are cut into; bytes of text whose n-grams fall into one
@@ -39,7 +39,7 @@ BEGIN, END = np.uint64(1), np.uint64(2)
 #: N-grams are fingerprints with their order in the last two bits; two contexts at a text's begin have 0 there.
 BEGIN_WORD, BEGIN_PAIR = 4, 8
 
-#: Shuffle files go as soon as a step's result is written, and few chunks are sent to a worker at once.
+#: Shuffle files go as soon as a step's result is written, and few texts or chunks are sent to a worker at once.
 LEAN = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(CHUNK_BYTES)}
 
 CHUNKS = "chunk long, size long, pieces binary"
@@ -99,7 +99,9 @@ def text_pieces(data: np.ndarray) -> Iterator[tuple[int, bool, bytes]]:
 
 
 class Grams:
-    """N-grams of pieces of texts, a position per word, and one more for each end."""
+    """N-grams of pieces of texts, a position per word, and one more for each end.
+
+    ``names`` has those of one word, then those of two, then those of three: one array, which a task has room for once."""
 
     def __init__(self, texts, lead: np.ndarray, last: np.ndarray):
         data, bounds = text_bytes(texts)
@@ -109,12 +111,15 @@ class Grams:
             starts, ends, first = find_words(part, bounds[a:b + 1] - bounds[a], NOT_SPACE)
             words.append(word_hashes(part, starts, ends))
             counts.append(np.diff(first))
-        words = np.concatenate(words) if words else np.zeros(0, np.uint64)
         counts = np.concatenate(counts) if counts else np.zeros(0, np.int64)
         heads = np.concatenate([[0], np.cumsum(2 - lead + counts + last)]).astype(np.int64)
+        said = np.ones(heads[-1], bool)  # positions of words
+        said[heads[:-1][lead == 0]] = said[heads[:-1][lead == 0] + 1] = said[heads[:-1][lead == 1]] = False
+        said[heads[1:][last] - 1] = False
         sequence = np.full(heads[-1], BEGIN)
-        place = np.repeat(heads[:-1] + 2 - lead - (np.cumsum(counts) - counts), counts) + np.arange(len(words))
-        sequence[place] = words
+        if words:
+            sequence[said] = np.concatenate(words)
+        del words, said
         sequence[heads[1:][last] - 1] = END
         #: Positions are those behind the first of each piece; of them, all but its second are scored.
         inside = np.ones(heads[-1], bool)
@@ -122,32 +127,38 @@ class Grams:
         scored = inside.copy()
         scored[heads[:-1] + 1] = False
         self.scored = scored[inside]
-        self.piece = np.repeat(np.arange(len(lead)), np.diff(heads) - 1)
-        self.begins = ~self.scored & (lead[self.piece] == 0)
-        at = np.flatnonzero(inside)
+        self.piece = np.repeat(np.arange(len(lead), dtype=np.int32), np.diff(heads) - 1)
+        self.begins = ~self.scored & (lead == 0)[self.piece]
         tag = np.uint64(3)
-        self.one = np.where(sequence[at] == BEGIN, np.uint64(BEGIN_WORD), (mixed(sequence[at]) & ~tag) | np.uint64(1))
-        pairs = (sequence_hashes(sequence, 2, seed=202)[at - 1] & ~tag) | np.uint64(2) if len(at) else at.astype(np.uint64)
-        both = (sequence[at] == BEGIN) & (sequence[at - 1] == BEGIN)
-        self.two = np.where(both, np.uint64(BEGIN_PAIR), pairs)
-        ends = at[self.scored]
-        self.three = sequence_hashes(sequence, 3, seed=203)[ends - 2] | tag if len(ends) else ends.astype(np.uint64)
+        size = len(self.piece)
+        self.names = np.empty(2 * size + np.count_nonzero(self.scored), np.uint64)
+        one, two, three = self.names[:size], self.names[size:2 * size], self.names[2 * size:]
+        begin = sequence == BEGIN
+        one[:] = mixed(sequence[inside])
+        one &= ~tag
+        one |= np.uint64(1)
+        one[begin[inside]] = BEGIN_WORD
+        two[:] = sequence_hashes(sequence, 2, seed=202)[inside[1:]]
+        two &= ~tag
+        two |= np.uint64(2)
+        two[(begin[1:] & begin[:-1])[inside[1:]]] = BEGIN_PAIR
+        three[:] = sequence_hashes(sequence, 3, seed=203)[scored[2:]]
+        three |= tag
 
     def distinct(self, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The n-grams in order, and how often pieces to be learned from have each. A text's begin counts as an n-gram, to
-        be the context of its first words."""
-        known, known3 = self.known(train)
-        sets = [np.sort(np.concatenate([self.one[k], self.two[k], self.three[k3]])) for k, k3 in ((known, known3), (~known, ~known3))]
-        names, _ = distinct(np.sort(np.concatenate(sets)))
-        counted, times = distinct(sets[0])
-        n = np.zeros(len(names), np.int64)
-        n[np.searchsorted(names, counted)] = times
+        be the context of its first words. ``names`` are sorted where they are."""
+        others, times = distinct(np.sort(self.names[~self.known(train)]))
+        self.names.sort()
+        names, n = distinct(self.names)
+        n[np.searchsorted(names, others)] -= times
         return names, n
 
-    def known(self, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which of one and two, and which of three, are learned from."""
+    def known(self, train: np.ndarray) -> np.ndarray:
+        """Which of ``names`` are learned from."""
         mine = train[self.piece]
-        return (self.scored | self.begins) & mine, mine[self.scored]
+        known = (self.scored | self.begins) & mine
+        return np.concatenate([known, known, mine[self.scored]])
 
 
 def packed(numbers: np.ndarray) -> bytes:
@@ -165,27 +176,37 @@ def unpacked(data: bytes, size: int) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
-def distinct(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct ones of ordered numbers, and how often each stands. (numpy's own hashes them, which is slower.)"""
-    heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
-    return ordered[heads], np.diff(np.append(heads, len(ordered)))
-
+def heads_of(ordered: np.ndarray) -> np.ndarray:
+    """Whether each of ordered numbers is the first of its value."""
+    heads = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=heads[1:])
+    return heads
 
-def places(names: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Where each of ``wanted`` stands among ``names``, which are in order and hold them all.
 
-    Fingerprints are spread evenly, so that their first bits lead to within a few places."""
-    if not len(names):
-        return np.zeros(0, np.int64)
-    drop = np.uint64(max(0, int(names[-1]).bit_length() - len(names).bit_length()))
-    first = np.cumsum(np.bincount((names >> drop).astype(np.int64)))
-    first = np.concatenate([[0], first[:-1]])
-    at = first[(wanted >> drop).astype(np.int64)]
-    wrong = np.flatnonzero(names[at] != wanted)
-    while len(wrong):
-        at[wrong] += 1
-        wrong = wrong[names[at[wrong]] != wanted[wrong]]
-    return at
+def distinct(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ones of ordered numbers, and how often each stands. (numpy's own hashes them, which is slower.)"""
+    heads = heads_of(ordered)
+    first = np.flatnonzero(heads)
+    times = np.empty(len(first), np.int64)
+    if len(first):
+        np.subtract(first[1:], first[:-1], out=times[:-1])
+        times[-1] = len(ordered) - first[-1]
+    del first
+    return ordered[heads], times
+
+
+def ranked(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ones in order, and where each of ``numbers`` stands among them."""
+    order = np.argsort(numbers)
+    ordered = numbers[order]
+    heads = heads_of(ordered)
+    names = ordered[heads]
+    del ordered
+    place = np.cumsum(heads, dtype=np.int32)
+    place -= 1
+    which = np.empty(len(numbers), np.int32)
+    which[order] = place
+    return names, which
 
 
 def range_starts(ranges: int) -> list[int]:
@@ -217,13 +238,17 @@ def sent_counts(ranges: int):
             for chunk, pieces in zip(batch.column(0).to_pylist(), batch.column(1)):
                 grams, train, _ = _grams(pieces.as_buffer())
                 names, n = grams.distinct(train)
+                del grams, _
                 cuts = range_cuts(names, ranges).tolist()
                 rows = []
                 for at, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
                     if b > a:
                         steps = np.diff(names[a:b], prepend=np.uint64(starts[at]))
                         rows.append((chunk, at, b - a, packed(steps), packed(n[a:b])))
+                del names, n
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                del rows
+                trim()
 
     return run
 
@@ -235,22 +260,24 @@ def sum_counts(sent: pa.Table) -> pa.Table:
     """Of one range, for each chunk's n-grams in the order sent: the counts of other chunks, and for a chunk held out those
     of all that are not. ``sums``, in the first row: tokens and distinct tokens, tokens held out, distinct ones of the rest."""
     sizes = sent["size"].to_pylist()
-    names = np.concatenate([np.cumsum(unpacked(x.as_py(), k)) for x, k in zip(sent["names"], sizes)])
-    own = np.concatenate([unpacked(x.as_py(), k) for x, k in zip(sent["own"], sizes)]).view(np.int64)
-    odd = np.repeat(sent["chunk"].to_numpy() % 2 == 1, sizes)
-    all_names, _ = distinct(np.sort(names))
-    which = places(all_names, names)
-    total = np.bincount(which, own).astype(np.int64)  # counts are exact in doubles up to 2**53
-    held = np.bincount(which, np.where(odd, own, 0)).astype(np.int64)
-    others, rest = total[which] - own, (total - held)[which]
-    word = all_names & np.uint64(3) == 1
-    sums = [int(x) for x in (total[word].sum(), (total[word] > 0).sum(), held[word].sum(), (total > held)[word].sum())]
     cuts = np.concatenate([[0], np.cumsum(sizes)]).tolist()
-    chunks = sent["chunk"].to_pylist()
     spans = list(zip(cuts[:-1], cuts[1:]))
+    chunks = sent["chunk"].to_pylist()
+    names = np.empty(cuts[-1], np.uint64)
+    own = np.empty(cuts[-1], np.int64)
+    for (a, b), steps, counts in zip(spans, sent["names"], sent["own"]):
+        np.cumsum(unpacked(steps.as_py(), b - a), out=names[a:b])
+        own[a:b] = unpacked(counts.as_py(), b - a)
+    names, which = ranked(names)
+    word = names & np.uint64(3) == 1
+    del names
+    total = np.bincount(which, own, len(word)).astype(np.int64)  # counts are exact in doubles up to 2**53
+    odd = np.repeat(sent["chunk"].to_numpy() % 2 == 1, sizes)
+    left = total - np.bincount(which[odd], own[odd], len(word)).astype(np.int64)
+    sums = [int(x) for x in (total[word].sum(), (total[word] > 0).sum(), (total - left)[word].sum(), (left > 0)[word].sum())]
     return pa.table({
-        "chunk": sent["chunk"], "at": sent["at"], "others": pa.array([packed(others[a:b]) for a, b in spans], pa.binary()),
-        "rest": pa.array([packed(rest[a:b]) if c % 2 else None for c, (a, b) in zip(chunks, spans)], pa.binary()),
+        "chunk": sent["chunk"], "at": sent["at"], "others": pa.array([packed(total[which[a:b]] - own[a:b]) for a, b in spans], pa.binary()),
+        "rest": pa.array([packed(left[which[a:b]]) if c % 2 else None for c, (a, b) in zip(chunks, spans)], pa.binary()),
         "sums": pa.array([sums] + [None] * (len(chunks) - 1), pa.list_(pa.int64())),
     })
 
@@ -266,17 +293,17 @@ class Shares:
     def __init__(self, answers: pa.Table, pieces: bytes, ranges: int, held: bool):
         """With ``held``, the counts are those without the texts held out, which this chunk is of."""
         grams, train, self.pieces = _grams(pieces)
-        said = np.concatenate([grams.one, grams.two, grams.three])
-        names, _ = distinct(np.sort(said))
-        which = places(names, said)
-        known, known3 = grams.known(train)
+        known = grams.known(train)
+        names, which = ranked(grams.names)
+        del grams.names
         cuts = range_cuts(names, ranges)
-        n = np.bincount(which[np.concatenate([known, known, known3])], minlength=len(names))
+        n = np.bincount(which[known], minlength=len(names))
+        del names, known
         for at, x in zip(answers["at"].to_pylist(), answers["rest" if held else "others"]):
             told = unpacked(x.as_py(), cuts[at + 1] - cuts[at]).view(np.int64)
             n[cuts[at]:cuts[at + 1]] = told if held else n[cuts[at]:cuts[at + 1]] + told
         scored = np.flatnonzero(grams.scored)
-        size = len(grams.one)
+        size = len(grams.piece)
         one, two, three = which[:size], which[size:2 * size], which[2 * size:]
         self.piece = grams.piece[scored]
         self.c1, self.c2, self.c3 = n[one[scored]], n[two[scored]], n[three]
@@ -391,7 +418,8 @@ def interpolated_scores(docs: DataFrame, train: Column, id_col: str = "doc_id",
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), part.alias("part"))
     id_ddl = texts.schema["doc_id"].dataType.simpleString()
     id_arrow = to_arrow_schema(texts.schema).field("doc_id").type
-    chunks = written(texts.mapInArrow(tidied(cut_texts(id_arrow)), CHUNKS), "chunks", work, **{"parquet.block.size": str(2 * CHUNK_BYTES)})
+    with settings(spark, LEAN):
+        chunks = written(texts.mapInArrow(tidied(cut_texts(id_arrow)), CHUNKS), "chunks", work, **{"parquet.block.size": str(2 * CHUNK_BYTES)})
 
     ranges = -(-(chunks.agg(F.sum("size")).first()[0] or 1) // RANGE_BYTES)
     sent = chunks.select("chunk", "pieces").mapInArrow(tidied(sent_counts(ranges)), SENT)

@@ -61,11 +61,12 @@ def find_words(data: np.ndarray, bounds: np.ndarray, letters: np.ndarray) -> tup
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spreads 64 bits over 64 bits (the finaliser of splitmix64)."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))  # a new array; the steps below change it where it is
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def multipliers(n: int, seed: int) -> np.ndarray:
@@ -84,7 +85,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     out = np.empty(len(starts), np.uint64)
     factors = multipliers(int(lengths.max()) if len(lengths) else 0, 1)
     reach = np.concatenate([[0], np.cumsum(lengths)])
-    for first, last in row_slices(reach, SLICE // 2):
+    for first, last in row_slices(reach, SLICE // 8):  # several arrays of eight bytes each
         n = lengths[first:last]
         heads = reach[first:last] - reach[first]
         place = np.arange(reach[last] - reach[first]) - np.repeat(heads, n)

@@ -10,10 +10,15 @@ import pyarrow as pa
 
 def _give_back():
     gc.collect()
+    trim()
+
+
+def trim() -> None:
+    """Gives freed memory back to the system; cheap enough for every few MB of rows."""
     pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, where it has that
-    if trim is not None:
-        trim(0)
+    found = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, where it has that
+    if found is not None:
+        found(0)
 
 
 def tidied_group(function):

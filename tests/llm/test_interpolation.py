@@ -2,9 +2,12 @@
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from __spark_entry__ import SMALLEST
@@ -166,3 +169,52 @@ def test_repeated_ids_and_null_ids(spark):
     got = interpolated_scores(docs, F.lit(True)).collect()
     assert sorted((r["doc_id"] is None, r["n_tokens"]) for r in got) == [(False, 2), (False, 3), (False, 3), (True, 1), (True, 2)]
     assert {r["train_tokens"] for r in got} == {11}
+
+
+def traced(make):
+    tracemalloc.start()
+    try:
+        found = make()
+        return found, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def many_words(n, seed):
+    return " ".join(f"{x:05x}" for x in np.random.default_rng(seed).integers(0, 1 << 18, n).tolist())
+
+
+def test_room_for_the_ngrams_of_a_chunk():
+    """A task has about three arrays of a chunk's n-grams (of 8 bytes each) at once, not six or more."""
+    texts = [many_words(100_000, k) for k in range(4)]
+    lead, last, train = np.zeros(4, np.int64), np.ones(4, bool), np.array([True, True, False, True])
+    (names, n), most = traced(lambda: interpolation.Grams(pa.array(texts), lead, last).distinct(train))
+    assert most < 5 * 24 * 400_000
+    learned = Counter(t for k, text in enumerate(texts) if train[k] for t in text.split())
+    assert sorted(n[names & np.uint64(3) == 1].tolist()) == sorted([*learned.values(), 3, *[0] * (len(set(texts[2].split()) - set(learned)))])
+    assert (np.diff(names.astype(object)) > 0).all()
+
+
+def test_room_for_a_range_of_ngrams():
+    """Summing a range takes a few arrays of its n-grams, and finds the counts of the others in the order sent."""
+    rng, size = np.random.default_rng(2), 100_000
+    rows, own = [], []
+    for chunk in range(4):
+        names = np.unique(rng.integers(0, 1 << 17, size, dtype=np.uint64) << np.uint64(2)) + np.uint64(1)
+        own.append(dict(zip(names.tolist(), rng.integers(0, 9, len(names)).tolist())))
+        counts = np.array([*own[-1].values()])
+        rows.append((chunk, 0, len(names), interpolation.packed(np.diff(names, prepend=np.uint64(0))), interpolation.packed(counts)))
+    sent = pa.table({name: pa.array(c) for name, c in zip(("chunk", "at", "size", "names", "own"), zip(*rows))})
+    told, most = traced(lambda: interpolation.sum_counts(sent))
+    total, left = Counter(), Counter()
+    for chunk, counts in enumerate(own):
+        total.update(counts)
+        left.update({} if chunk % 2 else counts)
+    for chunk, row in enumerate(told.to_pylist()):
+        assert interpolation.unpacked(row["others"], len(own[chunk])).tolist() == [total[x] - k for x, k in own[chunk].items()]
+        if chunk % 2:
+            assert interpolation.unpacked(row["rest"], len(own[chunk])).tolist() == [left[x] for x in own[chunk]]
+        else:
+            assert row["rest"] is None
+    assert told["sums"][0].as_py() == [sum(total.values()), sum(x > 0 for x in total.values()), sum(total.values()) - sum(left.values()), sum(x > 0 for x in left.values())]
+    assert most < 7 * 8 * sum(map(len, own))
