@@ -37,7 +37,7 @@ LEAST_SCORE = 0.15
 
 
 #: A task hands its Python worker so many bytes of rows at once: a batch counted in rows may hold very long texts.
-BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(1 << 20)}
 
 
 def settled(spark: SparkSession, make: Callable[[], DataFrame], what: str) -> DataFrame:

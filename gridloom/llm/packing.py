@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.tokens import open_tokenizer
-from gridloom.llm.workers import tidied
+from gridloom.llm.workers import tidied, trim
 
 #: Tokens in a sequence.
 WINDOW = 4096
@@ -154,12 +154,13 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW
         packer = Packer(window, ends, TaskContext.get().partitionId() << 40)
         ready, held = [], 0
         for batch in batches:
+            trim()
             found = tokenizer.encode_batch(batch.column(1).fill_null(""))
             for doc_id, ids in zip(batch.column(0).to_pylist(), found):
                 for piece in packer.add(doc_id, np.append(ids, np.uint32(end_id))):
                     ready.append(piece)
                     held += piece["length"]
-                if held > 1 << 20:
+                if held > 1 << 18:
                     yield pa.RecordBatch.from_pylist(ready, PIECES)
                     ready, held = [], 0
         ready += packer.flush(last=True)

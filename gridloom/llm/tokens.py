@@ -40,11 +40,9 @@ def shared_forms(data: np.ndarray, bounds: np.ndarray, lowers: bool, cuts: bool)
     """
     if len(data) < 2:
         return data, bounds
-    tags = np.concatenate([[0], np.cumsum(data == 60, dtype=np.int32)])
-    tagged = np.repeat(tags[bounds[1:]] > tags[bounds[:-1]], np.diff(bounds))
+    tagged = rows_with(data == 60, bounds)
     if lowers:
-        wide = np.concatenate([[0], np.cumsum(data >= 128, dtype=np.int32)])
-        lowered = np.repeat(wide[bounds[1:]] == wide[bounds[:-1]], np.diff(bounds)) & ~tagged
+        lowered = ~(rows_with(data >= 128, bounds) | tagged)
         data = np.where(lowered, LOWER[data], data)
     if not cuts:
         return data, bounds
@@ -55,6 +53,13 @@ def shared_forms(data: np.ndarray, bounds: np.ndarray, lowers: bool, cuts: bool)
     return np.insert(data, marks, 32), bounds + np.searchsorted(marks, bounds)
 
 
+def rows_with(found: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """For each byte, whether its row has any byte that is ``found``."""
+    sizes = np.diff(bounds)
+    full = sizes > 0
+    return np.repeat(np.logical_or.reduceat(found, bounds[:-1][full]), sizes[full])
+
+
 #: Fixed value: a pattern known to end a piece wherever punctuation follows a letter or digit. Of others nothing is assumed.
 CUTTING = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 

@@ -2,13 +2,15 @@
 
 import json
 import random
+import tracemalloc
 
 import public_tokenizers
 import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from gridloom.llm.tokens import WordTokenizer, splits_at_white_space
+from gridloom.llm.tokens import WordTokenizer, shared_forms, splits_at_white_space
+from gridloom.llm.words import text_bytes
 
 TEXTS = ["Hello WORLD Foo", "hello, world!", "It's 3.14, isn't IT?", "", "a-b_c (Über) Straße: ok", "x<|endoftext|>Y, z", "ÀÉ É, 12,5"]
 
@@ -45,3 +47,16 @@ def test_as_the_library(tmp_path, change):
     words = WordTokenizer(path)
     assert [x.tolist() for x in words.encode_batch(pa.array(texts))] == expected
     assert words.count_batch(pa.array(texts)) == [len(x) for x in expected]
+
+
+def test_room_for_shared_forms():
+    """Lowering and parting a batch of texts takes a few bytes for each of theirs; rows are looked at one by one."""
+    texts = ["Abc, DEF! " * 20_000, "", None, "É Abc, DEF! " * 20_000, "<x> Abc, DEF! " * 20_000, ""]
+    data, bounds = text_bytes(pa.array(texts))
+    tracemalloc.start()
+    made, edges = shared_forms(data, bounds, True, True)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    rows = [made[a:b].tobytes().decode() for a, b in zip(edges[:-1], edges[1:])]
+    assert rows == ["abc , def ! " * 20_000, "", "", "É Abc , DEF ! " * 20_000, "<x> Abc, DEF! " * 20_000, ""]
+    assert most < 10 * len(data)
