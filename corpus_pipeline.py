@@ -87,11 +87,13 @@ def parted(rows: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataF
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that the documents name; ``lang`` is what was found. Null, empty and
     letterless texts are rejected; repeated rows are judged alike."""
-    profiles = learn_profiles(docs.select("doc_id", "text", "lang"))
+    with settings(spark, BATCHES):
+        profiles = learn_profiles(docs.select("doc_id", "text", "lang"))
     own = {name: f"_c{k}" for k, name in enumerate(docs.columns)}  # names that no result of the operator has
     found = identify_languages(docs.toDF(*own.values()), profiles, own["doc_id"], own["text"], tuple(own.values()))
     kept = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return kept.select(*(F.col("lang_pred" if name == "lang" else c).alias(name) for name, c in own.items()))
+    columns = (F.col("lang_pred" if name == "lang" else c).alias(c) for name, c in own.items())
+    return settled(spark, lambda: kept.select(*columns), "languages").toDF(*own)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

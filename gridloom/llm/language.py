@@ -18,8 +18,8 @@ PROFILE = 300
 #: Documents of a language that its profile is learned from, about; all where there are fewer.
 FIT_ROWS = 2000
 
-#: Characters worked on at once, and bits that tell n-grams apart (documents of a slice have the others).
-SLICE_CHARS, GRAM_BITS = 1 << 19, 40
+#: Characters worked on at once, each of which takes about 120 bytes; bits that tell n-grams apart (documents of a slice have the others).
+SLICE_CHARS, GRAM_BITS = 1 << 17, 40
 
 UNKNOWN = "und"
 

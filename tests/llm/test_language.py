@@ -1,5 +1,6 @@
 """Language identification against plain dictionaries of n-grams."""
 
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 
 from __spark_entry__ import SMALLEST
-from gridloom.llm.language import GRAM_BITS, PROFILE, UNKNOWN, identify_languages, learn_profiles
+from gridloom.llm.language import GRAM_BITS, PROFILE, UNKNOWN, Profiles, identify_languages, learn_profiles, letter_table
 from gridloom.llm.queries import QUERIES
 from gridloom.llm.words import mixed
 from tests.llm.test_operators import ODD, documents
@@ -70,3 +71,16 @@ def test_other_letters_and_short_profiles(spark, most):
     expected = by_hand([(t, lang) for _, t, lang in given], texts, most)
     wanted = sorted((i if i is not None else -1, lang, round(score, 9)) for (i, _), (lang, score) in zip([*ODD, *asked], expected))
     assert sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["lang_pred"], round(r["score"], 9)) for r in rows) == wanted
+
+
+def test_memory_does_not_follow_the_batch():
+    """Some texts are worked on at a time, however many a batch holds."""
+    rng = np.random.default_rng(5)
+    texts = ["".join(x) for x in rng.choice(list("abcdefghij "), (600, 2000))]
+    profiles, letters = Profiles([("en", k, k) for k in range(PROFILE)], PROFILE), letter_table()
+    tracemalloc.start()
+    names, _ = profiles.compare(texts, letters)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert names == ["en"] * len(texts)
+    assert peak < 32 << 20, peak

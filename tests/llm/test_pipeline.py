@@ -3,6 +3,7 @@
 import zlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -170,3 +171,24 @@ def test_rows_that_stay_are_not_moved(spark):
         assert len(joined) == 2 and "Union" in joined[0] and whole.count() == 3001
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_languages_are_found_in_small_batches(spark, monkeypatch):
+    """A batch in rows of whole documents stands several times in an executor, in Spark and in Python."""
+    given = spark.range(0, 4000, 1, 1).selectExpr("id AS doc_id", "repeat('x ', 1000) AS text", "'en' AS lang", "'s' AS source", "2000 AS n_chars")
+    learned = []
+    monkeypatch.setattr(corpus_pipeline, "learn_profiles", lambda docs: learned.append(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")))
+
+    def sized(docs, profiles, id_col, text_col, keep):
+        def sizes(batches):
+            for batch in batches:
+                told = [pa.array([str(batch.nbytes)] * len(batch)), pa.array([1.0] * len(batch))]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *told], [*batch.schema.names, "lang_pred", "score"])
+
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema.fields)
+        return docs.mapInArrow(sizes, f"{schema}, lang_pred string, score double")
+
+    monkeypatch.setattr(corpus_pipeline, "identify_languages", sized)
+    sizes = [int(r["lang"]) for r in STAGE["language_id"](spark, given, SMALLEST).collect()]
+    assert len(sizes) == 4000 and max(sizes) < 2 << 20
+    assert learned == [str(1 << 20)]
