@@ -86,14 +86,23 @@ def parted(rows: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataF
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that the documents name; ``lang`` is what was found. Null, empty and
-    letterless texts are rejected; repeated rows are judged alike."""
+    letterless texts are rejected; repeated rows are judged alike. Only what changes is written: ids and fingerprints of
+    texts that are rejected or of another language than named."""
     with settings(spark, BATCHES):
         profiles = learn_profiles(docs.select("doc_id", "text", "lang"))
     own = {name: f"_c{k}" for k, name in enumerate(docs.columns)}  # names that no result of the operator has
-    found = identify_languages(docs.toDF(*own.values()), profiles, own["doc_id"], own["text"], tuple(own.values()))
-    kept = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    columns = (F.col("lang_pred" if name == "lang" else c).alias(c) for name, c in own.items())
-    return settled(spark, lambda: kept.select(*columns), "languages").toDF(*own)
+    plain = docs.toDF(*own.values())
+    ident, text, lang = (own[name] for name in ("doc_id", "text", "lang"))
+    marked = plain.withColumn("_mark", F.xxhash64(text))
+    found = identify_languages(marked, profiles, ident, text, (ident, lang, "_mark"))
+    fits = F.coalesce((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE), F.lit(False))
+    told = found.select(F.col(ident).alias("_id"), "_mark", F.col("lang_pred").alias("_lang"), fits.alias("_fits"), lang)
+    changes = told.where(~F.col("_fits") | ~F.col("_lang").eqNullSafe(F.col(lang))).drop(lang).dropDuplicates(["_id", "_mark"])
+    changed = settled(spark, lambda: changes, "languages")
+    same = F.col(ident).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_mark"))
+    kept = plain.join(changed, same, "left").where("_fits IS NULL OR _fits")
+    columns = (F.coalesce("_lang", c) if c == lang else F.col(c) for c in own.values())
+    return kept.select(*columns).toDF(*own)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

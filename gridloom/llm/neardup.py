@@ -146,12 +146,14 @@ def near_duplicates(docs: DataFrame, similar: tuple[int, int] = (80, 100), id_co
     pairs = written(members.join(pivots, "key").select("rep", "pivot").distinct(), "pairs", work)
 
     sets = written(full_sets(texts, pairs.select("rep").distinct()), "sets", work)
-    checked = written(with_sets(pairs, "rep", "pivot", sets).mapInArrow(tidied(check_pairs(num, den)), CHECKED), "checked", work)
-    links = checked.where("linked AND rep <> pivot").selectExpr("rep AS a", "pivot AS b")
+    likely = written(likely_pairs(pairs.where("rep <> pivot"), sets, num / den), "likely", work)
+    links = written(linked_pairs(likely, sets, num, den), "links", work)
     found = written(components(links, work), "found", work)
 
-    rest = likely_pairs(rest_pairs(checked, found, sets, num, den, work), sets, num / den)
-    more = with_sets(rest, "rep", "pivot", sets).mapInArrow(tidied(check_pairs(num, den)), CHECKED).where("linked").selectExpr("rep AS a", "pivot AS b")
+    within = scratch_folder(spark, "rest")
+    rest = written(likely_pairs(rest_pairs(pairs, found, sets, num, den, within), sets, num / den), "rest", work)
+    drop_folder(spark, within)
+    more = linked_pairs(rest, sets, num, den)
     more = written(more, "more-links", work)
     if not more.isEmpty():
         found = components(links.unionByName(more), work)
@@ -211,7 +213,8 @@ def likely_pairs(pairs: DataFrame, sets: DataFrame, at_least: float) -> DataFram
             may = [similarity(np.frombuffer(r1, np.uint16), np.frombuffer(r2, np.uint16), n1, n2, at_least)[1] for r1, n1, r2, n2 in rows]
             yield batch.select(["rep", "pivot"]).filter(pa.array(may, pa.bool_()))
 
-    return pairs.join(left, "rep").join(right, "pivot").select("rep", "pivot", "r1", "n1", "r2", "n2").mapInArrow(tidied(chosen), "rep long, pivot long")
+    weighed = pairs.join(left, "rep").join(right, "pivot").select("rep", "pivot", "r1", "n1", "r2", "n2")
+    return weighed.mapInArrow(tidied(chosen), "rep long, pivot long").distinct()
 
 
 CHECKED = "rep long, pivot long, linked boolean"
@@ -233,6 +236,12 @@ def check_pairs(num: int, den: int):
     return run
 
 
+def linked_pairs(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b) of the pairs that are links."""
+    checked = with_sets(pairs, "rep", "pivot", sets).mapInArrow(tidied(check_pairs(num, den)), CHECKED)
+    return checked.where("linked").selectExpr("rep AS a", "pivot AS b")
+
+
 def slot_counts(sets: DataFrame) -> np.ndarray:
     """How many shingles of the sets fall into each of ``SLOTS`` slots, by the top bits of their fingerprints."""
 
@@ -271,7 +280,7 @@ def prefixes(sets: DataFrame, counts: np.ndarray, num: int, den: int) -> DataFra
     return sets.select("rep", "shingles").mapInArrow(tidied(first), "rep long, n long, prefix array<long>")
 
 
-def rest_pairs(checked: DataFrame, found: DataFrame, sets: DataFrame, num: int, den: int, under: str) -> DataFrame:
+def rest_pairs(pairs: DataFrame, found: DataFrame, sets: DataFrame, num: int, den: int, under: str) -> DataFrame:
     """Pairs of documents in different components that may yet be linked: an exact join on the sets' prefixes.
 
     Only documents of pivots whose documents are in several components matter, and of their shingles only those met in
@@ -280,22 +289,27 @@ def rest_pairs(checked: DataFrame, found: DataFrame, sets: DataFrame, num: int,
     where it meets at that first one only, not once more for each shingle it shares.
 
     Sets that share a passage share all its shingles. Of the shingles that the very same sets have, only the first in
-    order is joined on: as the order is one for all sets, the first that two sets share is always among these.
+    order is joined on: as the order is one for all sets, the first that two sets share is always among these. So
+    whether two sets share an earlier one is seen from those joined on alone; the rest of a prefix is moved nowhere.
     """
-    placed = checked.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "pivot", F.coalesce("component", "rep").alias("c"))
+    placed = pairs.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "pivot", F.coalesce("component", "rep").alias("c"))
     torn = placed.groupBy("pivot").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("pivot")
     wanted = written(placed.join(torn, "pivot").select("rep", "c").distinct(), "torn", under)
     if wanted.isEmpty():
-        return checked.where("false").select("rep", "pivot")
-    firsts = written(prefixes(sets, slot_counts(sets), num, den).join(wanted, "rep"), "firsts", under)
-    entries = firsts.select("rep", "n", "c", F.posexplode("prefix").alias("i", "s"))
+        return pairs.where("false").select("rep", "pivot")
+    # An id may have several sets, so each has a number of its own.
+    firsts = prefixes(sets, slot_counts(sets), num, den).join(wanted, "rep")
+    firsts = written(firsts.withColumn("own", F.monotonically_increasing_id()), "firsts", under)
+    entries = firsts.select("own", "c", F.posexplode("prefix").alias("i", "s"))
     held = entries.groupBy("s", "c").agg(F.count("*").alias("k"))
     major = held.groupBy("s").agg(F.max(F.struct("k", "c")).alias("m"), F.count("*").alias("kinds")).where("kinds > 1").selectExpr("s", "m.c AS mc")
     kept = written(entries.join(major, "s"), "prefixes", under)
-    lists = kept.groupBy("s").agg(F.expr("bit_xor(xxhash64(rep)) AS f"), F.count("*").alias("k"), F.min(F.struct("rep", "i")).alias("m"))
-    heads = lists.groupBy("f", "k", "m.rep").agg(F.min(F.struct("m.i", "s")).alias("h")).selectExpr("h.s AS s")
-    headed = kept.join(heads, "s").join(firsts.select("rep", "prefix"), "rep")
-    kept = written(headed.withColumn("before", F.expr("slice(prefix, 1, i)")).drop("prefix"), "prefixes", under)
+    lists = kept.groupBy("s").agg(F.expr("bit_xor(xxhash64(own)) AS f"), F.count("*").alias("k"), F.min(F.struct("own", "i")).alias("m"))
+    heads = lists.groupBy("f", "k", "m.own").agg(F.min(F.struct("m.i", "s")).alias("h")).selectExpr("h.s AS s")
+    headed = kept.join(heads, "s").groupBy("own").agg(F.sort_array(F.collect_list(F.struct("i", "s", "mc"))).alias("met"))
+    headed = written(headed.join(firsts.select("own", "rep", "n", "c"), "own"), "headed", under)
+    kept = headed.select("rep", "n", "c", F.col("met.s").alias("all"), F.posexplode("met").alias("k", "x")).selectExpr(
+        "x.s AS s", "rep", "n", "c", "x.i AS i", "x.mc AS mc", "slice(all, 1, k) AS before")
     few = kept.where("c <> mc").selectExpr("s", "rep AS a", "n AS na", "c AS ca", "i AS ia", "before AS before_a")
     all_ = kept.selectExpr("s", "rep AS b", "n AS nb", "c AS cb", "i AS ib", "c = mc AS major", "before AS before_b")
     near = few.join(all_, "s").where(

@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 
 import public_tokenizers
+from gridloom.llm import neardup
 from gridloom.llm.bloom import build_bits, log_blocks, probe
 from gridloom.llm.chat import TEMPLATE, digest_conversations, format_conversations
 from gridloom.llm.components import components
@@ -343,3 +344,66 @@ def test_toxicity_counts_labels_of_given_documents_only(spark, monkeypatch):
     labels = spark.createDataFrame([(k, k % 2) for k in range(400)], "doc_id long, toxic int")
     learn_toxicity(docs, labels, {1: 50, 0: 50})
     assert taken == [(100, {0: 1.0, 1: 1.0})]
+
+
+def torn_groups():
+    """Documents that have words in common with their group's first, and each a stretch of its own."""
+    rnd = random.Random(7)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(5))
+    rows = []
+    for group in range(12):
+        base = [word() for _ in range(150)]
+        for k in range(12):
+            w = list(base)
+            for _ in range(rnd.choice([1, 2, 3, 5, 8])):
+                w[rnd.randrange(len(w))] = word()
+            rows.append((group * 100 + k, " ".join(w)))
+            if rnd.random() < 0.4:
+                base = w
+    return rows
+
+
+def test_full_sets_move_for_likely_pairs_only(spark, monkeypatch):
+    """No set is sent to meet itself, nor one that the sketches rule out; places in prefixes are listed for shared shingles only."""
+    moved, lists = [], []
+    join, keep = neardup.with_sets, neardup.written
+
+    def watched(pairs, *others):
+        moved.append({tuple(r) for r in pairs.collect()})
+        return join(pairs, *others)
+
+    def kept(frame, what, *others, **options):
+        out = keep(frame, what, *others, **options)
+        if what in ("prefixes", "headed"):
+            listed = next((c for c in ("before", "met") if c in out.columns), None)
+            lists.append(out.selectExpr(f"size({listed}) AS n" if listed else "0 AS n").agg({"n": "sum"}).first()[0])
+        return out
+
+    monkeypatch.setattr(neardup, "with_sets", watched)
+    monkeypatch.setattr(neardup, "written", kept)
+    rows = torn_groups()
+    got = {r["doc_id"]: r for r in near_duplicates(documents(spark, rows), (80, 100)).collect()}
+    assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == linked_by_hand(rows, 80, 100)
+    assert len(moved) == 2 and all(a != b for pairs in moved for a, b in pairs)
+    assert lists and sum(lists) < 144 * 32  # a prefix has about 30 shingles; written once for each, it would have 15 times as many
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    """Rows of one id are one document for linking, whichever of its texts is linked."""
+    rows = [(i // 2 * 2 if i % 100 < 6 else i, t) for i, t in torn_groups()]
+    rows = [(i + 100 if i in (200, 400) else i, t) for i, t in rows]
+    root = {i: i for i, _ in rows}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    sets = [(i, shingles(t)) for i, t in rows]
+    for a, one in sets:
+        for b, other in sets:
+            if 100 * len(one & other) >= 80 * len(one | other):
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    got = [(r["doc_id"], r["component_id"]) for r in near_duplicates(documents(spark, rows), (80, 100)).collect()]
+    assert sorted(got) == sorted((i, find(i)) for i, _ in rows)

@@ -1,6 +1,7 @@
 """Each stage of the pipeline against a brute-force version of it, on the smallest tables and some odd rows."""
 
 import zlib
+from pathlib import Path
 
 import public_tokenizers
 import pyarrow as pa
@@ -9,6 +10,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from __spark_entry__ import SMALLEST
+from gridloom.plans.scratch import scratch_root
 from tests.llm.test_operators import found_by_hand, linked_by_hand
 from tests.llm.test_repeats import brute
 
@@ -192,3 +194,17 @@ def test_languages_are_found_in_small_batches(spark, monkeypatch):
     sizes = [int(r["lang"]) for r in STAGE["language_id"](spark, given, SMALLEST).collect()]
     assert len(sizes) == 4000 and max(sizes) < 2 << 20
     assert learned == [str(1 << 20)]
+
+
+def test_languages_keep_no_copy_of_texts(spark):
+    """What the stage leaves in the shared folder names the rows that change, and holds no text."""
+    given = spark.read.parquet(f"{SMALLEST}/documents.parquet").selectExpr("doc_id", "text", "IF(doc_id % 10 = 0, 'xx', lang) AS lang", "source", "n_chars")
+    given = given.unionByName(given.selectExpr("NULL AS doc_id", "text", "'xx' AS lang", "source", "n_chars").limit(3)).cache()
+    root = Path(scratch_root(spark).removeprefix("file:"))
+    before = set(root.rglob("*.parquet"))
+    kept = STAGE["language_id"](spark, given, SMALLEST)
+    left = sum(p.stat().st_size for p in set(root.rglob("*.parquet")) - before if p.is_file())
+    assert left < 0.1 * sum(len(r["text"] or "") for r in given.collect())
+    rows = kept.collect()
+    assert len(rows) == given.count() and sum(r["doc_id"] is None for r in rows) == 3
+    assert "xx" not in {r["lang"] for r in rows if r["doc_id"] is None}
