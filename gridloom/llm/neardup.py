@@ -312,7 +312,8 @@ def rest_pairs(pairs: DataFrame, found: DataFrame, sets: DataFrame, num: int, de
         "x.s AS s", "rep", "n", "c", "x.i AS i", "x.mc AS mc", "slice(all, 1, k) AS before")
     few = kept.where("c <> mc").selectExpr("s", "rep AS a", "n AS na", "c AS ca", "i AS ia", "before AS before_a")
     all_ = kept.selectExpr("s", "rep AS b", "n AS nb", "c AS cb", "i AS ib", "c = mc AS major", "before AS before_b")
-    near = few.join(all_, "s").where(
+    # The lists are many times larger than the file they are unfolded from, by which Spark would choose to broadcast them.
+    near = few.hint("merge").join(all_, "s").where(
         f"ca <> cb AND (major OR a < b) AND na * {den} >= nb * {num} AND nb * {den} >= na * {num} "
         f"AND least(na - ia, nb - ib) * {num + den} >= (na + nb) * {num} AND NOT arrays_overlap(before_a, before_b)")
     return near.selectExpr("least(a, b) AS rep", "greatest(a, b) AS pivot").distinct()

@@ -388,6 +388,17 @@ def test_full_sets_move_for_likely_pairs_only(spark, monkeypatch):
     assert lists and sum(lists) < 144 * 32  # a prefix has about 30 shingles; written once for each, it would have 15 times as many
 
 
+def test_lists_of_shingles_are_not_broadcast(spark, tmp_path):
+    """By the size of their file they would be, however long they are unfolded."""
+    pairs = spark.createDataFrame([(k, 0) for k in range(40)], "rep long, pivot long")
+    found = spark.createDataFrame([], "node long, component long")
+    sets = spark.createDataFrame([(k, np.arange(k, k + 100, dtype=np.uint64).tobytes(), b"") for k in range(40)], "rep long, shingles binary, registers binary")
+    near = neardup.rest_pairs(pairs, found, sets, 80, 100, str(tmp_path))
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert {(r["rep"], r["pivot"]) for r in near.collect()} >= {(a, b) for b in range(40) for a in range(b) if b - a <= 11}
+
+
 def test_near_duplicates_of_repeated_ids(spark):
     """Rows of one id are one document for linking, whichever of its texts is linked."""
     rows = [(i // 2 * 2 if i % 100 < 6 else i, t) for i, t in torn_groups()]
